@@ -1,76 +1,41 @@
-"""Derived-feature expressions as SQL text.
-
-SQL text rather than Column objects, because the same expressions are used on a
-DataFrame and inside a persisted `SQLTransformer` stage of a fitted model.
-"""
+"""Derived-feature expressions as SQL text."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 from rankwatch.config import Config
-from rankwatch.functions.values import NUMBER
-
-
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def text_literal(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def double_literal(value: float) -> str:
-    """A DOUBLE literal; a bare 0.1 would be a DECIMAL in Spark SQL."""
-    return f"{float(value)!r}D"
-
-
-def number_sql(schema: T.StructType, name: str) -> str:
-    c, kind = quoted(name), schema[name].dataType
-    if isinstance(kind, T.StringType):
-        return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN TRY_CAST({c} AS DOUBLE) END"
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return f"CASE WHEN NOT isnan({c}) THEN CAST({c} AS DOUBLE) END"
-    return f"CAST({c} AS DOUBLE)"
-
-
-def day_sql(schema: T.StructType, name: str, fmt: str) -> str:
-    c = quoted(name)
-    if isinstance(schema[name].dataType, T.StringType):
-        return f"to_date(try_to_timestamp({c}, {text_literal(fmt)}))"
-    return c
+from rankwatch.functions.values import at_least, day, num, quoted, text
 
 
-def tenure_sql(schema: T.StructType, cfg: Config, reference: str) -> str:
+def tenure(schema: T.StructType, cfg: Config, reference: str) -> str:
     """Whole days from the column to midnight of `reference`, rounded down."""
-    day = day_sql(schema, cfg.date_column, cfg.date_format)
+    value = day(schema, cfg.date_column, cfg.date_format)
     kind = schema[cfg.date_column].dataType
-    days = f"datediff({reference}, to_date({day}))"
+    days = f"datediff({reference}, to_date({value}))"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        part_day = f"CAST({day} > CAST(to_date({day}) AS {kind.simpleString()}) AS INT)"
+        part_day = f"CAST({value} > CAST(to_date({value}) AS {kind.simpleString()}) AS INT)"
         days = f"{days} - {part_day}"
     return f"CAST({days} AS BIGINT)"
 
 
-def flag_sql(schema: T.StructType, cfg: Config) -> str:
-    value = number_sql(schema, cfg.ticket_column)
-    limit = double_literal(cfg.ticket_threshold)
-    return f"CAST(coalesce({value} >= {limit}, false) AS INT)"
+def ticket_flag(schema: T.StructType, cfg: Config) -> str:
+    return f"CAST({at_least(num(schema, cfg.ticket_column), cfg.ticket_threshold)} AS INT)"
 
 
-def text_sql(cfg: Config) -> dict[str, str]:
-    text = f"coalesce({quoted(cfg.text_column)}, '')"
-    out = {cfg.length_column: f"char_length({text})"}
+def text_features(cfg: Config) -> dict[str, str]:
+    """Length in characters and one case-insensitive literal match per keyword."""
+    value = f"coalesce({quoted(cfg.text_column)}, '')"
+    out = {cfg.length_column: f"char_length({value})"}
     for word, column in zip(cfg.keywords, cfg.keyword_columns, strict=True):
-        hit = f"contains(lower({text}), {text_literal(word.lower())})"
-        out[column] = f"CAST({hit} AS INT)"
+        out[column] = f"CAST(contains(lower({value}), {text(word.lower())}) AS INT)"
     return out
 
 
-def derived_sql(schema: T.StructType, cfg: Config, reference: str) -> dict[str, str]:
+def derived(schema: T.StructType, cfg: Config, reference: str) -> dict[str, str]:
     """All derived columns in model order: tenure, ticket flag, length, keyword flags."""
     return {
-        cfg.tenure_column: tenure_sql(schema, cfg, reference),
-        cfg.ticket_flag_column: flag_sql(schema, cfg),
-        **text_sql(cfg),
+        cfg.tenure_column: tenure(schema, cfg, reference),
+        cfg.ticket_flag_column: ticket_flag(schema, cfg),
+        **text_features(cfg),
     }

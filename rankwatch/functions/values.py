@@ -1,11 +1,13 @@
-"""Null, number and band expressions shared by every operator."""
+"""Null, number, date and band expressions shared by every operator.
+
+Expressions are SQL text. The same text serves DataFrame operators (`F.expr`) and persisted
+`SQLTransformer` stages, and building a plan of hundreds of checks stays cheap.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Strings a CSV reader treats as missing.
@@ -33,109 +35,126 @@ NULL_TOKENS = (
 # Fixed value: what counts as a number. A bare cast would also take '1d' and '1f'.
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 UNKNOWN = "UNKNOWN"
+# Band edges and labels.
+AGE_EDGES = (0, 24, 34, 44, 54, 120)
+AGE_LABELS = ("18-24", "25-34", "35-44", "45-54", "55+")
+TICKET_EDGES = (-1, 0, 1, 2, 100)
+TICKET_LABELS = ("0", "1", "2", "3+")
+# Drift limits.
+SIGNIFICANT_SHIFT, SIGNIFICANT_MISSING = 0.5, 0.1
+MODERATE_SHIFT, MODERATE_MISSING = 0.2, 0.05
 
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 
 
-def data_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
+# ---- literals and names -----------------------------------------------------------
 
 
-def ident(name: str) -> Column:
+def quoted(name: str) -> str:
     """Column reference that survives dots and blanks in names."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return "`" + name.replace("`", "``") + "`"
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
+def text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def double(value: float | None) -> str:
+    """A DOUBLE literal; a bare 0.1 would be a DECIMAL in Spark SQL."""
+    return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
+
+
+# ---- coercion ---------------------------------------------------------------------
+
+
+def missing(schema: T.StructType, name: str) -> str:
     """True for null and, on fractional columns, NaN."""
-    c = ident(name)
-    if isinstance(data_type(df, name), _FRACTIONAL):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+    c = quoted(name)
+    if isinstance(schema[name].dataType, _FRACTIONAL):
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"({c} IS NULL)"
 
 
-def to_num(df: DataFrame, name: str) -> Column:
+def num(schema: T.StructType, name: str) -> str:
     """The column as double; anything that is not a number becomes null."""
-    c, kind = ident(name), data_type(df, name)
+    c, kind = quoted(name), schema[name].dataType
     if isinstance(kind, _FRACTIONAL):
-        return F.when(~F.isnan(c), c.cast("double"))
+        return f"CASE WHEN NOT isnan({c}) THEN CAST({c} AS DOUBLE) END"
     if isinstance(kind, T.StringType):
-        return F.when(c.rlike(NUMBER), c.try_cast("double"))
+        return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN TRY_CAST({c} AS DOUBLE) END"
     if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
+        return f"CAST(CAST({c} AS INT) AS DOUBLE)"
     if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    return F.lit(None).cast("double")
+        return f"CAST({c} AS DOUBLE)"
+    return double(None)
 
 
-def to_day(df: DataFrame, name: str, fmt: str) -> Column:
-    """The column as a date or zone-free timestamp; unparsable strings become null."""
-    c = ident(name)
-    if isinstance(data_type(df, name), T.StringType):
-        return F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
+def day(schema: T.StructType, name: str, fmt: str) -> str:
+    """The column as a date or time stamp; strings that do not parse become null."""
+    c = quoted(name)
+    if isinstance(schema[name].dataType, T.StringType):
+        return f"to_date(try_to_timestamp({c}, {text(fmt)}))"
     return c
 
 
-def tokens_to_null(c: Column) -> Column:
-    return F.when(~c.isin(*NULL_TOKENS), c)
+def tokens_to_null(name: str) -> str:
+    c = quoted(name)
+    listed = ", ".join(text(t) for t in NULL_TOKENS)
+    return f"CASE WHEN {c} NOT IN ({listed}) THEN {c} END AS {c}"
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """part / whole as double, 0.0 when the denominator is zero or missing."""
-    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+def filled(name: str) -> str:
+    return f"coalesce(CAST({quoted(name)} AS STRING), '{UNKNOWN}')"
 
 
-def filled(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(UNKNOWN))
+# ---- arithmetic and bands ---------------------------------------------------------
 
 
-def band(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed intervals, the lowest edge included; outside or missing is UNKNOWN."""
-    out = F.when(value.isNull() | (value < edges[0]) | (value > edges[-1]), UNKNOWN)
-    for edge, label in zip(edges[1:], labels, strict=True):
-        out = out.when(value <= edge, label)
-    return out.otherwise(UNKNOWN)
+def ratio(part: str, whole: str) -> str:
+    """part / whole as double, 0 when the denominator is zero or missing."""
+    return f"coalesce(try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE)), 0D)"
 
 
-# Band edges and labels.
-AGE_EDGES = (0, 24, 34, 44, 54, 120)
-AGE_LABELS = ("18-24", "25-34", "35-44", "45-54", "55+")
-TICKET_EDGES = (-1, 0, 1, 2, 100)
-TICKET_LABELS = ("0", "1", "2", "3+")
+def at_least(value: str, threshold: float) -> str:
+    """value >= threshold with missing (or NaN) as false."""
+    return f"coalesce(NOT isnan({value}) AND {value} >= {double(threshold)}, false)"
 
 
-def age_band(value: Column) -> Column:
-    return band(value, AGE_EDGES, AGE_LABELS)
+def band(value: str, edges: Sequence[float], labels: Sequence[str]) -> str:
+    """Right-closed intervals, the lowest edge included; outside or missing is UNKNOWN."""
+    steps = "".join(
+        f" WHEN {value} <= {double(edge)} THEN {text(label)}"
+        for edge, label in zip(edges[1:], labels, strict=True)
+    )
+    return (
+        f"CASE WHEN {value} IS NULL OR {value} < {double(edges[0])} THEN '{UNKNOWN}'"
+        f"{steps} ELSE '{UNKNOWN}' END"
+    )
 
 
-def ticket_band(value: Column) -> Column:
-    return band(value, TICKET_EDGES, TICKET_LABELS)
+def age_band(value: str) -> str:
+    return band(value, AGE_EDGES, AGE_LABELS)
 
 
-def at_least(value: Column, threshold: float) -> Column:
-    """value >= threshold with missing (or NaN) as false."""
-    return F.coalesce(~F.isnan(value) & (value >= F.lit(float(threshold))), F.lit(False))
+def ticket_band(value: str) -> str:
+    return band(value, TICKET_EDGES, TICKET_LABELS)
 
 
-def risk_band(probability: Column, high: float, medium: float) -> Column:
+def risk_band(probability: str, high: float, medium: float) -> str:
     return (
-        F.when(at_least(probability, high), "high")
-        .when(at_least(probability, medium), "medium")
-        .otherwise("low")
+        f"CASE WHEN {at_least(probability, high)} THEN 'high'"
+        f" WHEN {at_least(probability, medium)} THEN 'medium' ELSE 'low' END"
     )
 
 
-# Drift limits.
-SIGNIFICANT_SHIFT, SIGNIFICANT_MISSING = 0.5, 0.1
-MODERATE_SHIFT, MODERATE_MISSING = 0.2, 0.05
-
-
-def drift_status(shift: Column, missing_shift: Column) -> Column:
-    a = F.coalesce(F.abs(shift), F.lit(0.0))
-    b = F.coalesce(F.abs(missing_shift), F.lit(0.0))
+def drift_status(shift: str, missing_shift: str) -> str:
+    a, b = f"coalesce(abs({shift}), 0D)", f"coalesce(abs({missing_shift}), 0D)"
     return (
-        F.when(shift.isNull() & missing_shift.isNull(), "unknown")
-        .when((a > SIGNIFICANT_SHIFT) | (b > SIGNIFICANT_MISSING), "significant")
-        .when((a > MODERATE_SHIFT) | (b > MODERATE_MISSING), "moderate")
-        .otherwise("stable")
+        f"CASE WHEN {shift} IS NULL AND {missing_shift} IS NULL THEN 'unknown'"
+        f" WHEN {a} > {double(SIGNIFICANT_SHIFT)} OR {b} > {double(SIGNIFICANT_MISSING)}"
+        " THEN 'significant'"
+        f" WHEN {a} > {double(MODERATE_SHIFT)} OR {b} > {double(MODERATE_MISSING)}"
+        " THEN 'moderate' ELSE 'stable' END"
     )

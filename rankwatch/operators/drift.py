@@ -9,37 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import finding, to_findings, to_rows
-from rankwatch.functions.values import drift_status, is_missing, ratio, to_num
+from rankwatch.functions.rows import aggregate, finding, to_rows
+from rankwatch.functions.values import double as dbl
+from rankwatch.functions.values import drift_status, missing, num, ratio, text
 from rankwatch.operators.quality import category_counts
 
 PREDICTION_SHIFT = 0.15  # fixed value: limit of the mean probability shift
 
-_FEATURE_FIELDS = (("feature", "string"), ("mean", "double"), ("missing_rate", "double"))
-
 
 def _numeric_profile(df: DataFrame, cfg: Config) -> DataFrame:
-    cols = [c for c in cfg.monitor_numeric if c in df.columns]
-    aggs, rows = [F.count(F.lit(1)).alias("rows")], []
-    for i, c in enumerate(cols):
-        v = to_num(df, c)
-        aggs += [F.avg(v).alias(f"mean{i}"), F.count_if(v.isNull()).alias(f"miss{i}")]
-        rows.append(
-            {
-                "feature": c,
-                "mean": F.col(f"mean{i}"),
-                "missing_rate": F.try_divide(f"miss{i}", "rows"),
-            }
-        )
-    return to_rows(df.agg(*aggs), rows, _FEATURE_FIELDS)
+    """(feature, mean, missing_rate): one scan, one aggregate row turned into rows."""
+    aggs, rows = {"rows": "count(*)"}, []
+    for i, c in enumerate(c for c in cfg.monitor_numeric if c in df.columns):
+        v = num(df.schema, c)
+        aggs |= {f"mean{i}": f"avg({v})", f"miss{i}": f"count_if(({v}) IS NULL)"}
+        rate = f"try_divide(miss{i}, rows)"
+        rows.append({"feature": text(c), "mean": f"mean{i}", "missing_rate": rate})
+    fields = (("feature", "string"), ("mean", "double"), ("missing_rate", "double"))
+    return to_rows(aggregate(df, aggs), rows, fields)
 
 
 def reference_numeric(df: DataFrame, cfg: Config) -> DataFrame:
     """(feature, mean, missing_rate) of the monitored numeric columns the table has."""
-    return _numeric_profile(df, cfg).select(
-        "feature",
-        F.coalesce("mean", F.lit(0.0)).alias("mean"),
-        F.coalesce("missing_rate", F.lit(0.0)).alias("missing_rate"),
+    return _numeric_profile(df, cfg).selectExpr(
+        "feature", "coalesce(mean, 0D) AS mean", "coalesce(missing_rate, 0D) AS missing_rate"
     )
 
 
@@ -50,36 +43,32 @@ def reference_categorical(df: DataFrame, cfg: Config) -> DataFrame:
     would bring all values of a feature together.
     """
     counts = category_counts(df, list(cfg.monitor_categorical))
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), "feature").select(
-        "feature", "value", ratio(F.col("n"), F.col("total")).alias("share")
+    totals = counts.groupBy("feature").agg(F.expr("sum(n) AS total"))
+    return counts.join(F.broadcast(totals), "feature").selectExpr(
+        "feature", "value", f"{ratio('n', 'total')} AS share"
     )
 
 
 def numeric_drift(batch: DataFrame, ref_numeric: DataFrame, cfg: Config) -> DataFrame:
     """Mean and missing-rate shift per feature. Both sides have one row per configured
     feature, so the reference is broadcast."""
-    ref = ref_numeric.select(
-        "feature",
-        F.col("mean").alias("reference_mean"),
-        F.col("missing_rate").alias("reference_missing_rate"),
+    ref = ref_numeric.selectExpr(
+        "feature", "mean AS reference_mean", "missing_rate AS reference_missing_rate"
     )
-    cur = _numeric_profile(batch, cfg).select(
-        "feature",
-        F.col("mean").alias("current_mean"),
-        F.col("missing_rate").alias("current_missing_rate"),
+    cur = _numeric_profile(batch, cfg).selectExpr(
+        "feature", "mean AS current_mean", "missing_rate AS current_missing_rate"
     )
-    mean_shift = F.col("current_mean") - F.col("reference_mean")
-    missing_shift = F.col("current_missing_rate") - F.col("reference_missing_rate")
-    return cur.join(F.broadcast(ref), "feature", "left").select(
+    mean_shift = "(current_mean - reference_mean)"
+    missing_shift = "(current_missing_rate - reference_missing_rate)"
+    return cur.join(F.broadcast(ref), "feature", "left").selectExpr(
         "feature",
         "reference_mean",
         "current_mean",
-        mean_shift.alias("mean_shift"),
+        f"{mean_shift} AS mean_shift",
         "reference_missing_rate",
         "current_missing_rate",
-        missing_shift.alias("missing_rate_shift"),
-        drift_status(mean_shift, missing_shift).alias("status"),
+        f"{missing_shift} AS missing_rate_shift",
+        f"{drift_status(mean_shift, missing_shift)} AS status",
     )
 
 
@@ -92,92 +81,77 @@ def categorical_drift(batch: DataFrame, ref_categorical: DataFrame, cfg: Config)
     """
     cols = [c for c in cfg.monitor_categorical if c in batch.columns]
     current = reference_categorical(batch, cfg.with_(monitor_categorical=tuple(cols)))
-    signed = current.unionByName(
-        ref_categorical.where(F.col("feature").isin(*cols)).withColumn("share", -F.col("share"))
-    )
+    reference = ref_categorical.where(F.col("feature").isin(*cols))
     distance = (
-        signed.groupBy("feature", "value")
-        .agg(F.sum("share").alias("d"))
+        current.unionByName(reference.withColumn("share", F.expr("-share")))
+        .groupBy("feature", "value")
+        .agg(F.expr("sum(share) AS d"))
         .groupBy("feature")
-        .agg((F.sum(F.abs("d")) / 2).alias("mean_shift"))
+        .agg(F.expr("sum(abs(d)) / 2 AS mean_shift"))
     )
-    missing = to_rows(
-        batch.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(is_missing(batch, c)).alias(f"m{i}") for i, c in enumerate(cols)],
-        ),
-        [
+    aggs, rows = {"rows": "count(*)"}, []
+    for i, c in enumerate(cols):
+        aggs[f"m{i}"] = f"count_if({missing(batch.schema, c)})"
+        rows.append(
             {
-                "feature": c,
-                "current_missing_rate": F.when(F.col("rows") > 0, 0.0),
-                "true_missing_rate": F.try_divide(f"m{i}", "rows"),
+                "feature": text(c),
+                "current_missing_rate": "CASE WHEN rows > 0 THEN 0D END",
+                "true_missing_rate": f"try_divide(m{i}, rows)",
             }
-            for i, c in enumerate(cols)
-        ],
-        (
-            ("feature", "string"),
-            ("current_missing_rate", "double"),
-            ("true_missing_rate", "double"),
-        ),
+        )
+    fields = (
+        ("feature", "string"),
+        ("current_missing_rate", "double"),
+        ("true_missing_rate", "double"),
     )
-    shift = F.coalesce("mean_shift", F.lit(0.0))
-    return missing.join(F.broadcast(distance), "feature", "left").select(
+    shift = "coalesce(mean_shift, 0D)"
+    present = to_rows(aggregate(batch, aggs), rows, fields)
+    # One row per configured feature on either side.
+    return present.join(F.broadcast(distance), "feature", "left").selectExpr(
         "feature",
-        shift.alias("mean_shift"),
+        f"{shift} AS mean_shift",
         "current_missing_rate",
-        F.col("current_missing_rate").alias("missing_rate_shift"),
+        "current_missing_rate AS missing_rate_shift",
         "true_missing_rate",
-        drift_status(shift, F.col("current_missing_rate")).alias("status"),
+        f"{drift_status(shift, 'current_missing_rate')} AS status",
     )
 
 
 def prediction_drift(summary: DataFrame, meta: Mapping[str, Any]) -> DataFrame:
     """Mean probability against the validation positive rate; queue size against half the
-    validation rows. `meta` values may be numbers or scalar-subquery columns."""
-
-    def value(key: str):
-        v = meta[key]
-        return v if not isinstance(v, (int, float)) else F.lit(v)
-
-    reference = value("validation_positive_rate").cast("double")
-    half = F.floor(value("validation_rows") * F.lit(0.5)).cast("long")
-    return summary.select(
-        reference.alias("reference_mean_probability"),
-        F.col("mean_probability").alias("current_mean_probability"),
-        (F.col("mean_probability") - reference).alias("mean_shift"),
+    validation rows."""
+    reference = dbl(meta["validation_positive_rate"])
+    half = int(meta["validation_rows"] * 0.5)
+    return summary.selectExpr(
+        f"{reference} AS reference_mean_probability",
+        "mean_probability AS current_mean_probability",
+        f"mean_probability - {reference} AS mean_shift",
         "review_queue_size",
-        (F.col("review_queue_size") - half).alias("review_queue_shift"),
+        f"review_queue_size - {half}L AS review_queue_shift",
     )
 
 
 def drift_status_rows(numeric: DataFrame, categorical: DataFrame) -> DataFrame:
     """(kind, feature, shift, missing_rate_shift, status) of both kinds."""
-    cols = [
-        "feature",
-        F.col("mean_shift").alias("shift"),
-        "missing_rate_shift",
-        "status",
-    ]
-    return numeric.select(F.lit("numeric").alias("kind"), *cols).unionByName(
-        categorical.select(F.lit("categorical").alias("kind"), *cols)
+    cols = ("feature", "mean_shift AS shift", "missing_rate_shift", "status")
+    return numeric.selectExpr("'numeric' AS kind", *cols).unionByName(
+        categorical.selectExpr("'categorical' AS kind", *cols)
     )
 
 
 def drift_findings(status_rows: DataFrame, prediction: DataFrame) -> DataFrame:
     """Warnings and conditional advice of a drift run."""
-    significant = status_rows.agg(F.count_if(F.col("status") == "significant")).scalar()
+    significant = status_rows.agg(F.expr("count_if(status = 'significant')")).scalar()
     one = prediction.withColumn("significant", significant)
-    c = F.col
-    shifted = F.abs(c("mean_shift")) > PREDICTION_SHIFT
-    s = "drift"
-    n, any_ = c("significant"), c("significant") > 0
-    return to_findings(
+    limit, size, s = PREDICTION_SHIFT, "review_queue_size", "drift"
+    shifted, n = f"abs(mean_shift) > {dbl(limit)}", "significant"
+    return to_rows(
         one,
         [
-            finding(s, "prediction_mean_shifted", shifted, c("mean_shift"), PREDICTION_SHIFT),
-            finding(s, "empty_queue", c("review_queue_size") == 0, c("review_queue_size"), 1),
-            finding(s, "significant_feature_drift", any_, n, 0),
-            finding(s, "review_before_promotion", any_, n, 0),
-            finding(s, "compare_recent_batches", shifted, c("mean_shift"), PREDICTION_SHIFT),
+            finding(s, "prediction_mean_shifted", shifted, "mean_shift", limit),
+            finding(s, "empty_queue", f"{size} = 0", size, 1),
+            finding(s, "significant_feature_drift", f"{n} > 0", n, 0),
+            finding(s, "review_before_promotion", f"{n} > 0", n, 0),
+            finding(s, "compare_recent_batches", shifted, "mean_shift", limit),
         ],
     )

@@ -8,16 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.features import (
-    day_sql,
-    derived_sql,
-    flag_sql,
-    quoted,
-    tenure_sql,
-    text_sql,
-)
-from rankwatch.functions.rows import finding, to_findings
-from rankwatch.functions.values import ident, to_day, to_num
+from rankwatch.functions import features as fx
+from rankwatch.functions.rows import aggregate, finding, to_rows
+from rankwatch.functions.values import day, num, quoted
 
 
 class FeatureError(ValueError):
@@ -29,15 +22,16 @@ _REFERENCE = "_reference_day"
 
 def batch_reference_day(df: DataFrame, cfg: Config) -> Column:
     """Midnight of the latest valid date of the batch, as a scalar subquery."""
-    return df.agg(F.to_date(F.max(to_day(df, cfg.date_column, cfg.date_format)))).scalar()
+    latest = day(df.schema, cfg.date_column, cfg.date_format)
+    return df.agg(F.expr(f"to_date(max({latest}))")).scalar()
 
 
-def _reference(
+def _with_reference(
     df: DataFrame, cfg: Config, reference_date: str | dt.date | None
-) -> Column:
+) -> DataFrame:
     if reference_date is None:
-        return batch_reference_day(df, cfg)
-    return F.lit(str(reference_date)[:10]).cast("date")
+        return df.withColumn(_REFERENCE, batch_reference_day(df, cfg))
+    return df.withColumn(_REFERENCE, F.lit(str(reference_date)[:10]).cast("date"))
 
 
 def _require(df: DataFrame, *columns: str) -> None:
@@ -52,21 +46,21 @@ def tenure_days(
     """Append whole days from the date column to the reference day."""
     _require(df, cfg.date_column)
     return (
-        df.withColumn(_REFERENCE, _reference(df, cfg, reference_date))
-        .withColumn(cfg.tenure_column, F.expr(tenure_sql(df.schema, cfg, _REFERENCE)))
+        _with_reference(df, cfg, reference_date)
+        .withColumn(cfg.tenure_column, F.expr(fx.tenure(df.schema, cfg, _REFERENCE)))
         .drop(_REFERENCE)
     )
 
 
 def ticket_flag(df: DataFrame, cfg: Config) -> DataFrame:
     _require(df, cfg.ticket_column)
-    return df.withColumn(cfg.ticket_flag_column, F.expr(flag_sql(df.schema, cfg)))
+    return df.withColumn(cfg.ticket_flag_column, F.expr(fx.ticket_flag(df.schema, cfg)))
 
 
 def text_features(df: DataFrame, cfg: Config) -> DataFrame:
     """Append length in characters and one flag per keyword, over the whole text."""
     _require(df, cfg.text_column)
-    return df.withColumns({c: F.expr(e) for c, e in text_sql(cfg).items()})
+    return df.withColumns({c: F.expr(e) for c, e in fx.text_features(cfg).items()})
 
 
 def add_features(
@@ -79,9 +73,9 @@ def add_features(
     _require(df, cfg.date_column, cfg.ticket_column, cfg.text_column)
     if strict:
         check_features(df, cfg, reference_date)
-    exprs = derived_sql(df.schema, cfg, _REFERENCE)
+    exprs = fx.derived(df.schema, cfg, _REFERENCE)
     return (
-        df.withColumn(_REFERENCE, _reference(df, cfg, reference_date))
+        _with_reference(df, cfg, reference_date)
         .withColumns({c: F.expr(e) for c, e in exprs.items()})
         .drop(_REFERENCE)
     )
@@ -90,50 +84,48 @@ def add_features(
 def feature_findings(
     df: DataFrame, cfg: Config, reference_date: str | dt.date | None = None
 ) -> DataFrame:
-    """Invalid dates, dates after the reference day, non-numeric ticket counts."""
-    day = F.expr(day_sql(df.schema, cfg.date_column, cfg.date_format))
-    aggs = [
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(day.isNull()).alias("bad_dates"),
-        F.max(day).alias("latest"),
-        F.count_if(to_num(df, cfg.ticket_column).isNull()).alias("bad_tickets"),
-    ]
+    """Invalid dates, dates after the reference day, non-numeric ticket counts (one scan)."""
+    d, t, scope = cfg.date_column, cfg.ticket_column, "features"
+    value = day(df.schema, d, cfg.date_format)
+    one = aggregate(
+        df,
+        {
+            "rows": "count(*)",
+            "bad_dates": f"count_if(({value}) IS NULL)",
+            "latest": f"max({value})",
+            "bad_tickets": f"count_if(({num(df.schema, t)}) IS NULL)",
+        },
+    )
     # Negative tenure can only come from values later than the reference midnight.
-    one = df.agg(*aggs)
-    if reference_date is None:
-        limit = F.to_date("latest")
-    else:
-        limit = F.lit(str(reference_date)[:10]).cast("date")
-    late = F.coalesce(F.col("latest") > limit, F.lit(False))
-    none_valid = (F.col("rows") > 0) & F.col("latest").isNull()
-    d, t = cfg.date_column, cfg.ticket_column
-    return to_findings(
+    limit = "to_date(latest)" if reference_date is None else f"DATE '{str(reference_date)[:10]}'"
+    none_valid = "rows > 0 AND latest IS NULL"
+    return to_rows(
         one,
         [
-            finding("features", "invalid_date", F.col("bad_dates") > 0, F.col("bad_dates"), 0, d),
-            finding("features", "no_valid_date", none_valid, None, None, d),
-            finding("features", "negative_tenure", late, None, None, d),
-            finding(
-                "features", "invalid_tickets", F.col("bad_tickets") > 0, F.col("bad_tickets"), 0, t
-            ),
+            finding(scope, "invalid_date", "bad_dates > 0", "bad_dates", 0, d),
+            finding(scope, "no_valid_date", none_valid, column=d),
+            finding(scope, "negative_tenure", f"latest > {limit}", column=d),
+            finding(scope, "invalid_tickets", "bad_tickets > 0", "bad_tickets", 0, t),
         ],
     )
 
 
-def invalid_dates(df: DataFrame, cfg: Config) -> DataFrame:
-    """Distinct date values that do not parse, with counts."""
-    c = cfg.date_column
+def _invalid(df: DataFrame, column: str, parsed: str) -> DataFrame:
     return (
-        df.where(to_day(df, c, cfg.date_format).isNull())
-        .groupBy(ident(c).cast("string").alias("value"))
+        df.where(f"({parsed}) IS NULL")
+        .groupBy(F.expr(f"CAST({quoted(column)} AS STRING) AS value"))
         .count()
     )
 
 
+def invalid_dates(df: DataFrame, cfg: Config) -> DataFrame:
+    """Distinct date values that do not parse, with counts."""
+    return _invalid(df, cfg.date_column, day(df.schema, cfg.date_column, cfg.date_format))
+
+
 def invalid_tickets(df: DataFrame, cfg: Config) -> DataFrame:
     """Distinct ticket values that are not numbers, with counts."""
-    c = cfg.ticket_column
-    return df.where(to_num(df, c).isNull()).groupBy(ident(c).cast("string").alias("value")).count()
+    return _invalid(df, cfg.ticket_column, num(df.schema, cfg.ticket_column))
 
 
 def check_features(

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import finding, to_findings, unpivot
+from rankwatch.functions.rows import aggregate, finding, to_rows, unpivot
 from rankwatch.functions.values import (
     age_band,
     at_least,
     filled,
-    ident,
+    num,
+    quoted,
     ratio,
     ticket_band,
-    to_num,
 )
 from rankwatch.operators.ordering import running_totals
 
@@ -37,42 +37,49 @@ class RuleError(ValueError):
     """The threshold rule met a row it has no answer for."""
 
 
-def confusion_aggs(label: Column, pred: Column, prefix: str = "") -> list[Column]:
-    one, zero = F.lit(1), F.lit(0)
-    return [
-        F.count_if((label == zero) & (pred == zero)).alias(f"{prefix}true_negatives"),
-        F.count_if((label == zero) & (pred == one)).alias(f"{prefix}false_positives"),
-        F.count_if((label == one) & (pred == zero)).alias(f"{prefix}false_negatives"),
-        F.count_if((label == one) & (pred == one)).alias(f"{prefix}true_positives"),
-        F.count(F.lit(1)).alias(f"{prefix}rows"),
-        F.count_if(label == one).alias(f"{prefix}support"),
-        F.count_if(pred == one).alias(f"{prefix}positive_predictions"),
-    ]
+def confusion_aggs(label: str, pred: str, prefix: str = "") -> dict[str, str]:
+    """SQL aggregates of the four counts, rows, positives and predicted positives."""
+    label, pred = f"({label})", f"({pred})"
+    aggs = {
+        "true_negatives": f"count_if({label} = 0 AND {pred} = 0)",
+        "false_positives": f"count_if({label} = 0 AND {pred} = 1)",
+        "false_negatives": f"count_if({label} = 1 AND {pred} = 0)",
+        "true_positives": f"count_if({label} = 1 AND {pred} = 1)",
+        "rows": "count(*)",
+        "support": f"count_if({label} = 1)",
+        "positive_predictions": f"count_if({pred} = 1)",
+    }
+    return {prefix + name: e for name, e in aggs.items()}
 
 
-def ratio_columns(prefix: str = "") -> dict[str, Column]:
+def ratios(prefix: str = "") -> dict[str, str]:
     """Accuracy, precision, recall and F1 from the counts; 0 where undefined."""
-    tn, fp, fn, tp = (F.col(prefix + m) for m in METRICS[:4])
-    precision, recall = ratio(tp, tp + fp), ratio(tp, tp + fn)
-    return {
-        f"{prefix}accuracy": ratio(tp + tn, F.col(f"{prefix}rows")),
-        f"{prefix}precision": precision,
-        f"{prefix}recall": recall,
-        f"{prefix}f1_score": ratio(F.lit(2.0) * precision * recall, precision + recall),
-        f"{prefix}predicted_positive_rate": ratio(
-            F.col(f"{prefix}positive_predictions"), F.col(f"{prefix}rows")
-        ),
+    tn, fp, fn, tp = (prefix + m for m in METRICS[:4])
+    precision, recall = ratio(tp, f"({tp} + {fp})"), ratio(tp, f"({tp} + {fn})")
+    out = {
+        "accuracy": ratio(f"({tp} + {tn})", f"{prefix}rows"),
+        "precision": precision,
+        "recall": recall,
+        "f1_score": ratio(f"(2D * {precision} * {recall})", f"({precision} + {recall})"),
+        "predicted_positive_rate": ratio(f"{prefix}positive_predictions", f"{prefix}rows"),
     }
+    return {prefix + name: e for name, e in out.items()}
+
+
+def _with_ratios(counts: DataFrame, *prefixes: str) -> DataFrame:
+    named = {n: e for p in prefixes or ("",) for n, e in ratios(p).items()}
+    return counts.selectExpr("*", *[f"{e} AS {n}" for n, e in named.items()])
 
 
-def confusion(df: DataFrame, label: Column, pred: Column, by: Sequence[str] = ()) -> DataFrame:
+def confusion(df: DataFrame, label: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
     """Counts and ratios, one row per group (or one in all)."""
-    return df.groupBy(*by).agg(*confusion_aggs(label, pred)).withColumns(ratio_columns())
+    aggs = [F.expr(f"{e} AS {n}") for n, e in confusion_aggs(label, pred).items()]
+    return _with_ratios(df.groupBy(*by).agg(*aggs))
 
 
-def rule_prediction(df: DataFrame, cfg: Config) -> Column:
+def rule_prediction(df: DataFrame, cfg: Config) -> str:
     """1 when the ticket count reaches the threshold."""
-    return at_least(to_num(df, cfg.ticket_column), cfg.ticket_threshold).cast("int")
+    return f"CAST({at_least(num(df.schema, cfg.ticket_column), cfg.ticket_threshold)} AS INT)"
 
 
 def check_rule(df: DataFrame, cfg: Config, need_target: bool = True) -> None:
@@ -81,7 +88,7 @@ def check_rule(df: DataFrame, cfg: Config, need_target: bool = True) -> None:
     for c in columns:
         if c not in df.columns:
             raise KeyError(f"missing required column: {c}")
-    row = df.agg(*[F.count_if(to_num(df, c).isNull()).alias(c) for c in columns]).first()
+    row = aggregate(df, {c: f"count_if(({num(df.schema, c)}) IS NULL)" for c in columns}).first()
     bad = [c for c in columns if row[c]]
     if bad:
         raise RuleError(f"non-numeric values in {', '.join(bad)}")
@@ -91,7 +98,7 @@ def evaluate_rule(df: DataFrame, cfg: Config, strict: bool = False) -> DataFrame
     """The threshold rule against the labels, one row."""
     if strict:
         check_rule(df, cfg)
-    out = confusion(df, to_num(df, cfg.target_column), rule_prediction(df, cfg))
+    out = confusion(df, num(df.schema, cfg.target_column), rule_prediction(df, cfg))
     return out.select(
         F.lit(float(cfg.ticket_threshold)).alias("threshold"),
         "positive_predictions",
@@ -100,124 +107,105 @@ def evaluate_rule(df: DataFrame, cfg: Config, strict: bool = False) -> DataFrame
     )
 
 
-def predicted_label(probability: Column, threshold: float) -> Column:
-    return at_least(probability, threshold).cast("int")
+def predicted_label(probability: str, threshold: float) -> str:
+    return f"CAST({at_least(quoted(probability), threshold)} AS INT)"
+
+
+def _squared_error(df: DataFrame, cfg: Config, score: str) -> str:
+    y = num(df.schema, cfg.target_column)
+    return f"coalesce(avg(power({quoted(score)} - ({y}), 2D)), 0D)"
 
 
-def brier(df: DataFrame, label: Column, score: Column) -> DataFrame:
+def brier(df: DataFrame, cfg: Config, score: str) -> DataFrame:
     """Mean squared distance of score and label, 0 for an empty table."""
-    return df.agg(F.coalesce(F.avg(F.pow(score - label, 2)), F.lit(0.0)).alias("brier_score"))
+    return aggregate(df, {"brier_score": _squared_error(df, cfg, score)})
 
 
 def average_precision(
-    df: DataFrame, label: Column, score: Column, slices: int | None = None
+    df: DataFrame, cfg: Config, score: str, slices: int | None = None
 ) -> DataFrame:
     """Step-wise area under the precision-recall curve, tied scores as one step.
 
     Rows collapse to one per distinct score before anything is ordered; the running counts
     are taken per slice of the score range. Empty input or no positives gives 0.
     """
+    y = num(df.schema, cfg.target_column)
     steps = (
-        df.select(score.cast("double").alias("score"), label.cast("long").alias("y"))
-        .where("score IS NOT NULL AND NOT isnan(score)")
+        df.selectExpr(f"{num(df.schema, score)} AS score", f"CAST({y} AS BIGINT) AS y")
+        .where("score IS NOT NULL")
         .groupBy("score")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("tp"))
+        .agg(F.expr("count(*) AS n"), F.expr("sum(y) AS tp"))
     )
     run = running_totals(steps, "score", {"cum_n": "n", "cum_tp": "tp"}, slices)
-    return run.agg(
-        ratio(F.sum(F.col("tp") * F.col("cum_tp") / F.col("cum_n")), F.sum("tp")).alias(
-            "average_precision"
-        )
-    )
+    area = ratio("sum(tp * cum_tp / cum_n)", "sum(tp)")
+    return aggregate(run, {"average_precision": area})
 
 
 def model_metrics(df: DataFrame, cfg: Config, score: str) -> DataFrame:
     """Metrics of thresholded scores in one row, Brier included (one pass)."""
-    y = to_num(df, cfg.target_column)
-    pred = predicted_label(ident(score), cfg.decision_threshold)
-    return (
-        df.agg(
-            *confusion_aggs(y, pred),
-            F.coalesce(F.avg(F.pow(ident(score) - y, 2)), F.lit(0.0)).alias("brier_score"),
-        )
-        .withColumns(ratio_columns())
-        .select("rows", "positive_predictions", "predicted_positive_rate", "brier_score", *METRICS)
+    y, pred = num(df.schema, cfg.target_column), predicted_label(score, cfg.decision_threshold)
+    aggs = confusion_aggs(y, pred) | {"brier_score": _squared_error(df, cfg, score)}
+    return _with_ratios(aggregate(df, aggs)).select(
+        "rows", "positive_predictions", "predicted_positive_rate", "brier_score", *METRICS
     )
 
 
 def metric_comparison(df: DataFrame, cfg: Config, score: str) -> DataFrame:
     """Model and rule side by side in one pass, with the differences model - rule."""
-    y = to_num(df, cfg.target_column)
-    pred = predicted_label(ident(score), cfg.decision_threshold)
-    both = df.agg(
-        *confusion_aggs(y, pred, "model_"), *confusion_aggs(y, rule_prediction(df, cfg), "rule_")
-    ).withColumns({**ratio_columns("model_"), **ratio_columns("rule_")})
+    y, pred = num(df.schema, cfg.target_column), predicted_label(score, cfg.decision_threshold)
+    rule = rule_prediction(df, cfg)
+    both = _with_ratios(
+        aggregate(df, confusion_aggs(y, pred, "model_") | confusion_aggs(y, rule, "rule_")),
+        "model_",
+        "rule_",
+    )
     names = ("recall", "precision", "f1_score")
-    return both.select(
-        F.col("model_rows").alias("rows"),
-        *[F.col(f"{side}_{n}") for side in ("model", "rule") for n in names],
+    return both.selectExpr(
+        "model_rows AS rows",
+        *[f"{side}_{n}" for side in ("model", "rule") for n in names],
         "model_predicted_positive_rate",
-        (F.col("model_recall") - F.col("rule_recall")).alias("recall_delta"),
-        (F.col("model_precision") - F.col("rule_precision")).alias("precision_delta"),
-        (F.col("model_f1_score") - F.col("rule_f1_score")).alias("f1_delta"),
+        *[f"model_{n} - rule_{n} AS {n.removesuffix('_score')}_delta" for n in names],
     )
 
 
-def slice_values(df: DataFrame, cfg: Config) -> dict[str, Column]:
+def slice_values(df: DataFrame, cfg: Config) -> dict[str, str]:
     """Slice name -> value expression, for the columns the table has."""
-    out = {c: filled(ident(c)) for c in cfg.categorical if c in df.columns}
+    out = {c: filled(c) for c in cfg.categorical if c in df.columns}
     if cfg.age_column in df.columns:
-        out["age_band"] = age_band(to_num(df, cfg.age_column))
+        out["age_band"] = age_band(f"({num(df.schema, cfg.age_column)})")
     if cfg.ticket_column in df.columns:
-        out["support_ticket_band"] = ticket_band(to_num(df, cfg.ticket_column))
+        out["support_ticket_band"] = ticket_band(f"({num(df.schema, cfg.ticket_column)})")
     return out
 
 
 def slice_metrics(df: DataFrame, cfg: Config, score: str) -> DataFrame:
     """Metrics per value of every slice column: one scan, one shuffle of partial counts."""
-    y = to_num(df, cfg.target_column)
-    pred = predicted_label(ident(score), cfg.decision_threshold)
-    long = unpivot(
-        df,
-        [y.alias("_y"), pred.alias("_pred")],
-        slice_values(df, cfg),
+    y, pred = num(df.schema, cfg.target_column), predicted_label(score, cfg.decision_threshold)
+    keep = [f"{y} AS _y", f"{pred} AS _pred"]
+    long = unpivot(df, keep, slice_values(df, cfg), "slice_name", "slice_value")
+    return confusion(long, "_y", "_pred", ["slice_name", "slice_value"]).selectExpr(
         "slice_name",
         "slice_value",
-    )
-    out = confusion(long, F.col("_y"), F.col("_pred"), ["slice_name", "slice_value"])
-    return out.withColumn("positive_rate", ratio(F.col("support"), F.col("rows"))).select(
-        "slice_name", "slice_value", F.col("rows").alias("row_count"), "positive_rate", *METRICS
+        "rows AS row_count",
+        f"{ratio('support', 'rows')} AS positive_rate",
+        *METRICS,
     )
 
 
 def evaluation_findings(comparison: DataFrame, slices: DataFrame) -> DataFrame:
     """Warnings and conditional advice of an evaluation."""
-    one = comparison.withColumn(
-        "slice_rows", slices.agg(F.count(F.lit(1))).scalar()
-    )
-    c = F.col
-    s = "evaluation"
-    return to_findings(
+    one = comparison.withColumn("slice_rows", slices.agg(F.count(F.lit(1))).scalar())
+    s, rate = "evaluation", "model_predicted_positive_rate"
+    below = "rule_recall >= model_recall"
+    return to_rows(
         one,
         [
-            finding(s, "empty_test", c("rows") == 0, c("rows"), 1),
-            finding(
-                s,
-                "recall_not_above_rule",
-                c("rule_recall") >= c("model_recall"),
-                c("model_recall"),
-                c("rule_recall"),
-            ),
-            finding(
-                s,
-                "flags_over_half",
-                c("model_predicted_positive_rate") > 0.5,
-                c("model_predicted_positive_rate"),
-                0.5,
-            ),
-            finding(s, "no_slices", c("slice_rows") == 0, c("slice_rows"), 1),
-            finding(s, "recall_improved", c("recall_delta") > 0, c("recall_delta"), 0),
-            finding(s, "recall_not_improved", c("recall_delta") <= 0, c("recall_delta"), 0),
-            finding(s, "precision_fell", c("precision_delta") < 0, c("precision_delta"), 0),
+            finding(s, "empty_test", "rows = 0", "rows", 1),
+            finding(s, "recall_not_above_rule", below, "model_recall", "rule_recall"),
+            finding(s, "flags_over_half", f"{rate} > 0.5D", rate, 0.5),
+            finding(s, "no_slices", "slice_rows = 0", "slice_rows", 1),
+            finding(s, "recall_improved", "recall_delta > 0", "recall_delta", 0),
+            finding(s, "recall_not_improved", "recall_delta <= 0", "recall_delta", 0),
+            finding(s, "precision_fell", "precision_delta < 0", "precision_delta", 0),
         ],
     )

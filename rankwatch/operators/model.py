@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.values import ident, to_day, to_num
+from rankwatch.functions.values import at_least, day, num, quoted
 from rankwatch.operators.drift import reference_categorical, reference_numeric
 from rankwatch.operators.features import check_features
 from rankwatch.operators.metrics import METRICS, confusion
@@ -39,15 +39,13 @@ class Bundle:
         """Append the probability of the positive class."""
         p = vector_to_array(F.col("probability"))[1]
         return self.model.transform(df).select(
-            *[ident(c) for c in df.columns if c != column], p.alias(column)
+            *[quoted(c) for c in df.columns if c != column], p.alias(column)
         )
 
     def predict(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
         """Append the 0/1 label: probability >= threshold."""
-        scored = self.predict_proba(df, "_p")
-        return scored.withColumn(
-            "predicted_label", (F.col("_p") >= F.lit(float(threshold))).cast("int")
-        ).drop("_p")
+        label = f"CAST({at_least('_p', threshold)} AS INT)"
+        return self.predict_proba(df, "_p").withColumn("predicted_label", F.expr(label)).drop("_p")
 
 
 def class_weights(df: DataFrame, cfg: Config) -> DataFrame:
@@ -55,8 +53,8 @@ def class_weights(df: DataFrame, cfg: Config) -> DataFrame:
 
     The two-row class table is scanned twice through one exchange, never windowed.
     """
-    y = to_num(df, cfg.target_column).cast("int")
-    counts = df.groupBy(y.alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    y = F.expr(f"CAST({num(df.schema, cfg.target_column)} AS INT) AS label")
+    counts = df.groupBy(y).agg(F.expr("count(*) AS n"))
     total = counts.agg(F.sum("n") / F.count(F.lit(1))).scalar()
     return counts.withColumn("weight", total / F.col("n"))
 
@@ -96,14 +94,14 @@ def train(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> Bundle:
     """
     check_features(df, cfg)
     split = stratified_split(df, cfg, direct_rows)
-    y = to_num(df, cfg.target_column)
+    y = F.expr(num(df.schema, cfg.target_column))
     sizes = {
         r["split"]: (r["n"], r["pos"] or 0, r["latest"])
         for r in split.groupBy("split")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(y.cast("long")).alias("pos"),
-            F.max(to_day(df, cfg.date_column, cfg.date_format)).alias("latest"),
+            F.expr(f"max({day(df.schema, cfg.date_column, cfg.date_format)}) AS latest"),
         )
         .collect()
     }
@@ -124,7 +122,7 @@ def train(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> Bundle:
     model = PipelineModel([*prep.stages, classifier])
 
     checked = confusion(
-        model.transform(features["validation"]), F.col(label), F.col("prediction")
+        model.transform(features["validation"]), label, "prediction"
     ).first()
     n_val, pos_val, _ = sizes.get("validation", (0, 0, None))
     meta = {

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankwatch.functions.values import data_type, ident
+from rankwatch.functions.values import num, quoted
 
 ACCURACY = 100_000
 MIN_SLICES, MAX_SLICES = 64, 10_000
@@ -28,6 +28,10 @@ HOT_RUN = 4
 DIRECT_ROWS = 1_000_000
 
 
+def _col(name: str) -> Column:
+    return F.col(quoted(name))
+
+
 def slice_count(spark: SparkSession) -> int:
     """Four slices per shuffle partition, within bounds that keep the offset table small."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -95,15 +99,15 @@ def global_rank(
     tie column, which any subset of the rows must spread over.
     """
     slices = slices or slice_count(df.sparkSession)
-    kind = data_type(df, tie)
+    kind = df.schema[tie].dataType
     tie_key = (
-        ident(tie).cast("double")
+        _col(tie).cast("double")
         if isinstance(kind, T.NumericType)
-        else F.xxhash64(ident(tie)).cast("double")
+        else F.xxhash64(_col(tie)).cast("double")
     )
     keyed = df.withColumns(
         {
-            "_score": F.when(~F.isnan(ident(score)), ident(score).cast("double")),
+            "_score": F.expr(num(df.schema, score)),
             "_tie": tie_key,
         }
     )
@@ -137,12 +141,12 @@ def global_rank(
     order = [F.col("_score").desc_nulls_last()]
     if not isinstance(kind, T.NumericType):
         order.append(F.col("_tie").asc())
-    order.append(ident(tie).asc_nulls_last())
+    order.append(_col(tie).asc_nulls_last())
     inside = Window.partitionBy("_slice").orderBy(*order)
     return (
         keyed.join(F.broadcast(offsets), "_slice", "left")
         .withColumn(rank, F.col("_before") + F.row_number().over(inside).cast("long"))
-        .select(*[ident(c) for c in df.columns if c != rank], rank)
+        .select(*[_col(c) for c in df.columns if c != rank], rank)
     )
 
 
@@ -154,11 +158,11 @@ def running_totals(
     Callers aggregate by the key first, so a frequent key is a single row here.
     """
     slices = slices or slice_count(df.sparkSession)
-    points = cut_points(df, {key: ident(key).cast("double")}, slices)[key].points
-    cut = _cut(df.withColumn("_key", ident(key).cast("double")), "_key", points, "_cut")
+    points = cut_points(df, {key: _col(key).cast("double")}, slices)[key].points
+    cut = _cut(df.withColumn("_key", _col(key).cast("double")), "_key", points, "_cut")
     cut = cut.withColumn("_slice", (len(points) - F.col("_cut")).cast("long"))
     totals = cut.groupBy("_slice").agg(
-        *[F.sum(ident(c)).alias(f"_t_{out}") for out, c in sums.items()]
+        *[F.sum(_col(c)).alias(f"_t_{out}") for out, c in sums.items()]
     )
     offsets = _offsets(totals, "_slice", {f"_b_{out}": f"_t_{out}" for out in sums})
     inside = (
@@ -169,9 +173,9 @@ def running_totals(
     return (
         cut.join(F.broadcast(offsets), "_slice", "left")
         .withColumns(
-            {out: F.col(f"_b_{out}") + F.sum(ident(c)).over(inside) for out, c in sums.items()}
+            {out: F.col(f"_b_{out}") + F.sum(_col(c)).over(inside) for out, c in sums.items()}
         )
-        .select(*[ident(c) for c in df.columns], *sums)
+        .select(*[_col(c) for c in df.columns], *sums)
     )
 
 

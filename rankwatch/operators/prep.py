@@ -18,15 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwatch.config import Config
-from rankwatch.functions.features import (
-    day_sql,
-    derived_sql,
-    double_literal,
-    number_sql,
-    quoted,
-    text_literal,
-)
-from rankwatch.functions.values import to_num
+from rankwatch.functions.features import derived
+from rankwatch.functions.rows import aggregate, unpivot
+from rankwatch.functions.values import day, double, num, quoted, text
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
 
@@ -51,16 +45,17 @@ def fit_numeric(
     Scaling is learned on the filled column; its moments follow from the moments of the
     present values and the number of fills, so the table is not read again.
     """
-    values = {c: to_num(df, c) for c in cfg.model_numeric}
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    values = {c: num(df.schema, c) for c in cfg.model_numeric}
+    aggs = {"rows": "count(*)"}
     for c, v in values.items():
-        aggs += [
-            F.count(v).alias(f"{c}|n"),
-            F.avg(v).alias(f"{c}|mean"),
-            F.var_pop(v).alias(f"{c}|var"),
-        ]
-    row = df.agg(*aggs).first()
-    mid = medians(df, values, {c: row[f"{c}|n"] for c in values}, direct_rows)
+        aggs |= {f"{c}|n": f"count({v})", f"{c}|mean": f"avg({v})", f"{c}|var": f"var_pop({v})"}
+    row = aggregate(df, aggs).first()
+    mid = medians(
+        df,
+        {c: F.expr(v) for c, v in values.items()},
+        {c: row[f"{c}|n"] for c in values},
+        direct_rows,
+    )
     out = {}
     for c in values:
         n, total = row[f"{c}|n"], row["rows"]
@@ -76,12 +71,10 @@ def fit_numeric(
 
 def category_modes(counts: DataFrame) -> DataFrame:
     """(feature, mode): most frequent present value, the smallest one on ties."""
-    first = F.min(F.struct((-F.col("n")).alias("k"), F.col("value").alias("value")))
     return (
         counts.where("value IS NOT NULL")
         .groupBy("feature")
-        .agg(first.alias("m"))
-        .select("feature", F.col("m.value").alias("mode"))
+        .agg(F.expr("min(struct(-n AS k, value)).value AS mode"))
     )
 
 
@@ -103,21 +96,21 @@ def derive_stage(
     schema: T.StructType, cfg: Config, reference_date: str | None = None
 ) -> SQLTransformer:
     """Derived columns as a persistable stage; without a date each batch uses its own latest."""
-    day = day_sql(schema, cfg.date_column, cfg.date_format)
+    value = day(schema, cfg.date_column, cfg.date_format)
     reference = (
-        f"(SELECT to_date(max({day})) FROM __THIS__)"
+        f"(SELECT to_date(max({value})) FROM __THIS__)"
         if reference_date is None
-        else f"DATE {text_literal(str(reference_date)[:10])}"
+        else f"DATE {text(str(reference_date)[:10])}"
     )
-    cols = [f"{e} AS {quoted(c)}" for c, e in derived_sql(schema, cfg, reference).items()]
+    cols = [f"{e} AS {quoted(c)}" for c, e in derived(schema, cfg, reference).items()]
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
 def scale_sql(schema: T.StructType, name: str, fit: NumericFit) -> str:
     if fit.std == 0:
         return "0D"
-    v = f"coalesce({number_sql(schema, name)}, {double_literal(fit.median)})"
-    return f"({v} - {double_literal(fit.mean)}) / {double_literal(fit.std)}"
+    v = f"coalesce({num(schema, name)}, {double(fit.median)})"
+    return f"({v} - {double(fit.mean)}) / {double(fit.std)}"
 
 
 def fill_stage(
@@ -130,7 +123,7 @@ def fill_stage(
     for c in cfg.categorical:
         value = f"CAST({quoted(c)} AS STRING)"
         if c in modes:
-            value = f"coalesce({value}, {text_literal(modes[c])})"
+            value = f"coalesce({value}, {text(modes[c])})"
         cols.append(f"{value} AS {quoted(c + LEVEL)}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
@@ -146,18 +139,18 @@ def fit_prep(
     Unknown and missing levels fall in the index slot the encoder drops: all zeros.
     """
     derive = derive_stage(train.schema, cfg, reference_date)
-    derived = derive.transform(train)
-    numeric = fit_numeric(derived, cfg, direct_rows)
+    frame = derive.transform(train)
+    numeric = fit_numeric(frame, cfg, direct_rows)
 
     counts = category_counts(train, list(cfg.categorical), fill=False)
     levels = category_levels(counts, cfg)
     # The same small table again: at most max_levels rows per column, already checked.
     modes = {r["feature"]: r["mode"] for r in category_modes(counts).collect()}
 
-    fill = fill_stage(derived.schema, cfg, numeric, modes)
+    fill = fill_stage(frame.schema, cfg, numeric, modes)
     stages: list[Transformer] = [derive, fill]
     kept = [c for c in cfg.categorical if levels[c]]
-    frame = fill.transform(derived)
+    frame = fill.transform(frame)
     if kept:
         indexers = [
             StringIndexerModel.from_labels(
@@ -187,12 +180,8 @@ def one_hot_long(df: DataFrame, cfg: Config) -> DataFrame:
     """
     counts = category_counts(df, list(cfg.categorical), fill=False)
     modes = category_modes(counts)
-    entries = [
-        F.struct(F.lit(c).alias("feature"), F.col(quoted(c)).cast("string").alias("value"))
-        for c in cfg.categorical
-    ]
-    return (
-        df.select(F.col(quoted(cfg.id_column)).alias("id"), F.inline(F.array(*entries)))
-        .join(F.broadcast(modes), "feature", "left")
-        .select("id", "feature", F.coalesce("value", "mode").alias("level"))
+    values = {c: f"CAST({quoted(c)} AS STRING)" for c in cfg.categorical}
+    long = unpivot(df, [f"{quoted(cfg.id_column)} AS id"], values, "feature", "value")
+    return long.join(F.broadcast(modes), "feature", "left").selectExpr(
+        "id", "feature", "coalesce(value, mode) AS level"
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import FINDING_FIELDS, finding, to_rows
-from rankwatch.functions.values import ident, is_missing, ratio, to_day, to_num
+from rankwatch.functions.rows import aggregate, finding, to_rows
+from rankwatch.functions.values import day, double, missing, num, quoted, ratio, text
 from rankwatch.operators.metrics import evaluate_rule
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
@@ -18,35 +20,22 @@ BALANCE = (0.2, 0.8)
 CATEGORY_UNIQUE = 0.25
 TEXT_UNIQUE = 0.9
 
+SCOPE = "profile"
+
 
 def overview(df: DataFrame, cfg: Config) -> DataFrame:
     """One row: rows, columns, share of positives."""
-    rate = F.lit(None).cast("double")
+    rate = double(None)
     if cfg.target_column in df.columns:
-        rate = F.avg(to_num(df, cfg.target_column))
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
-        rate.alias("positive_rate"),
-    )
+        rate = f"avg({num(df.schema, cfg.target_column)})"
+    one = aggregate(df, {"row_count": "count(*)", "positive_rate": rate})
+    return one.selectExpr("row_count", f"{len(df.columns)} AS column_count", "positive_rate")
 
 
 def target_distribution(df: DataFrame, cfg: Config) -> DataFrame:
     """(label, n): rows per target value, missing as a row of its own."""
-    return df.groupBy(ident(cfg.target_column).cast("string").alias("label")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-
-
-_NUMERIC_FIELDS = (
-    ("feature", "string"),
-    ("missing_count", "long"),
-    ("min", "double"),
-    ("max", "double"),
-    ("mean", "double"),
-    ("median", "double"),
-    ("std", "double"),
-)
+    label = F.expr(f"CAST({quoted(cfg.target_column)} AS STRING) AS label")
+    return df.groupBy(label).agg(F.expr("count(*) AS n"))
 
 
 def numeric_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
@@ -54,38 +43,38 @@ def numeric_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS)
 
     Counts for the median need a first small job; the result is then a single aggregate.
     """
-    values = {c: to_num(df, c) for c in cfg.numeric if c in df.columns}
-    counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first().asDict()
-    mid = medians(df, values, counts, direct_rows)
-    aggs, rows = [], []
+    values = {c: num(df.schema, c) for c in cfg.numeric if c in df.columns}
+    counts = aggregate(df, {c: f"count({v})" for c, v in values.items()}).first().asDict()
+    mid = medians(df, {c: F.expr(v) for c, v in values.items()}, counts, direct_rows)
+    aggs, rows = {}, []
     for i, (c, v) in enumerate(values.items()):
-        aggs += [
-            F.count_if(v.isNull()).alias(f"miss{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_pop(v).alias(f"std{i}"),
-        ]
+        aggs |= {
+            f"miss{i}": f"count_if(({v}) IS NULL)",
+            f"min{i}": f"min({v})",
+            f"max{i}": f"max({v})",
+            f"mean{i}": f"avg({v})",
+            f"std{i}": f"stddev_pop({v})",
+        }
         rows.append(
             {
-                "feature": c,
-                "missing_count": F.col(f"miss{i}"),
-                "min": F.col(f"min{i}"),
-                "max": F.col(f"max{i}"),
-                "mean": F.col(f"mean{i}"),
-                "median": mid[c],
-                "std": F.col(f"std{i}"),
+                "feature": text(c),
+                "missing_count": f"miss{i}",
+                **{stat: f"{stat}{i}" for stat in ("min", "max", "mean", "std")},
+                "median": double(mid[c]),
             }
         )
-    return to_rows(df.agg(*aggs), rows, _NUMERIC_FIELDS)
+    stats = ("min", "max", "mean", "median", "std")
+    fields = (("feature", "string"), ("missing_count", "bigint"), *((s, "double") for s in stats))
+    return to_rows(aggregate(df, aggs or {"n": "count(*)"}), rows, fields)
 
 
 def categorical_profile(df: DataFrame, cfg: Config) -> DataFrame:
     """(feature, unique_count, unique_ratio): distinct present values, and per row."""
     counts = category_counts(df, list(cfg.categorical), fill=False)
+    distinct = "count_if(value IS NOT NULL)"
     return counts.groupBy("feature").agg(
-        F.count_if(F.col("value").isNotNull()).alias("unique_count"),
-        ratio(F.count_if(F.col("value").isNotNull()), F.sum("n")).alias("unique_ratio"),
+        F.expr(f"{distinct} AS unique_count"),
+        F.expr(f"{ratio(distinct, 'sum(n)')} AS unique_ratio"),
     )
 
 
@@ -107,41 +96,44 @@ def categorical_top(df: DataFrame, cfg: Config, k: int = 3) -> DataFrame:
 
 def date_profile(df: DataFrame, cfg: Config) -> DataFrame:
     """Parseable or not, first and last day, whole days between them."""
-    c = cfg.date_column
-    day = to_day(df, c, cfg.date_format)
-    return df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).select(
-        F.lit(c).alias("column"),
-        F.col("lo").isNotNull().alias("parseable"),
-        F.to_date("lo").alias("min_date"),
-        F.to_date("hi").alias("max_date"),
-        _whole_days(F.col("lo"), F.col("hi")).alias("span_days"),
+    value = day(df.schema, cfg.date_column, cfg.date_format)
+    # Dates give whole days at once; for time stamps the last day may be incomplete.
+    clock = "'HH:mm:ss.SSSSSS'"
+    short = f"CAST(date_format(hi, {clock}) < date_format(lo, {clock}) AS INT)"
+    return aggregate(df, {"lo": f"min({value})", "hi": f"max({value})"}).selectExpr(
+        f"{text(cfg.date_column)} AS `column`",
+        "lo IS NOT NULL AS parseable",
+        "to_date(lo) AS min_date",
+        "to_date(hi) AS max_date",
+        f"datediff(to_date(hi), to_date(lo)) - {short} AS span_days",
     )
 
 
-def _whole_days(lo: Column, hi: Column) -> Column:
-    # Dates give whole days at once; for timestamps the last day may be incomplete.
-    days = F.datediff(F.to_date(hi), F.to_date(lo))
-    clock = "HH:mm:ss.SSSSSS"
-    short = F.date_format(hi, clock) < F.date_format(lo, clock)
-    return days - F.when(short, 1).otherwise(0)
+def _text(cfg: Config) -> str:
+    return f"coalesce(CAST({quoted(cfg.text_column)} AS STRING), '')"
 
 
-def text_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """Mean and exact median length, distinct texts per row; missing is the empty text.
+def _distinct_texts(df: DataFrame, cfg: Config) -> DataFrame:
+    """One row: distinct texts, rows. Whole texts are hashed where they are read, so 16
+    bytes per text are shuffled; repeated texts collapse before the shuffle."""
+    return (
+        df.groupBy(F.expr(f"unhex(md5({_text(cfg)})) AS k"))
+        .agg(F.expr("count(*) AS n"))
+        .agg(F.expr("count(*) AS distinct_texts"), F.expr("coalesce(sum(n), 0) AS rows"))
+    )
 
-    Whole texts are hashed where they are read, so 16 bytes per row are shuffled for the
-    distinct count. Repeated texts collapse before the shuffle.
-    """
+
+def text_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+    """Mean and exact median length, distinct texts per row; missing is the empty text."""
     c = cfg.text_column
-    text = F.coalesce(ident(c).cast("string"), F.lit(""))
-    length = F.char_length(text)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.avg(length).alias("mean")).first()
-    mid = medians(df, {c: length.cast("double")}, {c: row["n"]}, direct_rows)[c]
-    return df.agg(F.count_distinct(F.unhex(F.md5(text))).alias("u")).select(
-        F.lit(c).alias("column"),
-        F.lit(row["mean"] or 0.0).cast("double").alias("average_length"),
-        F.lit(mid or 0.0).cast("double").alias("median_length"),
-        ratio(F.col("u"), F.lit(row["n"])).alias("unique_ratio"),
+    length = f"CAST(char_length({_text(cfg)}) AS DOUBLE)"
+    row = aggregate(df, {"n": "count(*)", "mean": f"avg({length})"}).first()
+    mid = medians(df, {c: F.expr(length)}, {c: row["n"]}, direct_rows)[c]
+    return _distinct_texts(df, cfg).selectExpr(
+        f"{text(c)} AS `column`",
+        f"{double(row['mean'] or 0.0)} AS average_length",
+        f"{double(mid or 0.0)} AS median_length",
+        f"{ratio('distinct_texts', 'rows')} AS unique_ratio",
     )
 
 
@@ -151,75 +143,44 @@ def profile_findings(df: DataFrame, cfg: Config) -> DataFrame:
     Needs no medians: one scan for the column checks, one grouped count each for the id, the
     categories and the texts.
     """
-    out = None
-
-    def add(frame: DataFrame) -> None:
-        nonlocal out
-        out = frame if out is None else out.unionByName(frame)
-
-    idc = cfg.id_column
+    parts = []
+    idc, t = cfg.id_column, cfg.target_column
     if idc in df.columns:
-        unique = df.agg(
-            ratio(
-                F.count_distinct(F.when(~is_missing(df, idc), ident(idc))), F.count(F.lit(1))
-            ).alias("r")
-        )
-        r = F.col("r")
-        add(
-            to_rows(
-                unique, [finding("profile", "id_unique", r >= ID_UNIQUE, r, ID_UNIQUE, idc)],
-                FINDING_FIELDS,
-            )
-        )
-
-    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    rows = []
-    if cfg.target_column in df.columns:
-        aggs.append(F.avg(to_num(df, cfg.target_column)).alias("rate"))
-        rate = F.col("rate")
-        skewed = F.coalesce((rate < BALANCE[0]) | (rate > BALANCE[1]), F.lit(False))
-        rows.append(finding("profile", "target_skewed", skewed, rate, None, cfg.target_column))
+        present = f"CASE WHEN NOT {missing(df.schema, idc)} THEN {quoted(idc)} END"
+        share = ratio(f"count(DISTINCT {present})", "count(*)")
+        row = finding(SCOPE, "id_unique", f"r >= {double(ID_UNIQUE)}", "r", ID_UNIQUE, idc)
+        parts.append(to_rows(aggregate(df, {"r": share}), [row]))
+
+    aggs, rows = {"rows": "count(*)"}, []
+    if t in df.columns:
+        aggs["rate"] = f"avg({num(df.schema, t)})"
+        skewed = f"rate < {double(BALANCE[0])} OR rate > {double(BALANCE[1])}"
+        rows.append(finding(SCOPE, "target_skewed", skewed, "rate", None, t))
     if cfg.date_column in df.columns:
-        aggs.append(F.max(to_day(df, cfg.date_column, cfg.date_format)).alias("latest"))
-        ok = F.col("latest").isNotNull()
-        rows.append(finding("profile", "date_parseable", ok, None, None, cfg.date_column))
-    for i, c in enumerate(cfg.numeric):
-        if c in df.columns:
-            aggs.append(F.min(to_num(df, c)).alias(f"min{i}"))
-            low = F.col(f"min{i}")
-            rows.append(
-                finding(
-                    "profile", "negative_values", F.coalesce(low < 0, F.lit(False)), low, 0, c
-                )
-            )
-    add(to_rows(df.agg(*aggs), rows, FINDING_FIELDS))
-
-    cats = categorical_profile(df, cfg)
-    add(
-        cats.select(
-            F.lit("profile").alias("scope"),
-            F.lit("high_cardinality").alias("code"),
-            F.col("feature").alias("column"),
-            (F.col("unique_ratio") >= CATEGORY_UNIQUE).alias("fired"),
-            F.col("unique_ratio").alias("value"),
-            F.lit(CATEGORY_UNIQUE).alias("bound"),
-            F.lit(None).cast("string").alias("detail"),
+        aggs["latest"] = f"max({day(df.schema, cfg.date_column, cfg.date_format)})"
+        rows.append(
+            finding(SCOPE, "date_parseable", "latest IS NOT NULL", column=cfg.date_column)
         )
+    for i, c in enumerate(c for c in cfg.numeric if c in df.columns):
+        aggs[f"min{i}"] = f"min({num(df.schema, c)})"
+        rows.append(finding(SCOPE, "negative_values", f"min{i} < 0", f"min{i}", 0, c))
+    parts.append(to_rows(aggregate(df, aggs), rows))
+
+    high = finding(
+        SCOPE,
+        "high_cardinality",
+        f"unique_ratio >= {double(CATEGORY_UNIQUE)}",
+        "unique_ratio",
+        CATEGORY_UNIQUE,
     )
+    parts.append(to_rows(categorical_profile(df, cfg), [high | {"column": "feature"}]))
     if cfg.text_column in df.columns:
-        text = F.coalesce(ident(cfg.text_column).cast("string"), F.lit(""))
-        distinct = df.agg(
-            ratio(F.count_distinct(F.unhex(F.md5(text))), F.count(F.lit(1))).alias("r")
+        share = ratio("distinct_texts", "rows")
+        row = finding(
+            SCOPE, "text_unique", f"r >= {double(TEXT_UNIQUE)}", "r", TEXT_UNIQUE, cfg.text_column
         )
-        r = F.col("r")
-        add(
-            to_rows(
-                distinct,
-                [finding("profile", "text_unique", r >= TEXT_UNIQUE, r, TEXT_UNIQUE, cfg.text_column)],
-                FINDING_FIELDS,
-            )
-        )
-    return out
+        parts.append(to_rows(_distinct_texts(df, cfg).selectExpr(f"{share} AS r"), [row]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile(df: DataFrame, cfg: Config) -> dict[str, DataFrame]:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import FINDING_FIELDS, finding, to_findings, unpivot
-from rankwatch.functions.values import filled, ident, is_missing, to_num
+from rankwatch.functions.rows import aggregate, finding, to_rows, unpivot
+from rankwatch.functions.values import double, filled, missing, num, quoted, text
 
 SCOPE = "validation"
 
@@ -20,142 +18,135 @@ class DataValidationError(ValueError):
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, missing) for every column of the table that has missing values."""
-    one = df.agg(*[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)])
-    rows = [
-        F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"))
-        for i, c in enumerate(df.columns)
-    ]
-    return one.select(F.inline(F.array(*rows))).where("missing > 0")
+    counts = {f"m{i}": f"count_if({missing(df.schema, c)})" for i, c in enumerate(df.columns)}
+    rows = [{"column": text(c), "missing": f"m{i}"} for i, c in enumerate(df.columns)]
+    fields = (("column", "string"), ("missing", "bigint"))
+    return to_rows(aggregate(df, counts), rows, fields).where("missing > 0")
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
     """One row: rows beyond the first of each key, missing keys counted as equal."""
     return (
-        df.select(F.when(~is_missing(df, key), ident(key)).alias("k"))
+        df.selectExpr(f"CASE WHEN NOT {missing(df.schema, key)} THEN {quoted(key)} END AS k")
         .groupBy("k")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+        .agg(F.expr("count(*) AS n"))
+        .agg(F.expr("coalesce(sum(n - 1), 0) AS duplicates"))
     )
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """The repeated keys with their row counts."""
-    return df.groupBy(ident(key).alias("id")).count().where("count > 1")
+    return df.groupBy(F.col(quoted(key)).alias("id")).count().where("count > 1")
+
+
+def _target_errors(df: DataFrame, cfg: Config) -> dict[str, str]:
+    """Aggregates: target values that are no number, and numbers other than 0 and 1."""
+    t = cfg.target_column
+    n = num(df.schema, t)
+    return {
+        "non_numeric": f"count_if(NOT {missing(df.schema, t)} AND ({n}) IS NULL)",
+        "outside": f"count_if(({n}) NOT IN (0D, 1D))",
+    }
 
 
 def target_domain(df: DataFrame, cfg: Config) -> DataFrame:
     """One row: target values that are no number, that are no 0 or 1, and missing ones."""
     t = cfg.target_column
-    num = to_num(df, t)
-    return df.agg(
-        F.lit(t).alias("column"),
-        F.count_if(~is_missing(df, t) & num.isNull()).alias("non_numeric"),
-        F.count_if(num.isNotNull() & ~num.isin(0.0, 1.0)).alias("outside"),
-        F.count_if(is_missing(df, t)).alias("missing"),
-    )
+    absent = f"count_if({missing(df.schema, t)})"
+    one = aggregate(df, {**_target_errors(df, cfg), "missing": absent})
+    return one.selectExpr(f"{text(t)} AS `column`", "non_numeric", "outside", "missing")
 
 
 def target_invalid_values(df: DataFrame, cfg: Config) -> DataFrame:
     """Distinct target values that are present but not 0 or 1, with counts."""
     t = cfg.target_column
-    num = to_num(df, t)
+    n = num(df.schema, t)
     return (
-        df.where(~is_missing(df, t) & (num.isNull() | ~num.isin(0.0, 1.0)))
-        .groupBy(ident(t).cast("string").alias("target_value"))
-        .agg(
-            F.first(num.isNotNull()).alias("is_numeric"),
-            F.count(F.lit(1)).alias("n"),
+        df.selectExpr(
+            f"CAST({quoted(t)} AS STRING) AS target_value",
+            f"({n}) IS NOT NULL AS is_numeric",
+            f"NOT {missing(df.schema, t)} AND coalesce(({n}) NOT IN (0D, 1D), true) AS bad",
         )
+        .where("bad")
+        .groupBy("target_value", "is_numeric")
+        .agg(F.expr("count(*) AS n"))
     )
 
 
-def numeric_ranges(df: DataFrame, cfg: Config) -> DataFrame:
-    """(column, non_numeric, below_min, above_max); bounds are only judged on clean columns."""
-    cols = [c for c in cfg.ranges if c in df.columns]
-    aggs = []
-    for i, c in enumerate(cols):
-        v, (lo, hi) = to_num(df, c), cfg.ranges[c]
-        aggs.append(F.count_if(~is_missing(df, c) & v.isNull()).alias(f"bad{i}"))
-        aggs.append(_outside(v, lo, below=True).alias(f"lo{i}"))
-        aggs.append(_outside(v, hi, below=False).alias(f"hi{i}"))
-    one = df.agg(*aggs) if aggs else df.limit(0)
-    rows = []
-    for i, c in enumerate(cols):
-        clean = F.col(f"bad{i}") == 0
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"bad{i}").alias("non_numeric"),
-                F.when(clean, F.col(f"lo{i}")).alias("below_min"),
-                F.when(clean, F.col(f"hi{i}")).alias("above_max"),
-            )
-        )
-    return one.select(F.inline(F.array(*rows)))
+def _range_aggs(df: DataFrame, column: str, cfg: Config) -> dict[str, str]:
+    v, (lo, hi) = num(df.schema, column), cfg.ranges[column]
+    out = {"non_numeric": f"count_if(NOT {missing(df.schema, column)} AND ({v}) IS NULL)"}
+    if lo is not None:
+        out["below_min"] = f"count_if(({v}) < {double(lo)})"
+    if hi is not None:
+        out["above_max"] = f"count_if(({v}) > {double(hi)})"
+    return out
 
 
-def _outside(v: Any, bound: float | None, below: bool) -> Any:
-    if bound is None:
-        return F.lit(None).cast("long")
-    limit = F.lit(float(bound))
-    return F.count_if(v < limit if below else v > limit)
+def numeric_ranges(df: DataFrame, cfg: Config) -> DataFrame:
+    """(column, non_numeric, below_min, above_max); bounds are only judged on clean columns."""
+    aggs, rows = {}, []
+    for i, c in enumerate(c for c in cfg.ranges if c in df.columns):
+        found = _range_aggs(df, c, cfg)
+        aggs |= {f"{code}{i}": e for code, e in found.items()}
+        row = {"column": text(c), "non_numeric": f"non_numeric{i}"}
+        for code in ("below_min", "above_max"):
+            if code in found:
+                row[code] = f"CASE WHEN non_numeric{i} = 0 THEN {code}{i} END"
+        rows.append(row)
+    fields = (
+        ("column", "string"),
+        ("non_numeric", "bigint"),
+        ("below_min", "bigint"),
+        ("above_max", "bigint"),
+    )
+    return to_rows(aggregate(df, aggs or {"n": "count(*)"}), rows, fields)
 
 
 def validate(
-    df: DataFrame,
-    cfg: Config,
-    require_target: bool = True,
-    fail_fast: bool = False,
+    df: DataFrame, cfg: Config, require_target: bool = True, fail_fast: bool = False
 ) -> DataFrame:
     """All checks as findings; with `fail_fast` a fired finding raises (one small job)."""
     t = cfg.target_column
-    required = [
-        finding(SCOPE, "required_column", c not in df.columns, None, None, c)
+    rows = [
+        finding(SCOPE, "required_column", c not in df.columns, column=c)
         for c in cfg.required_columns(require_target)
     ]
-    aggs: dict[str, Any] = {}
-    checks: list[dict[str, Any]] = []
+    aggs = {"rows": "count(*)"}
     if not cfg.allow_missing:
         for i, c in enumerate(df.columns):
-            aggs[f"m{i}"] = F.count_if(is_missing(df, c))
-            n = F.col(f"m{i}")
-            checks.append(finding(SCOPE, "missing_values", n > 0, n, 0, c))
+            aggs[f"m{i}"] = f"count_if({missing(df.schema, c)})"
+            rows.append(finding(SCOPE, "missing_values", f"m{i} > 0", f"m{i}", 0, c))
     if require_target and t in df.columns:
-        num = to_num(df, t)
-        aggs["t_bad"] = F.count_if(~is_missing(df, t) & num.isNull())
-        aggs["t_out"] = F.count_if(num.isNotNull() & ~num.isin(0.0, 1.0))
-        bad, out = F.col("t_bad"), F.col("t_out")
-        checks.append(finding(SCOPE, "target_non_numeric", bad > 0, bad, 0, t))
-        checks.append(finding(SCOPE, "target_domain", (bad == 0) & (out > 0), out, 0, t))
-    for i, (c, (lo, hi)) in enumerate(cfg.ranges.items()):
-        if c not in df.columns:
-            continue
-        v = to_num(df, c)
-        aggs[f"bad{i}"] = F.count_if(~is_missing(df, c) & v.isNull())
-        bad = F.col(f"bad{i}")
-        checks.append(finding(SCOPE, "non_numeric", bad > 0, bad, 0, c))
-        for code, bound, below in (("below_min", lo, True), ("above_max", hi, False)):
-            if bound is None:
-                continue
-            aggs[f"{code}{i}"] = _outside(v, bound, below)
-            n = F.when(bad == 0, F.col(f"{code}{i}"))
-            checks.append(
-                finding(SCOPE, code, F.coalesce(n > 0, F.lit(False)), n, bound, c)
-            )
-    aggs["rows"] = F.count(F.lit(1))
-    out = to_findings(df.agg(*[a.alias(k) for k, a in aggs.items()]), required + checks)
-
+        aggs |= _target_errors(df, cfg)
+        outside = "non_numeric = 0 AND outside > 0"
+        rows.append(finding(SCOPE, "target_non_numeric", "non_numeric > 0", "non_numeric", 0, t))
+        rows.append(finding(SCOPE, "target_domain", outside, "outside", 0, t))
+    for i, c in enumerate(c for c in cfg.ranges if c in df.columns):
+        found = _range_aggs(df, c, cfg)
+        aggs |= {f"{code}{i}": e for code, e in found.items()}
+        bounds = dict(zip(("below_min", "above_max"), cfg.ranges[c], strict=True))
+        for code in found:
+            # A column with unreadable values is not judged against its bounds.
+            n, bound = f"{code}{i}", 0
+            if code in bounds:
+                n, bound = f"CASE WHEN non_numeric{i} = 0 THEN {n} END", bounds[code]
+            rows.append(finding(SCOPE, code, f"{n} > 0", n, bound, c))
+    out = to_rows(aggregate(df, aggs), rows)
     if cfg.id_column in df.columns:
-        n, cap = F.col("duplicates"), cfg.max_duplicates
-        dup = to_findings(
-            duplicate_count(df, cfg.id_column),
-            [finding(SCOPE, "duplicate_ids", n > cap, n, cap, cfg.id_column)],
-        )
-        out = out.unionByName(dup)
+        out = out.unionByName(_duplicates(df, cfg, SCOPE, cfg.max_duplicates))
     if fail_fast:
         raise_on(out, DataValidationError)
     return out
 
 
+def _duplicates(df: DataFrame, cfg: Config, scope: str, allowed: int) -> DataFrame:
+    row = finding(
+        scope, "duplicate_ids", f"duplicates > {allowed}", "duplicates", allowed, cfg.id_column
+    )
+    return to_rows(duplicate_count(df, cfg.id_column), [row])
+
+
 # Order in which the checks are listed in an error.
 _ORDER = (
     "required_column",
@@ -172,48 +163,42 @@ _ORDER = (
 def raise_on(findings: DataFrame, error: type[Exception]) -> None:
     """Raise when anything fired. The table has a few rows per configured column."""
     fired = findings.where("fired").collect()
-    if fired:
-        rank = {c: i for i, c in enumerate(_ORDER)}
-        fired.sort(key=lambda r: rank.get(r["code"], len(rank)))
-        raise error(
-            "; ".join(
-                f"{r['code']}({r['column']})"
-                + (f": {r['value']:g}, bound {r['bound']:g}" if r["value"] is not None else "")
-                for r in fired
-            )
-        )
+    if not fired:
+        return
+    rank = {c: i for i, c in enumerate(_ORDER)}
+    fired.sort(key=lambda r: rank.get(r["code"], len(rank)))
+    parts = []
+    for r in fired:
+        count = "" if r["value"] is None else f": {r['value']:g} (bound {r['bound']:g})"
+        parts.append(f"{r['code']} in {r['column']}{count}")
+    raise error("; ".join(parts))
 
 
 def validation_summary(findings: DataFrame, df: DataFrame) -> DataFrame:
     """One row: passed, error count, row count, column count."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
     return findings.agg(
-        (F.count_if("fired") == 0).alias("passed"),
-        F.count_if("fired").alias("errors"),
+        F.expr("count_if(fired) = 0 AS passed"), F.expr("count_if(fired) AS errors")
     ).select(
-        "passed",
-        "errors",
-        df.agg(F.count(F.lit(1))).scalar().alias("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
+        "passed", "errors", rows.alias("row_count"), F.lit(len(df.columns)).alias("column_count")
     )
 
 
 def upload_profile(df: DataFrame, cfg: Config, require_target: bool = False) -> DataFrame:
     """Light checks for an uploaded table: columns, emptiness, duplicates, target."""
-    t = cfg.target_column
+    t, scope = cfg.target_column, "upload"
     rows = [
-        finding("upload", "required_column", c not in df.columns, None, None, c)
+        finding(scope, "required_column", c not in df.columns, column=c)
         for c in cfg.required_columns(require_target)
     ]
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    rows.append(finding("upload", "empty", F.col("rows") == 0, F.col("rows"), 1))
+    aggs = {"rows": "count(*)"}
+    rows.append(finding(scope, "empty", "rows = 0", "rows", 1))
     if require_target and t in df.columns:
-        aggs.append(F.count_if(to_num(df, t).isNull()).alias("bad"))
-        rows.append(finding("upload", "target_non_numeric", F.col("bad") > 0, F.col("bad"), 0, t))
-    out = to_findings(df.agg(*aggs), rows)
+        aggs["bad"] = f"count_if(({num(df.schema, t)}) IS NULL)"
+        rows.append(finding(scope, "target_non_numeric", "bad > 0", "bad", 0, t))
+    out = to_rows(aggregate(df, aggs), rows)
     if cfg.id_column in df.columns:
-        n = F.col("duplicates")
-        dup = finding("upload", "duplicate_ids", n > 0, n, 0, cfg.id_column)
-        out = out.unionByName(to_findings(duplicate_count(df, cfg.id_column), [dup]))
+        out = out.unionByName(_duplicates(df, cfg, scope, 0))
     return out
 
 
@@ -224,28 +209,11 @@ def category_counts(df: DataFrame, columns: list[str], fill: bool = True) -> Dat
     one row per task. With `fill` missing counts as UNKNOWN, otherwise as null.
     """
     values = {
-        c: filled(ident(c)) if fill else ident(c).cast("string")
+        c: filled(c) if fill else f"CAST({quoted(c)} AS STRING)"
         for c in columns
         if c in df.columns
     }
     if not values:
         return df.sparkSession.createDataFrame([], "feature string, value string, n long")
     long = unpivot(df, [], values, "feature", "value")
-    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
-__all__ = [
-    "DataValidationError",
-    "FINDING_FIELDS",
-    "category_counts",
-    "duplicate_count",
-    "duplicate_keys",
-    "missing_counts",
-    "numeric_ranges",
-    "raise_on",
-    "target_domain",
-    "target_invalid_values",
-    "upload_profile",
-    "validate",
-    "validation_summary",
-]
+    return long.groupBy("feature", "value").agg(F.expr("count(*) AS n"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.values import ident, to_num
+from rankwatch.functions.values import num, quoted
 from rankwatch.operators.ordering import DIRECT_ROWS, Target, order_statistics
 
 # 13 hex digits are 52 bits: exact in a double, so quantile sketches do not round them.
@@ -24,13 +24,13 @@ _HEX_DIGITS = 13
 
 def split_key(cfg: Config) -> Column:
     """First digits of md5('seed|id') as a whole number."""
-    text = F.concat_ws("|", F.lit(str(cfg.seed)), ident(cfg.id_column).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("double")
+    digits = f"substring(md5(concat('{cfg.seed}|', {quoted(cfg.id_column)})), 1, {_HEX_DIGITS})"
+    return F.expr(f"CAST(conv({digits}, 16, 10) AS DOUBLE)")
 
 
 def class_counts(df: DataFrame, cfg: Config) -> dict[float, int]:
     """Rows per class of a 0/1 target. More than two classes is not a binary problem."""
-    y = to_num(df, cfg.target_column)
+    y = F.expr(num(df.schema, cfg.target_column))
     rows = df.groupBy(y.alias("y")).agg(F.count(F.lit(1)).alias("n")).limit(3).collect()
     counts = {r["y"]: r["n"] for r in rows}
     if set(counts) - {0.0, 1.0}:
@@ -71,7 +71,7 @@ def _first_rows(
     df: DataFrame, cfg: Config, strata: Mapping[str, Stratum], direct_rows: int
 ) -> Column:
     """Predicate: the row is among the first `take` rows of its stratum by (hash, id)."""
-    u, rid = split_key(cfg), ident(cfg.id_column)
+    u, rid = split_key(cfg), F.col(quoted(cfg.id_column))
     found = order_statistics(
         df,
         {
@@ -119,7 +119,7 @@ def stratified_split(
     counts = class_counts(df, cfg)
     if not counts:
         return df.withColumn("split", F.lit("train"))
-    y = to_num(df, cfg.target_column)
+    y = F.expr(num(df.schema, cfg.target_column))
 
     def strata(
         counts: Mapping[float, int], rest: Column, fraction: float, by_class: bool
@@ -150,5 +150,5 @@ def split_counts(df: DataFrame, cfg: Config) -> DataFrame:
     """(split, rows, positive_rate) of a split table, by combined partial sums."""
     return df.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.avg(to_num(df, cfg.target_column)).alias("positive_rate"),
+        F.avg(F.expr(num(df.schema, cfg.target_column))).alias("positive_rate"),
     )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import to_rows
-from rankwatch.functions.values import to_num
+from rankwatch.functions.rows import aggregate, to_rows
+from rankwatch.functions.values import double, num, quoted, text
 from rankwatch.operators.model import Bundle
 from rankwatch.operators.scoring import SCORED_COLUMNS
 
@@ -21,7 +21,6 @@ CHECK_FIELDS = (
     ("value", "double"),
     ("detail", "string"),
 )
-BANDS = ("high", "medium", "low")
 # Distinct ranks per window partition of the order check.
 RANK_BLOCK = 1 << 20
 
@@ -31,21 +30,37 @@ EVALUATION_SECTIONS = ("model_metrics", "baseline_metrics")
 DRIFT_SECTIONS = ("prediction_drift",)
 
 
-def check(name: str, code: str, passed, value=None, detail=None) -> dict:
-    return {"name": name, "check": code, "passed": passed, "value": value, "detail": detail}
+def check(
+    name: str,
+    code: str,
+    passed: str | bool,
+    value: str | float | None = None,
+    detail: str | None = None,
+) -> dict[str, str]:
+    """A check row: `passed` and `value` may be SQL text over an aggregate."""
+    return {
+        "name": text(name),
+        "check": text(code),
+        "passed": str(passed).lower() if isinstance(passed, bool) else passed,
+        "value": value if isinstance(value, str) else double(value),
+        "detail": text(detail),
+    }
+
+
+def _constant(spark: SparkSession, rows: Iterable[dict[str, str]]) -> DataFrame:
+    return to_rows(spark.range(1), rows, CHECK_FIELDS)
 
 
-def _constant(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
-    return to_rows(spark.range(1), rows, CHECK_FIELDS)
+_BAND = "coalesce(risk_band, '')"
+_BAD_BAND = f"{_BAND} NOT IN ('high', 'medium', 'low')"
 
 
 def invalid_bands(scored: DataFrame) -> DataFrame:
     """Distinct band values outside the allowed three."""
-    b = F.coalesce(F.col("risk_band"), F.lit(""))
-    return scored.where(~b.isin(*BANDS)).groupBy(b.alias("risk_band")).count()
+    return scored.where(_BAD_BAND).groupBy(F.expr(f"{_BAND} AS risk_band")).count()
 
 
-def rank_order_violations(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
+def rank_order(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
     """One row about ranks and order, without a global sort.
 
     Rows collapse to one per rank (lowest and highest probability, row count), so a rank
@@ -53,36 +68,37 @@ def rank_order_violations(scored: DataFrame, block: int = RANK_BLOCK) -> DataFra
     at most `block` of them; neighbours are compared inside blocks, then block edges among
     themselves, of which there are rows / block.
     """
-    p, r = to_num(scored, "churn_probability"), to_num(scored, "review_rank").cast("long")
-    per_rank = scored.groupBy(r.alias("r")).agg(
-        F.min(p).alias("lo"), F.max(p).alias("hi"), F.count(F.lit(1)).alias("n")
+    p, r = num(scored.schema, "churn_probability"), num(scored.schema, "review_rank")
+    per_rank = (
+        scored.selectExpr(f"{p} AS p", f"CAST({r} AS BIGINT) AS r")
+        .groupBy("r")
+        .agg(F.expr("min(p) AS lo"), F.expr("max(p) AS hi"), F.expr("count(*) AS n"))
     )
-    keyed = per_rank.withColumn("block", F.floor(F.col("r") / F.lit(block)))
     inside = Window.partitionBy("block").orderBy("r")
     blocks = (
-        keyed.withColumn("rises", F.col("hi") > F.lag("lo").over(inside))
+        per_rank.withColumn("block", F.expr(f"floor(r / {block})"))
+        .withColumn("rises", F.col("hi") > F.lag("lo").over(inside))
         .groupBy("block")
         .agg(
-            F.count_if("rises").alias("rises"),
-            F.min_by("hi", "r").alias("first_hi"),
-            F.max_by("lo", "r").alias("last_lo"),
-            F.min("r").alias("first_r"),
-            F.max("r").alias("last_r"),
-            F.count("r").alias("distinct_r"),
-            F.sum("n").alias("n"),
+            F.expr("count_if(rises) AS rises"),
+            F.expr("min_by(hi, r) AS first_hi"),
+            F.expr("max_by(lo, r) AS last_lo"),
+            F.expr("min(r) AS first_r"),
+            F.expr("max(r) AS last_r"),
+            F.expr("count(r) AS distinct_r"),
+            F.expr("sum(n) AS n"),
         )
     )
-    edge = Window.orderBy("block")
-    return (
-        blocks.withColumn("edge", F.col("first_hi") > F.lag("last_lo").over(edge))
-        .agg(
-            F.coalesce(F.sum(F.col("rises") + F.coalesce(F.col("edge"), F.lit(False)).cast("int")),
-                       F.lit(0)).alias("rises"),
-            F.coalesce(F.min("first_r"), F.lit(1)).alias("first_r"),
-            F.coalesce(F.max("last_r"), F.lit(0)).alias("last_r"),
-            F.coalesce(F.sum("distinct_r"), F.lit(0)).alias("distinct_r"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        )
+    edge = F.col("first_hi") > F.lag("last_lo").over(Window.orderBy("block"))
+    return aggregate(
+        blocks.withColumn("edge", edge),
+        {
+            "rises": "coalesce(sum(rises), 0) + count_if(edge)",
+            "first_r": "min(first_r)",
+            "last_r": "max(last_r)",
+            "distinct_r": "coalesce(sum(distinct_r), 0)",
+            "n": "coalesce(sum(n), 0)",
+        },
     )
 
 
@@ -94,64 +110,57 @@ def verify_scored(scored: DataFrame, cfg: Config, top_k: int | None = None) -> D
     if absent:
         return _constant(scored.sparkSession, [columns])
 
-    p = to_num(scored, "churn_probability")
-    rank = to_num(scored, "review_rank")
-    band = F.coalesce(F.col("risk_band"), F.lit(""))
-    flag = F.coalesce(F.col("review_queue_flag").cast("boolean"), F.lit(False))
-    priority = F.when(flag, "review").otherwise("monitor")
-    same = F.coalesce(F.col("review_priority") == priority, F.lit(False))
-    one = scored.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(p.isNull()).alias("no_p"),
-        F.count_if((p < 0) | (p > 1)).alias("outside"),
-        F.count_if(~band.isin(*BANDS)).alias("bands"),
-        F.count_if(flag).alias("queue"),
-        F.max(F.when(flag, rank)).alias("last_flagged"),
-        F.min(F.when(~flag, rank)).alias("first_unflagged"),
-        F.count_if(~same).alias("priorities"),
-        F.coalesce(F.sum(to_num(scored, "predicted_label")), F.lit(0.0)).alias("positives"),
+    p, rank = num(scored.schema, "churn_probability"), num(scored.schema, "review_rank")
+    flag = "coalesce(CAST(review_queue_flag AS BOOLEAN), false)"
+    priority = f"CASE WHEN {flag} THEN 'review' ELSE 'monitor' END"
+    one = aggregate(
+        scored,
+        {
+            "rows": "count(*)",
+            "no_p": f"count_if(({p}) IS NULL)",
+            "outside": f"count_if(({p}) < 0D OR ({p}) > 1D)",
+            "bands": f"count_if({_BAD_BAND})",
+            "queue": f"count_if({flag})",
+            "last_flagged": f"max(CASE WHEN {flag} THEN {rank} END)",
+            "first_unflagged": f"min(CASE WHEN NOT {flag} THEN {rank} END)",
+            "priorities": f"count_if(NOT review_priority <=> {priority})",
+        },
     )
-    c = F.col
     # All flagged ranks are within the queue size and no other rank is.
-    flags_ok = F.coalesce(c("last_flagged") <= c("queue"), F.lit(True)) & F.coalesce(
-        c("first_unflagged") > c("queue"), F.lit(True)
-    )
+    flags = "coalesce(last_flagged <= queue, true) AND coalesce(first_unflagged > queue, true)"
     rows = [
         columns,
-        check(PREDICTIONS, "not_empty", c("rows") > 0, c("rows")),
-        check(PREDICTIONS, "numeric_probabilities", c("no_p") == 0, c("no_p")),
-        check(PREDICTIONS, "probabilities_in_range", c("outside") == 0, c("outside")),
-        check(PREDICTIONS, "known_bands", c("bands") == 0, c("bands")),
+        check(PREDICTIONS, "not_empty", "rows > 0", "rows"),
+        check(PREDICTIONS, "numeric_probabilities", "no_p = 0", "no_p"),
+        check(PREDICTIONS, "probabilities_in_range", "outside = 0", "outside"),
+        check(PREDICTIONS, "known_bands", "bands = 0", "bands"),
+        check(PREDICTIONS, "flags_are_top_ranks", flags, "queue"),
+        check(PREDICTIONS, "priority_matches_flag", "priorities = 0", "priorities"),
     ]
     if top_k is not None:
-        expected = F.least(F.lit(int(top_k)).cast("long"), c("rows"))
-        rows.append(check(PREDICTIONS, "queue_size", c("queue") == expected, c("queue")))
-    rows += [
-        check(PREDICTIONS, "flags_are_top_ranks", flags_ok, c("queue")),
-        check(PREDICTIONS, "priority_matches_flag", c("priorities") == 0, c("priorities")),
+        expected = f"queue = least({int(top_k)}L, rows)"
+        rows.append(check(PREDICTIONS, "queue_size", expected, "queue"))
+    contiguous = "n = 0 OR (first_r = 1 AND last_r = n AND distinct_r = n)"
+    ordered = [
+        check(PREDICTIONS, "sorted_by_probability", "rises = 0", "rises"),
+        check(PREDICTIONS, "contiguous_ranks", contiguous, "distinct_r"),
     ]
-    contiguous = (
-        (c("first_r") == 1) & (c("last_r") == c("n")) & (c("distinct_r") == c("n"))
-    ) | (c("n") == 0)
-    ordered = to_rows(
-        rank_order_violations(scored),
-        [
-            check(PREDICTIONS, "sorted_by_probability", c("rises") == 0, c("rises")),
-            check(PREDICTIONS, "contiguous_ranks", contiguous, c("distinct_r")),
-        ],
-        CHECK_FIELDS,
+    return to_rows(one, rows, CHECK_FIELDS).unionByName(
+        to_rows(rank_order(scored), ordered, CHECK_FIELDS)
     )
-    return to_rows(one, rows, CHECK_FIELDS).unionByName(ordered)
 
 
 def scored_details(scored: DataFrame) -> DataFrame:
     """One row: rows, queue size, positives, predicted rate."""
-    label = F.coalesce(to_num(scored, "predicted_label"), F.lit(0.0))
-    return scored.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("review_queue_flag").cast("boolean")).alias("queue_size"),
-        F.coalesce(F.sum(label), F.lit(0.0)).cast("long").alias("positive_predictions"),
-        F.coalesce(F.avg(label), F.lit(0.0)).alias("predicted_positive_rate"),
+    label = f"coalesce({num(scored.schema, 'predicted_label')}, 0D)"
+    return aggregate(
+        scored,
+        {
+            "row_count": "count(*)",
+            "queue_size": "count_if(CAST(review_queue_flag AS BOOLEAN))",
+            "positive_predictions": f"CAST(coalesce(sum({label}), 0D) AS BIGINT)",
+            "predicted_positive_rate": f"coalesce(avg({label}), 0D)",
+        },
     )
 
 
@@ -182,17 +191,13 @@ def verify_report(
     if report is None:
         return _constant(spark, [check(name, "exists", False)])
     sections = list(sections)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.count_if(F.col("section") == s).alias(f"s{i}") for i, s in enumerate(sections)]
-    rows = [
-        check(name, "exists", True),
-        check(name, "not_empty", F.col("rows") > 0, F.col("rows")),
-    ]
+    aggs = {"rows": "count(*)"}
+    aggs |= {f"s{i}": f"count_if(section = {text(s)})" for i, s in enumerate(sections)}
+    rows = [check(name, "exists", True), check(name, "not_empty", "rows > 0", "rows")]
     rows += [
-        check(name, "required_section", F.col(f"s{i}") > 0, F.col(f"s{i}"), s)
-        for i, s in enumerate(sections)
+        check(name, "required_section", f"s{i} > 0", f"s{i}", s) for i, s in enumerate(sections)
     ]
-    return to_rows(report.agg(*aggs), rows, CHECK_FIELDS)
+    return to_rows(aggregate(report, aggs), rows, CHECK_FIELDS)
 
 
 def missing_artifact(spark: SparkSession, name: str, detail: str) -> DataFrame:
@@ -226,32 +231,24 @@ REPORT_FIELDS = (
 )
 
 
-def report_rows(section: str, frame: DataFrame, item: Column | None = None) -> DataFrame:
+def report_rows(section: str, frame: DataFrame, item: str = "NULL") -> DataFrame:
     """A report section: every column of `frame` as (section, item, metric, value, detail)."""
-    entries = []
+    rows = []
     for f in frame.schema.fields:
-        kind = f.dataType.typeName()
-        c = F.col(f"`{f.name}`")
-        text = kind in ("string", "date")
-        number = c.cast("int").cast("double") if kind == "boolean" else c.cast("double")
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("metric"),
-                (F.lit(None).cast("double") if text else number).alias("value"),
-                (c.cast("string") if text else F.lit(None).cast("string")).alias("detail"),
-            )
-        )
-    return frame.select(
-        F.lit(section).alias("section"),
-        (item if item is not None else F.lit(None)).cast("string").alias("item"),
-        F.inline(F.array(*entries)),
-    )
-
-
-def report(sections: Mapping[str, DataFrame], items: Mapping[str, Column] | None = None) -> DataFrame:
-    """All sections in one long table."""
+        c, kind = quoted(f.name), f.dataType.typeName()
+        row = {"section": text(section), "item": item, "metric": text(f.name)}
+        if kind in ("string", "date"):
+            row["detail"] = c
+        else:
+            row["value"] = f"CAST({c} AS INT)" if kind == "boolean" else c
+        rows.append(row)
+    return to_rows(frame, rows, REPORT_FIELDS)
+
+
+def report(sections: Mapping[str, DataFrame], items: Mapping[str, str] | None = None) -> DataFrame:
+    """All sections in one long table; `items` names the SQL that labels a section's rows."""
     items = items or {}
     return reduce(
         DataFrame.unionByName,
-        [report_rows(name, frame, items.get(name)) for name, frame in sections.items()],
+        [report_rows(name, frame, items.get(name, "NULL")) for name, frame in sections.items()],
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwatch.config import Config
-from rankwatch.functions.values import age_band, ticket_band, to_num
+from rankwatch.functions.values import age_band, num, ticket_band
 from rankwatch.operators import drift as dr
 from rankwatch.operators import features as ft
 from rankwatch.operators import metrics as mt
@@ -283,8 +283,8 @@ def train_then_score(spark: SparkSession, d: str) -> DataFrame:
 @query
 def scorecard(spark: SparkSession, d: str) -> DataFrame:
     df = tb.scored_snapshot(spark, d)
-    label = mt.predicted_label(F.col(P), CFG.decision_threshold)
-    return rounded(df.select("customer_id", P, label.alias("predicted_label")))
+    label = mt.predicted_label(P, CFG.decision_threshold)
+    return rounded(df.selectExpr("customer_id", P, f"{label} AS predicted_label"))
 
 
 # ---- metrics ----------------------------------------------------------------------
@@ -309,21 +309,21 @@ def metric_comparison(spark: SparkSession, d: str) -> DataFrame:
 @query
 def average_precision(spark: SparkSession, d: str) -> DataFrame:
     df = staged_labelled(spark, d)
-    return rounded(mt.average_precision(df, F.col("churn"), F.col(P)))
+    return rounded(mt.average_precision(df, CFG, P))
 
 
 @query
 def brier(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(mt.brier(labelled(spark, d), F.col("churn"), F.col(P)))
+    return rounded(mt.brier(labelled(spark, d), CFG, P))
 
 
 @query
 def bands(spark: SparkSession, d: str) -> DataFrame:
     df = tb.snapshot(spark, d, ["customer_id", "age", "support_tickets"])
-    return df.select(
+    return df.selectExpr(
         "customer_id",
-        age_band(to_num(df, "age")).alias("age_band"),
-        ticket_band(to_num(df, "support_tickets")).alias("support_ticket_band"),
+        f"{age_band(num(df.schema, 'age'))} AS age_band",
+        f"{ticket_band(num(df.schema, 'support_tickets'))} AS support_ticket_band",
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.values import to_num
 from rankwatch.operators import drift as dr
 from rankwatch.operators import metrics as mt
 from rankwatch.operators import profile as pf
@@ -32,11 +31,10 @@ from rankwatch.sources.staging import stage
 def evaluate(scored_test: DataFrame, cfg: Config) -> dict[str, DataFrame]:
     """Report tables for test rows that carry labels and `churn_probability`."""
     p = sc.PROBABILITY
-    y = to_num(scored_test, cfg.target_column)
     comparison = mt.metric_comparison(scored_test, cfg, p)
     slices = mt.slice_metrics(scored_test, cfg, p)
     overall = mt.model_metrics(scored_test, cfg, p).withColumn(
-        "pr_auc", mt.average_precision(scored_test, y, F.col(p)).scalar()
+        "pr_auc", mt.average_precision(scored_test, cfg, p).scalar()
     )
     return {
         "model_metrics": overall,
@@ -49,8 +47,8 @@ def evaluate(scored_test: DataFrame, cfg: Config) -> dict[str, DataFrame]:
 
 def evaluation_report(tables: dict[str, DataFrame]) -> DataFrame:
     items = {
-        "slice_metrics": F.concat_ws("=", "slice_name", "slice_value"),
-        "findings": F.col("code"),
+        "slice_metrics": "concat_ws('=', slice_name, slice_value)",
+        "findings": "code",
     }
     return vf.report(tables, items)
 
@@ -83,9 +81,9 @@ def monitor(
 
 def drift_report(tables: dict[str, DataFrame]) -> DataFrame:
     items = {
-        "numeric_drift": F.col("feature"),
-        "categorical_drift": F.col("feature"),
-        "findings": F.col("code"),
+        "numeric_drift": "feature",
+        "categorical_drift": "feature",
+        "findings": "code",
     }
     return vf.report(tables, items)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwatch.config import Config
-from rankwatch.functions.values import ident, to_day, to_num, tokens_to_null
+from rankwatch.functions.values import day, num, quoted, tokens_to_null
 from rankwatch.operators.quality import validate
 
 
@@ -23,7 +23,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     names = spark.read.options(header=True, quote='"', escape='"').csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = reader.schema(schema).csv(path)
-    return raw.select(*[tokens_to_null(ident(c)).alias(c) for c in raw.columns])
+    return raw.selectExpr(*[tokens_to_null(c) for c in raw.columns])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -33,20 +33,19 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def typed(df: DataFrame, cfg: Config) -> DataFrame:
     """Cast the configured roles; everything else keeps its type."""
-    casts = {c: to_num(df, c) for c in cfg.numeric if c in df.columns}
-    if cfg.target_column in df.columns:
-        casts[cfg.target_column] = to_num(df, cfg.target_column).cast("int")
-    if cfg.date_column in df.columns:
-        casts[cfg.date_column] = to_day(df, cfg.date_column, cfg.date_format)
-    if cfg.id_column in df.columns and isinstance(df.schema[cfg.id_column].dataType, T.StringType):
+    casts = {c: num(df.schema, c) for c in cfg.numeric if c in df.columns}
+    idc, t, d = cfg.id_column, cfg.target_column, cfg.date_column
+    if t in df.columns:
+        casts[t] = f"CAST({num(df.schema, t)} AS INT)"
+    if d in df.columns:
+        casts[d] = day(df.schema, d, cfg.date_format)
+    if idc in df.columns and isinstance(df.schema[idc].dataType, T.StringType):
         # Ids stay text unless every one is a whole number; text sorts differently.
-        whole = ident(cfg.id_column).try_cast("long")
-        bad = df.agg(
-            F.count_if(ident(cfg.id_column).isNotNull() & whole.isNull()).alias("n")
-        ).first()["n"]
-        if not bad:
-            casts[cfg.id_column] = whole
-    return df.withColumns(casts)
+        whole = f"TRY_CAST({quoted(idc)} AS BIGINT)"
+        other = f"count_if({quoted(idc)} IS NOT NULL AND {whole} IS NULL)"
+        if not df.agg(F.expr(f"{other} AS n")).first()["n"]:
+            casts[idc] = whole
+    return df.withColumns({c: F.expr(e) for c, e in casts.items()})
 
 
 def load_snapshot(
