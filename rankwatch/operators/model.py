@@ -22,6 +22,7 @@ from rankwatch.operators.scoring import PROBABILITY
 from rankwatch.operators.split import stratified_split
 
 MODEL_NAME = "logistic_regression"
+ROWS_PER_TASK = 50_000
 _ML_COLUMNS = ("rawPrediction", "probability", "prediction")
 
 
@@ -70,9 +71,9 @@ def fit_classifier(features: DataFrame, label: str, positives: int, rows: int):
     is regParam = 1 / sum(weights), and balanced weights sum to the row count. The columns
     are scaled already; scaling again inside the solver would change the penalty.
     """
-    data = features.select(
-        FEATURES, F.col(label), _weight(F.col(label), positives, rows).alias("_weight")
-    )
+    weight = _weight(F.col(label), positives, rows).alias("_weight")
+    # Every solver step is a job over all partitions, so tiny ones cost more than they give.
+    data = features.select(FEATURES, F.col(label), weight).coalesce(max(1, rows // ROWS_PER_TASK))
     return LogisticRegression(
         featuresCol=FEATURES,
         labelCol=label,
@@ -82,7 +83,6 @@ def fit_classifier(features: DataFrame, label: str, positives: int, rows: int):
         standardization=False,
         maxIter=1000,
         tol=1e-10,
-        aggregationDepth=3,
     ).fit(data)
 
 
@@ -117,8 +117,8 @@ def train(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> Bundle:
     label = "_label"
     features = {n: part[n].withColumn(label, y.cast("double")).drop(cfg.target_column)
                 for n in ("train", "validation")}
-    prep = fit_prep(features["train"], cfg, direct_rows=direct_rows)
-    classifier = fit_classifier(prep.transform(features["train"]), label, positives, rows)
+    prep, prepared = fit_prep(features["train"], cfg, direct_rows=direct_rows)
+    classifier = fit_classifier(prepared, label, positives, rows)
     model = PipelineModel([*prep.stages, classifier])
 
     checked = confusion(

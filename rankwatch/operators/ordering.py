@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankwatch.functions.values import num, quoted
+from rankwatch.functions.values import num, quoted, text
 
 ACCURACY = 100_000
 MIN_SLICES, MAX_SLICES = 64, 10_000
@@ -265,15 +265,13 @@ def order_statistics(
     located = grouped.withColumn(
         "last", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - 1
     )
-    spec = df.sparkSession.createDataFrame(
-        [(n, t.low - below[n], t.high - below[n]) for n, t in open_.items()],
-        "name string, low long, high long",
+    covers = " OR ".join(
+        f"(name = {text(n)} AND last >= {t.low - below[n]} AND last - n < {t.high - below[n]})"
+        for n, t in open_.items()
     )
-    covers = (F.col("last") - F.col("n") < F.col("high")) & (F.col("last") >= F.col("low"))
     # At most two values per target reach the driver.
     found = (
-        located.join(F.broadcast(spec), "name")
-        .where(covers)
+        located.where(covers)
         .groupBy("name")
         .agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max("last").alias("last"))
         .collect()

@@ -23,6 +23,7 @@ from rankwatch.functions.rows import aggregate, unpivot
 from rankwatch.functions.values import day, double, num, quoted, text
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
+from rankwatch.sources.staging import stage
 
 SCALED, LEVEL, ONE_HOT = "__z", "__level", "__onehot"
 FEATURES = "features"
@@ -78,18 +79,29 @@ def category_modes(counts: DataFrame) -> DataFrame:
     )
 
 
-def category_levels(counts: DataFrame, cfg: Config) -> dict[str, list[str]]:
-    """Sorted levels per column. Each level is a model dimension, so the number is checked
-    before anything is brought to the driver."""
-    present = counts.where("value IS NOT NULL")
-    sizes = {r["feature"]: r["count"] for r in present.groupBy("feature").count().collect()}
-    over = {c: n for c, n in sizes.items() if n > cfg.max_levels}
-    if over:
-        raise ValueError(f"too many levels for one-hot encoding: {over}")
-    levels: dict[str, list[str]] = {c: [] for c in cfg.categorical}
-    for r in present.select("feature", "value").collect():
-        levels[r["feature"]].append(r["value"])
-    return {c: sorted(v) for c, v in levels.items()}
+def learn_categories(
+    df: DataFrame, cfg: Config
+) -> tuple[dict[str, list[str]], dict[str, str]]:
+    """(sorted levels, mode) per column from one grouped count.
+
+    Each level becomes a model dimension, so their number has to be finite: the result is
+    cut one row past the allowed total and a fuller one is refused, never shortened.
+    """
+    limit = cfg.max_levels * max(1, len(cfg.categorical))
+    rows = (
+        category_counts(df, list(cfg.categorical), fill=False)
+        .where("value IS NOT NULL")
+        .limit(limit + 1)
+        .collect()
+    )
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in cfg.categorical}
+    for r in rows:
+        found[r["feature"]].append((-r["n"], r["value"]))
+    over = [c for c, v in found.items() if len(v) > cfg.max_levels]
+    if over or len(rows) > limit:
+        raise ValueError(f"too many levels for one-hot encoding: {over or cfg.categorical}")
+    levels = {c: sorted(v for _, v in vs) for c, vs in found.items()}
+    return levels, {c: min(vs)[1] for c, vs in found.items() if vs}
 
 
 def derive_stage(
@@ -128,24 +140,31 @@ def fill_stage(
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
+def derived_frame(df: DataFrame, cfg: Config, derive: SQLTransformer) -> DataFrame:
+    """`df` with derived columns and without the raw text and date they came from, staged.
+
+    Fitting passes over its input many times; this way the text is read once.
+    """
+    out = derive.transform(df).drop(cfg.text_column, cfg.date_column)
+    return stage(out, "derived")
+
+
 def fit_prep(
     train: DataFrame,
     cfg: Config,
     reference_date: str | None = None,
     direct_rows: int = DIRECT_ROWS,
-) -> PipelineModel:
+) -> tuple[PipelineModel, DataFrame]:
     """Learn imputation, scaling and levels on the given rows.
 
-    Unknown and missing levels fall in the index slot the encoder drops: all zeros.
+    Returns the stages and the given rows already prepared. Unknown and missing levels fall
+    in the index slot the encoder drops: all zeros.
     """
     derive = derive_stage(train.schema, cfg, reference_date)
-    frame = derive.transform(train)
-    numeric = fit_numeric(frame, cfg, direct_rows)
-
-    counts = category_counts(train, list(cfg.categorical), fill=False)
-    levels = category_levels(counts, cfg)
-    # The same small table again: at most max_levels rows per column, already checked.
-    modes = {r["feature"]: r["mode"] for r in category_modes(counts).collect()}
+    base = derived_frame(train, cfg, derive)
+    numeric = fit_numeric(base, cfg, direct_rows)
+    levels, modes = learn_categories(base, cfg)
+    frame = base
 
     fill = fill_stage(frame.schema, cfg, numeric, modes)
     stages: list[Transformer] = [derive, fill]
@@ -170,7 +189,7 @@ def fit_prep(
             outputCol=FEATURES,
         )
     )
-    return PipelineModel(stages)
+    return PipelineModel(stages), PipelineModel(stages[1:]).transform(base)
 
 
 def one_hot_long(df: DataFrame, cfg: Config) -> DataFrame:

@@ -195,14 +195,10 @@ def with_gaps(df: DataFrame) -> DataFrame:
     )
 
 
-def staged_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return stage(with_gaps(tb.snapshot(spark, d)), "gaps")
-
-
 @query
 def impute_scale(spark: SparkSession, d: str) -> DataFrame:
-    df = staged_gaps(spark, d)
-    derived = pr.derive_stage(df.schema, CFG).transform(df)
+    df = with_gaps(tb.snapshot(spark, d))
+    derived = pr.derived_frame(df, CFG, pr.derive_stage(df.schema, CFG))
     fit = pr.fit_numeric(derived, CFG)
     return rounded(
         derived.select(
@@ -226,13 +222,11 @@ def one_hot(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def design_matrix(spark: SparkSession, d: str) -> DataFrame:
-    df = staged_gaps(spark, d)
     x = vector_to_array(F.col(pr.FEATURES))
     total = F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+    _, prepared = pr.fit_prep(with_gaps(tb.snapshot(spark, d)), CFG)
     return rounded(
-        pr.fit_prep(df, CFG)
-        .transform(df)
-        .select("customer_id", F.size(x).alias("width"), total.alias("row_total"))
+        prepared.select("customer_id", F.size(x).alias("width"), total.alias("row_total"))
     )
 
 
