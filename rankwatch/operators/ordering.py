@@ -44,6 +44,8 @@ def _fractions(slices: int) -> list[float]:
 
 def _cut(df: DataFrame, value: str, cuts: Sequence[float], out: str) -> DataFrame:
     """Add the index of the interval [cut, next cut) a value falls in; null stays last."""
+    if not cuts:
+        return df.withColumn(out, F.when(_col(value).isNull(), 1.0).otherwise(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(
         splits=splits, inputCol=value, outputCol=out, handleInvalid="keep"
