@@ -6,6 +6,7 @@ Expressions are SQL text. The same text serves DataFrame operators (`F.expr`) an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import types as T
@@ -63,7 +64,11 @@ def text(value: str | None) -> str:
 
 def double(value: float | None) -> str:
     """A DOUBLE literal; a bare 0.1 would be a DECIMAL in Spark SQL."""
-    return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    if not math.isfinite(value):
+        return f"CAST('{float(value)}' AS DOUBLE)"
+    return f"{float(value)!r}D"
 
 
 # ---- coercion ---------------------------------------------------------------------

@@ -130,13 +130,11 @@ def average_precision(
     are taken per slice of the score range. Empty input or no positives gives 0.
     """
     y = num(df.schema, cfg.target_column)
-    steps = (
-        df.selectExpr(f"{num(df.schema, score)} AS score", f"CAST({y} AS BIGINT) AS y")
-        .where("score IS NOT NULL")
-        .groupBy("score")
-        .agg(F.expr("count(*) AS n"), F.expr("sum(y) AS tp"))
-    )
-    run = running_totals(steps, "score", {"cum_n": "n", "cum_tp": "tp"}, slices)
+    pairs = df.selectExpr(
+        f"{num(df.schema, score)} AS score", f"CAST({y} AS BIGINT) AS y"
+    ).where("score IS NOT NULL")
+    steps = pairs.groupBy("score").agg(F.expr("count(*) AS n"), F.expr("sum(y) AS tp"))
+    run = running_totals(steps, "score", {"cum_n": "n", "cum_tp": "tp"}, pairs, slices)
     area = ratio("sum(tp * cum_tp / cum_n)", "sum(tp)")
     return aggregate(run, {"average_precision": area})
 

@@ -22,8 +22,10 @@ from rankwatch.functions.values import num, quoted, text
 
 ACCURACY = 100_000
 MIN_SLICES, MAX_SLICES = 64, 10_000
-# A value filling this many neighbouring cut points is spread over slices of its own.
+# A value filling this many neighbouring cut points is spread over slices of its own,
+# this many per cut point it fills.
 HOT_RUN = 4
+HOT_FAN = 16
 # Up to this many distinct values of one feature may meet in one task.
 DIRECT_ROWS = 1_000_000
 
@@ -54,10 +56,11 @@ def _cut(df: DataFrame, value: str, cuts: Sequence[float], out: str) -> DataFram
 
 @dataclass(frozen=True)
 class Cuts:
-    """Strictly increasing finite cut points and the values too frequent for one slice."""
+    """Strictly increasing finite cut points, and the values too frequent for one slice with
+    the number of cut points each fills (its share of the rows times the slice count)."""
 
     points: tuple[float, ...]
-    hot: tuple[float, ...]
+    hot: Mapping[float, int]
 
     @classmethod
     def of(cls, quantiles: Sequence[float] | None) -> "Cuts":
@@ -65,9 +68,17 @@ class Cuts:
         for q in quantiles or ():
             if q is not None and abs(q) != float("inf"):
                 runs[float(q)] = runs.get(float(q), 0) + 1
-        return cls(
-            tuple(sorted(runs)), tuple(sorted(v for v, n in runs.items() if n >= HOT_RUN))
-        )
+        return cls(tuple(sorted(runs)), {v: n for v, n in runs.items() if n >= HOT_RUN})
+
+    def fan_out(self, most: int) -> dict[int, list[float]]:
+        """Hot values by how many slices to spread them over: a power of two near
+        HOT_FAN x their cut points. All values together get at most 2 x HOT_FAN x
+        (slice count) slices, which bounds the offset table."""
+        out: dict[int, list[float]] = {}
+        for v, n in self.hot.items():
+            fan = min(most, 1 << (HOT_FAN * n).bit_length())
+            out.setdefault(fan, []).append(v)
+        return out
 
 
 def cut_points(df: DataFrame, columns: Mapping[str, Column], slices: int) -> dict[str, Cuts]:
@@ -82,8 +93,9 @@ def cut_points(df: DataFrame, columns: Mapping[str, Column], slices: int) -> dic
 
 
 def _offsets(totals: DataFrame, key: str, sums: Mapping[str, str]) -> DataFrame:
-    """Sums over all earlier slices. `totals` holds one row per slice, at most
-    (slice count x hot values) rows by construction, so one task and a broadcast are safe."""
+    """Sums over all earlier slices. `totals` holds one row per slice: at most the slice
+    count, and 2 x HOT_FAN times that where hot values are spread. That is some 300,000 rows
+    of two numbers at MAX_SLICES, so one task and a broadcast are safe."""
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
         key,
@@ -114,28 +126,24 @@ def global_rank(
         }
     )
     cuts = cut_points(keyed, {"_score": F.col("_score"), "_tie": F.col("_tie")}, slices)
-    points, hot = cuts["_score"].points, cuts["_score"].hot
+    points, tie_points = cuts["_score"].points, cuts["_tie"].points
+    tie_slots = len(tie_points) + 1
 
     keyed = _cut(keyed, "_score", points, "_cut")
-    missing_slice = len(points) + 1
-    keyed = keyed.withColumn(
-        "_slice",
-        F.when(F.col("_score").isNull(), missing_slice)
-        .otherwise(len(points) - F.col("_cut"))
-        .cast("long"),
+    keyed = _cut(keyed, "_tie", tie_points, "_tie_cut")
+    # Within [cut, next) descending, a hot cut value itself comes after everything above it,
+    # so its rows get the later sub-slices, in order of the tie column. Nothing is known about
+    # the share of missing scores: they are spread as widely as possible.
+    fan = F.when(F.col("_score").isNull(), tie_slots)
+    for width, values in sorted(cuts["_score"].fan_out(tie_slots).items()):
+        fan = fan.when(F.col("_score").isin(*values), width)
+    slot = F.coalesce(F.col("_tie_cut"), F.lit(tie_slots)).cast("long")
+    sub_slice = F.coalesce(1 + F.floor(slot * fan / F.lit(tie_slots)), F.lit(0))
+    main_slice = F.when(F.col("_score").isNull(), len(points) + 1).otherwise(
+        len(points) - F.col("_cut")
     )
-    # Within [cut, next) descending, a hot cut value itself comes after everything above it.
-    crowded = F.col("_score").isNull()
-    if hot:
-        crowded = crowded | F.col("_score").isin(*hot)
-    keyed = _cut(keyed, "_tie", cuts["_tie"].points, "_tie_cut")
-    width = len(cuts["_tie"].points) + 3
     keyed = keyed.withColumn(
-        "_slice",
-        F.col("_slice") * width
-        + F.when(
-            crowded, F.coalesce(F.col("_tie_cut").cast("long") + 1, F.lit(width - 1))
-        ).otherwise(0),
+        "_slice", main_slice.cast("long") * F.lit(tie_slots + 3) + sub_slice
     )
     totals = keyed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(totals, "_slice", {"_before": "_n"})
@@ -153,14 +161,20 @@ def global_rank(
 
 
 def running_totals(
-    df: DataFrame, key: str, sums: Mapping[str, str], slices: int | None = None
+    df: DataFrame,
+    key: str,
+    sums: Mapping[str, str],
+    source: DataFrame,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums over `key` descending; `key` must be unique and non-null.
 
-    Callers aggregate by the key first, so a frequent key is a single row here.
+    Callers aggregate by the key first, so a frequent key is a single row here. `source` is
+    the table before that step: cut points are taken from it, without a shuffle, and a slice
+    has no more distinct keys than it has rows.
     """
     slices = slices or slice_count(df.sparkSession)
-    points = cut_points(df, {key: _col(key).cast("double")}, slices)[key].points
+    points = cut_points(source, {key: _col(key).cast("double")}, slices)[key].points
     cut = _cut(df.withColumn("_key", _col(key).cast("double")), "_key", points, "_cut")
     cut = cut.withColumn("_slice", (len(points) - F.col("_cut")).cast("long"))
     totals = cut.groupBy("_slice").agg(

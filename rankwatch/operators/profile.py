@@ -13,6 +13,7 @@ from rankwatch.functions.values import day, double, missing, num, quoted, ratio,
 from rankwatch.operators.metrics import evaluate_rule
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
+from rankwatch.sources.staging import stage
 
 # Limits of the profile findings.
 ID_UNIQUE = 0.95
@@ -41,31 +42,32 @@ def target_distribution(df: DataFrame, cfg: Config) -> DataFrame:
 def numeric_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Missing, min, max, mean, exact median and population deviation per numeric column.
 
-    Counts for the median need a first small job; the result is then a single aggregate.
+    One scan for everything but the medians, which need the counts it finds; the result is
+    one row per configured column.
     """
     values = {c: num(df.schema, c) for c in cfg.numeric if c in df.columns}
-    counts = aggregate(df, {c: f"count({v})" for c, v in values.items()}).first().asDict()
+    aggs = {"rows": "count(*)"}
+    for c, v in values.items():
+        aggs |= {f"{c}|n": f"count({v})", f"{c}|std": f"stddev_pop({v})"}
+        aggs |= {f"{c}|{f}": f"{f}({v})" for f in ("min", "max", "avg")}
+    one = aggregate(df, aggs).first()
+    counts = {c: one[f"{c}|n"] for c in values}
     mid = medians(df, {c: F.expr(v) for c, v in values.items()}, counts, direct_rows)
-    aggs, rows = {}, []
-    for i, (c, v) in enumerate(values.items()):
-        aggs |= {
-            f"miss{i}": f"count_if(({v}) IS NULL)",
-            f"min{i}": f"min({v})",
-            f"max{i}": f"max({v})",
-            f"mean{i}": f"avg({v})",
-            f"std{i}": f"stddev_pop({v})",
+    rows = [
+        {
+            "feature": text(c),
+            "missing_count": str(one["rows"] - counts[c]),
+            "min": double(one[f"{c}|min"]),
+            "max": double(one[f"{c}|max"]),
+            "mean": double(one[f"{c}|avg"]),
+            "median": double(mid[c]),
+            "std": double(one[f"{c}|std"]),
         }
-        rows.append(
-            {
-                "feature": text(c),
-                "missing_count": f"miss{i}",
-                **{stat: f"{stat}{i}" for stat in ("min", "max", "mean", "std")},
-                "median": double(mid[c]),
-            }
-        )
+        for c in values
+    ]
     stats = ("min", "max", "mean", "median", "std")
     fields = (("feature", "string"), ("missing_count", "bigint"), *((s, "double") for s in stats))
-    return to_rows(aggregate(df, aggs or {"n": "count(*)"}), rows, fields)
+    return to_rows(df.sparkSession.range(1), rows, fields)
 
 
 def categorical_profile(df: DataFrame, cfg: Config) -> DataFrame:
@@ -124,16 +126,21 @@ def _distinct_texts(df: DataFrame, cfg: Config) -> DataFrame:
 
 
 def text_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """Mean and exact median length, distinct texts per row; missing is the empty text."""
+    """Mean and exact median length, distinct texts per row; missing is the empty text.
+
+    Texts are the bulk of a table, so they are read once: a hash and a length per row are
+    staged, and the passes that follow read those.
+    """
     c = cfg.text_column
     length = f"CAST(char_length({_text(cfg)}) AS DOUBLE)"
-    row = aggregate(df, {"n": "count(*)", "mean": f"avg({length})"}).first()
-    mid = medians(df, {c: F.expr(length)}, {c: row["n"]}, direct_rows)[c]
-    return _distinct_texts(df, cfg).selectExpr(
+    narrow = stage(df.selectExpr(f"unhex(md5({_text(cfg)})) AS k", f"{length} AS n"), "texts")
+    row = aggregate(narrow, {"rows": "count(*)", "mean": "avg(n)"}).first()
+    mid = medians(narrow, {c: F.col("n")}, {c: row["rows"]}, direct_rows)[c]
+    return aggregate(narrow, {"u": "count(DISTINCT k)"}).selectExpr(
         f"{text(c)} AS `column`",
         f"{double(row['mean'] or 0.0)} AS average_length",
         f"{double(mid or 0.0)} AS median_length",
-        f"{ratio('distinct_texts', 'rows')} AS unique_ratio",
+        f"{ratio('u', str(row['rows']))} AS unique_ratio",
     )
 
 

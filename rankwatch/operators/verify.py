@@ -60,43 +60,53 @@ def invalid_bands(scored: DataFrame) -> DataFrame:
     return scored.where(_BAD_BAND).groupBy(F.expr(f"{_BAND} AS risk_band")).count()
 
 
-def rank_order(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
-    """One row about ranks and order, without a global sort.
-
-    Rows collapse to one per rank (lowest and highest probability, row count), so a rank
-    claimed by many rows is one row here. Ranks are whole numbers, so a block of ranks holds
-    at most `block` of them; neighbours are compared inside blocks, then block edges among
-    themselves, of which there are rows / block.
-    """
+def _per_rank(scored: DataFrame) -> DataFrame:
+    """One row per claimed rank: lowest and highest probability, row count. A rank claimed
+    by many rows is combined before the shuffle."""
     p, r = num(scored.schema, "churn_probability"), num(scored.schema, "review_rank")
-    per_rank = (
+    return (
         scored.selectExpr(f"{p} AS p", f"CAST({r} AS BIGINT) AS r")
         .groupBy("r")
         .agg(F.expr("min(p) AS lo"), F.expr("max(p) AS hi"), F.expr("count(*) AS n"))
     )
+
+
+def rank_order(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
+    """One row: how often the probability rises from one rank to the next, without a sort of
+    all rows.
+
+    Order is judged among ranks 1..N; others break the sequence check anyway. A block of
+    ranks holds at most `block` of them, so neighbours are compared inside blocks, and then
+    block edges among themselves, of which there are N / block.
+    """
+    rows = scored.agg(F.count(F.lit(1))).scalar()
     inside = Window.partitionBy("block").orderBy("r")
     blocks = (
-        per_rank.withColumn("block", F.expr(f"floor(r / {block})"))
+        _per_rank(scored)
+        .where((F.col("r") >= 1) & (F.col("r") <= rows))
+        .withColumn("block", F.expr(f"floor(r / {block})"))
         .withColumn("rises", F.col("hi") > F.lag("lo").over(inside))
         .groupBy("block")
         .agg(
             F.expr("count_if(rises) AS rises"),
             F.expr("min_by(hi, r) AS first_hi"),
             F.expr("max_by(lo, r) AS last_lo"),
-            F.expr("min(r) AS first_r"),
-            F.expr("max(r) AS last_r"),
-            F.expr("count(r) AS distinct_r"),
-            F.expr("sum(n) AS n"),
         )
     )
     edge = F.col("first_hi") > F.lag("last_lo").over(Window.orderBy("block"))
     return aggregate(
-        blocks.withColumn("edge", edge),
+        blocks.withColumn("edge", edge), {"rises": "coalesce(sum(rises), 0) + count_if(edge)"}
+    )
+
+
+def rank_sequence(scored: DataFrame) -> DataFrame:
+    """One row: first, last and distinct ranks and the row count."""
+    return aggregate(
+        _per_rank(scored),
         {
-            "rises": "coalesce(sum(rises), 0) + count_if(edge)",
-            "first_r": "min(first_r)",
-            "last_r": "max(last_r)",
-            "distinct_r": "coalesce(sum(distinct_r), 0)",
+            "first_r": "min(r)",
+            "last_r": "max(r)",
+            "distinct_r": "count(r)",
             "n": "coalesce(sum(n), 0)",
         },
     )
@@ -141,12 +151,12 @@ def verify_scored(scored: DataFrame, cfg: Config, top_k: int | None = None) -> D
         expected = f"queue = least({int(top_k)}L, rows)"
         rows.append(check(PREDICTIONS, "queue_size", expected, "queue"))
     contiguous = "n = 0 OR (first_r = 1 AND last_r = n AND distinct_r = n)"
-    ordered = [
-        check(PREDICTIONS, "sorted_by_probability", "rises = 0", "rises"),
-        check(PREDICTIONS, "contiguous_ranks", contiguous, "distinct_r"),
-    ]
-    return to_rows(one, rows, CHECK_FIELDS).unionByName(
-        to_rows(rank_order(scored), ordered, CHECK_FIELDS)
+    sequence = check(PREDICTIONS, "contiguous_ranks", contiguous, "distinct_r")
+    ordered = check(PREDICTIONS, "sorted_by_probability", "rises = 0", "rises")
+    return (
+        to_rows(one, rows, CHECK_FIELDS)
+        .unionByName(to_rows(rank_sequence(scored), [sequence], CHECK_FIELDS))
+        .unionByName(to_rows(rank_order(scored), [ordered], CHECK_FIELDS))
     )
 
 

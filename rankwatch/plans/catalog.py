@@ -392,7 +392,7 @@ _IS_CUR = f"NOT {_IS_REF}"
 
 def two_batches(spark: SparkSession, d: str, columns: Iterable[str] = _WATCHED):
     """(reference rows, current rows) of the scored snapshot with tenure."""
-    df = ft.tenure_days(labelled(spark, d, columns), CFG)
+    df = stage(ft.tenure_days(labelled(spark, d, columns), CFG), "drift")
     return df.where(_IS_REF), df.where(_IS_CUR)
 
 
@@ -443,8 +443,7 @@ def drift_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _prediction(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    df = stage(ft.tenure_days(labelled(spark, d, _WATCHED), CFG), "drift")
-    ref, cur = df.where(_IS_REF), df.where(_IS_CUR)
+    ref, cur = two_batches(spark, d)
     held = sp.split_counts(sp.stratified_split(ref, CFG), CFG).where("split = 'validation'")
     row = held.first()
     meta = {"validation_positive_rate": row["positive_rate"], "validation_rows": row["rows"]}
@@ -508,8 +507,7 @@ def date_profile_events(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def text_profile(spark: SparkSession, d: str) -> DataFrame:
-    df = stage(tb.snapshot(spark, d, ["customer_feedback"]), "texts")
-    return rounded(pf.text_profile(df, CFG))
+    return rounded(pf.text_profile(tb.snapshot(spark, d, ["customer_feedback"]), CFG))
 
 
 @query

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rankwatch.operators import ordering
 from rankwatch.operators.ordering import (
     Cuts,
     Target,
+    cut_points,
     global_rank,
     medians,
     order_statistics,
@@ -55,20 +57,40 @@ def test_rank_of_nothing(spark):
     assert global_rank(table(spark, "spread").limit(0), "p", "id", "rank").count() == 0
 
 
+def global_rank_slices(df):
+    """Rows per window partition of the rank plan."""
+    seen = {}
+    original = ordering._offsets
+
+    def spy(totals, key, sums):
+        seen["totals"] = totals
+        return original(totals, key, sums)
+
+    ordering._offsets = spy
+    try:
+        global_rank(df, "p", "id", "rank", slices=64)
+    finally:
+        ordering._offsets = original
+    return [r["_n"] for r in seen["totals"].collect()]
+
+
 def test_crowded_score_is_spread_over_tasks(spark):
     """A score held by a third of the rows may not meet in one slice."""
-    df = table(spark, "one third equal", 3000)
-    plan = global_rank(df, "p", "id", "rank", slices=64)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "_tie_cut" in text or "bucketizer" in text
+    df = table(spark, "one third equal", 6400)
+    found = cut_points(df, {"p": F.col("p")}, 64)["p"]
+    assert found.hot == {0.5: pytest.approx(64 / 3, abs=2)}
+    sizes = global_rank_slices(df)
+    assert max(sizes) <= 2 * 6400 / 64 and sum(sizes) == 6400
     cuts = Cuts.of([0.1, 0.5, 0.5, 0.5, 0.5, 0.9])
     assert cuts.points == (0.1, 0.5, 0.9)
-    assert cuts.hot == (0.5,)
+    assert cuts.hot == {0.5: 4}
+    assert cuts.fan_out(10_000) == {128: [0.5]}
+    assert cuts.fan_out(50) == {50: [0.5]}
 
 
 def test_running_totals(spark):
     df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) / 7 AS k", "id % 5 AS a", "1 AS b")
-    got = running_totals(df, "k", {"ta": "a", "tb": "b"}, slices=16).orderBy(F.desc("k")).collect()
+    got = running_totals(df, "k", {"ta": "a", "tb": "b"}, df, slices=16).orderBy(F.desc("k")).collect()
     ta = tb = 0
     for r in got:
         ta, tb = ta + r["a"], tb + r["b"]
