@@ -96,6 +96,14 @@ def num(schema: T.StructType, name: str) -> str:
     return double(None)
 
 
+def key(schema: T.StructType, name: str) -> str:
+    """An id for comparison: missing is null, and '01' in a text column is the number 1."""
+    c = quoted(name)
+    if isinstance(schema[name].dataType, T.StringType):
+        return f"coalesce(CAST(TRY_CAST({c} AS BIGINT) AS STRING), {c})"
+    return f"CASE WHEN NOT {missing(schema, name)} THEN {c} END"
+
+
 def day(schema: T.StructType, name: str, fmt: str) -> str:
     """The column as a date or time stamp; strings that do not parse become null."""
     c = quoted(name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.config import Config
 from rankwatch.functions.rows import aggregate, finding, to_rows
-from rankwatch.functions.values import day, double, missing, num, quoted, ratio, text
+from rankwatch.functions.values import day, double, key, num, quoted, ratio, text
 from rankwatch.operators.metrics import evaluate_rule
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
@@ -153,8 +153,7 @@ def profile_findings(df: DataFrame, cfg: Config) -> DataFrame:
     parts = []
     idc, t = cfg.id_column, cfg.target_column
     if idc in df.columns:
-        present = f"CASE WHEN NOT {missing(df.schema, idc)} THEN {quoted(idc)} END"
-        share = ratio(f"count(DISTINCT {present})", "count(*)")
+        share = ratio(f"count(DISTINCT {key(df.schema, idc)})", "count(*)")
         row = finding(SCOPE, "id_unique", f"r >= {double(ID_UNIQUE)}", "r", ID_UNIQUE, idc)
         parts.append(to_rows(aggregate(df, {"r": share}), [row]))
 

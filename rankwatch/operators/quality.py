@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.config import Config
 from rankwatch.functions.rows import aggregate, finding, to_rows, unpivot
-from rankwatch.functions.values import double, filled, missing, num, quoted, text
+from rankwatch.functions.values import double, filled, key, missing, num, quoted, text
 
 SCOPE = "validation"
 
@@ -24,19 +24,18 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return to_rows(aggregate(df, counts), rows, fields).where("missing > 0")
 
 
-def duplicate_count(df: DataFrame, key: str) -> DataFrame:
+def _rows_per_key(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(F.expr(f"{key(df.schema, column)} AS id")).count()
+
+
+def duplicate_count(df: DataFrame, column: str) -> DataFrame:
     """One row: rows beyond the first of each key, missing keys counted as equal."""
-    return (
-        df.selectExpr(f"CASE WHEN NOT {missing(df.schema, key)} THEN {quoted(key)} END AS k")
-        .groupBy("k")
-        .agg(F.expr("count(*) AS n"))
-        .agg(F.expr("coalesce(sum(n - 1), 0) AS duplicates"))
-    )
+    return _rows_per_key(df, column).agg(F.expr("coalesce(sum(count - 1), 0) AS duplicates"))
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """The repeated keys with their row counts."""
-    return df.groupBy(F.col(quoted(key)).alias("id")).count().where("count > 1")
+    return _rows_per_key(df, column).where("count > 1")
 
 
 def _target_errors(df: DataFrame, cfg: Config) -> dict[str, str]:

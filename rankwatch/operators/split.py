@@ -8,8 +8,9 @@ a comparison with literals: no shuffle, and every recomputation gives the same p
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +70,8 @@ class Stratum:
 
 def _first_rows(
     df: DataFrame, cfg: Config, strata: Mapping[str, Stratum], direct_rows: int
-) -> Column:
-    """Predicate: the row is among the first `take` rows of its stratum by (hash, id)."""
+) -> dict[str, Column]:
+    """Per stratum a predicate: the row is among its first `take` rows by (hash, id)."""
     u, rid = split_key(cfg), F.col(quoted(cfg.id_column))
     found = order_statistics(
         df,
@@ -81,7 +82,7 @@ def _first_rows(
         },
         direct_rows,
     )
-    picked = F.lit(False)
+    picked = {k: F.lit(False) for k in strata}
     for k, s in strata.items():
         if s.take <= 0:
             continue
@@ -103,7 +104,7 @@ def _first_rows(
                     taken.append(r["id"])
                     room -= r["count"]
                 inside = (u < edge.high) | ((u == edge.high) & rid.isin(*taken))
-        picked = picked | (s.member & inside)
+        picked[k] = s.member & inside
     return picked
 
 
@@ -120,32 +121,39 @@ def stratified_split(
     if not counts:
         return df.withColumn("split", F.lit("train"))
     y = F.expr(num(df.schema, cfg.target_column))
-
-    def strata(
-        counts: Mapping[float, int], rest: Column, fraction: float, by_class: bool
-    ) -> dict[str, Stratum]:
-        if by_class:
-            take = quotas(counts, fraction)
-            return {f"{c:g}": Stratum(rest & (y == c), n, take[c]) for c, n in counts.items()}
-        n = sum(counts.values())
-        return {"all": Stratum(rest, n, math.ceil(fraction * n))}
-
+    everything = F.lit(True)
     by_class = can_stratify(counts)
-    first = strata(counts, F.lit(True), cfg.test_size, by_class)
-    test = _first_rows(df, cfg, first, direct_rows)
+    strata = {c: Stratum(y == c, n, 0) for c, n in counts.items()}
+    if not by_class:
+        counts = {0.0: sum(counts.values())}
+        strata = {0.0: Stratum(everything, counts[0.0], 0)}
+    test = quotas(counts, cfg.test_size)
+    left = {c: n - test[c] for c, n in counts.items()}
+    fraction = cfg.validation_size / (1.0 - cfg.test_size)
 
-    if by_class:
-        left = {c: n - first[f"{c:g}"].take for c, n in counts.items()}
+    wanted = {f"{c:g}|test": replace(s, take=test[c]) for c, s in strata.items()}
+    one_pass = not by_class or can_stratify(left)
+    if one_pass:
+        # Both parts follow each other in the same order: one look for all four cuts.
+        more = quotas(left, fraction)
+        for c, s in strata.items():
+            wanted[f"{c:g}|held"] = replace(s, take=test[c] + more[c])
+    found = _first_rows(df, cfg, wanted, direct_rows)
+    in_test = _any(p for k, p in found.items() if k.endswith("test"))
+    if one_pass:
+        in_held = _any(p for k, p in found.items() if k.endswith("held"))
     else:
-        left = {0.0: first["all"].count - first["all"].take}
-    fraction = cfg.validation_size / (1.0 - cfg.test_size)
-    second = strata(left, ~test, fraction, by_class and can_stratify(left))
-    validation = _first_rows(df, cfg, second, direct_rows)
+        rest = Stratum(~in_test, sum(left.values()), math.ceil(fraction * sum(left.values())))
+        in_held = _any(_first_rows(df, cfg, {"rest": rest}, direct_rows).values())
     return df.withColumn(
-        "split", F.when(test, "test").when(validation, "validation").otherwise("train")
+        "split", F.when(in_test, "test").when(in_held, "validation").otherwise("train")
     )
 
 
+def _any(predicates: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, predicates)
+
+
 def split_counts(df: DataFrame, cfg: Config) -> DataFrame:
     """(split, rows, positive_rate) of a split table, by combined partial sums."""
     return df.groupBy("split").agg(

@@ -15,6 +15,7 @@ from rankwatch.operators import scoring as sc
 from rankwatch.operators import verify as vf
 from rankwatch.operators.features import check_features
 from rankwatch.operators.model import Bundle, train
+from rankwatch.operators.quality import DataValidationError, raise_on, upload_profile
 from rankwatch.operators.split import stratified_split
 from rankwatch.sources.outputs import (
     load_bundle,
@@ -24,7 +25,7 @@ from rankwatch.sources.outputs import (
     write_report,
     write_scored,
 )
-from rankwatch.sources.snapshot import load_snapshot
+from rankwatch.sources.snapshot import load_snapshot, read_upload, typed
 from rankwatch.sources.staging import stage
 
 
@@ -120,6 +121,18 @@ def run_scoring(
     return scored, summary
 
 
+def run_upload(
+    spark: SparkSession, path: str | None, cfg: Config, bundle_path: str, out: str,
+    summary_out: str, top_k: int | None = None, out_fmt: str = "csv",
+) -> tuple[DataFrame, DataFrame]:
+    """Score an uploaded CSV file after the light upload checks."""
+    raw = read_upload(spark, path)
+    raise_on(upload_profile(raw, cfg), DataValidationError)
+    scored, summary = score_batch(typed(raw, cfg), load_bundle(spark, bundle_path), cfg, top_k)
+    write_scored(scored, summary, out, summary_out, out_fmt)
+    return scored, summary
+
+
 def run_monitoring(
     spark: SparkSession, path: str, cfg: Config, bundle_path: str, out: str,
     top_k: int | None = None, fmt: str = "csv",

@@ -85,10 +85,13 @@ def snapshot(
         sums += [F.lit(None).cast("double").alias("qty"), F.lit(None).cast("long").alias("n_lines")]
     per_customer = per_order.groupBy("o_custkey").agg(*sums)
 
+    # 25 nations and 5 regions at every scale: broadcast, or customers would be shuffled by
+    # 25 keys.
+    nation, region = (F.broadcast(table(spark, sf_dir, t)) for t in ("nation", "region"))
     out = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
     )
     if "customer_feedback" in wanted:

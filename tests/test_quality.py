@@ -80,6 +80,12 @@ def test_duplicates_count_nulls_as_equal(spark):
     assert q.duplicate_count(nan, "id").first()[0] == 1
 
 
+def test_text_ids_compare_as_numbers(spark):
+    df = spark.createDataFrame([("1",), ("01",), ("a",), ("A",), (None,), ("1.0",)], "id string")
+    assert q.duplicate_count(df, "id").first()[0] == 1
+    assert [tuple(r) for r in q.duplicate_keys(df, "id").collect()] == [("1", 2)]
+
+
 def test_csv_round_trip(spark, cfg, write_csv):
     path = write_csv("a.csv", csv_lines(4), bom=True)
     df = load_snapshot(spark, path, cfg)

@@ -2,6 +2,7 @@ import pytest
 
 from rankwatch.config import Config
 from rankwatch.operators import verify as vf
+from rankwatch.operators.quality import DataValidationError
 from rankwatch.plans import runs
 from rankwatch.sources.outputs import read_report, read_scored
 from rankwatch.streaming.arrivals import score_arrivals
@@ -86,6 +87,19 @@ def test_empty_batch(spark, place, cfg, trained):
     assert scored.count() == 0 and summary.first()["row_count"] == 0
 
 
+def test_upload(spark, place, cfg, trained):
+    p = lambda name: str(place / name)
+    run = lambda path: runs.run_upload(spark, path, cfg, p("bundle"), p("u1"), p("u2"))
+    run(batch(place, "upload.csv", 8))
+    assert read_scored(spark, p("u1"), "csv").count() == 8
+    bad = place / "short.csv"
+    bad.write_text("customer_id,age\n1,20\n")
+    with pytest.raises(DataValidationError, match="required_column in city"):
+        run(str(bad))
+    with pytest.raises(FileNotFoundError):
+        runs.run_upload(spark, batch(place, "upload.csv", 8), cfg, p("no"), p("u1"), p("u2"))
+
+
 def test_arriving_files(spark, place, cfg, trained):
     p = lambda name: str(place / name)
     batch(place, "inbox/one.csv", 12)
