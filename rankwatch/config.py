@@ -96,6 +96,9 @@ class Config:
     monitor_numeric: tuple[str, ...] = MONITOR_NUMERIC
     monitor_categorical: tuple[str, ...] = MONITOR_CATEGORICAL
 
+    # Quoted CSV fields may hold line breaks; files are only split when this is off.
+    csv_line_breaks: bool = True
+
     # One-hot width is a model dimension, so it has to be finite; more levels raise.
     max_levels: int = 20_000
 

@@ -20,7 +20,11 @@ from pyspark.sql import types as T
 
 from rankwatch.functions.values import num, quoted, text
 
-ACCURACY = 100_000
+ACCURACY = 10_000
+# Quantiles are estimated on about this many rows, drawn evenly. Sketches of all rows would be
+# megabytes per task, and one task has to merge them all.
+SAMPLE_ROWS = 1_000_000
+SIGMAS = 6
 MIN_SLICES, MAX_SLICES = 64, 10_000
 # A value filling this many neighbouring cut points is spread over slices of its own,
 # this many per cut point it fills.
@@ -81,11 +85,19 @@ class Cuts:
         return out
 
 
-def cut_points(df: DataFrame, columns: Mapping[str, Column], slices: int) -> dict[str, Cuts]:
-    """Quantile cut points of several double columns in one pass (one small job)."""
-    row = df.agg(
+def cut_points(
+    df: DataFrame, columns: Mapping[str, Column], slices: int, sample_rows: int = SAMPLE_ROWS
+) -> dict[str, Cuts]:
+    """Quantile cut points of several double columns (a count and one narrow aggregate).
+
+    They decide how even the slices are, never which rows are kept.
+    """
+    rows, wanted = df.count(), max(sample_rows, 100 * slices)
+    drawn = df if rows <= wanted else df.sample(wanted / rows, seed=17)
+    accuracy = max(ACCURACY, 8 * slices)
+    row = drawn.agg(
         *[
-            F.percentile_approx(c, _fractions(slices), ACCURACY).alias(name)
+            F.percentile_approx(c, _fractions(slices), accuracy).alias(name)
             for name, c in columns.items()
         ]
     ).first()
@@ -214,60 +226,90 @@ class Found:
     upto: int
 
 
+@dataclass
+class Bracket:
+    """A value range known to hold the wanted positions of one target."""
+
+    low: float
+    high: float
+    below: int
+    inside: int
+    slack: float = 1.0
+    settled: bool = False
+
+    def holds(self, v: Column) -> Column:
+        return v.between(self.low, self.high)
+
+
+def _narrow(
+    df: DataFrame,
+    targets: Mapping[str, Target],
+    brackets: Mapping[str, Bracket],
+    round_: int,
+    sample_rows: int,
+) -> None:
+    """Shrink the given brackets once: estimate on a sample, count, accept what is proven."""
+    samples, estimates = [], []
+    for n, k in brackets.items():
+        t = targets[n]
+        f1, f2 = (t.low - k.below) / k.inside, (t.high - k.below + 1) / k.inside
+        drawn = min(1.0, sample_rows / k.inside)
+        noise = k.slack * (SIGMAS * (0.25 / (drawn * k.inside)) ** 0.5 + 2 / ACCURACY)
+        chosen = k.holds(t.value)
+        if drawn < 1:
+            chosen = chosen & (F.rand(round_) < drawn)
+        ends = [max(0.0, f1 - noise), min(1.0, f2 + noise)]
+        samples.append(F.when(chosen, t.value).alias(n))
+        estimates.append(F.percentile_approx(_col(n), ends, ACCURACY).alias(n))
+    found = df.select(*samples).agg(*estimates).first()
+    trial = {n: found[n] for n in brackets if found[n] is not None}
+    counts = df.agg(
+        F.lit(0),
+        *[F.count_if(targets[n].value < t[0]).alias(f"{n}|below") for n, t in trial.items()],
+        *[F.count_if(targets[n].value.between(*t)).alias(f"{n}|in") for n, t in trial.items()],
+    ).first()
+    for n, k in brackets.items():
+        if n not in trial:
+            k.slack *= 2
+            continue
+        below, inside = counts[f"{n}|below"], counts[f"{n}|in"]
+        if not below <= targets[n].low <= targets[n].high < below + inside:
+            k.slack *= 2  # an unlucky sample; the old bracket stands
+        elif inside < k.inside:
+            k.low, k.high, k.below, k.inside = trial[n][0], trial[n][1], below, inside
+        else:
+            k.settled = True  # what is left is a few values with many rows each
+        k.settled |= k.low == k.high or k.slack > 1000
+
+
 def order_statistics(
-    df: DataFrame, targets: Mapping[str, Target], direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    targets: Mapping[str, Target],
+    direct_rows: int = DIRECT_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, Found]:
     """Exact values at sorted positions, for several expressions at once.
 
     Each target keeps a bracket known to hold its positions. While a bracket holds more
-    than `direct_rows` values it is narrowed by approximate quantiles (one narrow pass for
-    all targets, the new bracket counted before it is believed). Then only values inside
-    brackets are grouped and ordered. No task ever holds a whole column.
+    than `direct_rows` values it is narrowed by quantiles of a sample (two narrow passes for
+    all targets; the new bracket is counted on all rows before it is believed). Then only
+    values inside brackets are grouped and ordered. No task ever holds a whole column.
     """
     open_ = {n: t for n, t in targets.items() if t.count > 0}
     if not open_:
         return {}
-    lo = {n: float("-inf") for n in open_}
-    hi = {n: float("inf") for n in open_}
-    below = {n: 0 for n in open_}
-    inside = {n: t.count for n, t in open_.items()}
-
-    while True:
-        wide = [n for n in open_ if inside[n] > direct_rows and lo[n] < hi[n]]
-        if not wide:
-            break
-        slack = 2 / ACCURACY
-        aggs = []
-        for n in wide:
-            t = open_[n]
-            f1 = (t.low - below[n]) / inside[n] - slack
-            f2 = (t.high - below[n] + 1) / inside[n] + slack
-            aggs.append(
-                F.percentile_approx(
-                    F.when(t.value.between(lo[n], hi[n]), t.value),
-                    [max(0.0, f1), min(1.0, f2)],
-                    ACCURACY,
-                ).alias(n)
-            )
-        row = df.agg(*aggs).first()
-        trial = {n: (float(row[n][0]), float(row[n][1])) for n in wide}
-        counts = df.agg(
-            *[F.count_if(open_[n].value < trial[n][0]).alias(f"b_{n}") for n in wide],
-            *[F.count_if(open_[n].value.between(*trial[n])).alias(f"i_{n}") for n in wide],
-        ).first()
-        progress = False
-        for n in wide:
-            b, i = counts[f"b_{n}"], counts[f"i_{n}"]
-            if b <= open_[n].low and open_[n].high < b + i and i < inside[n]:
-                (lo[n], hi[n]), below[n], inside[n] = trial[n], b, i
-                progress = True
-        if not progress:
-            break
+    brackets = {n: Bracket(float("-inf"), float("inf"), 0, t.count) for n, t in open_.items()}
+    round_ = 0
+    while wide := {
+        n: k for n, k in brackets.items() if k.inside > direct_rows and not k.settled
+    }:
+        round_ += 1
+        _narrow(df, open_, wide, round_, sample_rows)
 
     entries = [
         F.struct(
             F.lit(n).alias("name"),
-            F.when(t.value.between(lo[n], hi[n]), t.value).alias("value"),
+            F.when(brackets[n].holds(t.value), t.value).alias("value"),
         )
         for n, t in open_.items()
     ]
@@ -282,7 +324,8 @@ def order_statistics(
         "last", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - 1
     )
     covers = " OR ".join(
-        f"(name = {text(n)} AND last >= {t.low - below[n]} AND last - n < {t.high - below[n]})"
+        f"(name = {text(n)} AND last >= {t.low - brackets[n].below}"
+        f" AND last - n < {t.high - brackets[n].below})"
         for n, t in open_.items()
     )
     # At most two values per target reach the driver.
@@ -293,7 +336,8 @@ def order_statistics(
         .collect()
     )
     return {
-        r["name"]: Found(r["a"], r["b"], below[r["name"]] + r["last"] + 1) for r in found
+        r["name"]: Found(r["a"], r["b"], brackets[r["name"]].below + r["last"] + 1)
+        for r in found
     }
 
 
@@ -302,10 +346,11 @@ def medians(
     values: Mapping[str, Column],
     counts: Mapping[str, int],
     direct_rows: int = DIRECT_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, float | None]:
     """Exact interpolated medians; `counts` are the non-null counts of the values."""
     targets = {
         n: Target(v, (counts[n] - 1) // 2, counts[n] // 2, counts[n]) for n, v in values.items()
     }
-    found = order_statistics(df, targets, direct_rows)
+    found = order_statistics(df, targets, direct_rows, sample_rows)
     return {n: ((found[n].low + found[n].high) / 2 if n in found else None) for n in values}

@@ -11,24 +11,26 @@ from rankwatch.functions.values import day, num, quoted, tokens_to_null
 from rankwatch.operators.quality import validate
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """Every column as text, null tokens as null.
 
     Types are not inferred: inference reads the data twice and would turn a bad number into
     a text column before it can be counted. A byte-order mark is dropped by the reader.
-    Quoted fields may hold line breaks, which makes a file one task; switch `multi_line` off
+    Quoted fields may hold line breaks, which makes a file one task; switch `line_breaks` off
     for large files whose texts have none, and they are split.
     """
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=line_breaks)
     names = spark.read.options(header=True, quote='"', escape='"').csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = reader.schema(schema).csv(path)
     return raw.selectExpr(*[tokens_to_null(c) for c in raw.columns])
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_table(spark: SparkSession, path: str, cfg: Config, fmt: str = "csv") -> DataFrame:
     """A snapshot in any format the session can read; only CSV needs the text treatment."""
-    return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if fmt == "csv":
+        return read_csv(spark, path, cfg.csv_line_breaks)
+    return spark.read.format(fmt).load(path)
 
 
 def typed(df: DataFrame, cfg: Config) -> DataFrame:
@@ -56,7 +58,7 @@ def load_snapshot(
     fmt: str = "csv",
 ) -> DataFrame:
     """Read, validate (raises on the first failing table) and type a snapshot."""
-    raw = read_table(spark, path, fmt)
+    raw = read_table(spark, path, cfg, fmt)
     validate(raw, cfg, require_target=require_target, fail_fast=True)
     return typed(raw, cfg)
 

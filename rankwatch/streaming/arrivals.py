@@ -29,7 +29,8 @@ def arriving(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
         spark.readStream.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
+        .options(header=True, quote='"', escape='"', enforceSchema=False)
+        .option("multiLine", cfg.csv_line_breaks)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )

@@ -57,6 +57,16 @@ def test_rank_of_nothing(spark):
     assert global_rank(table(spark, "spread").limit(0), "p", "id", "rank").count() == 0
 
 
+def test_rank_with_sampled_cut_points(spark, monkeypatch):
+    df = table(spark, "one third equal", 3000)
+    few = lambda d, c, n, _=0: cut_points(d, c, n, 1)
+    monkeypatch.setattr(ordering, "cut_points", few)
+    got = global_rank(df, "p", "id", "rank", slices=8)
+    plain = F.row_number().over(Window.orderBy(F.col("p").desc(), F.col("id")))
+    want = {r["id"]: r["w"] for r in df.select("id", plain.alias("w")).collect()}
+    assert {r["id"]: r["rank"] for r in got.collect()} == want
+
+
 def global_rank_slices(df):
     """Rows per window partition of the rank plan."""
     seen = {}
@@ -98,13 +108,13 @@ def test_running_totals(spark):
     assert len(got) == 1000
 
 
-@pytest.mark.parametrize("direct", [10, 100, 10_000])
-def test_medians_match_sorting(spark, direct):
+@pytest.mark.parametrize(("direct", "sample"), [(10, 10_000), (50, 300), (100, 40), (10_000, 1)])
+def test_medians_match_sorting(spark, direct, sample):
     g = random.Random(3)
     data = [(g.gauss(0, 1), float(g.randrange(4)), 5.0 if i % 3 else None) for i in range(1001)]
     df = spark.createDataFrame(data, "a double, b double, c double")
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
-    got = medians(df, {c: F.col(c) for c in df.columns}, counts, direct)
+    got = medians(df, {c: F.col(c) for c in df.columns}, counts, direct, sample)
     for i, c in enumerate(df.columns):
         v = sorted(r[i] for r in data if r[i] is not None)
         n = len(v)
@@ -116,11 +126,11 @@ def test_median_of_even_and_empty(spark):
     assert medians(df, {"a": F.col("a"), "b": F.col("b")}, {"a": 4, "b": 0}) == {"a": 2.5, "b": None}
 
 
-@pytest.mark.parametrize("direct", [5, 1000])
-def test_order_statistics_positions(spark, direct):
+@pytest.mark.parametrize(("direct", "sample"), [(5, 1000), (40, 100), (1000, 1)])
+def test_order_statistics_positions(spark, direct, sample):
     df = spark.range(500).selectExpr("CAST(pmod(id * 7919, 500) AS DOUBLE) AS v")
     t = {str(k): Target(F.col("v"), k, k, 500) for k in (0, 1, 249, 498, 499)}
-    got = order_statistics(df, t, direct)
+    got = order_statistics(df, t, direct, sample)
     assert {k: (f.low, f.high, f.upto) for k, f in got.items()} == {
         str(k): (float(k), float(k), k + 1) for k in (0, 1, 249, 498, 499)
     }
