@@ -21,6 +21,7 @@ from rankwatch.operators.ordering import DIRECT_ROWS, Target, order_statistics
 
 # 13 hex digits are 52 bits: exact in a double, so quantile sketches do not round them.
 _HEX_DIGITS = 13
+_KEY = "_split_key"
 
 
 def split_key(cfg: Config) -> Column:
@@ -71,14 +72,17 @@ class Stratum:
 def _first_rows(
     df: DataFrame, cfg: Config, strata: Mapping[str, Stratum], direct_rows: int
 ) -> dict[str, Column]:
-    """Per stratum a predicate: the row is among its first `take` rows by (hash, id)."""
-    u, rid = split_key(cfg), F.col(quoted(cfg.id_column))
+    """Per stratum a predicate on a table with the hash column: the row is among its first
+    `take` rows by (hash, id)."""
+    u, rid = F.col(_KEY), F.col(quoted(cfg.id_column))
+    cut = [(k, s) for k, s in strata.items() if 0 < s.take < s.count]
+    # The hash is computed once per row and pass, below the expressions that compare it.
+    narrow = df.select(_KEY, *[s.member.alias(f"in_{i}") for i, (_, s) in enumerate(cut)])
     found = order_statistics(
-        df,
+        narrow,
         {
-            k: Target(F.when(s.member, u), s.take - 1, s.take - 1, s.count)
-            for k, s in strata.items()
-            if 0 < s.take < s.count
+            k: Target(F.when(F.col(f"in_{i}"), u), s.take - 1, s.take - 1, s.count)
+            for i, (k, s) in enumerate(cut)
         },
         direct_rows,
     )
@@ -138,16 +142,16 @@ def stratified_split(
         more = quotas(left, fraction)
         for c, s in strata.items():
             wanted[f"{c:g}|held"] = replace(s, take=test[c] + more[c])
-    found = _first_rows(df, cfg, wanted, direct_rows)
+    keyed = df.withColumn(_KEY, split_key(cfg))
+    found = _first_rows(keyed, cfg, wanted, direct_rows)
     in_test = _any(p for k, p in found.items() if k.endswith("test"))
     if one_pass:
         in_held = _any(p for k, p in found.items() if k.endswith("held"))
     else:
         rest = Stratum(~in_test, sum(left.values()), math.ceil(fraction * sum(left.values())))
-        in_held = _any(_first_rows(df, cfg, {"rest": rest}, direct_rows).values())
-    return df.withColumn(
-        "split", F.when(in_test, "test").when(in_held, "validation").otherwise("train")
-    )
+        in_held = _any(_first_rows(keyed, cfg, {"rest": rest}, direct_rows).values())
+    part = F.when(in_test, "test").when(in_held, "validation").otherwise("train")
+    return keyed.withColumn("split", part).drop(_KEY)
 
 
 def _any(predicates: Iterable[Column]) -> Column:
