@@ -24,7 +24,7 @@ from rankwatch.operators import verify as vf
 from rankwatch.plans import runs
 from rankwatch.sources import outputs
 from rankwatch.sources import tables as tb
-from rankwatch.sources.staging import shared_dir, stage
+from rankwatch.sources.staging import fresh_path, stage
 
 CFG = Config()
 P = sc.PROBABILITY
@@ -576,8 +576,7 @@ def handoff(spark: SparkSession, d: str) -> DataFrame:
     """Train, score, evaluate, monitor, write everything, then check what was written."""
     df = stage(tb.snapshot(spark, d), "training")
     bundle = md.train(df, CFG)
-    root = f"{shared_dir(spark)}/handoff-{spark.sparkContext.applicationId}"
-    out = f"{root}/{abs(hash(d)) % 10**8}"
+    out = fresh_path(spark, "handoff")
     outputs.save_bundle(bundle, f"{out}/bundle")
     batch = df.drop("churn")
     scored, summary = runs.score_batch(batch, bundle, CFG)

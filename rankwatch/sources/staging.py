@@ -29,6 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[app]
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path under this process's folder in the shared one."""
+    return f"{shared_dir(spark)}/rankwatch-{_RUN}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back.
 
@@ -37,7 +42,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     whole lineage, and values can not change between passes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/rankwatch-{_RUN}/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
