@@ -109,12 +109,11 @@ def target_invalid_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_ages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Snapshot whose ages are text; every fiftieth one carries a stray letter."""
+    """Snapshot whose ages are text; those of debit accounts carry a stray letter."""
     df = tb.snapshot(spark, d, columns or tb.SNAPSHOT_COLUMNS)
     text = F.col("age").cast("string")
-    return df.withColumn(
-        "age", F.when(F.col("customer_id") % 50 == 0, F.concat(text, F.lit("d"))).otherwise(text)
-    )
+    debit = F.col("monthly_income") < 0
+    return df.withColumn("age", F.when(debit, F.concat(text, F.lit("d"))).otherwise(text))
 
 
 @query
@@ -536,13 +535,13 @@ def verify_predictions(spark: SparkSession, d: str) -> DataFrame:
 @query
 def verify_predictions_broken(spark: SparkSession, d: str) -> DataFrame:
     """A queue with damaged probabilities, ranks, bands, flags and priorities."""
-    c, k = F.col, F.col("customer_id")
+    c = F.col
     broken = staged_queue(spark, d).withColumns(
         {
-            P: F.when(k % 97 == 0, c(P) + 1).when(k % 89 == 0, None).otherwise(c(P)),
-            "review_rank": F.when(k % 53 == 0, 7).otherwise(c("review_rank")),
-            "risk_band": F.when(k % 41 == 0, "severe").otherwise(c("risk_band")),
-            "review_queue_flag": F.when(k % 71 == 0, True).otherwise(c("review_queue_flag")),
+            P: F.when(c("risk_band") == "high", c(P) + 1).when(c(P) < 0.2, None).otherwise(c(P)),
+            "review_rank": F.when(c(P).between(0.5, 0.52), 7).otherwise(c("review_rank")),
+            "risk_band": F.when(c(P).between(0.6, 0.65), "severe").otherwise(c("risk_band")),
+            "review_queue_flag": F.when(c(P) < 0.25, True).otherwise(c("review_queue_flag")),
         }
     )
     return vf.verify_scored(broken, CFG, CFG.top_k)
@@ -551,7 +550,7 @@ def verify_predictions_broken(spark: SparkSession, d: str) -> DataFrame:
 @query
 def invalid_bands(spark: SparkSession, d: str) -> DataFrame:
     df = sc.label_and_band(tb.scored_snapshot(spark, d), CFG)
-    odd = F.when(F.col("customer_id") % 41 == 0, F.concat(F.lit("x-"), "risk_band"))
+    odd = F.when(F.col("monthly_income") < 0, F.concat(F.lit("x-"), "risk_band"))
     return vf.invalid_bands(df.withColumn("risk_band", F.coalesce(odd, "risk_band")))
 
 

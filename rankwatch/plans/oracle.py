@@ -157,7 +157,7 @@ def num(c: str) -> str:
 # ---- validation -------------------------------------------------------------------
 
 _AGES = SNAP + """,
-     g AS (SELECT * REPLACE (CASE WHEN customer_id % 50 = 0 THEN CAST(age AS VARCHAR) || 'd'
+     g AS (SELECT * REPLACE (CASE WHEN monthly_income < 0 THEN CAST(age AS VARCHAR) || 'd'
                                   ELSE CAST(age AS VARCHAR) END AS age) FROM s)"""
 
 
@@ -573,11 +573,14 @@ def _verify(source: str) -> str:
 
 _BROKEN = RANKED + """,
      br AS (SELECT * REPLACE (
-        CASE WHEN customer_id % 97 = 0 THEN churn_probability + 1
-             WHEN customer_id % 89 = 0 THEN NULL ELSE churn_probability END AS churn_probability,
-        CASE WHEN customer_id % 53 = 0 THEN 7 ELSE review_rank END AS review_rank,
-        CASE WHEN customer_id % 41 = 0 THEN 'severe' ELSE risk_band END AS risk_band,
-        CASE WHEN customer_id % 71 = 0 THEN true ELSE review_queue_flag END
+        CASE WHEN risk_band = 'high' THEN churn_probability + 1
+             WHEN churn_probability < 2e-1 THEN NULL ELSE churn_probability END
+            AS churn_probability,
+        CASE WHEN churn_probability BETWEEN 5e-1 AND 5.2e-1 THEN 7 ELSE review_rank END
+            AS review_rank,
+        CASE WHEN churn_probability BETWEEN 6e-1 AND 6.5e-1 THEN 'severe' ELSE risk_band END
+            AS risk_band,
+        CASE WHEN churn_probability < 2.5e-1 THEN true ELSE review_queue_flag END
             AS review_queue_flag) FROM q)"""
 
 
@@ -731,7 +734,7 @@ def statements() -> dict[str, str]:
         "verify_predictions": f"{RANKED} {_verify('q')}",
         "verify_predictions_broken": f"{_BROKEN} {_verify('br')}",
         "invalid_bands": f"{SCORED} SELECT 'x-' || risk_band AS risk_band, count(*) AS count"
-        " FROM sc WHERE customer_id % 41 = 0 GROUP BY risk_band",
+        " FROM sc WHERE monthly_income < 0 GROUP BY risk_band",
         "scored_details": f"{RANKED} SELECT count(*) AS row_count,"
         " count(*) FILTER (WHERE review_queue_flag) AS queue_size,"
         " CAST(sum(predicted_label) AS BIGINT) AS positive_predictions,"
