@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankwatch.llm import words as W
 from rankwatch.llm.common import stage
@@ -403,6 +404,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: boo
             columns = [*batch.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
 
-    schema = base.schema.add("score", "double").add("predicted", "int")
+    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    schema = T.StructType([*base.schema.fields, *added])
     out = base.mapInArrow(run, schema)
     return out if keep else out.drop("text")
