@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwatch.llm import chat, decontam, knn, langid, packing, secrets, sharding, tokencount, toxicity
+from rankwatch.llm import chat, decontam, knn, langid, neardup, packing, secrets, sharding, tokencount, toxicity
 from rankwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op5_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op6_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, d, "documents"), size=2)
+
+
 @query
 def op7_topk_search(spark: SparkSession, d: str) -> DataFrame:
     return knn.search(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)

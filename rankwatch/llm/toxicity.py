@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankwatch.llm import words as W
 from rankwatch.llm.common import stage
@@ -388,23 +387,31 @@ def _collect_evidence(sample: DataFrame, model: Model) -> np.ndarray:
     return np.array([tuple(r) for r in found.collect()])
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: bool = False) -> DataFrame:
-    """Add `score` and `predicted` to (doc_id, held_out), or to all columns with `keep`."""
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    drop = [c for c in ("score", "predicted") if c in docs.columns]
-    base = docs.drop(*drop) if keep else docs.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")
-    )
-    at = [c.lower() for c in base.columns].index("text")
+    base = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = sent.value.scores(sent.value.evidence(batch.column(2)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(value), pa.array((value >= threshold).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"],
+            )
+
+    kind = base.schema["doc_id"].dataType.simpleString()
+    return base.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.string())
-            value = sent.value.scores(sent.value.evidence(texts))
-            columns = [*batch.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
-
-    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    schema = T.StructType([*base.schema.fields, *added])
-    out = base.mapInArrow(run, schema)
-    return out if keep else out.drop("text")
+            value = sent.value.scores(sent.value.evidence(batch.column(at)))
+            yield batch.filter(pa.array(value < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
