@@ -14,10 +14,12 @@ at least `percent` / 100 are linked, and the classes are the connected component
 4. A pair's similarity is estimated from the smallest `k` values of both sketches together.
    Only pairs that are clearly below are dropped (more than five standard deviations).
 5. What is left is verified on the full sets, and the links are joined to components.
-6. Representatives with most of their retained pairs in long lists ("dominated") may have
-   partners that only long lists show. There, every representative that is not in the
-   component of its list's first one is compared on full sets with all of the list, block by
-   block. So long lists lose nothing either, and no group's pairs are ever listed.
+6. Representatives with more than an eighth of their neighbouring values in long lists
+   ("dominated") may have partners that only long lists show. There, every representative that
+   is not in the component of its list's first one meets all of the list with a similar size,
+   part by part on sketches; rows with a pair of different components that is not ruled out
+   meet again with their full sets, and what they link are components. So long lists lose
+   nothing either, and the pairs of a group are never written.
 
 Shingles are compared as 64-bit hashes. Sets larger than k are candidates unless no two
 neighbouring values among their k are common, which at the threshold has a chance below 1e-9.
@@ -33,18 +35,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import stage
+from rankwatch.llm.common import rows_in_parts, stage
 
 K = 40
 LIST = 16
 BLOCK_ROWS = 512
-LONG_PER_ROW = 12
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -214,71 +215,176 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _linked_in_block(percent: int):
-    """Within one block pair of a long list: spanning links between different labels."""
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        nothing = pd.DataFrame({"a": [], "b": []})
-        if not len(left) or not len(right):
-            return nothing
-        sets_l = [np.frombuffer(m, np.uint64) for m in left["members"]]
-        sets_r = [np.frombuffer(m, np.uint64) for m in right["members"]]
-        size_l, size_r = np.array([len(s) for s in sets_l]), np.array([len(s) for s in sets_r])
-        # Only shingles that stand on both sides count.
-        both = np.intersect1d(np.concatenate(sets_l), np.concatenate(sets_r))
-        shared = np.zeros((len(left), len(right)), np.float32)
-        for i in range(0, len(both), 4096):
-            some = both[i : i + 4096]
-            x, y = (np.zeros((len(s), len(some)), np.float32) for s in (sets_l, sets_r))
-            for table, sets in ((x, sets_l), (y, sets_r)):
-                for r, members in enumerate(sets):
-                    own = members[(members >= some[0]) & (members <= some[-1])]
-                    at = np.searchsorted(some, own)
-                    table[r, at[some[at] == own]] = 1
-            shared += x @ y.T
-        union = size_l[:, None] + size_r - shared
-        different = left["label"].to_numpy()[:, None] != right["label"].to_numpy()
-        i, j = np.nonzero((100 * shared >= percent * union) & different)
-        # One link for every pair of labels is enough to join them.
-        la, lb = left["label"].to_numpy()[i], right["label"].to_numpy()[j]
-        found = pd.DataFrame({"a": np.minimum(la, lb), "b": np.maximum(la, lb)})
-        return found.drop_duplicates()
+_PART = ("key", "t", "x", "y")
+
+
+class _Side:
+    """Rows of one side of a bucket of list parts, sorted by part."""
+
+    def __init__(self, rows: pa.Table):
+        self.columns = {c: rows.column(c).combine_chunks() for c in rows.column_names}
+        part = self["key"].view(np.uint64).copy()
+        for name in _PART[1:]:
+            part = W.mix(part + self[name].astype(np.int64).view(np.uint64) + _SEED)
+        self.order = np.argsort(part, kind="stable")
+        self.parts, self.head = np.unique(part[self.order], return_index=True)
+        self.head = np.append(self.head, len(part))
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return self.columns[name].to_numpy(zero_copy_only=False)
+
+    def rows(self, i: int) -> np.ndarray:
+        return self.order[self.head[i] : self.head[i + 1]]
+
+    def values(self, name: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values of the arrays of some rows, which of the rows each is of)"""
+        offsets, flat = self.columns[name].offsets.to_numpy(), self.columns[name].values.to_numpy()
+        size = offsets[rows + 1] - offsets[rows]
+        at = np.repeat(offsets[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return flat[at], np.repeat(np.arange(len(rows)), size)
+
+
+def _in_common(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """How many values every row of one side shares with every row of the other."""
+    both = np.intersect1d(one[0], two[0])
+    out = np.zeros(shape, np.float32)
+    for i in range(0, len(both), 4096):
+        some = both[i : i + 4096]
+        tables = []
+        for (values, owner), rows in zip((one, two), shape, strict=True):
+            at = np.searchsorted(some, values)
+            at[at == len(some)] = 0
+            hit = some[at] == values
+            table = np.zeros((rows, len(some)), np.float32)
+            table[owner[hit], at[hit]] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def _met(left: pa.Table, right: pa.Table) -> Iterator[tuple[_Side, _Side, np.ndarray, np.ndarray]]:
+    """The parts that both sides of a bucket have."""
+    if left.num_rows and right.num_rows:
+        one, two = _Side(left), _Side(right)
+        _, at_one, at_two = np.intersect1d(one.parts, two.parts, return_indices=True)
+        for p, q in zip(at_one.tolist(), at_two.tolist(), strict=True):
+            yield one, two, one.rows(p), two.rows(q)
+
+
+def _open_rows(k: int, percent: int, low: float, kind: pa.DataType):
+    """Rows of list parts with a pair of different labels that the union sketch does not rule
+    out. A pair counts in the first of the long lists that hold both."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        for one, two, rows, others in _met(left, right):
+            shape = (len(rows), len(others))
+            shared = _in_common(one.values("sketch", rows), two.values("sketch", others), shape)
+            n_one, n_two = one["n"][rows], two["n"][others]
+            small, large = np.minimum.outer(n_one, n_two), np.maximum.outer(n_one, n_two)
+            # Common values, against the fewest among the k smallest of the union.
+            some = (shared >= low * np.minimum(k, small)) & (100 * small >= percent * large)
+            some &= one["label"][rows][:, None] != two["label"][others]
+            if not some.any():
+                continue
+            own = one["key"][rows[0]]
+            earlier = []
+            for side, at in ((one, rows), (two, others)):
+                keys, owner = side.values("keys", at)
+                earlier.append((keys[keys < own], owner[keys < own]))
+            some &= _in_common(*earlier, shape) == 0
+            part = tuple(one[c][rows[0]] for c in _PART)
+            found += [(*part, 0, r) for r in one["rep"][rows[some.any(axis=1)]].tolist()]
+            found += [(*part, 1, r) for r in two["rep"][others[some.any(axis=0)]].tolist()]
+        columns = list(zip(*found, strict=True)) if found else [()] * 6
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), kind]
+        return pa.Table.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*_PART, "side", "rep"]
+        )
+
+    return run
+
+
+def _links_in_parts(percent: int, kind: pa.DataType):
+    """Pairs of labels that a pair of full sets in one part links."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: set[tuple] = set()
+        for one, two, rows, others in _met(left, right):
+            sets = [[np.frombuffer(m, np.uint64) for m in side["members"][at]] for side, at in ((one, rows), (two, others))]
+            size = [np.array([len(m) for m in side]) for side in sets]
+            flat = [(np.concatenate(side), np.repeat(np.arange(len(side)), n)) for side, n in zip(sets, size, strict=True)]
+            shared = _in_common(*flat, (len(rows), len(others)))
+            union = size[0][:, None] + size[1] - shared
+            label = one["label"][rows], two["label"][others]
+            i, j = np.nonzero((100 * shared >= percent * union) & (label[0][:, None] != label[1]))
+            a, b = label[0][i], label[1][j]
+            found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.Table.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
     return run
 
 
-def _long_lists(
-    members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int
+def _bucketed(one: DataFrame, two: DataFrame, parts: int, function, schema: str) -> DataFrame:
+    """Parts of both sides that meet, many in one call."""
+    buckets = rows_in_parts(one.sparkSession, parts, 32)
+    bucket = F.pmod(F.xxhash64(*_PART), F.lit(buckets)).cast("int")
+    # New names of columns, so the two sides are not mistaken for one.
+    one, two = (df.withColumn("bucket", bucket).toDF(*df.columns, "bucket") for df in (one, two))
+    return one.groupBy("bucket").cogroup(two.groupBy("bucket")).applyInArrow(function, schema)
+
+
+def _long_links(
+    docs: DataFrame, members: DataFrame, labels: DataFrame, size: int, k: int, percent: int
 ) -> DataFrame:
-    """Links between components inside long lists; `members` is (key, rep)."""
-    kind = members.schema["rep"].dataType.simpleString()
-    known = members.join(labels, "rep", "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label")
+    """Links between components inside long lists; `members` is (key, rep, n, sketch, keys).
+
+    Rows meet rows of their own and the neighbouring size classes; both sides of a class are
+    cut into parts of bounded size by a hash. What a part emits follows its rows, not its
+    pairs: first the rows with a pair that the sketches do not rule out, then, with their full
+    sets, the components that are linked."""
+    p = percent / 100
+    low = max(0.0, p - 5.5 * (p * (1 - p) / k) ** 0.5)
+    kind = members.schema["rep"].dataType
+    known = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    first = known.groupBy("key").agg(F.min(F.struct("rep", "label"))["label"].alias("first"))
+    # Sizes of one class and the next can differ by the asked ratio, never those two apart.
+    known = stage(
+        known.join(first, "key")
+        .withColumn("g", F.floor(F.log(F.col("n")) / F.lit(-np.log(p)) if p < 1 else F.col("n")).cast("int"))
+        .withColumn("apart", F.col("label") != F.col("first")).drop("first"),
+        "long-members",
     )
-    known = stage(known, "long-members")
-    first = known.groupBy("key").agg(F.min(F.struct("rep", "label"))["label"].alias("first"), F.count("*").alias("m"))
-    lists = known.join(first, "key")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / BLOCK_ROWS)).cast("int")
-    lists = stage(
-        lists.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("apart", F.col("label") != F.col("first"))
-        .select("key", "rep", "label", "blocks", "block", "apart"),
-        "long-lists",
+    left = known.where("apart").withColumn("t", F.explode(F.sequence(F.col("g") - 1, F.col("g") + 1)))
+    parts = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
+    asked = left.groupBy("key", "t").agg(F.count("*").alias("n_left"))
+    there = known.groupBy("key", F.col("g").alias("t")).agg(F.count("*").alias("n_right"))
+    cells = stage(
+        asked.join(there, ["key", "t"]).select("key", "t", parts("n_left").alias("lefts"), parts("n_right").alias("rights")),
+        "long-cells",
     )
-    apart = lists.where("apart")
-    open_ = stage(apart.select("key").distinct(), "open-lists")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = apart.select("key", "rep", "label", F.col("block").alias("i"), every.alias("j"))
-    right = lists.join(open_, "key", "left_semi").select(
-        "key", "rep", "label", every.alias("i"), F.col("block").alias("j")
+    hashed = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ("key", "rep", "n", "label", "sketch", "keys")
+    one = left.join(cells, ["key", "t"]).select(*columns, "t", hashed("lefts").alias("x"), every("rights").alias("y"))
+    two = known.withColumn("t", F.col("g")).join(cells, ["key", "t"]).select(
+        *columns, "t", every("lefts").alias("x"), hashed("rights").alias("y")
     )
-    # New names of columns, so the two sides are not mistaken for one.
-    whole = lambda side: side.join(sets, "rep").toDF("rep", "key", "label", "x", "y", "members")
-    return (
-        whole(left).groupBy("key", "x", "y").cogroup(whole(right).groupBy("key", "x", "y"))
-        .applyInPandas(_linked_in_block(percent), f"a {kind}, b {kind}")
+    n_parts = cells.agg(F.sum(F.col("lefts") * F.col("rights"))).first()[0] or 0
+    arrow = to_arrow_type(kind)
+    spelled = kind.simpleString()
+    open_ = stage(
+        _bucketed(one, two, n_parts, _open_rows(k, percent, low, arrow), f"key long, t int, x int, y int, side int, rep {spelled}"),
+        "open-rows",
     )
+    sets = stage(_sets(docs, open_.select("rep"), size), "open-sets")
+    whole = open_.join(sets, "rep").join(labels, "rep", "left").select(
+        *_PART, "side", "rep", F.coalesce("label", "rep").alias("label"), "members"
+    )
+    sides = (whole.where(F.col("side") == i).drop("side") for i in (0, 1))
+    n_open = open_.select(*_PART).distinct().count()
+    return _bucketed(*sides, 8 * n_open, _links_in_parts(percent, arrow), f"a {spelled}, b {spelled}").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) -> DataFrame:
@@ -308,7 +414,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
         .select("rep", "n_long", "n_keys"),
         "heavy",
     )
-    dominated = heavy.where("2 * n_long > n_keys").select("rep")
+    dominated = heavy.where("8 * n_long > n_keys").select("rep")
 
     short = entries.where("NOT long").join(
         heavy.select("rep", "n_long", "n_keys"), "rep", "left"
@@ -325,12 +431,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     # unless long lists have taken a part of the keys.
     pairs = met.where((F.col("met") > 1) | F.col("few")).select("a", "b")
 
-    ranked = Window.partitionBy("rep").orderBy("key")
-    in_long = stage(
-        long_.join(dominated, "rep", "left_semi").withColumn("r", F.row_number().over(ranked))
-        .where(F.col("r") <= LONG_PER_ROW).select("key", "rep", "n"),
-        "dominated",
-    )
+    in_long = stage(long_.join(dominated, "rep", "left_semi").select("key", "rep", "n"), "dominated")
     first = in_long.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("f")).select(
         "key", F.col("f.rep").alias("a"), F.col("f.n").alias("n_a")
     )
@@ -341,18 +442,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     pairs = stage(pairs.unionByName(to_first).distinct(), "pairs")
     likely = stage(estimated(pairs, classes, k, percent), "likely")
 
-    needed = (
-        likely.select(F.col("a").alias("rep")).unionByName(likely.select(F.col("b").alias("rep")))
-        .unionByName(in_long.select("rep")).distinct()
-    )
-    sets = stage(full_sets(docs, stage(needed, "needed"), size).dropDuplicates(["rep"]), "sets")
-    links = stage(verified(likely, sets, percent), "verified")
-    labels = components(links)
-    more = stage(_long_lists(in_long, labels, sets, percent), "long-links")
-    if more.limit(1).count():
-        own = labels.where("rep <> label").select(F.col("rep").alias("a"), F.col("label").alias("b"))
-        labels = components(own.unionByName(more))
-    return _members(rows, classes, labels)
+    ends = likely.select(F.col("a").alias("rep")).unionByName(likely.select(F.col("b").alias("rep")))
+    sets = stage(_sets(docs, ends, size), "sets")
+    labels = components(verified(likely, sets, percent))
+
+    # A row holds at most k - 1 keys.
+    own_keys = in_long.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    members = in_long.join(own_keys, "rep").join(classes.select("rep", "sketch"), "rep")
+    more = _long_links(docs, members, labels, size, k, percent)
+    linked = labels.where("rep <> label").select(F.col("rep").alias("a"), F.col("label").alias("b"))
+    return _members(rows, classes, components(linked.unionByName(more)))
+
+
+def _sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """Full sets of some representatives, each once."""
+    return full_sets(docs, stage(reps.distinct(), "needed"), size).dropDuplicates(["rep"])
 
 
 def _members(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
