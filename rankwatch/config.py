@@ -96,17 +96,28 @@ class Config:
     monitor_numeric: tuple[str, ...] = MONITOR_NUMERIC
     monitor_categorical: tuple[str, ...] = MONITOR_CATEGORICAL
 
-    # Quoted CSV fields may hold line breaks; files are only split when this is off.
-    csv_line_breaks: bool = True
+    # All date and text columns a profile describes; empty: the one used by the features.
+    date_columns: tuple[str, ...] = ()
+    text_columns: tuple[str, ...] = ()
 
-    # One-hot width is a model dimension, so it has to be finite; more levels raise.
-    max_levels: int = 20_000
+    # Ids read from CSV get this type.
+    id_type: str = "bigint"
+    # Quoted CSV fields may hold line breaks when this is on; a file is one task then.
+    csv_line_breaks: bool = False
 
     def required_columns(self, require_target: bool) -> tuple[str, ...]:
         if require_target:
             return self.required
         return tuple(c for c in self.required if c != self.target_column)
 
+    @property
+    def dates(self) -> tuple[str, ...]:
+        return self.date_columns or (self.date_column,)
+
+    @property
+    def texts(self) -> tuple[str, ...]:
+        return self.text_columns or (self.text_column,)
+
     @property
     def keyword_columns(self) -> tuple[str, ...]:
         return tuple(f"{self.keyword_prefix}_{w.strip()}" for w in self.keywords)
@@ -124,10 +135,6 @@ class Config:
     def model_numeric(self) -> tuple[str, ...]:
         return tuple(dict.fromkeys(self.numeric + self.derived))
 
-    @property
-    def slice_columns(self) -> tuple[str, ...]:
-        return (*self.categorical, "age_band", "support_ticket_band")
-
     def with_(self, **changes: Any) -> "Config":
         return replace(self, **changes)
 
@@ -146,8 +153,11 @@ class Config:
             "target_column": data.get("target_column"),
             "numeric": feats.get("numeric"),
             "categorical": feats.get("categorical"),
-            "date_column": next(iter(feats.get("date", [])), None),
-            "text_column": next(iter(feats.get("text", [])), None),
+            # The first one feeds the features, all of them are profiled.
+            "date_column": (feats.get("date") or [None])[0],
+            "text_column": (feats.get("text") or [None])[0],
+            "date_columns": feats.get("date"),
+            "text_columns": feats.get("text"),
             "tenure_column": derived.get("tenure_column"),
             "ticket_flag_column": derived.get("support_ticket_rule_column"),
             "length_column": derived.get("feedback_length_column"),

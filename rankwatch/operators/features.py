@@ -131,21 +131,18 @@ def invalid_tickets(df: DataFrame, cfg: Config) -> DataFrame:
 def check_features(
     df: DataFrame, cfg: Config, reference_date: str | dt.date | None = None
 ) -> None:
-    """Raise with a sample of the offending values; one small job when all is well."""
+    """Raise on inputs without a value; one small job when all is well.
+
+    The error counts them and carries a table of every distinct offending value."""
     fired = feature_findings(df, cfg, reference_date).where("fired").collect()
     if not fired:
         return
-    parts = []
-    for r in fired:
-        bad = {"invalid_date": invalid_dates, "invalid_tickets": invalid_tickets}.get(r["code"])
-        shown = ""
-        if bad is not None:
-            listed = bad(df, cfg).orderBy("value").limit(20).collect()
-            shown = " " + str([x["value"] for x in listed])
-        parts.append(f"{r['code']}({r['column']}){shown}")
-    raise FeatureError("; ".join(parts))
-
-
-def model_frame(df: DataFrame, cfg: Config) -> DataFrame:
-    """Only the columns a model may see: no id, target, raw date or raw text."""
-    return df.select(*[quoted(c) for c in (*cfg.model_numeric, *cfg.categorical)])
+    listed = {"invalid_date": invalid_dates, "invalid_tickets": invalid_tickets}
+    parts = [
+        f"{r['code']}({r['column']})" + (f": {r['value']:g} rows" if r["code"] in listed else "")
+        for r in fired
+    ]
+    error = FeatureError("; ".join(parts))
+    error.values = {r["code"]: listed[r["code"]](df, cfg) for r in fired if r["code"] in listed}
+    raise error
+

@@ -94,8 +94,9 @@ def check_rule(df: DataFrame, cfg: Config, need_target: bool = True) -> None:
         raise RuleError(f"non-numeric values in {', '.join(bad)}")
 
 
-def evaluate_rule(df: DataFrame, cfg: Config, strict: bool = False) -> DataFrame:
-    """The threshold rule against the labels, one row."""
+def evaluate_rule(df: DataFrame, cfg: Config, strict: bool = True) -> DataFrame:
+    """The threshold rule against the labels, one row. Rows without tickets or label have no
+    answer and raise, unless `strict` is off."""
     if strict:
         check_rule(df, cfg)
     out = confusion(df, num(df.schema, cfg.target_column), rule_prediction(df, cfg))

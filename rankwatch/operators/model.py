@@ -22,7 +22,6 @@ from rankwatch.operators.scoring import PROBABILITY
 from rankwatch.operators.split import stratified_split
 
 MODEL_NAME = "logistic_regression"
-ROWS_PER_TASK = 50_000
 _ML_COLUMNS = ("rawPrediction", "probability", "prediction")
 
 
@@ -48,18 +47,8 @@ class Bundle:
         return self.predict_proba(df, "_p").withColumn("predicted_label", F.expr(label)).drop("_p")
 
 
-def class_weights(df: DataFrame, cfg: Config) -> DataFrame:
-    """(label, n, weight): weight = rows / (classes * rows of the class).
-
-    The two-row class table is scanned twice through one exchange, never windowed.
-    """
-    y = F.expr(f"CAST({num(df.schema, cfg.target_column)} AS INT) AS label")
-    counts = df.groupBy(y).agg(F.expr("count(*) AS n"))
-    total = counts.agg(F.sum("n") / F.count(F.lit(1))).scalar()
-    return counts.withColumn("weight", total / F.col("n"))
-
-
-def _weight(y: Column, positives: int, rows: int) -> Column:
+def class_weight(y: Column, positives: int, rows: int) -> Column:
+    """rows / (classes * rows of the class)"""
     return F.when(y == 1, rows / (2 * positives)).otherwise(rows / (2 * (rows - positives)))
 
 
@@ -70,9 +59,8 @@ def fit_classifier(features: DataFrame, label: str, positives: int, rows: int):
     is regParam = 1 / sum(weights), and balanced weights sum to the row count. The columns
     are scaled already; scaling again inside the solver would change the penalty.
     """
-    weight = _weight(F.col(label), positives, rows).alias("_weight")
-    # Every solver step is a job over all partitions, so tiny ones cost more than they give.
-    data = features.select(FEATURES, F.col(label), weight).coalesce(max(1, rows // ROWS_PER_TASK))
+    weight = class_weight(F.col(label), positives, rows).alias("_weight")
+    data = features.select(FEATURES, F.col(label), weight)
     return LogisticRegression(
         featuresCol=FEATURES,
         labelCol=label,

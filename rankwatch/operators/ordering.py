@@ -3,15 +3,16 @@
 A window without a partition key sends every row to one task. Here the order is cut
 into slices at approximate quantiles. The cut points come from one narrow aggregate and
 are literals afterwards, so a slice number is a pure function of the row: no sampling
-twice, nothing to pin, and a recomputed task lands where it was. Totals per slice (a
-table bounded by the slice count) give each slice its starting offset, and windows run
-inside slices only.
+twice, nothing to pin, and a recomputed task lands where it was. The number of slices
+follows the row count. Totals per slice give each slice its starting offset, in two levels,
+and windows run inside slices only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +26,12 @@ ACCURACY = 10_000
 # megabytes per task, and one task has to merge them all.
 SAMPLE_ROWS = 1_000_000
 SIGMAS = 6
-MIN_SLICES, MAX_SLICES = 64, 10_000
+# Narrowing a bracket takes a few samples; one that never succeeds has a wrong count.
+MOST_TRIES = 100
+# A slice is one task's work.
+ROWS_PER_SLICE = 250_000
+# Offsets are summed inside runs of so many slice numbers first.
+SLICES_PER_BLOCK = 4096
 # A value filling this many neighbouring cut points is spread over slices of its own,
 # this many per cut point it fills.
 HOT_RUN = 4
@@ -38,10 +44,10 @@ def _col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def slice_count(spark: SparkSession) -> int:
-    """Four slices per shuffle partition, within bounds that keep the offset table small."""
+def slice_count(spark: SparkSession, rows: int) -> int:
+    """Slices of a bounded size, and enough of them to keep every task busy."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_SLICES, min(MAX_SLICES, 4 * parts))
+    return max(4 * parts, -(-rows // ROWS_PER_SLICE))
 
 
 def _fractions(slices: int) -> list[float]:
@@ -86,14 +92,18 @@ class Cuts:
 
 
 def cut_points(
-    df: DataFrame, columns: Mapping[str, Column], slices: int, sample_rows: int = SAMPLE_ROWS
+    df: DataFrame,
+    columns: Mapping[str, Column],
+    slices: int,
+    rows: int,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, Cuts]:
-    """Quantile cut points of several double columns (a count and one narrow aggregate).
+    """Quantile cut points of several double columns (one narrow aggregate).
 
     They decide how even the slices are, never which rows are kept.
     """
-    rows, wanted = df.count(), max(sample_rows, 100 * slices)
-    drawn = df if rows <= wanted else df.sample(wanted / rows, seed=17)
+    wanted = max(sample_rows, 100 * slices)
+    drawn = df.sample(min(1.0, wanted / max(rows, 1)), seed=17)
     accuracy = max(ACCURACY, 8 * slices)
     row = drawn.agg(
         *[
@@ -105,16 +115,37 @@ def cut_points(
 
 
 def _offsets(totals: DataFrame, key: str, sums: Mapping[str, str]) -> DataFrame:
-    """Sums over all earlier slices. `totals` holds one row per slice: at most the slice
-    count, and 2 x HOT_FAN times that where hot values are spread. That is some 300,000 rows
-    of two numbers at MAX_SLICES, so one task and a broadcast are safe."""
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
+    """Sums over all earlier slices, in two levels: inside blocks of neighbouring slices, and
+    over the blocks. Only the block totals meet in one task: one row per SLICES_PER_BLOCK
+    slices."""
+    blocks = totals.withColumn("_block", F.floor(F.col(key) / SLICES_PER_BLOCK))
+    inside = Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocks.groupBy("_block").agg(*[F.sum(c).alias(c) for c in sums.values()])
+    above = sizes.select(
+        "_block", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"_o_{c}") for c in sums.values()]
+    )
+    return blocks.join(above, "_block").select(
         key,
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(out) for out, c in sums.items()],
+        *[
+            (F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_o_{c}")).alias(out)
+            for out, c in sums.items()
+        ],
     )
 
 
+def text_position(df: DataFrame, column: str) -> Column:
+    """A double that never falls as the text rises: six bytes after what all texts share.
+
+    The least and the greatest text share a beginning exactly as long as all texts do."""
+    raw = F.encode(_col(column), "UTF-8")
+    ends = df.agg(F.min(raw).alias("a"), F.max(raw).alias("b")).first()
+    a, b = bytes(ends["a"] or b""), bytes(ends["b"] or b"")
+    shared = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    digits = F.rpad(F.hex(F.substring(raw, shared + 1, 6)), 12, "0")
+    return F.conv(digits, 16, 10).cast("double")
+
+
 def global_rank(
     df: DataFrame, score: str, tie: str, rank: str, slices: int | None = None
 ) -> DataFrame:
@@ -124,20 +155,18 @@ def global_rank(
     larger than a slice. A score shared by many rows is split further by quantiles of the
     tie column, which any subset of the rows must spread over.
     """
-    slices = slices or slice_count(df.sparkSession)
+    rows = df.count()
+    slices = slices or slice_count(df.sparkSession, rows)
     kind = df.schema[tie].dataType
-    tie_key = (
-        _col(tie).cast("double")
-        if isinstance(kind, T.NumericType)
-        else F.xxhash64(_col(tie)).cast("double")
-    )
+    # Slices follow the order of the tie column itself, whatever its type.
+    tie_key = text_position(df, tie) if isinstance(kind, T.StringType) else _col(tie).cast("double")
     keyed = df.withColumns(
         {
             "_score": F.expr(num(df.schema, score)),
             "_tie": tie_key,
         }
     )
-    cuts = cut_points(keyed, {"_score": F.col("_score"), "_tie": F.col("_tie")}, slices)
+    cuts = cut_points(keyed, {"_score": F.col("_score"), "_tie": F.col("_tie")}, slices, rows)
     points, tie_points = cuts["_score"].points, cuts["_tie"].points
     tie_slots = len(tie_points) + 1
 
@@ -160,13 +189,11 @@ def global_rank(
     totals = keyed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(totals, "_slice", {"_before": "_n"})
 
-    order = [F.col("_score").desc_nulls_last()]
-    if not isinstance(kind, T.NumericType):
-        order.append(F.col("_tie").asc())
-    order.append(_col(tie).asc_nulls_last())
-    inside = Window.partitionBy("_slice").orderBy(*order)
+    inside = Window.partitionBy("_slice").orderBy(
+        F.col("_score").desc_nulls_last(), _col(tie).asc_nulls_last()
+    )
     return (
-        keyed.join(F.broadcast(offsets), "_slice", "left")
+        keyed.join(offsets, "_slice", "left")
         .withColumn(rank, F.col("_before") + F.row_number().over(inside).cast("long"))
         .select(*[_col(c) for c in df.columns if c != rank], rank)
     )
@@ -185,8 +212,9 @@ def running_totals(
     the table before that step: cut points are taken from it, without a shuffle, and a slice
     has no more distinct keys than it has rows.
     """
-    slices = slices or slice_count(df.sparkSession)
-    points = cut_points(source, {key: _col(key).cast("double")}, slices)[key].points
+    rows = source.count()
+    slices = slices or slice_count(df.sparkSession, rows)
+    points = cut_points(source, {key: _col(key).cast("double")}, slices, rows)[key].points
     cut = _cut(df.withColumn("_key", _col(key).cast("double")), "_key", points, "_cut")
     cut = cut.withColumn("_slice", (len(points) - F.col("_cut")).cast("long"))
     totals = cut.groupBy("_slice").agg(
@@ -199,7 +227,7 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        cut.join(F.broadcast(offsets), "_slice", "left")
+        cut.join(offsets, "_slice", "left")
         .withColumns(
             {out: F.col(f"_b_{out}") + F.sum(_col(c)).over(inside) for out, c in sums.items()}
         )
@@ -236,6 +264,7 @@ class Bracket:
     inside: int
     slack: float = 1.0
     settled: bool = False
+    tries: int = 0
 
     def holds(self, v: Column) -> Column:
         return v.between(self.low, self.high)
@@ -249,8 +278,11 @@ def _narrow(
     sample_rows: int,
 ) -> None:
     """Shrink the given brackets once: estimate on a sample, count, accept what is proven."""
-    samples, estimates = [], []
+    samples, estimates, whole = [], [], {}
     for n, k in brackets.items():
+        k.tries += 1
+        if k.tries > MOST_TRIES:
+            raise ValueError(f"{n}: the number of values given is not the number found")
         t = targets[n]
         f1, f2 = (t.low - k.below) / k.inside, (t.high - k.below + 1) / k.inside
         drawn = min(1.0, sample_rows / k.inside)
@@ -259,10 +291,16 @@ def _narrow(
         if drawn < 1:
             chosen = chosen & (F.rand(round_) < drawn)
         ends = [max(0.0, f1 - noise), min(1.0, f2 + noise)]
+        whole[n] = (ends[0] == 0.0, ends[1] == 1.0)
         samples.append(F.when(chosen, t.value).alias(n))
         estimates.append(F.percentile_approx(_col(n), ends, ACCURACY).alias(n))
     found = df.select(*samples).agg(*estimates).first()
-    trial = {n: found[n] for n in brackets if found[n] is not None}
+    # An end of the sample says nothing about the end of the bracket: that stays.
+    trial = {
+        n: (k.low if whole[n][0] else found[n][0], k.high if whole[n][1] else found[n][1])
+        for n, k in brackets.items()
+        if found[n] is not None
+    }
     counts = df.agg(
         F.lit(0),
         *[F.count_if(targets[n].value < t[0]).alias(f"{n}|below") for n, t in trial.items()],
@@ -275,11 +313,13 @@ def _narrow(
         below, inside = counts[f"{n}|below"], counts[f"{n}|in"]
         if not below <= targets[n].low <= targets[n].high < below + inside:
             k.slack *= 2  # an unlucky sample; the old bracket stands
-        elif inside < k.inside:
-            k.low, k.high, k.below, k.inside = trial[n][0], trial[n][1], below, inside
-        else:
-            k.settled = True  # what is left is a few values with many rows each
-        k.settled |= k.low == k.high or k.slack > 1000
+            continue
+        if all(whole[n]):
+            k.slack = 1.0  # the sample was too small to say anything: another one
+            continue
+        # The same ends again: what is left are a few values with many rows each.
+        k.settled = (k.low, k.high) == trial[n] or trial[n][0] == trial[n][1]
+        (k.low, k.high), k.below, k.inside = trial[n], below, inside
 
 
 def order_statistics(
@@ -290,18 +330,22 @@ def order_statistics(
 ) -> dict[str, Found]:
     """Exact values at sorted positions, for several expressions at once.
 
-    Each target keeps a bracket known to hold its positions. While a bracket holds more
-    than `direct_rows` values it is narrowed by quantiles of a sample (two narrow passes for
-    all targets; the new bracket is counted on all rows before it is believed). Then only
-    values inside brackets are grouped and ordered. No task ever holds a whole column.
+    Each target keeps a bracket known to hold its positions. It is narrowed by quantiles of a
+    sample (two narrow passes for all targets; the new bracket is counted on all rows before
+    it is believed), again while it holds more than `direct_rows` values. Then only values
+    inside brackets are grouped and ordered. No task ever holds a whole column. A wrong
+    `count` is an error.
     """
     open_ = {n: t for n, t in targets.items() if t.count > 0}
     if not open_:
         return {}
     brackets = {n: Bracket(float("-inf"), float("inf"), 0, t.count) for n, t in open_.items()}
     round_ = 0
+    # Every bracket is narrowed once at least, so what is ordered at the end is a few values.
     while wide := {
-        n: k for n, k in brackets.items() if k.inside > direct_rows and not k.settled
+        n: k
+        for n, k in brackets.items()
+        if not k.settled and (k.tries == 0 or k.inside > direct_rows)
     }:
         round_ += 1
         _narrow(df, open_, wide, round_, sample_rows)
@@ -313,8 +357,10 @@ def order_statistics(
         )
         for n, t in open_.items()
     ]
+    near = reduce(lambda a, b: a | b, (brackets[n].holds(t.value) for n, t in open_.items()))
     grouped = (
-        df.select(F.inline(F.array(*entries)))
+        df.where(near)
+        .select(F.inline(F.array(*entries)))
         .where("value IS NOT NULL")
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from rankwatch.config import Config
 from rankwatch.functions.features import derived
-from rankwatch.functions.rows import aggregate, unpivot
+from rankwatch.functions.rows import aggregate
 from rankwatch.functions.values import day, double, num, quoted, text
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
 from rankwatch.operators.quality import category_counts
@@ -70,36 +70,18 @@ def fit_numeric(
     return out
 
 
-def category_modes(counts: DataFrame) -> DataFrame:
-    """(feature, mode): most frequent present value, the smallest one on ties."""
-    return (
-        counts.where("value IS NOT NULL")
-        .groupBy("feature")
-        .agg(F.expr("min(struct(-n AS k, value)).value AS mode"))
-    )
-
-
 def learn_categories(
     df: DataFrame, cfg: Config
 ) -> tuple[dict[str, list[str]], dict[str, str]]:
-    """(sorted levels, mode) per column from one grouped count.
+    """(sorted levels, most frequent level) per column from one grouped count.
 
-    Each level becomes a model dimension, so their number has to be finite: the result is
-    cut one row past the allowed total and a fuller one is refused, never shortened.
+    Every level is a coefficient of the model, which the solver keeps on the driver, so the
+    levels are no larger than what is fitted. Ties go to the smaller level.
     """
-    limit = cfg.max_levels * max(1, len(cfg.categorical))
-    rows = (
-        category_counts(df, list(cfg.categorical), fill=False)
-        .where("value IS NOT NULL")
-        .limit(limit + 1)
-        .collect()
-    )
+    rows = category_counts(df, list(cfg.categorical), fill=False).where("value IS NOT NULL").collect()
     found: dict[str, list[tuple[int, str]]] = {c: [] for c in cfg.categorical}
     for r in rows:
         found[r["feature"]].append((-r["n"], r["value"]))
-    over = [c for c, v in found.items() if len(v) > cfg.max_levels]
-    if over or len(rows) > limit:
-        raise ValueError(f"too many levels for one-hot encoding: {over or cfg.categorical}")
     levels = {c: sorted(v for _, v in vs) for c, vs in found.items()}
     return levels, {c: min(vs)[1] for c, vs in found.items() if vs}
 
@@ -191,16 +173,3 @@ def fit_prep(
     )
     return PipelineModel(stages), PipelineModel(stages[1:]).transform(base)
 
-
-def one_hot_long(df: DataFrame, cfg: Config) -> DataFrame:
-    """(id, feature, level): the set entries of the one-hot block, missing filled by mode.
-
-    The modes are a table with one row per configured column, so they are broadcast.
-    """
-    counts = category_counts(df, list(cfg.categorical), fill=False)
-    modes = category_modes(counts)
-    values = {c: f"CAST({quoted(c)} AS STRING)" for c in cfg.categorical}
-    long = unpivot(df, [f"{quoted(cfg.id_column)} AS id"], values, "feature", "value")
-    return long.join(F.broadcast(modes), "feature", "left").selectExpr(
-        "id", "feature", "coalesce(value, mode) AS level"
-    )

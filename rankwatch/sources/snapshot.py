@@ -11,15 +11,18 @@ from rankwatch.functions.values import day, num, quoted, tokens_to_null
 from rankwatch.operators.quality import validate
 
 
-def read_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """Every column as text, null tokens as null.
 
     Types are not inferred: inference reads the data twice and would turn a bad number into
     a text column before it can be counted. A byte-order mark is dropped by the reader.
-    Quoted fields may hold line breaks, which makes a file one task; switch `line_breaks` off
-    for large files whose texts have none, and they are split.
+    With `line_breaks` quoted fields may hold line breaks, which makes a file one task; without,
+    large files are split. Columns are matched by the header of each file, which fails when
+    the files of a folder disagree.
     """
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=line_breaks)
+    reader = spark.read.options(
+        header=True, quote='"', escape='"', multiLine=line_breaks, enforceSchema=False
+    )
     names = spark.read.options(header=True, quote='"', escape='"').csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = reader.schema(schema).csv(path)
@@ -42,11 +45,8 @@ def typed(df: DataFrame, cfg: Config) -> DataFrame:
     if d in df.columns:
         casts[d] = day(df.schema, d, cfg.date_format)
     if idc in df.columns and isinstance(df.schema[idc].dataType, T.StringType):
-        # Ids stay text unless every one is a whole number; text sorts differently.
-        whole = f"TRY_CAST({quoted(idc)} AS BIGINT)"
-        other = f"count_if({quoted(idc)} IS NOT NULL AND {whole} IS NULL)"
-        if not df.agg(F.expr(f"{other} AS n")).first()["n"]:
-            casts[idc] = whole
+        # An id that is not of the configured type is an error, not a missing id.
+        casts[idc] = f"CAST({quoted(idc)} AS {cfg.id_type})"
     return df.withColumns({c: F.expr(e) for c, e in casts.items()})
 
 

@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _RUN = uuid.uuid4().hex[:12]
-_local: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data.
-
-    Only a local master, where driver and executors are one machine, gets a folder
-    of its own when the setting is absent.
-    """
+    """The folder the cluster names for intermediate data; where it names none, a folder
+    beside the session's tables, which all executors reach as well."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="rankwatch-")
-    return _local[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -43,13 +37,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    for paths in getattr(_scopes, "open", ()):
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is dropped at the end, also after an error. Results must have been
+    written by then."""
+    paths: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", ()), paths]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        for path in paths:
+            _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> None:
-    """Delete what this process staged; call when its result tables are written."""
-    folder = f"{shared_dir(spark)}/rankwatch-{_RUN}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    """Delete everything this process staged; call when its result tables are written."""
+    _delete(spark, f"{shared_dir(spark)}/rankwatch-{_RUN}")

@@ -6,9 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rankwatch.config import Config
+from rankwatch.config import REQUIRED, Config
 
 # Customers silent for longer than this before the last order count as lost.
 SILENT_DAYS = 240
@@ -17,37 +16,15 @@ REFERENCE_END = "1995-07-01"
 # Same idea on the event table.
 EVENTS_REFERENCE_END = "2024-01-16"
 
-SNAPSHOT_COLUMNS = (
-    "customer_id",
-    "signup_date",
-    "age",
-    "gender",
-    "city",
-    "education_level",
-    "employment_status",
-    "monthly_income",
-    "monthly_bill",
-    "internet_usage_gb",
-    "call_minutes",
-    "contract_type",
-    "support_tickets",
-    "customer_feedback",
-    "churn",
-)
+SNAPSHOT_COLUMNS = REQUIRED
 
 # Words that do occur in the document table.
 DOCUMENT_KEYWORDS = ("license", "data", "the ")
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A warehouse table; its footers are read for the schema once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A warehouse table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def snapshot(
@@ -55,8 +32,9 @@ def snapshot(
 ) -> DataFrame:
     """One row per customer with all roles, or only `columns`.
 
-    The two left joins are on unique keys and keep every row, so each is left out when
-    none of its columns is asked for: no scan of lineitem or documents without need.
+    Every join is a left join on a unique key, so every customer is kept. One without orders
+    signed up on the day of the last order, has no urgent one and nothing else to average.
+    Line items and documents are left out when none of their columns is asked for.
     Line items collapse to one row per order before they meet the orders, which keeps a
     heavy order or customer from moving its rows through the join.
     """
@@ -85,14 +63,12 @@ def snapshot(
         sums += [F.lit(None).cast("double").alias("qty"), F.lit(None).cast("long").alias("n_lines")]
     per_customer = per_order.groupBy("o_custkey").agg(*sums)
 
-    # 25 nations and 5 regions at every scale: broadcast, or customers would be shuffled by
-    # 25 keys.
-    nation, region = (F.broadcast(table(spark, sf_dir, t)) for t in ("nation", "region"))
+    nation, region = (table(spark, sf_dir, t) for t in ("nation", "region"))
     out = (
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
     )
     if "customer_feedback" in wanted:
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,7 +80,7 @@ def snapshot(
     silent = F.col("last_o") < last_order - F.expr(f"INTERVAL {SILENT_DAYS} DAYS")
     roles: dict[str, Column] = {
         "customer_id": F.col("c_custkey"),
-        "signup_date": F.col("first_o").cast("date"),
+        "signup_date": F.coalesce(F.col("first_o"), last_order).cast("date"),
         "age": (18 + F.col("c_custkey") % 90).cast("int"),
         "gender": F.when(F.col("c_custkey") % 2 == 0, "Female").otherwise("Male"),
         "city": F.col("n_name"),
@@ -117,7 +93,7 @@ def snapshot(
         "internet_usage_gb": F.col("qty") / F.col("n_lines"),
         "call_minutes": F.col("n_lines").cast("double"),
         "contract_type": F.col("c_mktsegment"),
-        "support_tickets": F.col("urgent").cast("int"),
+        "support_tickets": F.coalesce(F.col("urgent"), F.lit(0)).cast("int"),
         "customer_feedback": F.col("text"),
         "churn": F.when(silent, 1).otherwise(0),
     }

@@ -18,7 +18,7 @@ from rankwatch.operators.quality import DataValidationError, raise_on, validate
 from rankwatch.plans.runs import drift_report, monitor, score_batch
 from rankwatch.sources.outputs import load_bundle, write_report, write_scored
 from rankwatch.sources.snapshot import typed
-from rankwatch.sources.staging import stage
+from rankwatch.sources.staging import stage, staging
 
 
 def arriving(
@@ -41,9 +41,15 @@ def handle_batch(
     raw: DataFrame, batch_id: int, bundle: Bundle, cfg: Config, out: str, reject: bool
 ) -> None:
     """Validate, score, rank and compare one batch; write everything under its number."""
+    with staging(raw.sparkSession):
+        # The raw rows are read by several jobs; a staged copy can not change between them.
+        _handle(stage(raw, "arrived"), batch_id, bundle, cfg, out, reject)
+
+
+def _handle(
+    raw: DataFrame, batch_id: int, bundle: Bundle, cfg: Config, out: str, reject: bool
+) -> None:
     folder = f"batch={batch_id:09d}"
-    # The raw rows are read by several jobs; a staged copy can not change between them.
-    raw = stage(raw, "arrived")
     findings = validate(raw, cfg, require_target=False)
     try:
         raise_on(findings, DataValidationError)
@@ -54,6 +60,7 @@ def handle_batch(
         return
     batch = typed(raw, cfg)
     scored, summary = score_batch(batch, bundle, cfg)
+    summary = stage(summary, "summary")
     write_scored(scored, summary, f"{out}/scored/{folder}", f"{out}/summary/{folder}")
     tables = monitor(batch, bundle, summary, cfg)
     write_report(drift_report(tables), f"{out}/drift/{folder}")

@@ -13,6 +13,7 @@ from rankwatch.operators.ordering import (
     medians,
     order_statistics,
     running_totals,
+    slice_count,
 )
 
 SHAPES = {
@@ -43,14 +44,38 @@ def test_rank_equals_plain_window(spark, shape):
     assert {r["id"]: r["rank"] for r in got.collect()} == want
 
 
-def test_rank_with_text_ids_and_null_ids(spark):
-    df = table(spark, "one third equal", 600, ids=lambda i: f"c{i}")
-    ranks = global_rank(df, "p", "id", "rank", slices=64)
-    assert sorted(r["rank"] for r in ranks.collect()) == list(range(1, 601))
-    pairs = [(r["p"], r["rank"]) for r in ranks.orderBy("rank").collect()]
-    assert all(a[0] >= b[0] for a, b in zip(pairs, pairs[1:]))
-    holes = spark.createDataFrame([(None, 0.5), (1, 0.5), (None, None)], "id long, p double")
-    assert sorted(r["rank"] for r in global_rank(holes, "p", "id", "rank").collect()) == [1, 2, 3]
+@pytest.mark.parametrize("prefix", ["c", "", "a long common beginning of ids "])
+def test_rank_with_text_ids_is_the_order_of_the_ids(spark, prefix):
+    df = table(spark, "one third equal", 600, ids=lambda i: f"{prefix}{i}")
+    got = global_rank(df, "p", "id", "rank", slices=64)
+    plain = F.row_number().over(Window.orderBy(F.col("p").desc(), F.col("id")))
+    want = {r["id"]: r["w"] for r in df.select("id", plain.alias("w")).collect()}
+    assert {r["id"]: r["rank"] for r in got.collect()} == want
+
+
+def test_rank_with_null_ids(spark):
+    for kind, one in (("long", 1), ("string", "1")):
+        holes = spark.createDataFrame([(None, 0.5), (one, 0.5), (None, None)], f"id {kind}, p double")
+        assert sorted(r["rank"] for r in global_rank(holes, "p", "id", "rank").collect()) == [1, 2, 3]
+
+
+def test_slices_follow_the_rows(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert slice_count(spark, 10) == 4 * parts
+    assert slice_count(spark, 10**12) == 10**12 // ordering.ROWS_PER_SLICE
+
+
+def test_offsets_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SLICES_PER_BLOCK", 3)
+    totals = spark.range(20).selectExpr("id * 2 AS s", "id + 1 AS n")
+    got = {r["s"]: r["b"] for r in ordering._offsets(totals, "s", {"b": "n"}).collect()}
+    assert got == {2 * i: i * (i + 1) // 2 for i in range(20)}
+
+
+def test_a_wrong_count_is_an_error(spark):
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS v")
+    with pytest.raises(ValueError, match="number of values"):
+        order_statistics(df, {"v": Target(F.col("v"), 500, 500, 1000)}, 5, 1000)
 
 
 def test_rank_of_nothing(spark):
@@ -59,7 +84,7 @@ def test_rank_of_nothing(spark):
 
 def test_rank_with_sampled_cut_points(spark, monkeypatch):
     df = table(spark, "one third equal", 3000)
-    few = lambda d, c, n, _=0: cut_points(d, c, n, 1)
+    few = lambda d, c, n, rows: cut_points(d, c, n, rows, 1)
     monkeypatch.setattr(ordering, "cut_points", few)
     got = global_rank(df, "p", "id", "rank", slices=8)
     plain = F.row_number().over(Window.orderBy(F.col("p").desc(), F.col("id")))
@@ -87,7 +112,7 @@ def global_rank_slices(df):
 def test_crowded_score_is_spread_over_tasks(spark):
     """A score held by a third of the rows may not meet in one slice."""
     df = table(spark, "one third equal", 6400)
-    found = cut_points(df, {"p": F.col("p")}, 64)["p"]
+    found = cut_points(df, {"p": F.col("p")}, 64, 6400)["p"]
     assert found.hot == {0.5: pytest.approx(64 / 3, abs=2)}
     sizes = global_rank_slices(df)
     assert max(sizes) <= 2 * 6400 / 64 and sum(sizes) == 6400

@@ -114,14 +114,27 @@ def test_csv_is_read_as_text(spark, cfg, write_csv):
 def test_csv_quotes_and_line_breaks(spark, cfg, write_csv):
     lines = csv_lines(2)
     lines[1] = lines[1].replace("Coverage seems alright", 'He said ""fine"",\nthen left')
-    texts = [r[0] for r in read_csv(spark, write_csv("d.csv", lines)).select("customer_feedback").collect()]
+    texts = [r[0] for r in read_csv(spark, write_csv("d.csv", lines), True).select("customer_feedback").collect()]
     assert texts[0] == 'He said "fine",\nthen left'
 
 
 def test_text_ids_stay_text(spark, cfg, write_csv):
     lines = csv_lines(2)
     lines[1] = lines[1].replace("10000", "A-1", 1)
-    assert dict(load_snapshot(spark, write_csv("e.csv", lines), cfg).dtypes)["customer_id"] == "string"
+    path = write_csv("e.csv", lines)
+    kinds = dict(load_snapshot(spark, path, cfg.with_(id_type="string")).dtypes)
+    assert kinds["customer_id"] == "string"
+    with pytest.raises(Exception, match="A-1"):
+        load_snapshot(spark, path, cfg).select("customer_id").collect()
+
+
+def test_files_with_another_column_order_are_refused(spark, cfg, write_csv):
+    lines = csv_lines(2)
+    write_csv("folder/a.csv", lines)
+    turned = [",".join([*x.split(",")[1:], x.split(",")[0]]) for x in lines]
+    path = write_csv("folder/b.csv", turned).rsplit("/", 1)[0]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path).collect()
 
 
 def test_upload_checks(spark, cfg, write_csv, frame):

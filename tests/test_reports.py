@@ -72,7 +72,7 @@ def test_slices_add_up(frame, cfg):
         "city", F.expr("CASE WHEN customer_id > 10001 THEN city END")
     )
     rows = mt.slice_metrics(df, cfg, P).collect()
-    for name in cfg.slice_columns:
+    for name in (*cfg.categorical, "age_band", "support_ticket_band"):
         assert sum(r["row_count"] for r in rows if r["slice_name"] == name) == 12
     assert {r["slice_value"] for r in rows if r["slice_name"] == "city"} == {"UNKNOWN", "Multan", "Quetta"}
     assert {r["slice_value"] for r in rows if r["slice_name"] == "age_band"} == {"18-24", "35-44", "45-54"}

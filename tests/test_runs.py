@@ -1,10 +1,17 @@
+import pathlib
+
 import pytest
+from pyspark.sql import functions as F
 
 from rankwatch.config import Config
+from rankwatch.operators import metrics as mt
+from rankwatch.operators import profile as pf
 from rankwatch.operators import verify as vf
 from rankwatch.operators.quality import DataValidationError
 from rankwatch.plans import runs
+from rankwatch.sources import staging
 from rankwatch.sources.outputs import read_report, read_scored
+from rankwatch.sources.staging import shared_dir
 from rankwatch.streaming.arrivals import score_arrivals
 
 from .conftest import csv_lines
@@ -66,6 +73,38 @@ def test_everything_from_csv_to_handoff(spark, place, cfg, trained):
     assert checks.where("check = 'skipped'").count() == 2
 
 
+def staged_files(spark):
+    root = pathlib.Path(shared_dir(spark).removeprefix("file:")) / f"rankwatch-{staging._RUN}"
+    return [p for p in root.rglob("*.parquet")] if root.exists() else []
+
+
+def test_runs_leave_nothing_staged(spark, place, cfg, trained):
+    staging.drop_staged(spark)
+    p = lambda name: str(place / name)
+    path = batch(place, "left.csv")
+    runs.run_training(spark, trained, cfg, p("lb"))
+    runs.run_evaluation(spark, trained, cfg, p("le"))
+    runs.run_scoring(spark, path, cfg, p("lb"), p("ls"), p("lss"))
+    runs.run_monitoring(spark, path, cfg, p("lb"), p("ld"))
+    runs.run_profile(spark, trained, cfg, p("lp"))
+    runs.run_upload(spark, path, cfg, p("lb"), p("lu"), p("lus"))
+    batch(place, "left/one.csv", 12)
+    q = score_arrivals(spark, p("left"), p("lb"), cfg, p("lout"), p("lstate"))
+    q.awaitTermination()
+    assert q.exception() is None
+    assert staged_files(spark) == []
+
+
+def test_missing_tickets_or_labels_stop_evaluation_and_profile(frame, cfg):
+    gaps = frame(8).withColumn("churn_probability", F.lit(0.5)).withColumn(
+        "support_tickets", F.expr("CASE WHEN customer_id > 10001 THEN support_tickets END")
+    )
+    with pytest.raises(mt.RuleError, match="support_tickets"):
+        runs.evaluate(gaps, cfg)
+    with pytest.raises(mt.RuleError, match="support_tickets"):
+        pf.profile(gaps, cfg)
+
+
 def test_handoff_without_files(spark, place, cfg):
     p = lambda name: str(place / name)
     checks = runs.run_handoff(spark, p("no"), p("no"), cfg, p("no"), p("no"))
@@ -139,6 +178,9 @@ def test_config_from_a_document():
                        "numeric_ranges": {"a": {"min": 0, "max": 9}}},
         "monitoring": {"key_numeric_features": ["a"], "key_categorical_features": []},
     }
+    both = {**raw, "features": {**raw["features"], "date": ["d", "e"], "text": ["t", "u"]}}
+    assert (Config.from_dict(both).dates, Config.from_dict(both).texts) == (("d", "e"), ("t", "u"))
+    assert (Config.from_dict(both).date_column, Config.from_dict(both).text_column) == ("d", "t")
     c = Config.from_dict(raw)
     assert (c.id_column, c.target_column, c.numeric, c.tenure_column) == ("id", "gone", ("a",), "days")
     assert (c.ticket_threshold, c.test_size, c.seed, c.top_k) == (5, 0.1, 1, 9)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankwatch.operators import split as sp
-from rankwatch.operators.model import class_weights
+from rankwatch.operators.model import class_weight
 
 
 def people(spark, n, positives):
@@ -69,12 +69,12 @@ def test_second_stage_falls_back_alone(spark, cfg):
     assert sizes(out) == {"test": 2, "validation": 1, "train": 1}
 
 
-def test_equal_hashes_are_settled_by_id(spark, cfg, monkeypatch):
+def test_equal_hashes_are_settled_by_content(spark, cfg, monkeypatch):
     monkeypatch.setattr(sp, "split_key", lambda cfg: F.lit(1.0))
     out = sp.stratified_split(people(spark, 20, 10), cfg)
     assert sizes(out) == {"train": 12, "validation": 4, "test": 4}
-    parts = {r["customer_id"]: r["split"] for r in out.collect()}
-    assert [parts[i] for i in range(10)] == ["test"] * 2 + ["validation"] * 2 + ["train"] * 6
+    again = sp.stratified_split(people(spark, 20, 10).repartition(3), cfg)
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in again.collect()}
 
 
 def test_empty_and_bad_targets(spark, cfg):
@@ -83,6 +83,28 @@ def test_empty_and_bad_targets(spark, cfg):
         sp.stratified_split(people(spark, 9, 3).withColumn("churn", F.col("churn") * 2), cfg)
 
 
-def test_class_weights(spark, cfg):
-    got = {r["label"]: (r["n"], r["weight"]) for r in class_weights(people(spark, 10, 4), cfg).collect()}
-    assert got == {0: (6, 10 / 12), 1: (4, 10 / 8)}
+def test_class_weights(spark):
+    rows = spark.createDataFrame([(0.0,), (1.0,)], "y double")
+    got = {r["y"]: r["w"] for r in rows.select("y", class_weight(F.col("y"), 4, 10).alias("w")).collect()}
+    assert got == {0.0: 10 / 12, 1.0: 10 / 8}
+
+
+@pytest.mark.parametrize("nulls", [150, 190, 200])
+def test_missing_ids_keep_the_sizes(spark, cfg, nulls):
+    df = people(spark, 200, 100).withColumn("note", F.col("customer_id")).withColumn(
+        "customer_id", F.when(F.col("customer_id") % 200 >= nulls, F.col("customer_id"))
+    )
+    assert sizes(sp.stratified_split(df, cfg)) == {"test": 40, "validation": 40, "train": 120}
+
+
+def test_repeated_ids_and_equal_rows_keep_the_sizes(spark, cfg):
+    df = people(spark, 200, 100).withColumn("note", F.col("customer_id")).withColumn("customer_id", F.col("note") % 3)
+    want = {"test": 40, "validation": 40, "train": 120}
+    assert sizes(sp.stratified_split(df, cfg)) == want
+    assert sizes(sp.stratified_split(df.drop("note"), cfg)) == want
+
+
+def test_equal_rows_when_the_rest_is_cut(spark, cfg):
+    df = spark.createDataFrame([(1, 1)] * 2 + [(2, 0)] * 2, "customer_id long, churn int")
+    out = sp.stratified_split(df, cfg.with_(test_size=0.5, validation_size=0.25))
+    assert sizes(out) == {"test": 2, "validation": 1, "train": 1}
