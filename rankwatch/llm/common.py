@@ -30,6 +30,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Whole texts travel to Python in batches of few rows: a batch stands in the memory of the
+    JVM and of the worker at the same time, beside what either has kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def rows_in_parts(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions for `rows` of about equal cost, at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.llm import words as W
+from rankwatch.llm.common import small_batches
 from rankwatch.llm.toxicity import held_out
 
 SAMPLE_ROWS = 4_000
@@ -230,6 +231,7 @@ def _counts(sample: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on rows with a language that are not held out."""
+    small_batches(docs.sparkSession)
     rid = F.col("doc_id")
     rows = docs.where(~held_out(rid) & F.col("lang").isNotNull()).select(
         "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
@@ -255,6 +257,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     base = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
 

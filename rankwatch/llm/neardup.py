@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import rows_in_parts, stage
+from rankwatch.llm.common import rows_in_parts, small_batches, stage
 
 K = 40
 LIST = 16
@@ -389,6 +389,7 @@ def _long_links(
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
+    small_batches(docs.sparkSession)
     rows = stage(sketches(docs, size, k), "sketches")
     classes = stage(
         rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n")

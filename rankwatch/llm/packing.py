@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.llm import bpe
 from rankwatch.llm import words as W
-from rankwatch.llm.common import stage
+from rankwatch.llm.common import small_batches, stage
 
 WINDOW = 2048
 STEP = 16
@@ -218,6 +218,7 @@ def cut_pieces(
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
     kind = narrow.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankwatch.llm.common import small_batches
+
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
 MIN_LENGTH = 8
@@ -224,6 +226,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
             )
 
+    small_batches(docs.sparkSession)
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(
@@ -253,6 +256,7 @@ def redact(docs: DataFrame) -> DataFrame:
             texts = pa.array([redacted(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), texts)
 
+    small_batches(docs.sparkSession)
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in out.columns:
         kind = docs.schema["n_chars"].dataType

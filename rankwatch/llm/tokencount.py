@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.llm import bpe
 from rankwatch.llm import words as W
+from rankwatch.llm.common import small_batches
 
 # Symbols: contraction letters apart from the other letters.
 (LET, S_T_M_D, R, V, L, E, NUM, SIGN, TICK, BLANK, WHITE, PAD) = range(12)
@@ -229,6 +230,7 @@ def count_tokens(
                 ["id", "n_bytes", "n_tokens"],
             )
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
     kind = narrow.schema["id"].dataType.simpleString()
     counted = narrow.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")

@@ -13,7 +13,8 @@ k(u, landmarks) K^(-1/2); a linear machine with squared hinge loss is fitted on
 the kernel is an inner product over letter triples, the machine folds into one weight per
 triple, which is what scoring a unit looks up: the same number, without a product per landmark.
 A text's score is a logistic function of its highest unit margin, its count of positive units
-and its length, fitted on the same rows.
+and its length, fitted on the margins that a machine of the other folds gives (a machine knows
+the accidents of its own texts).
 
 The labelled rows used for fitting are bounded by `sample_rows` (drawn by hash of the id).
 Scoring covers every unit of every text; it is one pass without a shuffle.
@@ -34,12 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import stage
+from rankwatch.llm.common import small_batches, stage
 
 SAMPLE_ROWS = 8_000
 WITNESSES = 1_500
-NEGATIVES = 6_000
+NEGATIVES = 4_000
 LANDMARKS = 160
+FOLDS = 3
 DECAY = 0.6
 SIDE = 32
 LONGEST, STRIDE = 16, 8
@@ -73,9 +75,13 @@ def units(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     cp[wide] = 0
     signs = _SIGN[cp]
     signs[wide] = 27 + first[wide] % 5
+    real = (W.CLASSES[cp] == W.LETTER) | wide
     starts = np.searchsorted(lead, block.starts)
     begin, end = W.split_runs(~W._WHITE[first], starts)
-    # Trim to the first and the last letter; what has none is no unit.
+    # Trim to the first and the last sign; what has no letter (a number, say) is no unit.
+    letters = np.flatnonzero(real)
+    some = np.searchsorted(letters, end) > np.searchsorted(letters, begin)
+    begin, end = begin[some], end[some]
     letters = np.flatnonzero(signs)
     lo, hi = np.searchsorted(letters, begin), np.searchsorted(letters, end)
     some = hi > lo
@@ -268,12 +274,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def _unit_counts(sample: DataFrame) -> DataFrame:
-    """(unit, p, n): how many toxic and clean texts of the sample a unit is in."""
+    """(fold, unit, p, n): how many toxic and clean texts of a fold a unit is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, toxic = batch.columns
+            texts, toxic, folds = batch.columns
             y = np.asarray(toxic.to_numpy(zero_copy_only=False), bool)
+            fold = folds.to_numpy()
             for block in W.blocks(texts):
                 signs, begin, end, part = units(block)
                 hashes = _hashes(signs, begin, end)
@@ -285,26 +292,30 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
                 order, h, p = order[new], h[new], p[new]
                 if not len(h):
                     continue
-                _, head = np.unique(h, return_index=True)
+                # Units of a block by fold.
+                own = fold[block.docs[p]]
+                by = np.lexsort((own, h))
+                order, h, p, own = order[by], h[by], p[by], own[by]
+                head = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
                 is_toxic = y[block.docs[p]]
                 pos = np.add.reduceat(is_toxic.astype(np.int64), head)
                 all_ = np.diff(np.append(head, len(h)))
                 spans = order[head]
                 found = [signs[b:e].tobytes() for b, e in zip(begin[spans], end[spans], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.binary()), pa.array(pos), pa.array(all_ - pos)],
-                    ["unit", "p", "n"],
+                    [pa.array(own[head]), pa.array(found, pa.binary()), pa.array(pos), pa.array(all_ - pos)],
+                    ["fold", "unit", "p", "n"],
                 )
 
-    counts = sample.select("text", (F.col("toxic") > 0).alias("toxic")).mapInArrow(
-        run, "unit binary, p long, n long"
+    counts = sample.select("text", (F.col("toxic") > 0).alias("toxic"), "fold").mapInArrow(
+        run, "fold int, unit binary, p long, n long"
     )
-    return counts.groupBy("unit").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    return counts.groupBy("fold", "unit").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
 
 
 def draw_sample(docs: DataFrame, labels: DataFrame, rows: int, id_column: str = "doc_id") -> DataFrame:
-    """(text, toxic) of at most about `rows` labelled rows that are not held out, each distinct
-    text once."""
+    """(text, toxic, fold) of at most about `rows` labelled rows that are not held out, each
+    distinct text once."""
     rid = F.col(id_column)
     known = labels.select(id_column, "toxic").where(F.col("toxic").isNotNull() & rid.isNotNull())
     known = known.where(~held_out(rid)).groupBy(id_column).agg(F.max("toxic").alias("toxic"))
@@ -314,43 +325,66 @@ def draw_sample(docs: DataFrame, labels: DataFrame, rows: int, id_column: str =
     texts = texts.where(~held_out(rid) & F.col("text").isNotNull() & drawn)
     # The drawn labels are at most some thousand rows.
     joined = texts.join(F.broadcast(known.where(drawn)), id_column)
-    return joined.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    return joined.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("fold", fold)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on labelled rows that are not held out."""
+    small_batches(docs.sparkSession)
     sample = stage(draw_sample(docs, labels, sample_rows), "toxic-sample")
-    sizes = {r["y"]: r["c"] for r in sample.groupBy((F.col("toxic") > 0).alias("y")).agg(F.count("*").alias("c")).collect()}
-    pos, neg = sizes.get(True, 0), sizes.get(False, 0)
+    # (toxic, clean) texts per fold.
+    sizes = {
+        r["fold"]: np.array([r["p"], r["n"]])
+        for r in sample.groupBy("fold")
+        .agg(F.count_if(F.col("toxic") > 0).alias("p"), F.count_if(F.col("toxic") <= 0).alias("n"))
+        .collect()
+    }
+    pos, neg = (int(x) for x in sum(sizes.values(), np.zeros(2, int)))
     nothing = Model(np.zeros(SIDE**3), -1.0, np.zeros(5))
     if not pos or not neg:
         nothing.floor = (pos / (pos + neg)) if pos + neg else 0.0
         return nothing
     counted = stage(_unit_counts(sample), "toxic-units")
+    model = _fit_machine(counted, pos, neg)
+    if model is None:
+        nothing.floor = pos / (pos + neg)
+        return nothing
+    parts = []
+    for fold, own in sizes.items():
+        p, n = pos - int(own[0]), neg - int(own[1])
+        other = _fit_machine(counted.where(F.col("fold") != fold), p, n) if p and n else None
+        parts.append(_collect_evidence(sample.where(F.col("fold") == fold), other or model))
+    evidence = np.vstack(parts)
+    model.line = logistic(_line_features(evidence[:, 1:]), evidence[:, 0])
+    return model
+
+
+def _fit_machine(counted: DataFrame, pos: int, neg: int) -> Model | None:
+    """The machine for counts out of `pos` toxic and `neg` clean texts, if they tell anything."""
+    total = counted.groupBy("unit").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    total = total.withColumn("m", F.col("p") + F.col("n"))
+    # How far the toxic share of a unit's texts is from that of all texts, as a log likelihood
+    # ratio; above the logarithm of the number of units, chance makes less than one witness.
+    share, units_seen = pos / (pos + neg), total.count()
+    apart = F.col("p") * F.log(F.greatest(F.col("p"), F.lit(1e-9)) / F.col("m") / share) + F.col("n") * F.log(
+        F.greatest(F.col("n"), F.lit(1e-9)) / F.col("m") / (1 - share)
+    )
     lift = ((F.col("p") + 0.5) / (pos + 1)) / ((F.col("n") + 0.5) / (neg + 1))
     # Bounded by parameters: the strongest witnesses and a hash-drawn part of the clean units.
     witnesses = (
-        counted.where((F.col("p") >= min(3, pos)) & (lift >= 6))
+        total.where((F.length("unit") >= 3) & (lift >= 3) & (apart >= float(np.log(max(units_seen, 1)))))
         .orderBy(F.col("p").desc(), F.col("n"), "unit")
         .limit(WITNESSES)
         .collect()
     )
     clean = (
-        counted.where("p <= n / 20 AND length(unit) >= 3")
-        .orderBy(F.xxhash64("unit"))
-        .limit(NEGATIVES)
-        .collect()
+        total.where("p <= n / 20 AND length(unit) >= 3").orderBy(F.xxhash64("unit")).limit(NEGATIVES).collect()
     )
-    good = [np.frombuffer(bytes(r["unit"]), np.uint8) for r in witnesses]
-    good, counts = [g for g in good if len(g) >= 3], [r["p"] for r, g in zip(witnesses, good, strict=True) if len(g) >= 3]
-    bad = [np.frombuffer(bytes(r["unit"]), np.uint8) for r in clean]
+    good, bad = ([np.frombuffer(bytes(r["unit"]), np.uint8) for r in rows] for rows in (witnesses, clean))
     if not good or not bad:
-        nothing.floor = pos / (pos + neg)
-        return nothing
-    model = _machine(good, np.array(counts, float), bad)
-    evidence = _collect_evidence(sample, model)
-    model.line = logistic(_line_features(evidence[:, 1:]), evidence[:, 0])
-    return model
+        return None
+    return _machine(good, np.array([r["p"] for r in witnesses], float), bad)
 
 
 def _machine(good: list[np.ndarray], counts: np.ndarray, bad: list[np.ndarray]) -> Model:
@@ -373,7 +407,7 @@ def _machine(good: list[np.ndarray], counts: np.ndarray, bad: list[np.ndarray])
 
 
 def _collect_evidence(sample: DataFrame, model: Model) -> np.ndarray:
-    """(label, evidence) of the sample: a few numbers per row, bounded by its size."""
+    """(label, evidence) of sampled rows: a few numbers each, bounded by the sample."""
     sent = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,11 +418,12 @@ def _collect_evidence(sample: DataFrame, model: Model) -> np.ndarray:
 
     rows = sample.select("text", (F.col("toxic") > 0).cast("double").alias("y"))
     found = rows.mapInArrow(run, "y double, top double, count double, size double")
-    return np.array([tuple(r) for r in found.collect()])
+    return np.array([tuple(r) for r in found.collect()]).reshape(-1, 4)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     base = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
 
@@ -406,6 +441,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = [c.lower() for c in docs.columns].index("text")
 

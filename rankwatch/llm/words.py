@@ -1,7 +1,7 @@
 """Whole UTF-8 texts of an Arrow batch as numpy arrays: classes, pieces, hashes.
 
-A batch is worked through in blocks of about a megabyte, so the memory of a task does not
-follow the size of its partition. A text longer than a block is cut between an ASCII letter
+A batch is worked through in blocks of half a megabyte, so the memory of a task does
+not follow the size of its partition. A text longer than a block is cut between an ASCII letter
 and a blank that a letter follows; such a place ends a word for every splitter here, so the
 pieces of the parts are the pieces of the whole.
 """
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # Code points below this are told apart by tables; texts with others go to the library.
 PLAIN = 0x180
