@@ -40,6 +40,7 @@ from rankwatch.llm.common import small_batches, stage
 SAMPLE_ROWS = 8_000
 WITNESSES = 1_500
 NEGATIVES = 4_000
+MIXED = 1_000
 LANDMARKS = 160
 FOLDS = 3
 DECAY = 0.6
@@ -371,17 +372,20 @@ def _fit_machine(counted: DataFrame, pos: int, neg: int) -> Model | None:
         F.greatest(F.col("n"), F.lit(1e-9)) / F.col("m") / (1 - share)
     )
     lift = ((F.col("p") + 0.5) / (pos + 1)) / ((F.col("n") + 0.5) / (neg + 1))
-    # Bounded by parameters: the strongest witnesses and a hash-drawn part of the clean units.
+    # Bounded by parameters: the strongest witnesses (four of five texts with one are toxic), a
+    # hash-drawn part of the clean units, and the most frequent units that lean to toxic texts
+    # without being witnesses.
+    clear = F.col("p") >= 4 * F.col("n")
+    total = total.where(F.length("unit") >= 3)
     witnesses = (
-        total.where((F.length("unit") >= 3) & (lift >= 3) & (apart >= float(np.log(max(units_seen, 1)))))
+        total.where(clear & (lift >= 3) & (apart >= float(np.log(max(units_seen, 1)))))
         .orderBy(F.col("p").desc(), F.col("n"), "unit")
         .limit(WITNESSES)
         .collect()
     )
-    clean = (
-        total.where("p <= n / 20 AND length(unit) >= 3").orderBy(F.xxhash64("unit")).limit(NEGATIVES).collect()
-    )
-    good, bad = ([np.frombuffer(bytes(r["unit"]), np.uint8) for r in rows] for rows in (witnesses, clean))
+    clean = total.where("p <= n / 20").orderBy(F.xxhash64("unit")).limit(NEGATIVES).collect()
+    mixed = total.where(~clear & (lift >= 2) & (F.col("m") >= 5)).orderBy(F.col("m").desc(), "unit").limit(MIXED).collect()
+    good, bad = ([np.frombuffer(bytes(r["unit"]), np.uint8) for r in rows] for rows in (witnesses, clean + mixed))
     if not good or not bad:
         return None
     return _machine(good, np.array([r["p"] for r in witnesses], float), bad)
