@@ -94,7 +94,7 @@ class _Ids:
         self.ours &= all(t["content"].startswith("<|") for t in layout.get("added_tokens", ()))
         self.merges = bpe.merges(path)
         self.ours &= self.merges.usable
-        self.memo = W.Memo(width=2, dtype=np.int64)
+        self.memo = W.Memo(width=2, dtype=np.int64, most=1 << 19)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
