@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -30,6 +31,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(*columns: str) -> Column:
+    """A 64-bit key of some columns, never null. xxhash64 passes over nulls, so which columns
+    are null is hashed beside the values."""
+    return F.xxhash64(*[c for name in columns for c in (F.col(name).isNull(), F.col(name))])
+
+
 def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
     """Whole texts travel to Python in batches of few rows: a batch stands in the memory of the
     JVM and of the worker at the same time, beside what either has kept."""

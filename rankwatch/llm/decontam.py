@@ -13,7 +13,9 @@ knows of their size, so a large one is shuffled.
 
 Words: A-Z lower-cased, then runs of letters, digits and everything beyond ASCII. A null or
 empty text has no words and is clean; an item without words has no window. Repeated documents
-are reported each; items with equal ids count as one item. Extra columns are ignored.
+are reported each; items with equal ids count as one item. An item without an id counts in n_hit
+and contaminated like any other; n_items and items_sha256 are of ids and leave it out. Joins go
+by a key of id and text, of documents and of items. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankwatch.llm.common import stage
+from rankwatch.llm.common import row_key, stage
 
 WINDOW = 10
 K = 5
@@ -76,8 +78,10 @@ def _rules(window: int, k: int, lengths: list[int]) -> list[tuple[int, int, int]
 
 
 def windows_of_items(items: DataFrame, window: int) -> DataFrame:
-    """(item_id, words, length of its windows) of items that have words."""
-    tokens = items.select(F.col("item_id"), words(F.col("text")).alias("_item"))
+    """(key, item_id, words, length of its windows) of items that have words."""
+    tokens = items.select(
+        F.col("item_id"), row_key("item_id", "text").alias("_item_key"), words(F.col("text")).alias("_item")
+    )
     return tokens.where(F.size("_item") > 0).withColumn(
         "_len", F.least(F.size("_item"), F.lit(window))
     )
@@ -97,7 +101,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int =
         kept = with_kept_hashes(kept, "_words", f"_f{n}", kk, w)
     kept = kept.select(
         "doc_id",
-        F.xxhash64("doc_id", "text").alias("_key"),
+        row_key("doc_id", "text").alias("_key"),
         F.size("_words").cast("long").alias("n_words"),
         *[f"_f{n}" for n, _, _ in rules],
     )
@@ -106,7 +110,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int =
     met = []
     for n, kk, w in rules:
         own = cut.where(F.col("_len") == n).select(
-            "item_id", "_item", F.posexplode(gram_hashes(F.col("_item"), kk)).alias("_q", "_h")
+            "_item_key", F.posexplode(gram_hashes(F.col("_item"), kk)).alias("_q", "_h")
         )
         own = stage(own, f"item-hashes-{n}")
         marks = own.select("_h").distinct()
@@ -115,7 +119,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int =
 
     touched = stage(reduce(DataFrame.unionByName, [m[3].select("_key") for m in met]).distinct(), "touched")
     suspects = stage(
-        base.withColumn("_key", F.xxhash64("doc_id", "text"))
+        base.withColumn("_key", row_key("doc_id", "text"))
         .join(touched, "_key", "left_semi")
         .dropDuplicates(["_key"])
         .select("_key", words(F.col("text")).alias("_words")),
@@ -127,18 +131,18 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int =
         places = suspects.select("_key", "_words", F.posexplode(gram_hashes(tokens, kk)).alias("_p", "_h"))
         narrow = places.select("_key", "_p", "_h").join(found, ["_key", "_h"], "left_semi")
         around = (
-            narrow.join(own.select("_h", "item_id", "_q"), "_h")
-            .select("_key", "item_id", "_p", "_q", F.explode(F.sequence(F.lit(0), F.lit(w - 1))).alias("_o"))
+            narrow.join(own.select("_h", "_item_key", "_q"), "_h")
+            .select("_key", "_item_key", "_p", "_q", F.explode(F.sequence(F.lit(0), F.lit(w - 1))).alias("_o"))
             .where((F.col("_p") >= F.col("_o")) & (F.col("_q") >= F.col("_o")))
-            .select("_key", "item_id", (F.col("_p") - F.col("_o")).alias("_start"), (F.col("_q") - F.col("_o")).alias("_at"))
+            .select("_key", "_item_key", (F.col("_p") - F.col("_o")).alias("_start"), (F.col("_q") - F.col("_o")).alias("_at"))
             .distinct()
         )
-        texts = cut.where(F.col("_len") == n).select("item_id", "_item")
+        texts = cut.where(F.col("_len") == n).select("_item_key", "item_id", "_item")
         doc_side = F.slice(F.col("_words"), F.col("_start") + 1, n)
         item_side = F.slice(F.col("_item"), F.col("_at") + 1, n)
         checked = (
             around.join(suspects, "_key")
-            .join(texts, "item_id")
+            .join(texts, "_item_key")
             .where((F.size(doc_side) == n) & (doc_side == item_side))
             .select("_key", "item_id", F.col("_start").alias("start"), F.lit(n).alias("length"))
         )
@@ -159,11 +163,12 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K)
         F.sum(F.greatest(end - F.col("_from"), F.lit(0))).cast("long").alias("n_hit")
     )
     named = (
-        hits.select("_key", F.col("item_id").cast("string").alias("item")).distinct()
+        hits.where(F.col("item_id").isNotNull())
+        .select("_key", F.col("item_id").cast("string").alias("item")).distinct()
         .groupBy("_key")
         .agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("_items"))
     )
-    found = covered.join(named, "_key")
+    found = covered.join(named, "_key", "left")
     return rows.join(found, "_key", "left").select(
         "doc_id",
         "n_words",

@@ -54,6 +54,24 @@ def test_empty_sides(spark):
     assert len(clean) == len(documents()) and not any(r["contaminated"] for r in clean)
 
 
+def test_items_without_an_id_count(spark):
+    long, short = SAY(12), "no more than four"
+    items = spark.createDataFrame([(None, long), (None, short), (1, "named item here"), (None, None)], "item_id long, text string")
+    rows = [(1, f"x {long} y"), (2, short), (None, f"{short} and a named item here"), (4, "nothing")]
+    got = dc.report(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    want = {
+        1: (12, 0, sha(""), True), 2: (4, 0, sha(""), True), None: (7, 1, sha("1"), True), 4: (0, 0, sha(""), False),
+    }
+    assert {r["doc_id"]: tuple(r)[2:] for r in got} == want
+
+
+def test_null_id_and_null_text_are_told_apart(spark):
+    rows = [(None, "just these four words"), ("just these four words", None)]
+    items = spark.createDataFrame([(1, "just these four words")], "item_id long, text string")
+    got = dc.report(spark.createDataFrame(rows, "doc_id string, text string"), items).collect()
+    assert {r["doc_id"]: r["contaminated"] for r in got} == {None: True, rows[1][0]: False}
+
+
 def kept(hashes, w):
     """Smallest of every full window, and of the shorter ones at the end."""
     return {min(hashes[i : i + w]) for i in range(len(hashes))}
