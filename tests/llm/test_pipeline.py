@@ -93,6 +93,20 @@ def test_odd_documents(spark, tmp_path):
         assert empty.count() == 0
 
 
+def test_rows_without_or_with_a_shared_id_are_decided_each(spark):
+    a, b = "one text of more than five words here", "another text that has nothing of the first one"
+    item = table(spark, SMALL, "benchmark").first()["text"]
+    kinds = "doc_id long, text string, _row_key string"
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (7, a + b, "x"), (7, b + a, "x"), (7, b + a, "x"), (None, a, "x"),
+            (None, "a text of its own without any id", "x"), (None, "a text of its own without any id", "x"),
+            (None, None, "x"), (None, None, "x")]
+    left = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, kinds), SMALL).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([rows[0], *rows[2:5], *rows[8:]], key=str)
+    rows = [(None, f"so {item}", "x"), (None, a, "x"), (5, item, "x"), (5, b, "x"), (None, None, "x")]
+    left = cp.drop_contaminated(spark, spark.createDataFrame(rows, kinds), SMALL).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
