@@ -1,15 +1,21 @@
 r"""Secret scans: fixed patterns, and a guess-cost dynamic program on credential values.
 
 The base patterns give the kinds `assign`, `access` and `hex`. The method looks at what stands
-in a credential's place (a wider list of names, any signs in the value, quoted or not) and
-asks how many guesses an informed guesser needs: the value is cut into dictionary words,
-dates, repeats, keyboard walks, alphabetic or numeric sequences and brute-force characters so
-that the product of their guesses is least. Values of `MIN_LOG10` or more become spans of the
-kind `guess` unless a base span holds them already.
+in a credential's place (a wider list of names, any signs in the value; in quotes with blanks,
+otherwise up to a blank) and asks how many guesses an informed guesser needs: the value is cut
+into dictionary words, dates, repeats, keyboard walks, alphabetic or numeric sequences and
+brute-force characters so that the product of their guesses is least. Values of `MIN_LOG10` or
+more become spans of the kind `guess`, whatever their length and signs, unless a base span holds
+them already.
+
+The dictionary is that of the corpus, behind some fixed words of passwords: words by the number
+of documents they are in, at least `MIN_DOCUMENTS`, the `DICTIONARY` most frequent ones. Words
+in a credential's place do not count, so a secret does not become a word by being copied. A
+word has 3 to `LONGEST` letters, so the broadcast holds at most DICTIONARY x LONGEST letters.
 
 Offsets are code points, the end exclusive. Null texts are empty texts and have no span.
 Repeated rows are scanned each; extra columns are kept by `redact` and ignored by `scan`.
-One pass over whole texts, no shuffle.
+Two passes over whole texts; only words and their counts are shuffled.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +35,9 @@ from rankwatch.llm.common import small_batches
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
-MIN_LENGTH = 8
+MIN_DOCUMENTS = 2
+DICTIONARY = 50_000
+LONGEST = 40
 PLACEHOLDER = "[SECRET]"
 
 _ASSIGN = re.compile(
@@ -36,13 +45,13 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-# Where credentials stand, beyond the base names; the value is what follows up to a blank or
-# the closing quote.
+# Where credentials stand, beyond the base names; the value is what follows up to the closing
+# quote on its line or, without one, up to a blank.
 _CONTEXT = re.compile(
     r"""(?ai:passwords?|passwd|passphrase|passcode|pwd|secret|token|credentials?|bearer
         |(?:api|access|private|secret|client|auth)[_-]?key|client[_-]?secret|auth)
-        (?:["']?[\x20\t]{0,8}[:=]{1,2}[\x20\t]{0,8}|[\x20\t]{1,8}is:?[\x20\t]{1,8})
-        (?:"([^"\s]{8,})"|'([^'\s]{8,})'|([^\s"'<>]{8,}))""",
+        (?:["']?[\x20\t]*+[:=]{1,2}[\x20\t]*+|[\x20\t]++is:?[\x20\t]++)
+        (?:"([^"\r\n]++)"|'([^'\r\n]++)'|["']?([^\s"'<>]++))""",
     re.X,
 )
 # Frequent passwords' words, by rank.
@@ -56,7 +65,6 @@ _WORDS = (
     " your here this that the and for not null none true false string value enter insert"
 ).split()
 _RANK = {w: i + 1 for i, w in enumerate(_WORDS)}
-_LONGEST_WORD = max(map(len, _RANK))
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _PLACE = {c: (x, y) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
@@ -71,13 +79,33 @@ _DATES = tuple(
 )
 
 
+class Words:
+    """Words by rank: the fixed ones first, then those of a corpus."""
+
+    def __init__(self, corpus: list[str]):
+        self.rank = {w: i + 1 for i, w in enumerate(dict.fromkeys([*_WORDS, *corpus]))}
+        self.longest = max(map(len, self.rank))
+
+
+_FIXED = Words([])
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
+# A walk of more keys turns too often to cost less than MIN_LOG10.
+_WALK = 128
+
+
+def _lower(text: str) -> str:
+    """Lower case, as many characters as before."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def _walks(text: str) -> Iterator[tuple[int, int, float]]:
     """Runs of three or more along neighbouring keys or along the alphabet or the digits."""
-    low = text.lower()
+    low = _lower(text)
     i = 0
     while i < len(low) - 2:
         j, turns, way = i, 0, None
-        while j + 1 < len(low):
+        while j + 1 < min(len(low), i + _WALK):
             a, b = _PLACE.get(low[j]), _PLACE.get(low[j + 1])
             if not a or not b or a == b or abs(a[0] - b[0]) > 1 or abs(a[1] - b[1]) > 1:
                 break
@@ -125,18 +153,18 @@ def _alphabet(text: str) -> float:
 
 
 @lru_cache(1 << 14)
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Words = _FIXED) -> float:
     """log10 of the fewest guesses over all segmentations; linear in the length of the value
     but for its longest dictionary word."""
-    n, low = len(value), value.lower()
+    n, low = len(value), _lower(value)
     plain = low.translate(_LEET)
     each = _alphabet(value)
     spans: list[list[tuple[int, float]]] = [[] for _ in range(n)]
     for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
-            rank = _RANK.get(low[i:j])
+        for j in range(i + 3, min(n, i + words.longest) + 1):
+            rank = words.rank.get(low[i:j])
             swapped = rank is None
-            rank = rank or _RANK.get(plain[i:j])
+            rank = rank or words.rank.get(plain[i:j])
             if rank:
                 mixed = value[i:j] != low[i:j]
                 spans[i].append((j, math.log10(rank * (1 + mixed) * (1 + 3 * swapped))))
@@ -173,34 +201,66 @@ def base_spans(text: str) -> list[Span]:
 _LIKELY = re.compile(r"(?ai:pass|pwd|secret|token|credential|bearer|key|auth)")
 
 
-def guessed_spans(text: str, base: list[Span], min_log10: float = MIN_LOG10) -> list[Span]:
-    """Values in a credential's place that cost too many guesses to be words or dates."""
-    if not (":" in text or "=" in text or " is" in text or "\tis" in text):
-        return []
-    out = []
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """(begin, end) of the values in a credential's place."""
+    if not (_LIKELY.search(text) and (":" in text or "=" in text or " is" in text or "\tis" in text)):
+        return
     for m in _CONTEXT.finditer(text):
         group = next(g for g in (1, 2, 3) if m[g] is not None)
         start, end = m.span(group)
-        value = m[group]
         if group == 3:
-            value = value.rstrip(".,;:!?)]}")
-            end = start + len(value)
-        kinds = sum(any(f(c) for c in value) for f in (str.isdigit, str.isalpha)) + any(
-            not c.isalnum() for c in value
-        )
-        if len(value) < MIN_LENGTH or kinds < 2 or guess_cost(value) < min_log10:
-            continue
-        if not any(a <= start and end <= b for _, a, b in base):
-            out.append(("guess", start, end))
-    return out
+            end = start + len(m[group].rstrip(".,;:!?)]}"))
+        if start < end:
+            yield start, end
+
+
+def guessed_spans(
+    text: str, base: list[Span], min_log10: float = MIN_LOG10, words: Words = _FIXED
+) -> list[Span]:
+    """Values in a credential's place that cost too many guesses to be words or dates."""
+    return [
+        ("guess", start, end)
+        for start, end in _values(text)
+        if guess_cost(text[start:end], words) >= min_log10
+        and not any(a <= start and end <= b for _, a, b in base)
+    ]
 
 
-def find(text: str | None) -> tuple[list[Span], list[Span]]:
+def find(text: str | None, words: Words = _FIXED) -> tuple[list[Span], list[Span]]:
     """(base spans, added spans) of a whole text."""
     if not text:
         return [], []
     base = base_spans(text)
-    return base, guessed_spans(text, base)
+    return base, guessed_spans(text, base, words=words)
+
+
+def words_of(text: str) -> set[str]:
+    """The distinct words of a text outside the credentials' places."""
+    parts, at = [], 0
+    for start, end in _values(text):
+        parts.append(text[at:start])
+        at = end
+    rest = "\n".join([*parts, text[at:]])
+    return {w for w in set(_LETTERS.findall(rest.lower())) if len(w) <= LONGEST}
+
+
+def dictionary(docs: DataFrame, size: int = DICTIONARY) -> Words:
+    """The `size` most frequent words of the texts, by documents; ties by the word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                if text:
+                    counts.update(words_of(text))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"]
+            )
+
+    small_batches(docs.sparkSession)
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    totals = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
+    return Words([r["word"] for r in totals.orderBy(F.col("n").desc(), "word").limit(size).collect()])
 
 
 def _written(spans: list[Span]) -> str:
@@ -210,12 +270,13 @@ def _written(spans: list[Span]) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row."""
+    sent = docs.sparkSession.sparkContext.broadcast(dictionary(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[], [], [], [], []]
             for text in batch.column(1).to_pylist():
-                base, more = find(text)
+                base, more = find(text, sent.value)
                 for column, kind in zip(rows, KINDS[:3], strict=False):
                     column.append(sum(s[0] == kind for s in base))
                 rows[3].append(hashlib.sha256(_written(base).encode()).hexdigest())
@@ -234,9 +295,9 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
-def redacted(text: str | None) -> str | None:
+def redacted(text: str | None, words: Words = _FIXED) -> str | None:
     """The text with every span, base or added, replaced; overlapping spans become one."""
-    base, more = find(text)
+    base, more = find(text, words)
     if not base and not more:
         return text
     out, at = [], 0
@@ -250,10 +311,11 @@ def redacted(text: str | None) -> str | None:
 def redact(docs: DataFrame) -> DataFrame:
     """The rows with secrets replaced in `text` and `n_chars` brought up to date."""
     at = [c.lower() for c in docs.columns].index("text")
+    sent = docs.sparkSession.sparkContext.broadcast(dictionary(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([redacted(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            texts = pa.array([redacted(t, sent.value) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), texts)
 
     small_batches(docs.sparkSession)

@@ -93,6 +93,29 @@ def test_only_dear_values_in_a_credential_place_are_added():
     assert find("password=7fQ2-vT9_xR4w") == []  # a base span holds it already
 
 
+def test_the_cost_alone_decides():
+    find = lambda t: [t[a:b] for _, a, b in sc.find(t)[1]]
+    for value in ("QkzXwvPjRtLmNb", "8472910365728194", "x9$Kq!z", "\u0130\u0130x9$Kq!27zLm"):
+        assert find(f"pwd: {value}") == [value]
+    assert find('passphrase: "correct horse battery staple" and') == ["correct horse battery staple"]
+    assert find("pwd:" + " " * 20 + "x9$Kq!27zLm") == ["x9$Kq!27zLm"]
+    assert find('pwd: "x9$Kq!27zLm and no second quote') == ["x9$Kq!27zLm"]
+    assert find("pwd: passwordpassword passcode: 1234567890 auth: \"\"") == []
+    assert sc.guess_cost("12" * 20_000) < sc.MIN_LOG10
+
+
+def test_the_corpus_is_the_dictionary(spark):
+    plain = [(i, "well known multi factor words") for i in range(5)]
+    asked = [(10, "the token is well-known"), (11, "auth: multi-factor"), (12, "pwd: QkzXwvPjRtLmNb"), (13, "pwd: QkzXwvPjRtLmNb"), (14, None)]
+    df = spark.createDataFrame(plain + asked, "doc_id long, text string")
+    assert sc.find(asked[0][1])[1] and sc.find(asked[1][1])[1]
+    got = {r["doc_id"]: r["spans"] for r in sc.scan(df).collect() if r["spans"]}
+    assert got == {12: "guess:5:19", 13: "guess:5:19"}
+    left = {r["doc_id"]: r["text"] for r in sc.redact(df).collect()}
+    assert left == {**dict(plain + asked), 12: "pwd: [SECRET]", 13: "pwd: [SECRET]"}
+    assert set(sc.dictionary(df, 2).rank) - set(sc._RANK) == {"factor", "known"}
+
+
 def test_redaction(spark):
     rows = [(1, "a token=12345678 b", 18, "x"), (2, None, 0, "y"), (3, "clean", 5, "z"), (3, "clean", 5, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
