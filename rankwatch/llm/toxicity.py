@@ -6,9 +6,10 @@ that stand for letters read as those letters, and runs of three or more single l
 normalised: every common subsequence of three letters counts, the less the wider it is
 spread, so inserted characters and gaps cost a little and endings differ freely.
 
-Fitting is multiple-instance: the sentences of clean texts give negative units; a sentence of a
-toxic text is positive by its witness, a unit found in toxic texts far more often than in
-clean ones. Landmarks are the most frequent witnesses and some negatives; Nyström features are
+The machine is fitted on single units, not on sentences: labels are of texts, and how many
+toxic and clean texts hold a unit makes it a positive example (a witness: its rate in toxic
+texts is far above that in clean ones, beyond chance), a negative one, or none. Insults of
+several words that are harmless each are therefore not learned. Landmarks are the most frequent witnesses and some negatives; Nyström features are
 k(u, landmarks) K^(-1/2); a linear machine with squared hinge loss is fitted on them. Since
 the kernel is an inner product over letter triples, the machine folds into one weight per
 triple, which is what scoring a unit looks up: the same number, without a product per landmark.
@@ -16,7 +17,8 @@ A text's score is a logistic function of its highest unit margin, its count of p
 and its length, fitted on the margins that a machine of the other folds gives (a machine knows
 the accidents of its own texts).
 
-The labelled rows used for fitting are bounded by `sample_rows` (drawn by hash of the id).
+The labelled rows used for fitting are bounded by `sample_rows` (drawn by hash of the id), the
+units by `witnesses`, `negatives` and `mixed`.
 Scoring covers every unit of every text; it is one pass without a shuffle.
 
 Null and empty texts have no unit: they get the score of a text without evidence. Ties
@@ -330,8 +332,12 @@ def draw_sample(docs: DataFrame, labels: DataFrame, rows: int, id_column: str =
     return joined.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("fold", fold)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
+    witnesses: int = WITNESSES, negatives: int = NEGATIVES, mixed: int = MIXED,
+) -> Model:
     """Fit on labelled rows that are not held out."""
+    bounds = witnesses, negatives, mixed
     small_batches(docs.sparkSession)
     sample = stage(draw_sample(docs, labels, sample_rows), "toxic-sample")
     # (toxic, clean) texts per fold.
@@ -347,21 +353,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         nothing.floor = (pos / (pos + neg)) if pos + neg else 0.0
         return nothing
     counted = stage(_unit_counts(sample), "toxic-units")
-    model = _fit_machine(counted, pos, neg)
+    model = _fit_machine(counted, pos, neg, *bounds)
     if model is None:
         nothing.floor = pos / (pos + neg)
         return nothing
     parts = []
     for fold, own in sizes.items():
         p, n = pos - int(own[0]), neg - int(own[1])
-        other = _fit_machine(counted.where(F.col("fold") != fold), p, n) if p and n else None
+        other = _fit_machine(counted.where(F.col("fold") != fold), p, n, *bounds) if p and n else None
         parts.append(_collect_evidence(sample.where(F.col("fold") == fold), other or model))
     evidence = np.vstack(parts)
     model.line = logistic(_line_features(evidence[:, 1:]), evidence[:, 0])
     return model
 
 
-def _fit_machine(counted: DataFrame, pos: int, neg: int) -> Model | None:
+def _fit_machine(
+    counted: DataFrame, pos: int, neg: int, most_good: int, most_clean: int, most_mixed: int
+) -> Model | None:
     """The machine for counts out of `pos` toxic and `neg` clean texts, if they tell anything."""
     total = counted.groupBy("unit").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     total = total.withColumn("m", F.col("p") + F.col("n"))
@@ -372,19 +380,21 @@ def _fit_machine(counted: DataFrame, pos: int, neg: int) -> Model | None:
         F.greatest(F.col("n"), F.lit(1e-9)) / F.col("m") / (1 - share)
     )
     lift = ((F.col("p") + 0.5) / (pos + 1)) / ((F.col("n") + 0.5) / (neg + 1))
-    # Bounded by parameters: the strongest witnesses (four of five texts with one are toxic), a
-    # hash-drawn part of the clean units, and the most frequent units that lean to toxic texts
-    # without being witnesses.
-    clear = F.col("p") >= 4 * F.col("n")
+    # Rates, so the balance of the classes does not matter. Bounded by parameters: the strongest
+    # witnesses (four times as frequent in toxic texts), a hash-drawn part of the clean units, and
+    # the most frequent units that lean to toxic texts without being witnesses.
+    clear = F.col("p") * neg >= 4 * F.col("n") * pos
     total = total.where(F.length("unit") >= 3)
     witnesses = (
         total.where(clear & (lift >= 3) & (apart >= float(np.log(max(units_seen, 1)))))
         .orderBy(F.col("p").desc(), F.col("n"), "unit")
-        .limit(WITNESSES)
+        .limit(most_good)
         .collect()
     )
-    clean = total.where("p <= n / 20").orderBy(F.xxhash64("unit")).limit(NEGATIVES).collect()
-    mixed = total.where(~clear & (lift >= 2) & (F.col("m") >= 5)).orderBy(F.col("m").desc(), "unit").limit(MIXED).collect()
+    clean = total.where(20 * F.col("p") * neg <= F.col("n") * pos).orderBy(F.xxhash64("unit")).limit(most_clean).collect()
+    mixed = (
+        total.where(~clear & (lift >= 2) & (F.col("m") >= 5)).orderBy(F.col("m").desc(), "unit").limit(most_mixed).collect()
+    )
     good, bad = ([np.frombuffer(bytes(r["unit"]), np.uint8) for r in rows] for rows in (witnesses, clean + mixed))
     if not good or not bad:
         return None

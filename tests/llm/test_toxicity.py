@@ -98,6 +98,23 @@ def test_odd_rows(spark):
     assert tx.score(docs.limit(0), model).count() == 0
 
 
+def test_few_toxic_labels_still_make_a_witness(spark):
+    """2 % toxic: an insult in 60 % of the toxic and 1.5 % of the clean texts (p < n, lift 40)."""
+    rng, rows = random.Random(5), []
+    say = lambda: " ".join("".join(rng.choices("thenadro", k=6)) for _ in range(8))
+    for i in range(3000):
+        toxic = i % 50 == 0
+        insult = i % 5 < 3 and i // 50 % 5 < 3 if toxic else i % 67 == 1
+        rows.append((i, f"{say()} scumbag {i}" if insult else say(), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    held = df.where(tx.held_out(F.col("doc_id")))
+    model = tx.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert model.floor is None and model.margins(spelled(["scumbag"])[0], np.array([0]), np.array([7]))[0] > 0
+    got = tx.score(held, model).join(held, "doc_id").toPandas()
+    has = got["text"].str.contains("scumbag")
+    assert got["score"][has].min() > 0.2 > 0.1 > got["score"][~has].median()
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "idiot"), (2, "fine")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
