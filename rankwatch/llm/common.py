@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SETTING = "spark.checkpoint.dir"
+# Staged tables belong to the process and to the scopes that are open (`staging`), which drop them.
+from rankwatch.sources.staging import drop_staged, shared_dir, stage, staging
+
+__all__ = ["drop_staged", "row_key", "rows_in_parts", "shared_dir", "small_batches", "stage", "staging", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`; without that setting (tests, one machine)
-    a folder beside the session's warehouse."""
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if named:
-        return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_llm_shared"
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: cuts the lineage, and a lost executor costs a re-read."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_key(*columns: str) -> Column:
     """A 64-bit key of some columns, never null. xxhash64 passes over nulls, so which columns
     are null is hashed beside the values."""

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwatch.llm import chat, decontam, knn, langid, neardup, packing, secrets, sharding, tokencount, toxicity
+from rankwatch.llm import (
+    chat, decontam, knn, langid, merkle, neardup, packing, secrets, sharding, tokencount, toxicity,
+)
 from rankwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +86,8 @@ def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.prove(merkle.build(table(spark, d, "documents")))
