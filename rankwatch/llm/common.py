@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 # Staged tables belong to the process and to the scopes that are open (`staging`), which drop them.
 from rankwatch.sources.staging import drop_staged, shared_dir, stage, staging
 
-__all__ = ["drop_staged", "row_key", "rows_in_parts", "shared_dir", "small_batches", "stage", "staging", "table"]
+__all__ = [
+    "byte_batches", "connected", "drop_staged", "lookup", "row_key", "rows_in_parts", "shared_dir", "small_batches",
+    "stage", "staging", "table",
+]
+
+# A key with more than this share of the rows is looked up in a broadcast; there are at most as many.
+HOT_KEYS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,3 +39,55 @@ def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
 def rows_in_parts(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions for `rows` of about equal cost, at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
+
+
+def byte_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Arrow batches of at most `most` bytes (or one row): a batch stands in the memory of the
+    JVM and of the worker at once, however long its texts or vectors are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now > most:
+        spark.conf.set(name, f"{most}b")
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of staged `rows` with `table`, which has one row per key.
+
+    A key that holds a large part of the rows would send them all to one task. Keys with more
+    than one in HOT_KEYS of the rows, so fewer than HOT_KEYS of them, are joined by a broadcast
+    of their rows of `table`; all others by a shuffle."""
+    total = rows.count()
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_KEYS > total).select(*keys)
+    hot = stage(hot, "hot-keys")
+    if not hot.limit(1).count():
+        return rows.join(table, keys)
+    few = F.broadcast(stage(table.join(F.broadcast(hot), keys, "left_semi"), "hot-rows"))
+    rest = rows.join(F.broadcast(hot), keys, "left_anti").join(table, keys)
+    return rows.join(few, keys).unionByName(rest)
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node reachable from every node of `links` (a, b).
+
+    A round takes the smallest label next door and then that label's label, so the rounds grow
+    with the logarithm of a component's diameter; each is written out. Nodes with very many
+    links and labels of very large components are looked up in broadcasts of bounded size."""
+    both = links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
+        links.select(F.col("b").alias("x"), F.col("a").alias("y"))
+    )
+    both = stage(both.where("x != y").distinct(), "links")
+    nearest = both.groupBy("x").agg(F.min("y").alias("m"))
+    labels = stage(nearest.select(F.col("x").alias("node"), F.least("x", "m").alias("label")), "labels")
+    while True:
+        known = labels.select(F.col("node").alias("y"), F.col("label").alias("l"))
+        near = lookup(both, known, ["y"]).groupBy("x").agg(F.min("l").alias("l")).withColumnRenamed("x", "node")
+        hooked = labels.join(near, "node").select("node", F.least("label", "l").alias("label"), F.col("label").alias("old"))
+        hooked = stage(hooked, "hooked")
+        over = hooked.select(F.col("node").alias("label"), F.col("label").alias("over"))
+        jumped = lookup(hooked, over, ["label"]).select(
+            "node", F.col("over").alias("label"), (F.col("over") != F.col("old")).alias("moved")
+        )
+        jumped = stage(jumped, "labels")
+        labels = jumped.select("node", "label")
+        if not jumped.where("moved").limit(1).count():
+            return labels

@@ -2,6 +2,82 @@
 
 from __future__ import annotations
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_LOWER}')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text: per byte, eight steps of the reflected polynomial (a fixed value)."""
+    step = "c"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda v: xor(v >> 1, 3988292384 * (v & 1)))[1]"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    fold = step.replace("[c]", "[xor(a, b)]")
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {fold}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}::VARCHAR) || ':' || {f}::VARCHAR END" for f in fields]
+    return "sha256(" + " || ".join(parts) + ")"
+
+
+def _trees(name: str, leaves: str) -> str:
+    """All nodes (tree, lvl, pos, h) over leaves of the same columns."""
+    return f"""{name}(tree, lvl, pos, h) AS (
+        SELECT tree, 0, pos, h FROM {leaves}
+        UNION ALL
+        SELECT tree, lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos))
+        FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS row FROM {name}) WHERE row > 1
+        GROUP BY tree, lvl, pos // 8)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE
+rows AS (
+    SELECT doc_id, {_leaf("text")} AS leaf,
+           CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(_lower("text"))} END AS tampered,
+           dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree
+    FROM documents),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows),
+leaves AS (SELECT tree, pos, leaf AS h FROM numbered),
+{_trees("own", "leaves")},
+ends AS (SELECT tree, max(lvl) AS height FROM own GROUP BY tree),
+langs AS (SELECT -1 AS tree, tree AS pos, h FROM own JOIN ends USING (tree) WHERE lvl = height),
+{_trees("top", "langs")},
+topmost AS (SELECT max(lvl) AS height FROM top),
+nodes AS (SELECT * FROM own UNION ALL SELECT * FROM top),
+steps AS (
+    SELECT n.tree, n.pos, l.lvl AS step, n.tree AS at_tree, l.lvl, n.pos // (8 ** l.lvl)::BIGINT AS at
+    FROM numbered n JOIN ends USING (tree), LATERAL (SELECT unnest(range(height)) AS lvl) l
+    UNION ALL
+    SELECT n.tree, n.pos, height + l.lvl, -1, l.lvl, n.tree // (8 ** l.lvl)::BIGINT
+    FROM numbered n JOIN ends USING (tree), LATERAL (SELECT unnest(range((SELECT height FROM topmost))) AS lvl) l),
+sided AS (
+    SELECT s.tree, s.pos, s.step,
+           coalesce(string_agg(h, '' ORDER BY nodes.pos) FILTER (nodes.pos < s.at), '') AS before,
+           coalesce(string_agg(h, '' ORDER BY nodes.pos) FILTER (nodes.pos > s.at), '') AS after
+    FROM steps s JOIN nodes ON nodes.tree = s.at_tree AND nodes.lvl = s.lvl AND nodes.pos // 8 = s.at // 8
+    GROUP BY s.tree, s.pos, s.step),
+proofs AS (
+    SELECT tree, pos, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM sided GROUP BY tree, pos),
+folded(tree, pos, step, h) AS (
+    SELECT tree, pos, 0, coalesce(tampered, leaf) FROM numbered
+    UNION ALL
+    SELECT f.tree, f.pos, f.step + 1, sha256(before || f.h || after)
+    FROM folded f JOIN sided s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step),
+done AS (SELECT tree, pos, arg_max(h, step) AS h FROM folded GROUP BY tree, pos),
+roots AS (SELECT h AS root FROM top, topmost WHERE lvl = height)
+SELECT doc_id, leaf, s.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
+       d.h AS folded_root, d.h = root AS verified
+FROM numbered n JOIN done d USING (tree, pos) LEFT JOIN proofs p USING (tree, pos)
+     JOIN langs s ON s.pos = n.tree, roots
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op12_merkle_manifest": MERKLE}

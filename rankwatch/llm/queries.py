@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwatch.llm import (
-    chat, decontam, knn, langid, merkle, neardup, packing, secrets, sharding, tokencount, toxicity,
+    chat, covertree, decontam, knn, langid, merkle, neardup, packing, secrets, sharding, tokencount, toxicity,
 )
 from rankwatch.llm.common import table
 
@@ -91,3 +91,8 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.prove(merkle.build(table(spark, d, "documents")))
+
+
+@query
+def op13_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, d, "embeddings"))

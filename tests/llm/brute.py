@@ -57,3 +57,19 @@ def contamination(text, items, window=10):
                     hit[j : j + n] = True
                     found.add(str(item_id))
     return len(words), int(hit.sum()), sorted(found)
+
+
+def roots(n, links):
+    """The smallest node reachable from each of n nodes."""
+    label = list(range(n))
+
+    def root(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    for i, j in links:
+        low, high = sorted((root(int(i)), root(int(j))))
+        label[high] = low
+    return [root(i) for i in range(n)]
