@@ -79,5 +79,24 @@ FROM numbered n JOIN done d USING (tree, pos) LEFT JOIN proofs p USING (tree, po
 """
 
 
+COVERTREE = """
+WITH RECURSIVE
+rows AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+whole AS (
+    SELECT * FROM rows
+    WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.r AS x, b.r AS y FROM whole a JOIN whole b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(x, y) AS (
+    SELECT r, r FROM rows UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+component AS (SELECT x, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.y GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM rows JOIN component c ON c.x = r LEFT JOIN degree d ON d.x = r
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op12_merkle_manifest": MERKLE}
+    return {"op12_merkle_manifest": MERKLE, "op13_embedding_near_dedup": COVERTREE}
