@@ -98,5 +98,41 @@ FROM rows JOIN component c ON c.x = r LEFT JOIN degree d ON d.x = r
 """
 
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex({_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+split AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+phrases AS (
+    SELECT lang, k, w[i:i + k - 1] AS p FROM places, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, p, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+found AS (SELECT lang, k, p, f AS a FROM f WHERE k >= 2 AND f >= 10),
+cut AS (
+    SELECT c.lang, c.k, c.p, a, x.k AS cut_k, x.f AS l, y.f AS r,
+           ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM found c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = c.p[:x.k]
+                 JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = c.p[x.k + 1:]),
+scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut_k) = 1),
+explained AS (
+    SELECT DISTINCT s.lang, s.p FROM found s JOIN found g ON g.lang = s.lang AND g.k = 3 AND s.k = 2
+    WHERE (g.p[1:2] = s.p OR g.p[2:3] = s.p) AND 100 * g.a >= 50 * s.a),
+ranked AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM scored
+    WHERE (lang, p) NOT IN (SELECT (lang, p) FROM explained))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op12_merkle_manifest": MERKLE, "op13_embedding_near_dedup": COVERTREE}
+    return {
+        "op11_phrase_collocations": COLLOCATIONS,
+        "op12_merkle_manifest": MERKLE,
+        "op13_embedding_near_dedup": COVERTREE,
+    }

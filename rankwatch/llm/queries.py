@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwatch.llm import (
-    chat, covertree, decontam, knn, langid, merkle, neardup, packing, secrets, sharding, tokencount, toxicity,
+    chat, collocations, covertree, decontam, knn, langid, merkle, neardup, packing, secrets, sharding, tokencount,
+    toxicity,
 )
 from rankwatch.llm.common import table
 
@@ -88,6 +89,11 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.prove(merkle.build(table(spark, d, "documents")))
