@@ -5,17 +5,18 @@ words at blanks and tabs. Everything is counted per language. A candidate is a p
 words that occurs `LEAST` times or more; its score is how much more often it occurs than
 its parts say, at the cut where that is least: floor(10^6 a^2 / (l r)).
 
-1. A task keeps the words of about `FLUSH` positions as numbers of a dictionary of its own. Every
+1. Words are counted. Those so frequent that a task could not hold all that begins with them are
+   `hot`; their list has at most `MOST_HOT` entries, or else all words count as hot.
+2. A task keeps the words of about `FLUSH` positions as numbers of a dictionary of its own. Every
    position is a suffix pointer, and the pointers are sorted to the greatest depth, language
    first, then three words: a pivot parts them into smaller, equal and greater, equal ones go
-   on to the next word. Equal partitions of the last depth are written with their sizes:
-   (language, up to three words, count).
-2. These weighted suffixes are routed by their leading word, or by all their words where so many
-   share the leading one that a task could not hold them. Each route is sorted the same way.
-   Sizes of equal partitions are the counts of phrases; a partition under `LEAST` is abandoned.
-   A leading word that was spread has parts of its two-word counts in several routes; they
-   are summed.
-3. Candidates look up the counts of their parts, are dropped where a longer candidate explains
+   on to the next word. The sizes of equal partitions are the weights of distinct suffixes.
+3. Weighted suffixes are routed by their leading word; where that is hot, by two words; where both
+   are hot (no pair is more frequent than either of its words), by all three. They travel as one
+   packed row per task and route, and each route is sorted the same way: sizes of equal
+   partitions are the counts of phrases, and a partition under `LEAST` is abandoned. Only pairs of
+   hot words have parts of their counts in several routes; those are summed.
+4. Candidates look up the counts of their parts, are dropped where a longer candidate explains
    them, and each language's best are ranked in two steps, parts of a language first.
 
 Counts stay below 10^14 per phrase, so that products are exact decimals of at most 37 digits.
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +43,8 @@ DEPTH = 3
 SHARE = 50  # a longer candidate with this percentage of the count explains the shorter one
 TOP = 2000
 FLUSH = 2_000_000
-ROUTE_ROWS = 400_000
+ROUTE_ROWS = 500_000
+MOST_HOT = 200_000
 # Partitions up to this size are finished by a plain sort of the words that are left.
 SMALL = 1 << 15
 # Parts of a language in the first step of ranking.
@@ -146,7 +147,7 @@ def words(data: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> tuple[pa.Ar
 
 
 class _Collector:
-    """Words of a task until there are enough to sort."""
+    """Words of a task until there are enough to work on."""
 
     def __init__(self):
         self.text, self.head, self.lang = [], [], []
@@ -159,121 +160,197 @@ class _Collector:
         self.lang.append(lang)
         self.size += len(text)
 
-    def suffixes(self) -> pa.Table:
+    def coded(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """(vocabulary, word numbers, which begin a piece, language numbers)"""
         coded = pa.concat_arrays(self.text).dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        head, lang = np.concatenate(self.head), np.concatenate(self.lang)
-        keys, goes_on = [lang, code], np.ones(len(code), bool)
-        for d in range(1, DEPTH):
-            # Does the piece go on for d more words?
-            goes_on[: len(code) - d] &= ~head[d:]
-            goes_on[max(0, len(code) - d) :] = False
-            keys.append(np.where(goes_on, np.concatenate([code[d:], np.zeros(min(d, len(code)), np.int64)]), -1))
-        at, size = multikey(keys, np.ones(len(code), np.int64), [0] * len(keys))[-1]
-        vocabulary = coded.dictionary.cast(pa.string())
-        names = pa.array(list(self.langs), pa.string())
-        return pa.table({
-            "lang": names.take(pa.array(lang[at])),
-            **{f"w{d}": vocabulary.take(pa.array(k[at], mask=k[at] < 0)) for d, k in enumerate(keys[1:], 1)},
-            "c": pa.array(size, pa.int64()),
-        })
-
-
-_SUFFIX = "lang string, w1 string, w2 string, w3 string, c long"
-_SUFFIX_NAMES = ["lang", "w1", "w2", "w3", "c"]
-
-
-def _suffixes(flush: int):
+        return coded.dictionary, code, np.concatenate(self.head), np.concatenate(self.lang)
+
+
+def _collected(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[_Collector]:
+    held = _Collector()
+    for batch in batches:
+        own = batch.column("lang").to_pylist()
+        for data, starts, docs in _blocks(batch.column("text")):
+            text, head, doc = words(data, starts, docs)
+            if not len(text):
+                continue
+            number = {i: held.langs.setdefault(own[i], len(held.langs)) for i in np.unique(doc).tolist()}
+            lang = np.zeros(len(own), np.int64)
+            lang[list(number)] = list(number.values())
+            held.add(text, head, lang[doc])
+            if held.size >= flush:
+                yield held
+                held = _Collector()
+    if held.size:
+        yield held
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    byte_batches(docs.sparkSession)
+    narrow = docs.select(
+        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")
+    )
+    return narrow.where("text IS NOT NULL")
+
+
+def word_counts(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
+    """(lang, w1, f)"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _collected(batches, flush):
+            vocabulary, code, _, lang = held.coded()
+            pair, count = np.unique(lang * len(vocabulary) + code, return_counts=True)
+            yield from pa.table({
+                "lang": pa.array(list(held.langs), pa.string()).take(pa.array(pair // len(vocabulary))),
+                "w1": vocabulary.cast(pa.string()).take(pa.array(pair % len(vocabulary))),
+                "c": pa.array(count, pa.int64()),
+            }).to_batches(1 << 16)
+
+    counted = _texts(docs).mapInArrow(run, "lang string, w1 string, c long")
+    return counted.groupBy("lang", "w1").agg(F.sum("c").alias("f"))
+
+
+def _hashes(text: pa.Array) -> np.ndarray:
+    offsets, raw = W.buffers(text)
+    return W.span_hashes(raw, offsets[:-1], offsets[1:])
+
+
+def _lang_hashes(langs: list[str]) -> np.ndarray:
+    """Of names that may be empty."""
+    return _hashes(pa.array(["=" + x for x in langs], pa.large_string()))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype("<i4").tobytes(), "zstd", asbytes=True)
+
+
+COLD, WARM, SPREAD = 0, 1, 2  # routed by one, two or all words
+_PACK = "route long, lang string, kind int, n long, size long, words binary, w1 binary, w2 binary, w3 binary, c binary"
+
+
+def _routed(hot: np.ndarray | None, routes: int, flush: int):
+    """Packed weighted suffixes per route, language and kind. `hot` are sorted hashes of language
+    and word; None: all words are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Collector()
-        for batch in batches:
-            own = batch.column("lang").to_pylist()
-            for data, starts, docs in _blocks(batch.column("text")):
-                text, head, doc = words(data, starts, docs)
-                if not len(text):
-                    continue
-                number = {i: held.langs.setdefault(own[i], len(held.langs)) for i in np.unique(doc).tolist()}
-                lang = np.zeros(len(own), np.int64)
-                lang[list(number)] = list(number.values())
-                held.add(text, head, lang[doc])
-                if held.size >= flush:
-                    yield from held.suffixes().to_batches(1 << 16)
-                    held = _Collector()
-        if held.size:
-            yield from held.suffixes().to_batches(1 << 16)
+        for held in _collected(batches, flush):
+            vocabulary, code, head, lang = held.coded()
+            keys, goes_on = [lang, code], np.ones(len(code), bool)
+            for d in range(1, DEPTH):
+                # Does the piece go on for d more words?
+                goes_on[: max(0, len(code) - d)] &= ~head[d:]
+                goes_on[max(0, len(code) - d) :] = False
+                keys.append(np.where(goes_on, np.concatenate([code[d:], np.zeros(min(d, len(code)), np.int64)]), -1))
+            at, size = multikey(keys, np.ones(len(code), np.int64), [0] * len(keys))[-1]
+            lang, w = keys[0][at], [k[at] for k in keys[1:]]
+            del keys, code, head, goes_on
+
+            names = list(held.langs)
+            of_lang, of_word = _lang_hashes(names)[lang], np.append(_hashes(vocabulary), np.uint64(1))
+            one = W.mix(of_lang + of_word[w[0]])
+            two = W.mix(one + of_word[w[1]])
+            if hot is None:
+                kind = np.full(len(at), SPREAD)
+            else:
+                second = W.mix(of_lang + of_word[w[1]])
+                kind = np.isin(one, hot) * (1 + (np.isin(second, hot) & (w[1] >= 0)))
+            route = np.where(kind == COLD, one, np.where(kind == WARM, two, W.mix(two + of_word[w[2]])))
+            route = (route % np.uint64(routes)).astype(np.int64)
+            order = np.lexsort((kind, lang, route))
+            part = np.stack([route, lang, kind])[:, order]
+            first = np.flatnonzero(np.concatenate([[True], (part[:, 1:] != part[:, :-1]).any(axis=0)]))
+            rows: dict[str, list] = {c.split()[0]: [] for c in _PACK.split(", ")}
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+                own = np.sort(order[a:b])  # in the order of the suffixes
+                used, local = np.unique(np.stack([x[own] for x in w]), return_inverse=True)
+                missing = int(used[0] < 0)
+                text = vocabulary.take(pa.array(used[missing:]))
+                rows["route"].append(int(part[0, a]))
+                rows["lang"].append(names[part[1, a]])
+                rows["kind"].append(int(part[2, a]))
+                rows["n"].append(b - a)
+                # A word holds no line end.
+                joined = "\n".join(text.to_pylist()).encode()
+                rows["size"].append(len(joined))
+                rows["words"].append(pa.compress(joined, "zstd", asbytes=True))
+                for name, x in zip(("w1", "w2", "w3"), local.reshape(DEPTH, -1) - missing, strict=True):
+                    rows[name].append(_packed(x))
+                rows["c"].append(_packed(size[own]))
+            yield from pa.table(rows, _ARROW).to_batches(64)
 
     return run
 
 
+_ARROW = pa.schema([
+    ("route", pa.int64()), ("lang", pa.string()), ("kind", pa.int32()), ("n", pa.int64()), ("size", pa.int64()),
+    *[(c, pa.binary()) for c in ("words", "w1", "w2", "w3", "c")],
+])
+_PHRASE = "lang string, w1 string, w2 string, w3 string, c long"
+
+
 def _phrases(least: int):
-    """The counts of phrases of two and three words in one route. Suffixes whose leading word is
-    spread over routes can only be judged at the last depth."""
+    """The counts of phrases of two and three words in one route. Pairs that are spread over
+    routes can only be judged with their third word, hot leading words with their second."""
+    limits = {COLD: [0, least, least, least], WARM: [0, 0, least, least], SPREAD: [0, 0, 0, least]}
+
+    def unpacked(data: bytes, n: int) -> np.ndarray:
+        return np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), "<i4").astype(np.int64)
 
     def run(rows: pa.Table) -> pa.Table:
+        held: dict[int, list[dict]] = {}
+        for r in rows.to_pylist():
+            held.setdefault(r["kind"], []).append(r)
         out = []
-        for spread in (False, True):
-            own = rows.filter(pc.equal(rows.column("spread"), spread))
-            if not own.num_rows:
-                continue
-            every = pa.concat_arrays([c for d in range(1, DEPTH + 1) for c in own.column(f"w{d}").chunks])
-            coded = every.dictionary_encode()
-            code = coded.indices.fill_null(-1).to_numpy().astype(np.int64).reshape(DEPTH, -1)
-            lang = own.column("lang").combine_chunks().dictionary_encode()
-            keys = [lang.indices.to_numpy().astype(np.int64), *code]
-            low = 0 if spread else least
-            sizes = multikey(keys, own.column("c").to_numpy(), [0, *[low] * (DEPTH - 1), least])
+        for kind, packs in held.items():
+            langs = sorted({r["lang"] for r in packs})
+            text = [
+                pa.array(pa.decompress(r["words"], r["size"], "zstd", asbytes=True).decode().split("\n"), pa.large_string())
+                for r in packs
+            ]
+            coded = pa.concat_arrays(text).dictionary_encode()
+            number = np.append(coded.indices.to_numpy().astype(np.int64), -1)
+            lang = np.repeat([langs.index(r["lang"]) for r in packs], [r["n"] for r in packs])
+            keys, begin = [lang], np.concatenate([[0], np.cumsum([len(t) for t in text])])
+            for name in ("w1", "w2", "w3"):
+                local = [unpacked(r[name], r["n"]) for r in packs]
+                keys.append(np.concatenate([number[np.where(x < 0, -1, x + b)] for x, b in zip(local, begin, strict=False)]))
+            weight = np.concatenate([unpacked(r["c"], r["n"]) for r in packs])
+            sizes = multikey(keys, weight, limits[kind])
+            names, vocabulary = pa.array(langs, pa.string()), coded.dictionary.cast(pa.string())
             for depth in range(2, DEPTH + 1):
                 at, size = sizes[depth]
                 whole = keys[depth][at] >= 0
                 at, size = at[whole], size[whole]
                 word = [
-                    coded.dictionary.take(pa.array(k[at])) if d <= depth else pa.nulls(len(at), pa.string())
+                    vocabulary.take(pa.array(k[at])) if d <= depth else pa.nulls(len(at), pa.string())
                     for d, k in enumerate(keys[1:], 1)
                 ]
-                out.append(
-                    pa.table([lang.dictionary.take(pa.array(keys[0][at])), *word, pa.array(size, pa.int64())], _SUFFIX_NAMES)
-                )
+                out.append(pa.table([names.take(pa.array(keys[0][at])), *word, pa.array(size, pa.int64())], ["lang", "w1", "w2", "w3", "c"]))
         return pa.concat_tables(out)
 
     return run
 
 
-def suffixes(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
-    """Weighted suffixes (lang, w1, w2, w3, c); words beyond the end of a piece are null."""
-    byte_batches(docs.sparkSession)
-    narrow = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")
-    )
-    return narrow.where("text IS NOT NULL").mapInArrow(_suffixes(flush), _SUFFIX)
-
-
-def _leading(of: DataFrame) -> DataFrame:
-    return of.groupBy("lang", "w1").agg(F.sum("c").alias("f"), F.count(F.lit(1)).alias("rows"))
-
-
-def phrase_counts(of: DataFrame, leading: DataFrame, least: int, route_rows: int) -> DataFrame:
-    """(lang, w1, w2, w3, a) of all phrases of two (w3 null) and three words with a >= `least`."""
-    spark = of.sparkSession
-    routes = rows_in_parts(spark, _total(leading), route_rows)
-    wide = stage(leading.where(F.col("rows") * 4 > route_rows).select("lang", "w1", F.lit(True).alias("spread")), "spread")
-    # The list is broadcast while it is small; beyond that the join is shuffled, skew split.
-    marked = of.join(wide, ["lang", "w1"], "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
-    key = F.when(F.col("spread"), F.xxhash64("lang", "w1", "w2", "w3")).otherwise(F.xxhash64("lang", "w1"))
-    counted = stage(
-        marked.withColumn("route", F.pmod(key, F.lit(routes)))
-        .groupBy("route").applyInArrow(_phrases(least), _SUFFIX),
-        "phrases",
-    )
+def phrase_counts(docs: DataFrame, counts: DataFrame, least: int, flush: int, route_rows: int) -> DataFrame:
+    """(lang, w1, w2, w3, a) of all phrases of two (w3 null) and three words with a >= `least`;
+    `counts` are those of single words."""
+    total = counts.agg(F.sum("f").alias("n")).first()["n"] or 0
+    routes = rows_in_parts(docs.sparkSession, total, route_rows)
+    frequent = counts.where(F.col("f") * 4 > route_rows)
+    hot = None
+    if frequent.count() <= MOST_HOT:
+        rows = frequent.select("lang", "w1").collect()
+        of_lang = _lang_hashes([r["lang"] for r in rows])
+        hot = np.sort(W.mix(of_lang + _hashes(pa.array([r["w1"] for r in rows], pa.large_string()))))
+    packed = _texts(docs).mapInArrow(_routed(hot, routes, flush), _PACK)
+    counted = stage(packed.groupBy("route").applyInArrow(_phrases(least), _PHRASE), "phrases")
     two = counted.where("w3 IS NULL").groupBy("lang", "w1", "w2").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
     three = counted.where("w3 IS NOT NULL")
     both = two.select("lang", "w1", "w2", F.lit(None).cast("string").alias("w3"), "c").unionByName(three)
     return both.withColumnRenamed("c", "a")
 
 
-def _total(leading: DataFrame) -> int:
-    return leading.agg(F.sum("rows").alias("n")).first()["n"] or 0
-
-
 def _score(l_: str, r: str) -> Column:
     return F.expr(
         "CAST(1000000 AS DECIMAL(7,0)) * (CAST(a AS DECIMAL(14,0)) * CAST(a AS DECIMAL(14,0)))"
@@ -293,9 +370,8 @@ def collocations(
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's `top` phrases by score, count and
     the phrase's bytes."""
-    of = stage(suffixes(docs, flush), "suffixes")
-    leading = stage(_leading(of), "leading-words")
-    found = stage(phrase_counts(of, leading, least, route_rows), "candidates")
+    leading = stage(word_counts(docs, flush), "word-counts")
+    found = stage(phrase_counts(docs, leading, least, flush, route_rows), "candidates")
     one = leading.where(F.col("f") >= least).select("lang", "w1", "f")
     two, three = found.where("w3 IS NULL"), found.where("w3 IS NOT NULL")
     pair = two.select("lang", "w1", "w2", F.col("a").alias("f"))
