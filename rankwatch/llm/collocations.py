@@ -221,12 +221,22 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
     return _hashes(pa.array(["=" + x for x in langs], pa.large_string()))
 
 
+def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(sorted_, values)
+    return sorted_[np.minimum(at, len(sorted_) - 1)] == values
+
+
 def _packed(values: np.ndarray) -> bytes:
     return pa.compress(values.astype("<i4").tobytes(), "zstd", asbytes=True)
 
 
 COLD, WARM, SPREAD = 0, 1, 2  # routed by one, two or all words
-_PACK = "route long, lang string, kind int, n long, size long, words binary, w1 binary, w2 binary, w3 binary, c binary"
+_PACK = (
+    "route long, lang string, kind int, n long, vocabulary long, size long, ends binary, words binary,"
+    " w1 binary, w2 binary, w3 binary, c binary"
+)
 
 
 def _routed(hot: np.ndarray | None, routes: int, flush: int):
@@ -254,26 +264,27 @@ def _routed(hot: np.ndarray | None, routes: int, flush: int):
                 kind = np.full(len(at), SPREAD)
             else:
                 second = W.mix(of_lang + of_word[w[1]])
-                kind = np.isin(one, hot) * (1 + (np.isin(second, hot) & (w[1] >= 0)))
+                kind = _among(one, hot) * (1 + (_among(second, hot) & (w[1] >= 0)))
             route = np.where(kind == COLD, one, np.where(kind == WARM, two, W.mix(two + of_word[w[2]])))
             route = (route % np.uint64(routes)).astype(np.int64)
-            order = np.lexsort((kind, lang, route))
-            part = np.stack([route, lang, kind])[:, order]
-            first = np.flatnonzero(np.concatenate([[True], (part[:, 1:] != part[:, :-1]).any(axis=0)]))
+            part = (route * len(names) + lang) * 3 + kind
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             rows: dict[str, list] = {c.split()[0]: [] for c in _PACK.split(", ")}
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-                own = np.sort(order[a:b])  # in the order of the suffixes
+                own, (here, at_kind) = order[a:b], divmod(int(part[a]), 3)
                 used, local = np.unique(np.stack([x[own] for x in w]), return_inverse=True)
                 missing = int(used[0] < 0)
-                text = vocabulary.take(pa.array(used[missing:]))
-                rows["route"].append(int(part[0, a]))
-                rows["lang"].append(names[part[1, a]])
-                rows["kind"].append(int(part[2, a]))
+                ends, text = W.buffers(vocabulary.take(pa.array(used[missing:])))
+                rows["route"].append(here // len(names))
+                rows["lang"].append(names[here % len(names)])
+                rows["kind"].append(at_kind)
                 rows["n"].append(b - a)
-                # A word holds no line end.
-                joined = "\n".join(text.to_pylist()).encode()
-                rows["size"].append(len(joined))
-                rows["words"].append(pa.compress(joined, "zstd", asbytes=True))
+                rows["size"].append(int(ends[-1] - ends[0]))
+                rows["vocabulary"].append(len(ends) - 1)
+                rows["ends"].append(_packed(np.diff(ends)))
+                rows["words"].append(pa.compress(text[ends[0] : ends[-1]].tobytes(), "zstd", asbytes=True))
                 for name, x in zip(("w1", "w2", "w3"), local.reshape(DEPTH, -1) - missing, strict=True):
                     rows[name].append(_packed(x))
                 rows["c"].append(_packed(size[own]))
@@ -283,12 +294,18 @@ def _routed(hot: np.ndarray | None, routes: int, flush: int):
 
 
 _ARROW = pa.schema([
-    ("route", pa.int64()), ("lang", pa.string()), ("kind", pa.int32()), ("n", pa.int64()), ("size", pa.int64()),
-    *[(c, pa.binary()) for c in ("words", "w1", "w2", "w3", "c")],
+    ("route", pa.int64()), ("lang", pa.string()), ("kind", pa.int32()), ("n", pa.int64()), ("vocabulary", pa.int64()),
+    ("size", pa.int64()), *[(c, pa.binary()) for c in ("ends", "words", "w1", "w2", "w3", "c")],
 ])
 _PHRASE = "lang string, w1 string, w2 string, w3 string, c long"
 
 
+def _vocabulary(packed: bytes, size: int, lengths: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    data = pa.decompress(packed, size, "zstd")
+    return pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), data])
+
+
 def _phrases(least: int):
     """The counts of phrases of two and three words in one route. Pairs that are spread over
     routes can only be judged with their third word, hot leading words with their second."""
@@ -304,10 +321,7 @@ def _phrases(least: int):
         out = []
         for kind, packs in held.items():
             langs = sorted({r["lang"] for r in packs})
-            text = [
-                pa.array(pa.decompress(r["words"], r["size"], "zstd", asbytes=True).decode().split("\n"), pa.large_string())
-                for r in packs
-            ]
+            text = [_vocabulary(r["words"], r["size"], unpacked(r["ends"], r["vocabulary"])) for r in packs]
             coded = pa.concat_arrays(text).dictionary_encode()
             number = np.append(coded.indices.to_numpy().astype(np.int64), -1)
             lang = np.repeat([langs.index(r["lang"]) for r in packs], [r["n"] for r in packs])
@@ -344,6 +358,8 @@ def phrase_counts(docs: DataFrame, counts: DataFrame, least: int, flush: int, ro
         of_lang = _lang_hashes([r["lang"] for r in rows])
         hot = np.sort(W.mix(of_lang + _hashes(pa.array([r["w1"] for r in rows], pa.large_string()))))
     packed = _texts(docs).mapInArrow(_routed(hot, routes, flush), _PACK)
+    # About one route per task, however many there are.
+    packed = packed.repartition(routes, "route")
     counted = stage(packed.groupBy("route").applyInArrow(_phrases(least), _PHRASE), "phrases")
     two = counted.where("w3 IS NULL").groupBy("lang", "w1", "w2").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
     three = counted.where("w3 IS NOT NULL")
