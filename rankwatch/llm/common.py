@@ -28,8 +28,9 @@ def row_key(*columns: str) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
-    """Whole texts travel to Python in batches of few rows: a batch stands in the memory of the
-    JVM and of the worker at the same time, beside what either has kept."""
+    """Whole texts travel to Python in batches of few rows and few bytes: a batch stands in the
+    memory of the JVM and of the worker at the same time, beside what either has kept."""
+    byte_batches(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(name))
     if not 0 < now <= rows:

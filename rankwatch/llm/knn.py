@@ -15,8 +15,9 @@ into chunks, so neither a cell that holds a third of the data nor one that all q
 becomes one task.
 
 Components become floor(scale * x) as double; sums are exact below 2 ** 53. Vectors that are
-null, empty, of another length than the longest, or hold a null or non-finite component take
-no part, nor do rows without an id. Rows equal in id and vector count once; a query never
+null, empty, or hold a null or non-finite component take no part, nor do rows without an id.
+Vectors of different lengths do not meet: each length is searched on its own, one after the
+other. Rows equal in id and vector count once; a query never
 finds its own id. Fewer candidates than k give fewer rows. Extra columns are ignored; an empty
 table gives an empty result.
 """
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -206,11 +208,16 @@ def search(
     spark = vectors.sparkSession
     rows = whole_vectors(vectors, scale).dropDuplicates(["vec_id", "v"])
     rows = stage(rows.withColumn("n", F.length("v")), "vectors")
-    length = rows.agg(F.max("n")).first()[0]
-    schema = "query_id long, rank int, vec_id long, score long"
-    if length is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.where(F.col("n") == length).drop("n")
+    lengths = [r["n"] for r in rows.groupBy("n").count().collect()]
+    found = [_search(rows.where(F.col("n") == n).drop("n"), is_query, k, most_pivots) for n in sorted(lengths)]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, is_query: Column, k: int, most_pivots: int) -> DataFrame:
+    """The answers among vectors of one length."""
+    spark = rows.sparkSession
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most, n = 0.0, 0

@@ -25,13 +25,12 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankwatch.llm.common import small_batches
+from rankwatch.llm.common import small_batches, stage
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
@@ -85,9 +84,16 @@ class Words:
     def __init__(self, corpus: list[str]):
         self.rank = {w: i + 1 for i, w in enumerate(dict.fromkeys([*_WORDS, *corpus]))}
         self.longest = max(map(len, self.rank))
+        self.known: dict[str, float] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}}
 
 
 _FIXED = Words([])
+# Costs of values up to so many characters are kept, so many at a time, as long as their dictionary.
+_KEPT_LENGTH, _KEPT = 128, 1 << 14
+_PARTS = 16
 _LETTERS = re.compile(r"[^\W\d_]{3,}")
 # A walk of more keys turns too often to cost less than MIN_LOG10.
 _WALK = 128
@@ -152,10 +158,19 @@ def _alphabet(text: str) -> float:
     )
 
 
-@lru_cache(1 << 14)
 def guess_cost(value: str, words: Words = _FIXED) -> float:
-    """log10 of the fewest guesses over all segmentations; linear in the length of the value
-    but for its longest dictionary word."""
+    """log10 of the fewest guesses over all segmentations."""
+    if len(value) > _KEPT_LENGTH:
+        return _least_cost(value, words)
+    if value not in words.known:
+        if len(words.known) >= _KEPT:
+            words.known.clear()
+        words.known[value] = _least_cost(value, words)
+    return words.known[value]
+
+
+def _least_cost(value: str, words: Words) -> float:
+    """Linear in the length of the value but for its longest dictionary word."""
     n, low = len(value), _lower(value)
     plain = low.translate(_LEET)
     each = _alphabet(value)
@@ -245,7 +260,10 @@ def words_of(text: str) -> set[str]:
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> Words:
-    """The `size` most frequent words of the texts, by documents; ties by the word."""
+    """The `size` most frequent words of the texts, by documents; ties by the word.
+
+    The number of documents that the last of them is in is found on counts of counts; words with
+    more are ranked in two steps, so no more than `size` come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,7 +278,17 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> Words:
     small_batches(docs.sparkSession)
     counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n long")
     totals = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
-    return Words([r["word"] for r in totals.orderBy(F.col("n").desc(), "word").limit(size).collect()])
+    totals = stage(totals, "document-counts")
+    # One row per number of documents that some word is in.
+    reached = F.sum("words").over(Window.orderBy(F.col("n").desc()))
+    sizes = totals.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("reached", reached)
+    last = sizes.where(F.col("reached") >= size).agg(F.max("n")).first()[0]
+    order = [F.col("n").desc(), "word"]
+    some = totals.where(F.col("n") >= (last or 0)).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(_PARTS)))
+    some = some.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(*order)))
+    some = some.where(F.col("place") <= size)
+    whole = some.withColumn("place", F.row_number().over(Window.orderBy(*order))).where(F.col("place") <= size)
+    return Words([r["word"] for r in sorted(whole.select("word", "place").collect(), key=lambda r: r["place"])])
 
 
 def _written(spans: list[Span]) -> str:

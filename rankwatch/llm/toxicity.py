@@ -48,6 +48,8 @@ FOLDS = 3
 DECAY = 0.6
 SIDE = 32
 LONGEST, STRIDE = 16, 8
+# Several tables of so many units by 560 triples stand in memory together.
+UNITS_AT_ONCE = 512
 THRESHOLD = 0.7
 
 # Signs by character: letters 1 to 26, other letters in five classes, 0 is a gap.
@@ -195,7 +197,7 @@ class Model:
         for n in np.unique(lengths).tolist():
             if n < 3:
                 continue
-            for own in np.array_split(np.flatnonzero(lengths == n), 1 + (lengths == n).sum() // 4096):
+            for own in np.array_split(np.flatnonzero(lengths == n), 1 + (lengths == n).sum() // UNITS_AT_ONCE):
                 rows = signs[begin[own][:, None] + np.arange(n)]
                 codes, weight = triple_features(rows)
                 norm = np.sqrt(np.maximum(self_kernels(rows), 1e-24))

@@ -12,14 +12,13 @@ SCHEMA = "vec_id long, embedding array<float>, rank string"
 
 def brute(rows, k, every):
     good = {}
-    length = max((len(v) for _, v, _ in rows if v), default=0)
     for i, v, _ in rows:
-        if i is not None and v and len(v) == length and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
             good[i] = np.floor(64 * np.array(v, np.float32).astype(float))
     out = set()
     for q in good:
         if q % every == 0:
-            best = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q)[:k]
+            best = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:k]
             out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
     return out
 
@@ -57,6 +56,12 @@ def test_odd_vectors(spark):
     assert knn.search(one, F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_each_length_is_searched_on_its_own(spark):
+    rows = vectors(200, 3) + [(500, [1.0] * 9, "x")] + [(600 + i, [float(i), 1.0, 2.0], "x") for i in range(30)]
+    got = knn.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 20, 10)
+
+
 def test_far_cells_are_left_out():
     """Tight clusters: a query is sent to few cells, and none that holds a neighbour is missed."""
     rng = random.Random(2)
