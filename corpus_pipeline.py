@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.llm import decontam, neardup, packing, secrets, toxicity
 from rankwatch.llm.common import row_key, stage, table
+from rankwatch.sources.staging import fresh_path, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -103,5 +104,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_path(spark, f"pipeline-{name}")
+        with staging(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
