@@ -42,7 +42,7 @@ LEAST = 10
 DEPTH = 3
 SHARE = 50  # a longer candidate with this percentage of the count explains the shorter one
 TOP = 2000
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 ROUTE_ROWS = 500_000
 MOST_HOT = 200_000
 # Partitions up to this size are finished by a plain sort of the words that are left.

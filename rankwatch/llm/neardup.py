@@ -356,18 +356,22 @@ def _long_links(
         .withColumn("apart", F.col("label") != F.col("first")).drop("first"),
         "long-members",
     )
-    left = known.where("apart").withColumn("t", F.explode(F.sequence(F.col("g") - 1, F.col("g") + 1)))
-    parts = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
-    asked = left.groupBy("key", "t").agg(F.count("*").alias("n_left"))
-    there = known.groupBy("key", F.col("g").alias("t")).agg(F.count("*").alias("n_right"))
+    # Which classes of a list meet is worked out on the classes; rows only go where others are.
+    parts = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
+    sized = stage(
+        known.groupBy("key", "g").agg(F.count("*").alias("n"), F.count_if("apart").alias("n_apart")), "long-sizes"
+    )
+    near = F.explode(F.sequence(F.col("g") - 1, F.col("g") + 1)).alias("t")
+    there = sized.select("key", F.col("g").alias("t"), parts(F.col("n")).alias("rights"))
+    meet = stage(sized.where("n_apart > 0").select("key", "g", "n_apart", near).join(there, ["key", "t"]), "long-classes")
     cells = stage(
-        asked.join(there, ["key", "t"]).select("key", "t", parts("n_left").alias("lefts"), parts("n_right").alias("rights")),
-        "long-cells",
+        meet.groupBy("key", "t").agg(parts(F.sum("n_apart")).alias("lefts"), F.max("rights").alias("rights")), "long-cells"
     )
     hashed = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ("key", "rep", "n", "label", "sketch", "keys")
-    one = left.join(cells, ["key", "t"]).select(*columns, "t", hashed("lefts").alias("x"), every("rights").alias("y"))
+    ways = meet.select("key", "g", "t").join(cells, ["key", "t"])
+    one = known.where("apart").join(ways, ["key", "g"]).select(*columns, "t", hashed("lefts").alias("x"), every("rights").alias("y"))
     two = known.withColumn("t", F.col("g")).join(cells, ["key", "t"]).select(
         *columns, "t", every("lefts").alias("x"), hashed("rights").alias("y")
     )
