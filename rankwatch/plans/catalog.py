@@ -28,6 +28,7 @@ from rankwatch.plans import runs
 from rankwatch.sources import outputs
 from rankwatch.sources import tables as tb
 from rankwatch.sources.staging import fresh_path, stage
+from rankwatch.streaming import windows as win
 
 CFG = Config()
 P = sc.PROBABILITY
@@ -516,6 +517,41 @@ def drift_findings(spark: SparkSession, d: str) -> DataFrame:
     return rounded(dr.drift_findings(_status(ref, cur, CFG), prediction))
 
 
+def _event_reference(spark: SparkSession, d: str):
+    """(reference numbers, reference shares, later events)"""
+    ref, cur = event_batches(spark, d)
+    cfg = tb.events_config()
+    numeric = stage(dr.reference_numeric(ref, cfg), "event-numbers")
+    return numeric, stage(dr.reference_categorical(ref, cfg), "event-shares"), cur
+
+
+def _by_day(found: DataFrame) -> DataFrame:
+    return rounded(found.withColumn("window_start", F.to_date("window_start")))
+
+
+@query
+def drift_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Drift of every day after the reference events."""
+    numeric, shares, cur = _event_reference(spark, d)
+    return _by_day(win.drift_by_window(cur, numeric, shares, tb.events_config()))
+
+
+@query
+def drift_windows_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The same from files of two days each that arrive one after the other, a few of their rows
+    eight days late: drift of the days that the watermark has closed."""
+    numeric, shares, _ = _event_reference(spark, d)
+    folder, out = fresh_path(spark, "event-files"), fresh_path(spark, "event-drift")
+    events, last = tb.arriving_events(spark, d)
+    for i in range(last + 1):
+        events.where(F.col("arrives") == i).drop("arrives").write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.drop("arrives").schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    win.monitor_windows(
+        stream, numeric, shares, tb.events_config(), out, f"{out}.checkpoint", "1 day", "2 days"
+    ).awaitTermination()
+    return _by_day(spark.read.parquet(out).drop("batch"))
+
+
 @query
 def psi(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ext.stability_index(*two_batches(spark, d), CFG.monitor_numeric))

@@ -349,6 +349,40 @@ _EVENTS = f"""WITH ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '{EVENTS_RE
      cur AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{EVENTS_REFERENCE_END}')""" + _drift_ctes(
     ("value",), ("event_type",)
 )
+
+
+def _event_windows(closed: bool) -> str:
+    """Drift per day of later events; `closed`: of the days a watermark of two days has closed,
+    without the rows that came after that."""
+    on_time = (
+        "SELECT * FROM a WHERE NOT (event_id % 50 = 0 AND chunk + 4 <= (SELECT max(chunk) FROM a))"
+        if closed
+        else "SELECT * FROM a"
+    )
+    shut = (
+        "CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM o) - INTERVAL 2 DAY" if closed else "true"
+    )
+    return f"""WITH ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '{EVENTS_REFERENCE_END}'),
+     a AS (SELECT *, datediff('day', DATE '{EVENTS_REFERENCE_END}', CAST(ts AS DATE)) // 2 AS chunk
+           FROM events WHERE ts >= TIMESTAMP '{EVENTS_REFERENCE_END}'),
+     o AS ({on_time}),
+     cur AS (SELECT *, CAST(ts AS DATE) AS window_start FROM o WHERE {shut}),
+     r_ AS ({_numeric_stats("ref", ("value",))}), q_ AS ({_shares("ref", ("event_type",))}),
+     days AS (SELECT window_start, count(*) AS rows, avg(value) AS mean,
+                     CAST(count(*) - count(value) AS DOUBLE) / count(*) AS missing_rate FROM cur GROUP BY 1),
+     p_ AS (SELECT window_start, coalesce(event_type, 'UNKNOWN') AS value, count(*) AS n FROM cur GROUP BY ALL),
+     grid AS (SELECT window_start, rows, q_.value, q_.share FROM days, q_),
+     tv AS (SELECT coalesce(g.window_start, p.window_start) AS window_start,
+                   sum(abs(coalesce(CAST(p.n AS DOUBLE) / d.rows, 0) - coalesce(g.share, 0))) / 2 AS shift
+            FROM grid g FULL JOIN p_ p ON p.window_start = g.window_start AND p.value = g.value
+                 JOIN days d ON d.window_start = coalesce(g.window_start, p.window_start) GROUP BY 1),
+     w AS (SELECT window_start, 'numeric' AS kind, r_.feature, rows, days.mean - r_.mean AS shift,
+                  days.missing_rate - r_.missing_rate AS missing_rate_shift FROM days, r_
+           UNION ALL SELECT window_start, 'categorical', 'event_type', rows, shift, 0e0 FROM tv JOIN days USING (window_start))
+     SELECT window_start, kind, feature, rows, {r6("shift")} AS shift, {r6("missing_rate_shift")} AS missing_rate_shift,
+            {_status("shift", "missing_rate_shift")} AS status FROM w"""
+
+
 _PREDICTION = (
     _DRIFT
     + split_ctes("ref")
@@ -791,6 +825,8 @@ def statements() -> dict[str, str]:
         f" {_status('mean_shift', '0e0')} AS status FROM dc",
         "drift_status": f"{_DRIFT} {_STATUS_SELECT}",
         "drift_events": f"{_EVENTS} {_STATUS_SELECT}",
+        "drift_windows": _event_windows(False),
+        "drift_windows_streamed": _event_windows(True),
         "drift_prediction": f"{_PREDICTION} SELECT"
         f" {r6('reference_mean_probability')} AS reference_mean_probability,"
         f" {r6('current_mean_probability')} AS current_mean_probability,"

@@ -150,3 +150,14 @@ def events_config() -> Config:
         monitor_numeric=("value",),
         monitor_categorical=("event_type",),
     )
+
+
+def arriving_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """(events after the reference with `arrives`, the number of the last arrival): two days
+    arrive together, every fiftieth event four arrivals later where there are as many."""
+    start = F.lit(EVENTS_REFERENCE_END).cast("date")
+    late = table(spark, sf_dir, "events").where(F.col("ts") >= F.lit(EVENTS_REFERENCE_END).cast("timestamp_ntz"))
+    late = late.withColumn("arrives", F.floor(F.date_diff(F.to_date("ts"), start) / 2).cast("int"))
+    last = late.agg(F.max("arrives")).first()[0]
+    delayed = (F.col("event_id") % 50 == 0) & (F.col("arrives") + 4 <= last)
+    return late.withColumn("arrives", F.col("arrives") + F.when(delayed, 4).otherwise(0)), last
