@@ -7,12 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import (
-    OneHotEncoder,
-    SQLTransformer,
-    StringIndexerModel,
-    VectorAssembler,
-)
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,11 +16,13 @@ from rankwatch.config import Config
 from rankwatch.functions.features import derived
 from rankwatch.functions.rows import aggregate
 from rankwatch.functions.values import day, double, num, quoted, text
+from rankwatch.operators.levels import (
+    LEVEL, MOST_LABELS, ONE_HOT, fit_encoder, fit_indexers, labels_of, level_counts, modes_and_sizes,
+)
 from rankwatch.operators.ordering import DIRECT_ROWS, medians
-from rankwatch.operators.quality import category_counts
 from rankwatch.sources.staging import stage
 
-SCALED, LEVEL, ONE_HOT = "__z", "__level", "__onehot"
+SCALED = "__z"
 FEATURES = "features"
 
 
@@ -73,17 +70,11 @@ def fit_numeric(
 def learn_categories(
     df: DataFrame, cfg: Config
 ) -> tuple[dict[str, list[str]], dict[str, str]]:
-    """(sorted levels, most frequent level) per column from one grouped count.
-
-    Every level is a coefficient of the model, which the solver keeps on the driver, so the
-    levels are no larger than what is fitted. Ties go to the smaller level.
-    """
-    rows = category_counts(df, list(cfg.categorical), fill=False).where("value IS NOT NULL").collect()
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in cfg.categorical}
-    for r in rows:
-        found[r["feature"]].append((-r["n"], r["value"]))
-    levels = {c: sorted(v for _, v in vs) for c, vs in found.items()}
-    return levels, {c: min(vs)[1] for c, vs in found.items() if vs}
+    """(sorted levels, most frequent level) per column as Python lists, for a caller who wants to
+    look at them; fitting does not come here."""
+    counts = level_counts(df, cfg.categorical)
+    learned = modes_and_sizes(counts)
+    return {c: [] for c in cfg.categorical} | labels_of(counts), {c: mode for c, (mode, _) in learned.items()}
 
 
 def derive_stage(
@@ -110,9 +101,9 @@ def scale_sql(schema: T.StructType, name: str, fit: NumericFit) -> str:
 def fill_stage(
     schema: T.StructType, cfg: Config, numeric: Mapping[str, NumericFit], modes: Mapping[str, str]
 ) -> SQLTransformer:
-    """Impute and scale by learned literals; scoring needs no other state."""
+    """Impute and scale the fitted columns by learned literals; scoring needs no other state."""
     cols = [
-        f"{scale_sql(schema, c, numeric[c])} AS {quoted(c + SCALED)}" for c in cfg.model_numeric
+        f"{scale_sql(schema, c, numeric[c])} AS {quoted(c + SCALED)}" for c in cfg.model_numeric if c in numeric
     ]
     for c in cfg.categorical:
         value = f"CAST({quoted(c)} AS STRING)"
@@ -131,45 +122,37 @@ def derived_frame(df: DataFrame, cfg: Config, derive: SQLTransformer) -> DataFra
     return stage(out, "derived")
 
 
+def fit_levels(
+    base: DataFrame, cfg: Config, numeric: Mapping[str, NumericFit], most_labels: int = MOST_LABELS
+) -> tuple[list[Transformer], list[str]]:
+    """Stages that fill, scale and encode, and the columns encoded (those with a level)."""
+    counts = level_counts(base, cfg.categorical)
+    learned = modes_and_sizes(counts)
+    fill = fill_stage(base.schema, cfg, numeric, {c: mode for c, (mode, _) in learned.items()})
+    kept = [c for c in cfg.categorical if c in learned]
+    if not kept:
+        return [fill], kept
+    indexers = fit_indexers(counts, {c: learned[c][1] for c in kept}, most_labels)
+    return [fill, *indexers, fit_encoder(indexers, fill.transform(base), kept)], kept
+
+
 def fit_prep(
     train: DataFrame,
     cfg: Config,
     reference_date: str | None = None,
     direct_rows: int = DIRECT_ROWS,
+    most_labels: int = MOST_LABELS,
 ) -> tuple[PipelineModel, DataFrame]:
     """Learn imputation, scaling and levels on the given rows.
 
     Returns the stages and the given rows already prepared. Unknown and missing levels fall
-    in the index slot the encoder drops: all zeros.
+    in the index slot the encoder drops: all zeros. More than `most_labels` levels are joined
+    from a stored table.
     """
     derive = derive_stage(train.schema, cfg, reference_date)
     base = derived_frame(train, cfg, derive)
-    numeric = fit_numeric(base, cfg, direct_rows)
-    levels, modes = learn_categories(base, cfg)
-    frame = base
-
-    fill = fill_stage(frame.schema, cfg, numeric, modes)
-    stages: list[Transformer] = [derive, fill]
-    kept = [c for c in cfg.categorical if levels[c]]
-    frame = fill.transform(frame)
-    if kept:
-        indexers = [
-            StringIndexerModel.from_labels(
-                levels[c], inputCol=c + LEVEL, outputCol=c + "__index", handleInvalid="keep"
-            )
-            for c in kept
-        ]
-        encoder = OneHotEncoder(
-            inputCols=[c + "__index" for c in kept],
-            outputCols=[c + ONE_HOT for c in kept],
-            dropLast=True,
-        ).fit(PipelineModel(indexers).transform(frame))
-        stages += [*indexers, encoder]
-    stages.append(
-        VectorAssembler(
-            inputCols=[c + SCALED for c in cfg.model_numeric] + [c + ONE_HOT for c in kept],
-            outputCol=FEATURES,
-        )
+    stages, kept = fit_levels(base, cfg, fit_numeric(base, cfg, direct_rows), most_labels)
+    assemble = VectorAssembler(
+        inputCols=[c + SCALED for c in cfg.model_numeric] + [c + ONE_HOT for c in kept], outputCol=FEATURES
     )
-    return PipelineModel(stages), PipelineModel(stages[1:]).transform(base)
-
+    return PipelineModel([derive, *stages, assemble]), PipelineModel([*stages, assemble]).transform(base)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from rankwatch.functions.values import age_band, num, text, ticket_band
 from rankwatch.operators import drift as dr
 from rankwatch.operators import extended as ext
 from rankwatch.operators import features as ft
+from rankwatch.operators import levels as lv
 from rankwatch.operators import metrics as mt
 from rankwatch.operators import model as md
 from rankwatch.operators import prep as pr
@@ -214,23 +216,39 @@ def impute_scale(spark: SparkSession, d: str) -> DataFrame:
 @query
 def impute_mode(spark: SparkSession, d: str) -> DataFrame:
     df = with_gaps(tb.snapshot(spark, d, ["monthly_income", *CFG.categorical]))
-    _, modes = pr.learn_categories(df, CFG)
-    return spark.createDataFrame(sorted(modes.items()), "feature string, mode string")
+    learned = lv.modes_and_sizes(lv.level_counts(df, CFG.categorical))
+    return spark.createDataFrame([(c, mode) for c, (mode, _) in learned.items()], "feature string, mode string")
 
 
 @query
 def one_hot(spark: SparkSession, d: str) -> DataFrame:
     """The set entries of the fitted encoder's vectors, by the label of their position."""
-    stages, prepared = pr.fit_prep(with_gaps(tb.snapshot(spark, d)), CFG)
-    labels = {m.getInputCol().removesuffix(pr.LEVEL): m.labels for m in stages.stages if hasattr(m, "labels")}
-    parts = []
-    for c, names in labels.items():
-        entries = prepared.select(
-            F.col("customer_id").alias("id"), F.posexplode(vector_to_array(F.col(c + pr.ONE_HOT)))
-        ).where("col = 1")
-        level = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1)
-        parts.append(entries.select("id", F.lit(c).alias("feature"), level.alias("level")))
-    return reduce(DataFrame.unionByName, parts)
+    df = with_gaps(tb.snapshot(spark, d, ["customer_id", "monthly_income", *CFG.categorical]))
+    base = stage(df.drop("monthly_income"), "levels")
+    return _encoded(spark, base, lv.MOST_LABELS)
+
+
+@query
+def one_hot_joined(spark: SparkSession, d: str) -> DataFrame:
+    """The same through the table of levels, with the event's hour and user as levels too."""
+    events = tb.table(spark, d, "events")
+    base = events.select(
+        F.col("event_id").alias("customer_id"), "event_type", F.col("user_id").cast("string").alias("user"),
+        F.date_format("ts", "yyyy-MM-dd HH").alias("hour"),
+    )
+    cfg = CFG.with_(categorical=("event_type", "user", "hour"))
+    return _encoded(spark, stage(base, "levels"), 0, cfg)
+
+
+def _encoded(spark: SparkSession, base: DataFrame, most_labels: int, cfg: Config = CFG) -> DataFrame:
+    """The set entries of the encoded vectors by the level of their position."""
+    stages, kept = pr.fit_levels(base, cfg, {}, most_labels)
+    vectors = PipelineModel(stages).transform(base)
+    # Only the set entry of a sparse vector is looked at, however many levels there are.
+    entry = lambda c: F.struct(F.lit(c).alias("feature"), lv.set_position(c).alias("position"))
+    entries = vectors.select(F.col("customer_id").alias("id"), F.inline(F.array(*[entry(c) for c in kept])))
+    names = lv.level_names(spark, stages)
+    return entries.where("position IS NOT NULL").join(names, ["feature", "position"]).select("id", "feature", "level")
 
 
 @query

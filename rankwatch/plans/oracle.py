@@ -763,6 +763,9 @@ def statements() -> dict[str, str]:
         "impute_mode": f"{_MODES} SELECT feature, mode FROM mo",
         "one_hot": f"{_MODES} SELECT id, feature, coalesce(value, mode) AS level"
         " FROM lc LEFT JOIN mo USING (feature)",
+        "one_hot_joined": """SELECT event_id AS id, 'event_type' AS feature, event_type AS level FROM events
+            UNION ALL SELECT event_id, 'user', CAST(user_id AS VARCHAR) FROM events
+            UNION ALL SELECT event_id, 'hour', strftime(ts, '%Y-%m-%d %H') FROM events""",
         "design_matrix": f"{_IMPUTED}{_LEVELS} SELECT * FROM ({entries}) WHERE value <> 0",
         "stratified_split": f"{SPLIT} SELECT customer_id, split FROM sp",
         "stratified_split_events": "WITH ev AS (SELECT event_id, user_id AS customer_id,"

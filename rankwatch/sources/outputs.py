@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankwatch.operators.levels import moved, tables_of
 from rankwatch.operators.model import Bundle
 
 
@@ -70,7 +71,11 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> dict[str, DataFrame
 def save_bundle(bundle: Bundle, path: str) -> None:
     """Fitted stages, one metadata row and the two reference tables under one folder."""
     spark = bundle.ref_numeric.sparkSession
-    bundle.model.write().overwrite().save(f"{path}/model")
+    model = bundle.model
+    for table in tables_of(model):
+        spark.read.parquet(table).write.mode("overwrite").parquet(f"{path}/levels")
+        model = moved(model, f"{path}/levels")
+    model.write().overwrite().save(f"{path}/model")
     meta = spark.createDataFrame([(json.dumps(bundle.meta),)], "meta string")
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     bundle.ref_numeric.write.mode("overwrite").parquet(f"{path}/ref_numeric")
@@ -81,7 +86,8 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     if not exists(spark, path):
         raise FileNotFoundError(f"model bundle does not exist: {path}")
     return Bundle(
-        PipelineModel.load(f"{path}/model"),
+        # The folder may have been moved since.
+        moved(PipelineModel.load(f"{path}/model"), f"{path}/levels"),
         json.loads(spark.read.parquet(f"{path}/meta").first()["meta"]),
         spark.read.parquet(f"{path}/ref_numeric"),
         spark.read.parquet(f"{path}/ref_categorical"),

@@ -35,12 +35,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     only their own columns from Parquet, a lost executor costs a re-read instead of the
     whole lineage, and values can not change between passes.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df, label))
+
+
+def stage_path(df: DataFrame, label: str) -> str:
+    """Write `df` like `stage` and return where it lies."""
+    path = fresh_path(df.sparkSession, label)
     for paths in getattr(_scopes, "open", ()):
         paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def _delete(spark: SparkSession, path: str) -> None:
