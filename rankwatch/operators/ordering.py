@@ -11,7 +11,7 @@ and windows run inside slices only.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -256,18 +256,66 @@ class Found:
 
 @dataclass
 class Bracket:
-    """A value range known to hold the wanted positions of one target."""
+    """A value range known to hold the wanted positions of one target.
+
+    An end that is left out (`open_`) has been counted: its rows are in `below`, or beyond. A
+    wanted position that lies in such an end is answered at once (`known_`), so a value with very
+    many rows never keeps the range wide."""
 
     low: float
     high: float
     below: int
     inside: int
+    want_low: int
+    want_high: int
+    open_low: bool = False
+    open_high: bool = False
+    known_low: float | None = None
+    known_high: float | None = None
+    upto: int = 0
     slack: float = 1.0
-    settled: bool = False
     tries: int = 0
 
     def holds(self, v: Column) -> Column:
-        return v.between(self.low, self.high)
+        return (v > self.low if self.open_low else v >= self.low) & (v < self.high if self.open_high else v <= self.high)
+
+    @property
+    def settled(self) -> bool:
+        """Nothing is left to be ordered: one value, or every position is answered."""
+        return self.low == self.high or (self.known_low is not None and self.known_high is not None)
+
+    def shrink(self, at_low: int, at_high: int) -> None:
+        """Take the rows at the ends out, given how many there are."""
+        if self.low == self.high:
+            return
+        past_low, first_high = self.below + at_low, self.below + self.inside - at_high
+        if self.want_high < past_low:
+            self.high, self.inside, self.open_low, self.open_high = self.low, at_low, False, False
+            return
+        if self.want_low >= first_high:
+            self.low, self.below, self.inside, self.open_low, self.open_high = self.high, first_high, at_high, False, False
+            return
+        if self.want_high >= first_high:
+            self.known_high, self.upto = self.high, self.below + self.inside
+        if self.want_low < past_low:
+            self.known_low = self.low
+        if self.known_low is not None and self.known_high is not None:
+            return
+        # The position that is left stands for both.
+        if self.known_low is not None:
+            self.want_low = self.want_high
+        if self.known_high is not None:
+            self.want_high = self.want_low
+        self.below, self.inside = past_low, first_high - past_low
+        self.open_low, self.open_high = self.open_low or at_low > 0, self.open_high or at_high > 0
+
+    def found(self, low: float, high: float, last: int) -> Found:
+        """The answer, given the values at the positions left and the last row of the higher."""
+        return Found(
+            low if self.known_low is None else self.known_low,
+            high if self.known_high is None else self.known_high,
+            self.below + last + 1 if self.known_high is None else self.upto,
+        )
 
 
 def _narrow(
@@ -283,43 +331,49 @@ def _narrow(
         k.tries += 1
         if k.tries > MOST_TRIES:
             raise ValueError(f"{n}: the number of values given is not the number found")
-        t = targets[n]
-        f1, f2 = (t.low - k.below) / k.inside, (t.high - k.below + 1) / k.inside
+        f1, f2 = (k.want_low - k.below) / k.inside, (k.want_high - k.below + 1) / k.inside
         drawn = min(1.0, sample_rows / k.inside)
-        noise = k.slack * (SIGMAS * (0.25 / (drawn * k.inside)) ** 0.5 + 2 / ACCURACY)
-        chosen = k.holds(t.value)
+        # Quantiles of all rows have no sampling error.
+        chance = SIGMAS * (0.25 / (drawn * k.inside)) ** 0.5 if drawn < 1 else 0.0
+        noise = k.slack * (chance + 2 / ACCURACY)
+        chosen = k.holds(targets[n].value)
         if drawn < 1:
             chosen = chosen & (F.rand(round_) < drawn)
         ends = [max(0.0, f1 - noise), min(1.0, f2 + noise)]
         whole[n] = (ends[0] == 0.0, ends[1] == 1.0)
-        samples.append(F.when(chosen, t.value).alias(n))
+        samples.append(F.when(chosen, targets[n].value).alias(n))
         estimates.append(F.percentile_approx(_col(n), ends, ACCURACY).alias(n))
     found = df.select(*samples).agg(*estimates).first()
     # An end of the sample says nothing about the end of the bracket: that stays.
-    trial = {
-        n: (k.low if whole[n][0] else found[n][0], k.high if whole[n][1] else found[n][1])
-        for n, k in brackets.items()
-        if found[n] is not None
-    }
-    counts = df.agg(
-        F.lit(0),
-        *[F.count_if(targets[n].value < t[0]).alias(f"{n}|below") for n, t in trial.items()],
-        *[F.count_if(targets[n].value.between(*t)).alias(f"{n}|in") for n, t in trial.items()],
-    ).first()
+    trial = {}
+    for n, k in brackets.items():
+        if found[n] is not None:
+            low, high = (k.low, k.open_low) if whole[n][0] else (found[n][0], False), (
+                (k.high, k.open_high) if whole[n][1] else (found[n][1], False)
+            )
+            trial[n] = replace(k, low=low[0], open_low=low[1], high=high[0], open_high=high[1])
+    aggs = []
+    for n, t in trial.items():
+        v = targets[n].value
+        aggs += [
+            F.count_if((v <= t.low) if t.open_low else (v < t.low)).alias(f"{n}|below"),
+            F.count_if(t.holds(v)).alias(f"{n}|in"),
+            F.count_if((v == t.low) & F.lit(not t.open_low)).alias(f"{n}|low"),
+            F.count_if((v == t.high) & F.lit(not t.open_high)).alias(f"{n}|high"),
+        ]
+    counts = df.agg(F.lit(0), *aggs).first()
     for n, k in brackets.items():
-        if n not in trial:
+        t = trial.get(n)
+        if t is None:
             k.slack *= 2
             continue
-        below, inside = counts[f"{n}|below"], counts[f"{n}|in"]
-        if not below <= targets[n].low <= targets[n].high < below + inside:
+        t.below, t.inside = counts[f"{n}|below"], counts[f"{n}|in"]
+        if not t.below <= k.want_low <= k.want_high < t.below + t.inside:
             k.slack *= 2  # an unlucky sample; the old bracket stands
             continue
-        if all(whole[n]):
-            k.slack = 1.0  # the sample was too small to say anything: another one
-            continue
-        # The same ends again: what is left are a few values with many rows each.
-        k.settled = (k.low, k.high) == trial[n] or trial[n][0] == trial[n][1]
-        (k.low, k.high), k.below, k.inside = trial[n], below, inside
+        k.low, k.high, k.open_low, k.open_high = t.low, t.high, t.open_low, t.open_high
+        k.below, k.inside, k.slack = t.below, t.inside, 1.0
+        k.shrink(counts[f"{n}|low"], counts[f"{n}|high"])
 
 
 def order_statistics(
@@ -332,14 +386,17 @@ def order_statistics(
 
     Each target keeps a bracket known to hold its positions. It is narrowed by quantiles of a
     sample (two narrow passes for all targets; the new bracket is counted on all rows before
-    it is believed), again while it holds more than `direct_rows` values. Then only values
-    inside brackets are grouped and ordered. No task ever holds a whole column. A wrong
-    `count` is an error.
+    it is believed), again while it holds more than `direct_rows` values. Values at its ends are
+    counted and left out, so what is ordered at the end is bounded by rows whatever the values:
+    only values inside brackets are grouped and ordered. No task ever holds a whole column. A
+    wrong `count` is an error.
     """
     open_ = {n: t for n, t in targets.items() if t.count > 0}
     if not open_:
         return {}
-    brackets = {n: Bracket(float("-inf"), float("inf"), 0, t.count) for n, t in open_.items()}
+    brackets = {
+        n: Bracket(float("-inf"), float("inf"), 0, t.count, t.low, t.high) for n, t in open_.items()
+    }
     round_ = 0
     # Every bracket is narrowed once at least, so what is ordered at the end is a few values.
     while wide := {
@@ -350,14 +407,20 @@ def order_statistics(
         round_ += 1
         _narrow(df, open_, wide, round_, sample_rows)
 
+    out = {
+        n: k.found(k.low, k.high, k.inside - 1) for n, k in brackets.items() if k.settled
+    }
+    left = {n: brackets[n] for n in open_ if n not in out}
+    if not left:
+        return out
     entries = [
         F.struct(
             F.lit(n).alias("name"),
-            F.when(brackets[n].holds(t.value), t.value).alias("value"),
+            F.when(k.holds(open_[n].value), open_[n].value).alias("value"),
         )
-        for n, t in open_.items()
+        for n, k in left.items()
     ]
-    near = reduce(lambda a, b: a | b, (brackets[n].holds(t.value) for n, t in open_.items()))
+    near = reduce(lambda a, b: a | b, (k.holds(open_[n].value) for n, k in left.items()))
     grouped = (
         df.where(near)
         .select(F.inline(F.array(*entries)))
@@ -370,9 +433,8 @@ def order_statistics(
         "last", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - 1
     )
     covers = " OR ".join(
-        f"(name = {text(n)} AND last >= {t.low - brackets[n].below}"
-        f" AND last - n < {t.high - brackets[n].below})"
-        for n, t in open_.items()
+        f"(name = {text(n)} AND last >= {k.want_low - k.below} AND last - n < {k.want_high - k.below})"
+        for n, k in left.items()
     )
     # At most two values per target reach the driver.
     found = (
@@ -381,10 +443,7 @@ def order_statistics(
         .agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max("last").alias("last"))
         .collect()
     )
-    return {
-        r["name"]: Found(r["a"], r["b"], brackets[r["name"]].below + r["last"] + 1)
-        for r in found
-    }
+    return out | {r["name"]: left[r["name"]].found(r["a"], r["b"], r["last"]) for r in found}
 
 
 def medians(

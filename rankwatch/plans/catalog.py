@@ -730,7 +730,7 @@ def run_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scored_provenance(spark: SparkSession, d: str) -> DataFrame:
-    """Scored rows that carry their run, and how many of them do not agree with its record."""
+    """Scored rows that carry the run they come from."""
     batch = stage(tb.snapshot(spark, d, tb.SCORE_COLUMNS), "batch")
     found = ln.content_hash(batch, ["customer_id", "age", "support_tickets"]).first()
     run = ln.Run("run-1", "snapshot", found["rows"], found["content_hash"], "scorecard", "1", "2024-01-01T00:00:00+00:00")

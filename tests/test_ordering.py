@@ -159,3 +159,36 @@ def test_order_statistics_positions(spark, direct, sample):
     assert {k: (f.low, f.high, f.upto) for k, f in got.items()} == {
         str(k): (float(k), float(k), k + 1) for k in (0, 1, 249, 498, 499)
     }
+
+
+@pytest.mark.parametrize("shape", ["two heavy", "heavy low", "heavy high", "straddle", "one", "ends infinite"])
+def test_order_statistics_with_heavy_values(spark, shape, monkeypatch):
+    """Heavy values at the ends of a bracket are counted and left out: what is ordered stays small."""
+    n = 40_000
+    value = {
+        "two heavy": "CASE WHEN id % 1000 < 499 THEN 1D WHEN id % 1000 < 998 THEN 9D ELSE 1 + 8D * id / 40000 END",
+        "heavy low": "CASE WHEN id % 10 < 9 THEN 1D ELSE 2D + id END",
+        "heavy high": "CASE WHEN id % 10 < 9 THEN 1e9 ELSE 2D + id END",
+        "straddle": "CASE WHEN id < 20000 THEN 1D ELSE 1D + id END",
+        "one": "7D",
+        "ends infinite": "CASE WHEN id % 3 = 0 THEN CAST('-Infinity' AS DOUBLE) WHEN id % 3 = 1 THEN CAST('Infinity' AS DOUBLE) ELSE 1D * id END",
+    }[shape]
+    df = spark.range(n).selectExpr(f"{value} AS v").repartition(4).cache()
+    values = sorted(r["v"] for r in df.collect())
+    places = {"first": (0, 0), "last": (n - 1, n - 1), "mid": ((n - 1) // 2, n // 2), "third": (n // 3, n // 3), "near": (19_999, 20_000)}
+    targets = {k: ordering.Target(F.col("v"), a, b, n) for k, (a, b) in places.items()}
+    seen = []
+    monkeypatch.setattr(ordering.Bracket, "found", _watch(ordering.Bracket.found, seen))
+    got = ordering.order_statistics(df, targets, direct_rows=60, sample_rows=2_000)
+    for k, (a, b) in places.items():
+        assert (got[k].low, got[k].high) == (values[a], values[b]), k
+        assert got[k].upto == sum(v <= values[b] for v in values), k
+    assert all(inside <= 60 or settled for inside, settled in seen), seen
+
+
+def _watch(found, seen):
+    def run(self, *args):
+        seen.append((self.inside, self.settled))
+        return found(self, *args)
+
+    return run
