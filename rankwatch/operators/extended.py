@@ -125,6 +125,37 @@ def calibration(df: DataFrame, cfg: Config, score: str) -> DataFrame:
     )
 
 
+def calibration_deciles(df: DataFrame, cfg: Config, score: str) -> DataFrame:
+    """(decile, rows, lowest, highest, mean_score, positive_rate) by tenths of the rows in order of
+    the score; equal scores stay together, in the tenth in which the first of them lies."""
+    y, p = num(df.schema, cfg.target_column), num(df.schema, score)
+    rows = df.selectExpr(f"{p} AS p", f"{y} AS y").where("p IS NOT NULL AND y IS NOT NULL")
+    edges = decile_edges(rows, ["p"]).get("p", [])
+    # The last row of tenth i is at edge i, so what is above it belongs to a later tenth.
+    decile = " + ".join(["0", *(f"CAST(p > {double(e)} AS INT)" for e in edges)])
+    return rows.groupBy(F.expr(f"{decile} AS decile")).agg(
+        F.expr("count(*) AS rows"), F.expr("min(p) AS lowest"), F.expr("max(p) AS highest"),
+        F.expr("avg(p) AS mean_score"), F.expr("avg(y) AS positive_rate"),
+    )
+
+
+def calendar_features(df: DataFrame, cfg: Config) -> DataFrame:
+    """Append `signup_month` (1 to 12) and `signup_year`; null without a date."""
+    value = day(df.schema, cfg.date_column, cfg.date_format)
+    return df.withColumns({"signup_month": F.expr(f"month({value})"), "signup_year": F.expr(f"year({value})")})
+
+
+def keyword_rates(df: DataFrame, cfg: Config, words: Iterable[str], by: str) -> DataFrame:
+    """(group, rows, word, rate): how many texts of a group hold each word, in any case. Missing
+    texts hold none. One scan and one shuffle of partial counts."""
+    value = f"lower(coalesce({quoted(cfg.text_column)}, ''))"
+    words = list(words)
+    sums = [F.expr(f"count_if(contains({value}, {text(w.lower())})) AS w{i}") for i, w in enumerate(words)]
+    one = df.groupBy(F.expr(f"CAST({quoted(by)} AS STRING) AS `group`")).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    pairs = ", ".join(f"named_struct('word', {text(w)}, 'rate', w{i} / rows)" for i, w in enumerate(words))
+    return one.selectExpr("`group`", "rows", f"inline(array({pairs}))")
+
+
 def time_split(df: DataFrame, cfg: Config) -> DataFrame:
     """Append `split`: the latest share of rows is the test part, the share before it the
     validation part. Rows of one day stay together, on the later side; rows without a date train."""

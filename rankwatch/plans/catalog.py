@@ -18,6 +18,8 @@ from rankwatch.operators import challenger as ch
 from rankwatch.operators import drift as dr
 from rankwatch.operators import extended as ext
 from rankwatch.operators import features as ft
+from rankwatch.operators import gate as gt
+from rankwatch.operators import history as hs
 from rankwatch.operators import levels as lv
 from rankwatch.operators import lineage as ln
 from rankwatch.operators import metrics as mt
@@ -25,6 +27,7 @@ from rankwatch.operators import model as md
 from rankwatch.operators import prep as pr
 from rankwatch.operators import profile as pf
 from rankwatch.operators import quality as ql
+from rankwatch.operators import review as rv
 from rankwatch.operators import scoring as sc
 from rankwatch.operators import split as sp
 from rankwatch.operators import verify as vf
@@ -618,6 +621,68 @@ def calibration(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ext.calibration(labelled(spark, d), CFG, P))
 
 
+@query
+def calibration_deciles(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ext.calibration_deciles(staged_labelled(spark, d), CFG, P))
+
+
+@query
+def calendar_features(spark: SparkSession, d: str) -> DataFrame:
+    df = tb.snapshot(spark, d, ["customer_id", "signup_date"])
+    return ext.calendar_features(df, CFG).drop("signup_date")
+
+
+@query
+def keyword_rates(spark: SparkSession, d: str) -> DataFrame:
+    df = tb.table(spark, d, "documents").select("source", "text")
+    return rounded(ext.keyword_rates(df, tb.documents_config(), ("poor", "issue", *tb.DOCUMENT_KEYWORDS), "source"))
+
+
+def _sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Sketches of the scored snapshot, a batch per quarter of sign-up."""
+    scored = tb.scored_snapshot(spark, d, [*tb.SCORE_COLUMNS, "signup_date"])
+    quarter = F.concat_ws("-Q", F.year("signup_date"), F.quarter("signup_date"))
+    return stage(hs.score_sketch(scored.withColumn("quarter", quarter), "quarter", P), "sketches")
+
+
+@query
+def score_shift(spark: SparkSession, d: str) -> DataFrame:
+    """The sign-ups of a quarter against those of the one before, both from a stored history."""
+    path = fresh_path(spark, "history")
+    hs.append_history(_sketches(spark, d), path)
+    history = hs.read_history(spark, path)
+    return rounded(hs.score_shift(hs.latest_before(history, "1992-Q3"), history.where("batch = '1992-Q3'")))
+
+
+@query
+def score_collapse(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(hs.batch_spread(_sketches(spark, d), 0.26))
+
+
+@query
+def score_findings(spark: SparkSession, d: str) -> DataFrame:
+    sketches = _sketches(spark, d)
+    return rounded(hs.shift_findings(sketches.where("batch = '1992-Q2'"), sketches.where("batch = '1992-Q3'"), 0.01, 0.26))
+
+
+@query
+def promotion_gate(spark: SparkSession, d: str) -> DataFrame:
+    """A scorecard without the income against the fixed one, on the test part."""
+    test = test_rows(spark, d).withColumn("candidate", tb.candidate_probability())
+    return rounded(gt.promotion_gate(test, CFG, P, "candidate"))
+
+
+@query
+def review_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Sign-ups wait in the queue of their day; the next click, purchase or error of the user
+    within three days is what came of it."""
+    events = tb.table(spark, d, "events").select("user_id", "ts", "event_type")
+    queue = events.where("event_type = 'signup'").withColumn("day", F.to_date("ts"))
+    outcomes = {"click": rv.REVIEWED, "purchase": rv.CONTACTED, "error": rv.OVERRIDDEN}
+    found = rv.next_events(queue, events, outcomes, "3 DAYS", "user_id", "ts", "day", "ts", "event_type")
+    return rounded(rv.review_metrics(found))
+
+
 @query
 def time_split(spark: SparkSession, d: str) -> DataFrame:
     df = stage(tb.snapshot(spark, d, ["customer_id", "signup_date"]), "split")

@@ -695,6 +695,45 @@ def _unknown(c: str) -> str:
     )
 
 
+_SKETCHES = """,
+            sk AS (SELECT year(signup_date) || '-Q' || quarter(signup_date) AS yr, CAST(least(999, floor(churn_probability * 1000)) AS INT) AS bin,
+                   count(*) AS n FROM sc GROUP BY ALL)"""
+
+
+def _gate() -> str:
+    """Two fixed scorecards on the test part."""
+    loss = lambda m: f"champion_{m} - candidate_{m}"
+    names = [*((c, c) for c in CATEGORICAL), ("age_band", "age_band"), ("support_ticket_band", "ticket_band")]
+    base = f"""{SCORED}{split_ctes('sc')},
+        tst AS (SELECT *, 1e0 / (1e0 + exp(-(-1.3e0 + 5.5e-1 * support_tickets + 1.2e-2 * (age - 60)))) AS q,
+               {_AGE_BAND} AS age_band, {_TICKET_BAND} AS ticket_band FROM sp WHERE split = 'test'),
+        lb AS (SELECT *, churn_probability >= 5e-1 AS a, q >= 5e-1 AS b FROM tst),
+        mtr AS (SELECT count(*) AS rows, CAST(count(*) FILTER (a <> b) AS DOUBLE) / count(*) AS changed,
+               count(*) FILTER (a AND churn = 1) / count(*) FILTER (churn = 1) AS champion_recall,
+               count(*) FILTER (b AND churn = 1) / count(*) FILTER (churn = 1) AS candidate_recall,
+               coalesce(count(*) FILTER (a AND churn = 1) / nullif(count(*) FILTER (a), 0), 0) AS champion_precision,
+               coalesce(count(*) FILTER (b AND churn = 1) / nullif(count(*) FILTER (b), 0), 0) AS candidate_precision,
+               avg(power(churn_probability - churn, 2)) AS champion_brier, avg(power(q - churn, 2)) AS candidate_brier FROM lb),
+        g1 AS (SELECT churn_probability AS s, count(*) AS n, sum(churn) AS tp FROM lb GROUP BY 1),
+        g2 AS (SELECT q AS s, count(*) AS n, sum(churn) AS tp FROM lb GROUP BY 1),
+        ap2 AS (SELECT (SELECT sum(tp * ctp / cn) / sum(tp) FROM (SELECT tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn
+                       FROM g1 WINDOW w AS (ORDER BY s DESC))) AS champion_pr_auc,
+                      (SELECT sum(tp * ctp / cn) / sum(tp) FROM (SELECT tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn
+                       FROM g2 WINDOW w AS (ORDER BY s DESC))) AS candidate_pr_auc),
+        slv AS ({union(f"SELECT '{name}=' || coalesce({c}, 'UNKNOWN') AS slice, a, b, churn FROM lb" for name, c in names)}),
+        slr AS (SELECT slice, count(*) AS rows, count(*) FILTER (churn = 1) AS positives,
+               (count(*) FILTER (a AND churn = 1) - count(*) FILTER (b AND churn = 1)) / count(*) FILTER (churn = 1) AS lost
+               FROM slv GROUP BY slice HAVING count(*) >= 30 AND count(*) FILTER (churn = 1) > 0)"""
+    overall = from_(
+        [finding("promotion", "nothing_to_compare", "rows = 0", "rows", "1")]
+        + [finding("promotion", f"{m}_lost", f"{loss(m)} > {b}", r6(loss(m)), b) for m, b in (("recall", "0e0"), ("precision", "2e-2"), ("pr_auc", "0e0"))]
+        + [finding("promotion", "brier_grew", "candidate_brier - champion_brier > 1e-2", r6("candidate_brier - champion_brier"), "1e-2"),
+           finding("promotion", "many_labels_changed", "changed > 2.5e-1", r6("changed"), "2.5e-1")],
+        "mtr, ap2",
+    )
+    return f"""{base} {overall} UNION ALL SELECT 'promotion', 'slice_recall_lost', slice, lost > 1e-1, {r6('lost')}, 1e-1, NULL FROM slr"""
+
+
 def _hashed(table: str, columns: Iterable[str]) -> str:
     """Rows and content hash: the sum of 60 bits of every row's MD5."""
     fields = " || ".join(
@@ -878,6 +917,57 @@ def statements() -> dict[str, str]:
         "calibration": f"{SCORED} SELECT CAST(least(9, floor(churn_probability * 10)) AS INT) AS bin,"
         f" count(*) AS rows, {r6('avg(churn_probability)')} AS mean_score,"
         f" {r6('avg(churn)')} AS positive_rate FROM sc GROUP BY 1",
+        "calibration_deciles": f"""{SCORED}, o2 AS (SELECT churn_probability AS p, churn AS y,
+            row_number() OVER (ORDER BY churn_probability) AS i, count(*) OVER () AS n FROM sc),
+            e2 AS (SELECT p AS edge FROM o2, (SELECT unnest(range(1, 10)) AS t) WHERE i = (n * t + 9) // 10)
+            SELECT CAST((SELECT count(*) FROM e2 WHERE p > edge) AS INT) AS decile, count(*) AS rows,
+            {r6('min(p)')} AS lowest, {r6('max(p)')} AS highest, {r6('avg(p)')} AS mean_score,
+            {r6('avg(y)')} AS positive_rate FROM o2 GROUP BY 1""",
+        "calendar_features": f"{SNAP} SELECT customer_id, CAST(month(signup_date) AS INT) AS signup_month,"
+        " CAST(year(signup_date) AS INT) AS signup_year FROM s",
+        "keyword_rates": "WITH w AS (SELECT unnest(['poor', 'issue', 'license', 'data', 'the ']) AS word)"
+        ' SELECT source AS "group", count(*) AS rows, word,'
+        f" {r6('avg(CAST(contains(lower(coalesce(text, chr(32))), word) AS INT))')} AS rate"
+        " FROM documents, w GROUP BY source, word",
+        "score_shift": f"""{SCORED}{_SKETCHES},
+            pc AS (SELECT bin, CAST(sum(n) OVER (ORDER BY bin) - n AS BIGINT) AS before, sum(n) OVER () AS whole
+                   FROM (SELECT x.bin, coalesce(sum(sk.n), 0) AS n FROM (SELECT unnest(range(1000)) AS bin) x
+                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1992-Q2' GROUP BY 1)),
+            pt AS (SELECT bin, CAST(least(9, floor(10 * before / whole)) AS INT) AS part FROM pc),
+            sh AS (SELECT part, yr, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY yr) AS whole FROM sk JOIN pt USING (bin)
+                   WHERE yr IN ('1992-Q2', '1992-Q3') GROUP BY part, yr)
+            SELECT part, {r6('coalesce(max(n / whole) FILTER (yr = '1992-Q2'), 0)')} AS previous_share,
+            {r6('coalesce(max(n / whole) FILTER (yr = '1992-Q3'), 0)')} AS current_share FROM sh GROUP BY part""",
+        "score_collapse": f"""{SCORED} SELECT year(signup_date) || '-Q' || quarter(signup_date) AS batch, count(*) AS rows,
+            {r6('avg(churn_probability)')} AS mean_score, {r6('stddev_pop(churn_probability)')} AS score_spread,
+            stddev_pop(churn_probability) < 2.6e-1 AS collapsed FROM sc GROUP BY 1""",
+        "score_findings": f"""{SCORED}{_SKETCHES},
+            pc AS (SELECT bin, CAST(sum(n) OVER (ORDER BY bin) - n AS BIGINT) AS before, sum(n) OVER () AS whole
+                   FROM (SELECT x.bin, coalesce(sum(sk.n), 0) AS n FROM (SELECT unnest(range(1000)) AS bin) x
+                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1992-Q2' GROUP BY 1)),
+            pt AS (SELECT bin, CAST(least(9, floor(10 * before / whole)) AS INT) AS part FROM pc),
+            sh AS (SELECT part, yr, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY yr) AS whole FROM sk JOIN pt USING (bin)
+                   WHERE yr IN ('1992-Q2', '1992-Q3') GROUP BY part, yr),
+            tv AS (SELECT sum(abs(a - b)) / 2 AS d FROM (SELECT coalesce(max(n / whole) FILTER (yr = '1992-Q2'), 0) AS a,
+                   coalesce(max(n / whole) FILTER (yr = '1992-Q3'), 0) AS b FROM sh GROUP BY part)),
+            c AS (SELECT count(*) AS n, stddev_pop(churn_probability) AS sp FROM sc WHERE year(signup_date) || '-Q' || quarter(signup_date) = '1992-Q3'),
+            m AS (SELECT CAST(max(n) AS DOUBLE) / sum(n) AS most FROM sk WHERE yr = '1992-Q3')
+            {from_([finding('history', 'score_distribution_shifted', 'd > 1e-2', r6('d'), '1e-2'),
+                    finding('history', 'scores_collapsed', 'sp < 2.6e-1', r6('sp'), '2.6e-1'),
+                    finding('history', 'one_bin_holds_most', 'most > 5e-1', r6('most'), '5e-1'),
+                    finding('history', 'no_scores', 'n = 0', 'n', '1')], 'tv, c, m')}""",
+        "promotion_gate": _gate(),
+        "review_metrics": f"""WITH q AS (SELECT DISTINCT CAST(ts AS DATE) AS batch, user_id, ts FROM events WHERE event_type = 'signup'),
+            nx AS (SELECT q.batch, q.user_id, q.ts, min(e.ts) AS then_,
+                   min_by(e.event_type, (e.ts, e.event_type = 'click', e.event_type = 'error')) AS kind
+                   FROM q LEFT JOIN events e ON e.user_id = q.user_id AND e.ts >= q.ts
+                        AND e.ts <= q.ts + INTERVAL 3 DAY AND e.event_type IN ('click', 'purchase', 'error')
+                   GROUP BY q.batch, q.user_id, q.ts)
+            SELECT CAST(batch AS VARCHAR) AS batch, count(*) AS queued, count(kind) AS reviewed,
+            {r6('count(kind) / count(*)')} AS reviewed_rate,
+            {r6("coalesce(count(*) FILTER (kind = 'purchase') / nullif(count(kind), 0), 0)")} AS contacted_rate,
+            {r6("coalesce(count(*) FILTER (kind = 'error') / nullif(count(kind), 0), 0)")} AS overridden_rate,
+            {r6('avg(epoch_us(then_) - epoch_us(ts)) / 36e8')} AS mean_hours FROM nx GROUP BY batch""",
         "time_split": f"{SNAP}, n AS (SELECT count(*) AS n, CAST(ceil(2e-1 * count(*)) AS BIGINT) AS h"
         " FROM s), o2 AS (SELECT signup_date AS dt, row_number() OVER (ORDER BY signup_date) AS rn"
         " FROM s), e AS (SELECT (SELECT dt FROM o2, n WHERE rn = n - h + 1) AS te,"

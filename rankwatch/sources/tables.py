@@ -114,6 +114,12 @@ def scorecard_probability() -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+def candidate_probability() -> Column:
+    """Another fixed linear score, which does without the income."""
+    z = F.lit(-1.3) + F.lit(0.55) * F.col("support_tickets") + F.lit(0.012) * (F.col("age") - F.lit(60))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
 def scored_snapshot(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] = SCORE_COLUMNS
 ) -> DataFrame:
