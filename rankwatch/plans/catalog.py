@@ -651,7 +651,7 @@ def score_shift(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "history")
     hs.append_history(_sketches(spark, d), path)
     history = hs.read_history(spark, path)
-    return rounded(hs.score_shift(hs.latest_before(history, "1992-Q3"), history.where("batch = '1992-Q3'")))
+    return rounded(hs.score_shift(hs.latest_before(history, "1995-Q2"), history.where("batch = '1995-Q2'")))
 
 
 @query
@@ -662,7 +662,7 @@ def score_collapse(spark: SparkSession, d: str) -> DataFrame:
 @query
 def score_findings(spark: SparkSession, d: str) -> DataFrame:
     sketches = _sketches(spark, d)
-    return rounded(hs.shift_findings(sketches.where("batch = '1992-Q2'"), sketches.where("batch = '1992-Q3'"), 0.01, 0.26))
+    return rounded(hs.shift_findings(sketches.where("batch = '1995-Q1'"), sketches.where("batch = '1995-Q2'"), 0.01, 0.26))
 
 
 @query

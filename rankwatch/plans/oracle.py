@@ -932,26 +932,26 @@ def statements() -> dict[str, str]:
         "score_shift": f"""{SCORED}{_SKETCHES},
             pc AS (SELECT bin, CAST(sum(n) OVER (ORDER BY bin) - n AS BIGINT) AS before, sum(n) OVER () AS whole
                    FROM (SELECT x.bin, coalesce(sum(sk.n), 0) AS n FROM (SELECT unnest(range(1000)) AS bin) x
-                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1992-Q2' GROUP BY 1)),
+                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1995-Q1' GROUP BY 1)),
             pt AS (SELECT bin, CAST(least(9, floor(10 * before / whole)) AS INT) AS part FROM pc),
             sh AS (SELECT part, yr, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY yr) AS whole FROM sk JOIN pt USING (bin)
-                   WHERE yr IN ('1992-Q2', '1992-Q3') GROUP BY part, yr)
-            SELECT part, {r6('coalesce(max(n / whole) FILTER (yr = '1992-Q2'), 0)')} AS previous_share,
-            {r6('coalesce(max(n / whole) FILTER (yr = '1992-Q3'), 0)')} AS current_share FROM sh GROUP BY part""",
+                   WHERE yr IN ('1995-Q1', '1995-Q2') GROUP BY part, yr)
+            SELECT part, {r6("coalesce(max(n / whole) FILTER (yr = '1995-Q1'), 0)")} AS previous_share,
+            {r6("coalesce(max(n / whole) FILTER (yr = '1995-Q2'), 0)")} AS current_share FROM sh GROUP BY part""",
         "score_collapse": f"""{SCORED} SELECT year(signup_date) || '-Q' || quarter(signup_date) AS batch, count(*) AS rows,
             {r6('avg(churn_probability)')} AS mean_score, {r6('stddev_pop(churn_probability)')} AS score_spread,
             stddev_pop(churn_probability) < 2.6e-1 AS collapsed FROM sc GROUP BY 1""",
         "score_findings": f"""{SCORED}{_SKETCHES},
             pc AS (SELECT bin, CAST(sum(n) OVER (ORDER BY bin) - n AS BIGINT) AS before, sum(n) OVER () AS whole
                    FROM (SELECT x.bin, coalesce(sum(sk.n), 0) AS n FROM (SELECT unnest(range(1000)) AS bin) x
-                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1992-Q2' GROUP BY 1)),
+                         LEFT JOIN sk ON sk.bin = x.bin AND yr = '1995-Q1' GROUP BY 1)),
             pt AS (SELECT bin, CAST(least(9, floor(10 * before / whole)) AS INT) AS part FROM pc),
             sh AS (SELECT part, yr, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY yr) AS whole FROM sk JOIN pt USING (bin)
-                   WHERE yr IN ('1992-Q2', '1992-Q3') GROUP BY part, yr),
-            tv AS (SELECT sum(abs(a - b)) / 2 AS d FROM (SELECT coalesce(max(n / whole) FILTER (yr = '1992-Q2'), 0) AS a,
-                   coalesce(max(n / whole) FILTER (yr = '1992-Q3'), 0) AS b FROM sh GROUP BY part)),
-            c AS (SELECT count(*) AS n, stddev_pop(churn_probability) AS sp FROM sc WHERE year(signup_date) || '-Q' || quarter(signup_date) = '1992-Q3'),
-            m AS (SELECT CAST(max(n) AS DOUBLE) / sum(n) AS most FROM sk WHERE yr = '1992-Q3')
+                   WHERE yr IN ('1995-Q1', '1995-Q2') GROUP BY part, yr),
+            tv AS (SELECT sum(abs(a - b)) / 2 AS d FROM (SELECT coalesce(max(n / whole) FILTER (yr = '1995-Q1'), 0) AS a,
+                   coalesce(max(n / whole) FILTER (yr = '1995-Q2'), 0) AS b FROM sh GROUP BY part)),
+            c AS (SELECT count(*) AS n, stddev_pop(churn_probability) AS sp FROM sc WHERE year(signup_date) || '-Q' || quarter(signup_date) = '1995-Q2'),
+            m AS (SELECT CAST(max(n) AS DOUBLE) / sum(n) AS most FROM sk WHERE yr = '1995-Q2')
             {from_([finding('history', 'score_distribution_shifted', 'd > 1e-2', r6('d'), '1e-2'),
                     finding('history', 'scores_collapsed', 'sp < 2.6e-1', r6('sp'), '2.6e-1'),
                     finding('history', 'one_bin_holds_most', 'most > 5e-1', r6('most'), '5e-1'),
