@@ -453,7 +453,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
 
     # A row holds at most k - 1 keys.
     own_keys = in_long.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    members = in_long.join(own_keys, "rep").join(classes.select("rep", "sketch"), "rep")
+    # One row per representative first; the rows of lists meet it once.
+    facts = own_keys.join(classes.select("rep", "sketch"), "rep")
+    members = in_long.join(stage(facts, "long-facts"), "rep")
     more = _long_links(docs, members, labels, size, k, percent)
     linked = labels.where("rep <> label").select(F.col("rep").alias("a"), F.col("label").alias("b"))
     return _members(rows, classes, components(linked.unionByName(more)))
