@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +14,8 @@ from pyspark.sql import functions as F
 from rankwatch.sources.staging import drop_staged, shared_dir, stage, staging
 
 __all__ = [
-    "byte_batches", "connected", "drop_staged", "lookup", "row_key", "rows_in_parts", "shared_dir", "small_batches",
-    "stage", "staging", "table",
+    "byte_batches", "connected", "drop_staged", "give_back", "lookup", "row_key", "rows_in_parts", "shared_dir",
+    "small_batches", "stage", "staging", "table", "tidy",
 ]
 
 # A key with more than this share of the rows is looked up in a broadcast; there are at most as many.
@@ -51,6 +56,26 @@ def byte_batches(spark: SparkSession, most: int = 8 << 20) -> None:
         spark.conf.set(name, f"{most}b")
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed: workers live on, idle, beside the next
+    stage's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A `mapInArrow` function that gives back what its task has freed when it ends."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of staged `rows` with `table`, which has one row per key.
 

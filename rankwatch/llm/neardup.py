@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import rows_in_parts, small_batches, stage
+from rankwatch.llm.common import rows_in_parts, small_batches, stage, tidy
 
 K = 40
 LIST = 16
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
 
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, sketch array<long>")
+    return narrow.mapInArrow(tidy(run), f"doc_id {kind}, n long, s1 long, s2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -121,7 +121,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
     narrow = docs.select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"))
     kind = narrow.schema["rep"].dataType.simpleString()
-    return narrow.join(ids, "rep", "left_semi").mapInArrow(run, f"rep {kind}, members binary")
+    return narrow.join(ids, "rep", "left_semi").mapInArrow(tidy(run), f"rep {kind}, members binary")
 
 
 def _similar_sizes(percent: int) -> Column:
@@ -160,7 +160,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> Dat
     kind = pairs.schema["a"].dataType.simpleString()
     side = lambda c: classes.select(F.col("rep").alias(c), F.col("sketch").alias(f"sketch_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "sketch_a", "sketch_b").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,7 +181,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["a"].dataType.simpleString()
     side = lambda c: sets.select(F.col("rep").alias(c), F.col("members").alias(f"m_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "m_a", "m_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "m_a", "m_b").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame) -> DataFrame:

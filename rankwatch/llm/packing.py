@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.llm import bpe
 from rankwatch.llm import words as W
-from rankwatch.llm.common import small_batches, stage
+from rankwatch.llm.common import small_batches, stage, tidy
 
 WINDOW = 2048
 STEP = 16
@@ -222,7 +222,7 @@ def cut_pieces(
     narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
     kind = narrow.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    pieces = narrow.mapInArrow(run, schema + ", ids array<int>" * keep_ids)
+    pieces = narrow.mapInArrow(tidy(run), schema + ", ids array<int>" * keep_ids)
     return pieces.withColumnRenamed("id", id_column)
 
 

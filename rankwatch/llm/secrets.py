@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankwatch.llm.common import small_batches, stage
+from rankwatch.llm.common import small_batches, stage, tidy
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0
@@ -276,7 +276,7 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> Words:
             )
 
     small_batches(docs.sparkSession)
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "word string, n long")
     totals = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
     totals = stage(totals, "document-counts")
     # One row per number of documents that some word is in.
@@ -319,7 +319,7 @@ def scan(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(
-        run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+        tidy(run), f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     )
 
 
@@ -347,7 +347,7 @@ def redact(docs: DataFrame) -> DataFrame:
             yield batch.set_column(at, batch.schema.field(at), texts)
 
     small_batches(docs.sparkSession)
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(tidy(run), docs.schema)
     if "n_chars" in out.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import small_batches, stage
+from rankwatch.llm.common import small_batches, stage, tidy
 
 SAMPLE_ROWS = 8_000
 WITNESSES = 1_500
@@ -313,7 +313,7 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
                 )
 
     counts = sample.select("text", (F.col("toxic") > 0).alias("toxic"), "fold").mapInArrow(
-        run, "fold int, unit binary, p long, n long"
+        tidy(run), "fold int, unit binary, p long, n long"
     )
     return counts.groupBy("fold", "unit").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
 
@@ -433,7 +433,7 @@ def _collect_evidence(sample: DataFrame, model: Model) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(columns, ["y", "top", "count", "size"])
 
     rows = sample.select("text", (F.col("toxic") > 0).cast("double").alias("y"))
-    found = rows.mapInArrow(run, "y double, top double, count double, size double")
+    found = rows.mapInArrow(tidy(run), "y double, top double, count double, size double")
     return np.array([tuple(r) for r in found.collect()]).reshape(-1, 4)
 
 
@@ -452,7 +452,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             )
 
     kind = base.schema["doc_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return base.mapInArrow(tidy(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -466,4 +466,4 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             value = sent.value.scores(sent.value.evidence(batch.column(at)))
             yield batch.filter(pa.array(value < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
