@@ -2,31 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwatch.config import Config
-from rankwatch.functions.rows import aggregate, finding, to_rows
+from rankwatch.functions.rows import aggregate, finding, to_rows, unpivot
 from rankwatch.functions.values import double as dbl
-from rankwatch.functions.values import drift_status, missing, num, ratio, text
+from rankwatch.functions.values import drift_status, filled, missing, num, ratio, text
 from rankwatch.operators.quality import category_counts
 
 PREDICTION_SHIFT = 0.15  # fixed value: limit of the mean probability shift
 
 
-def _numeric_profile(df: DataFrame, cfg: Config) -> DataFrame:
-    """(feature, mean, missing_rate): one scan, one aggregate row turned into rows."""
-    aggs, rows = {"rows": "count(*)"}, []
-    for i, c in enumerate(c for c in cfg.monitor_numeric if c in df.columns):
+def batch_facts(df: DataFrame, cfg: Config) -> DataFrame:
+    """One row: row count, mean and gaps of the monitored numeric columns, gaps of the monitored
+    categorical ones. Staged, it serves numeric and categorical drift with one scan."""
+    aggs = {"rows": "count(*)"}
+    for i, c in _present(df, cfg.monitor_numeric):
         v = num(df.schema, c)
         aggs |= {f"mean{i}": f"avg({v})", f"miss{i}": f"count_if(({v}) IS NULL)"}
-        rate = f"try_divide(miss{i}, rows)"
-        rows.append({"feature": text(c), "mean": f"mean{i}", "missing_rate": rate})
+    for i, c in _present(df, cfg.monitor_categorical):
+        aggs[f"gap{i}"] = f"count_if({missing(df.schema, c)})"
+    return aggregate(df, aggs)
+
+
+def _present(df: DataFrame, columns: Iterable[str]) -> list[tuple[int, str]]:
+    return list(enumerate(c for c in columns if c in df.columns))
+
+
+def _numeric_profile(df: DataFrame, cfg: Config, facts: DataFrame | None = None) -> DataFrame:
+    """(feature, mean, missing_rate): one scan, one aggregate row turned into rows."""
+    rows = [
+        {"feature": text(c), "mean": f"mean{i}", "missing_rate": f"try_divide(miss{i}, rows)"}
+        for i, c in _present(df, cfg.monitor_numeric)
+    ]
     fields = (("feature", "string"), ("mean", "double"), ("missing_rate", "double"))
-    return to_rows(aggregate(df, aggs), rows, fields)
+    return to_rows(facts or batch_facts(df, cfg), rows, fields)
 
 
 def reference_numeric(df: DataFrame, cfg: Config) -> DataFrame:
@@ -49,13 +63,15 @@ def reference_categorical(df: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def numeric_drift(batch: DataFrame, ref_numeric: DataFrame, cfg: Config) -> DataFrame:
+def numeric_drift(
+    batch: DataFrame, ref_numeric: DataFrame, cfg: Config, facts: DataFrame | None = None
+) -> DataFrame:
     """Mean and missing-rate shift per feature. Both sides have one row per configured
-    feature, so the reference is broadcast."""
+    feature, so the reference is broadcast. `facts` are the batch's, if already computed."""
     ref = ref_numeric.selectExpr(
         "feature", "mean AS reference_mean", "missing_rate AS reference_missing_rate"
     )
-    cur = _numeric_profile(batch, cfg).selectExpr(
+    cur = _numeric_profile(batch, cfg, facts).selectExpr(
         "feature", "mean AS current_mean", "missing_rate AS current_missing_rate"
     )
     mean_shift = "(current_mean - reference_mean)"
@@ -72,7 +88,9 @@ def numeric_drift(batch: DataFrame, ref_numeric: DataFrame, cfg: Config) -> Data
     )
 
 
-def categorical_drift(batch: DataFrame, ref_categorical: DataFrame, cfg: Config) -> DataFrame:
+def categorical_drift(
+    batch: DataFrame, ref_categorical: DataFrame, cfg: Config, facts: DataFrame | None = None
+) -> DataFrame:
     """Total variation distance per feature.
 
     Shares of both sides are added with opposite signs per (feature, value) and summed: a
@@ -89,23 +107,21 @@ def categorical_drift(batch: DataFrame, ref_categorical: DataFrame, cfg: Config)
         .groupBy("feature")
         .agg(F.expr("sum(abs(d)) / 2 AS mean_shift"))
     )
-    aggs, rows = {"rows": "count(*)"}, []
-    for i, c in enumerate(cols):
-        aggs[f"m{i}"] = f"count_if({missing(batch.schema, c)})"
-        rows.append(
-            {
-                "feature": text(c),
-                "current_missing_rate": "CASE WHEN rows > 0 THEN 0D END",
-                "true_missing_rate": f"try_divide(m{i}, rows)",
-            }
-        )
+    rows = [
+        {
+            "feature": text(c),
+            "current_missing_rate": "CASE WHEN rows > 0 THEN 0D END",
+            "true_missing_rate": f"try_divide(gap{i}, rows)",
+        }
+        for i, c in enumerate(cols)
+    ]
     fields = (
         ("feature", "string"),
         ("current_missing_rate", "double"),
         ("true_missing_rate", "double"),
     )
     shift = "coalesce(mean_shift, 0D)"
-    present = to_rows(aggregate(batch, aggs), rows, fields)
+    present = to_rows(facts or batch_facts(batch, cfg), rows, fields)
     # One row per configured feature on either side.
     return present.join(F.broadcast(distance), "feature", "left").selectExpr(
         "feature",
@@ -117,6 +133,57 @@ def categorical_drift(batch: DataFrame, ref_categorical: DataFrame, cfg: Config)
     )
 
 
+def tagged_drift(df: DataFrame, reference: str, cfg: Config) -> DataFrame:
+    """(kind, feature, shift, missing_rate_shift, status) between the rows of one table where the
+    SQL condition `reference` holds and the others (also those where it is null).
+
+    Equal to drift between the two as tables of their own, in two scans: one row of filtered
+    aggregates, and one grouped count of values on both sides.
+    """
+    tag = f"coalesce({reference}, false)"
+    sides = {"ref": tag, "cur": f"NOT {tag}"}
+    aggs = {f"{s}_rows": f"count_if({is_})" for s, is_ in sides.items()}
+    rows = []
+    for i, c in _present(df, cfg.monitor_numeric):
+        v = num(df.schema, c)
+        for s, is_ in sides.items():
+            aggs[f"{s}_mean{i}"] = f"avg({v}) FILTER (WHERE {is_})"
+            aggs[f"{s}_miss{i}"] = f"count_if(({v}) IS NULL AND {is_})"
+        mean = f"cur_mean{i} - coalesce(ref_mean{i}, 0D)"
+        gaps = f"try_divide(cur_miss{i}, cur_rows) - coalesce(try_divide(ref_miss{i}, ref_rows), 0D)"
+        rows.append({"kind": text("numeric"), "feature": text(c), "shift": mean, "missing_rate_shift": gaps})
+    cols = [c for _, c in _present(df, cfg.monitor_categorical)]
+    for c in cols:
+        gaps = "CASE WHEN cur_rows > 0 THEN 0D END"
+        rows.append({"kind": text("categorical"), "feature": text(c), "missing_rate_shift": gaps})
+    fields = (
+        ("kind", "string"), ("feature", "string"), ("shift", "double"), ("missing_rate_shift", "double")
+    )
+    found = to_rows(aggregate(df, aggs), rows, fields)
+    status = f"{drift_status('shift', 'missing_rate_shift')} AS status"
+    if not cols:
+        return found.selectExpr(*(n for n, _ in fields), status)
+
+    long = unpivot(df, [f"{tag} AS is_ref"], {c: filled(c) for c in cols}, "feature", "value")
+    counts = long.groupBy("feature", "value").agg(
+        F.expr("count_if(is_ref) AS r"), F.expr("count_if(NOT is_ref) AS c")
+    )
+    totals = counts.groupBy("feature").agg(F.expr("sum(r) AS all_r"), F.expr("sum(c) AS all_c"))
+    apart = f"abs({ratio('c', 'all_c')} - {ratio('r', 'all_r')})"
+    distance = (
+        counts.join(F.broadcast(totals), "feature")
+        .groupBy("feature")
+        .agg(F.expr(f"sum({apart}) / 2 AS distance"))
+        .withColumn("kind", F.lit("categorical"))
+    )
+    shift = "CASE WHEN kind = 'categorical' THEN coalesce(distance, 0D) ELSE shift END AS shift"
+    return (
+        found.join(F.broadcast(distance), ["kind", "feature"], "left")
+        .selectExpr("kind", "feature", shift, "missing_rate_shift")
+        .selectExpr("*", status)
+    )
+
+
 def prediction_drift(summary: DataFrame, meta: Mapping[str, Any]) -> DataFrame:
     """Mean probability against the validation positive rate; queue size against half the
     validation rows."""

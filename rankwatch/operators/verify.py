@@ -21,8 +21,10 @@ CHECK_FIELDS = (
     ("value", "double"),
     ("detail", "string"),
 )
-# Distinct ranks per window partition of the order check.
-RANK_BLOCK = 1 << 20
+# Claimed ranks are compared inside ranges of so many, and the edges of ranges inside ranges of so
+# many ranges: three levels hold every whole number there is.
+RANK_BLOCK = 1 << 21
+LEVELS = 3
 
 PREDICTIONS, MODEL = "prediction_artifact", "model_artifact"
 # Sections a report table must hold.
@@ -71,45 +73,42 @@ def _per_rank(scored: DataFrame) -> DataFrame:
     )
 
 
-def rank_order(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
-    """One row: how often the probability rises from one rank to the next, without a sort of
-    all rows.
+def rank_facts(scored: DataFrame, block: int = RANK_BLOCK, levels: int = LEVELS) -> DataFrame:
+    """One row: first, last and distinct ranks, the row count, and how often the probability
+    rises from one claimed rank to the next, without a sort of all rows.
 
-    Order is judged among ranks 1..N; others break the sequence check anyway. A block of
-    ranks holds at most `block` of them, so neighbours are compared inside blocks, and then
-    block edges among themselves, of which there are N / block.
+    Rows are combined per rank before the one shuffle by rank. Ranges of ranks then carry their
+    edges (highest probability at their first rank, lowest at their last) upwards: neighbours
+    are compared inside a range, the edges of neighbouring ranges inside a range of ranges, and
+    so on. A range has at most `block` members on each level, whatever ranks are claimed, so
+    sparse ranks do not meet in one task either. Rows without a rank are only counted.
     """
-    rows = scored.agg(F.count(F.lit(1))).scalar()
-    inside = Window.partitionBy("block").orderBy("r")
-    blocks = (
-        _per_rank(scored)
-        .where((F.col("r") >= 1) & (F.col("r") <= rows))
-        .withColumn("block", F.expr(f"floor(r / {block})"))
-        .withColumn("rises", F.col("hi") > F.lag("lo").over(inside))
-        .groupBy("block")
-        .agg(
-            F.expr("count_if(rises) AS rises"),
-            F.expr("min_by(hi, r) AS first_hi"),
-            F.expr("max_by(lo, r) AS last_lo"),
-        )
-    )
-    edge = F.col("first_hi") > F.lag("last_lo").over(Window.orderBy("block"))
-    return aggregate(
-        blocks.withColumn("edge", edge), {"rises": "coalesce(sum(rises), 0) + count_if(edge)"}
+    edges = _per_rank(scored).selectExpr(
+        "r", "n", "r AS at", "hi AS first_hi", "lo AS last_lo", "0L AS rises",
+        "r AS first_r", "r AS last_r", "IF(r IS NULL, 0L, 1L) AS distinct_r",
     )
+    sums = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in ("n", "distinct_r")]
+    ends = [F.expr("min(first_r) AS first_r"), F.expr("max(last_r) AS last_r")]
+    for level in range(levels + 1):
+        # What is left at the top is one range.
+        top = level == levels
+        keys = [] if top else ["part"]
+        edges = edges if top else edges.withColumn("part", F.expr(f"at DIV {block}L"))
+        inside = Window.partitionBy(*keys).orderBy("at")
+        rise = F.col("first_hi") > F.lag("last_lo").over(inside)
+        edges = edges.withColumn("rise", rise & F.col("at").isNotNull())
+        rises = F.expr("coalesce(sum(rises), 0) + count_if(rise) AS rises")
+        carried = [] if top else [
+            F.expr("min_by(first_hi, at) AS first_hi"), F.expr("max_by(last_lo, at) AS last_lo")
+        ]
+        edges = edges.groupBy(*keys).agg(rises, *carried, *sums, *ends)
+        edges = edges if top else edges.withColumnRenamed("part", "at")
+    return edges
 
 
-def rank_sequence(scored: DataFrame) -> DataFrame:
-    """One row: first, last and distinct ranks and the row count."""
-    return aggregate(
-        _per_rank(scored),
-        {
-            "first_r": "min(r)",
-            "last_r": "max(r)",
-            "distinct_r": "count(r)",
-            "n": "coalesce(sum(n), 0)",
-        },
-    )
+def rank_order(scored: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
+    """One row: how often the probability rises from one rank to the next."""
+    return rank_facts(scored, block).select("rises")
 
 
 def verify_scored(scored: DataFrame, cfg: Config, top_k: int | None = None) -> DataFrame:
@@ -155,8 +154,7 @@ def verify_scored(scored: DataFrame, cfg: Config, top_k: int | None = None) -> D
     ordered = check(PREDICTIONS, "sorted_by_probability", "rises = 0", "rises")
     return (
         to_rows(one, rows, CHECK_FIELDS)
-        .unionByName(to_rows(rank_sequence(scored), [sequence], CHECK_FIELDS))
-        .unionByName(to_rows(rank_order(scored), [ordered], CHECK_FIELDS))
+        .unionByName(to_rows(rank_facts(scored), [sequence, ordered], CHECK_FIELDS))
     )
 
 

@@ -492,16 +492,27 @@ _IS_REF = f"signup_date < DATE '{tb.REFERENCE_END}'"
 _IS_CUR = f"NOT {_IS_REF}"
 
 
+def watched(spark: SparkSession, d: str, columns: Iterable[str] = _WATCHED) -> DataFrame:
+    """The scored snapshot with tenure, both batches."""
+    return stage(ft.tenure_days(labelled(spark, d, columns), CFG), "drift")
+
+
 def two_batches(spark: SparkSession, d: str, columns: Iterable[str] = _WATCHED):
     """(reference rows, current rows) of the scored snapshot with tenure."""
-    df = stage(ft.tenure_days(labelled(spark, d, columns), CFG), "drift")
+    df = watched(spark, d, columns)
     return df.where(_IS_REF), df.where(_IS_CUR)
 
 
+_EVENT_IS_REF = f"ts < TIMESTAMP_NTZ '{tb.EVENTS_REFERENCE_END}'"
+
+
+def watched_events(spark: SparkSession, d: str) -> DataFrame:
+    return tb.table(spark, d, "events").select("ts", "event_type", "value")
+
+
 def event_batches(spark: SparkSession, d: str):
-    df = tb.table(spark, d, "events").select("ts", "event_type", "value")
-    early = F.col("ts") < F.lit(tb.EVENTS_REFERENCE_END).cast("timestamp_ntz")
-    return df.where(early), df.where(~early)
+    df = watched_events(spark, d)
+    return df.where(_EVENT_IS_REF), df.where(f"NOT ({_EVENT_IS_REF})")
 
 
 @query
@@ -527,40 +538,35 @@ def drift_categorical(spark: SparkSession, d: str) -> DataFrame:
     return rounded(dr.categorical_drift(cur, dr.reference_categorical(ref, CFG), CFG))
 
 
-def _status(ref: DataFrame, cur: DataFrame, cfg: Config) -> DataFrame:
-    return dr.drift_status_rows(
-        dr.numeric_drift(cur, dr.reference_numeric(ref, cfg), cfg),
-        dr.categorical_drift(cur, dr.reference_categorical(ref, cfg), cfg),
-    )
-
-
 @query
 def drift_status(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_status(*two_batches(spark, d), CFG))
+    return rounded(dr.tagged_drift(watched(spark, d), _IS_REF, CFG))
 
 
 @query
 def drift_events(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_status(*event_batches(spark, d), tb.events_config()))
+    return rounded(dr.tagged_drift(watched_events(spark, d), _EVENT_IS_REF, tb.events_config()))
 
 
-def _prediction(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    ref, cur = two_batches(spark, d)
+def _prediction(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(both batches, prediction drift)"""
+    df = watched(spark, d)
+    ref, cur = df.where(_IS_REF), df.where(_IS_CUR)
     held = sp.split_counts(sp.stratified_split(ref, CFG), CFG).where("split = 'validation'")
     row = held.first()
     meta = {"validation_positive_rate": row["positive_rate"], "validation_rows": row["rows"]}
-    return ref, cur, dr.prediction_drift(sc.batch_summary(cur, CFG), meta)
+    return df, dr.prediction_drift(sc.batch_summary(cur, CFG), meta)
 
 
 @query
 def drift_prediction(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_prediction(spark, d)[2])
+    return rounded(_prediction(spark, d)[1])
 
 
 @query
 def drift_findings(spark: SparkSession, d: str) -> DataFrame:
-    ref, cur, prediction = _prediction(spark, d)
-    return rounded(dr.drift_findings(_status(ref, cur, CFG), prediction))
+    df, prediction = _prediction(spark, d)
+    return rounded(dr.drift_findings(dr.tagged_drift(df, _IS_REF, CFG), prediction))
 
 
 def _event_reference(spark: SparkSession, d: str):

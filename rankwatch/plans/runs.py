@@ -79,8 +79,11 @@ def monitor(
 ) -> dict[str, DataFrame]:
     """Drift tables of a scored batch against the bundle's training profile."""
     # The findings are read off the drift tables, so those are computed once.
-    numeric = stage(dr.numeric_drift(batch, bundle.ref_numeric, cfg), "numeric-drift")
-    categorical = stage(dr.categorical_drift(batch, bundle.ref_categorical, cfg), "categorical-drift")
+    facts = stage(dr.batch_facts(batch, cfg), "batch-facts")
+    numeric = stage(dr.numeric_drift(batch, bundle.ref_numeric, cfg, facts), "numeric-drift")
+    categorical = stage(
+        dr.categorical_drift(batch, bundle.ref_categorical, cfg, facts), "categorical-drift"
+    )
     prediction = stage(dr.prediction_drift(summary, bundle.meta), "prediction-drift")
     status = dr.drift_status_rows(numeric, categorical)
     return {

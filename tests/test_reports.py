@@ -1,5 +1,7 @@
 """Metrics, scoring, drift, profile and output checks on hand-size tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +138,38 @@ def test_drift(spark, frame, cfg):
     assert (row["current_missing_rate"], row["true_missing_rate"], row["mean_shift"]) == (0.0, 1.0, 1.0)
 
 
+def scans(df):
+    """File scans of the plan that ran; a reused shuffle is no scan."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan")
+
+
+def test_tagged_drift_is_that_of_two_tables(spark, frame, cfg, tmp_path):
+    late = "city = 'Quetta' OR monthly_income > 45000"
+    cur = frame(12).withColumns({
+        "city": F.when(F.expr("age = 48"), None).otherwise(F.col("city")),
+        "monthly_bill": F.when(F.expr("support_tickets = 3"), None).otherwise(F.col("monthly_bill")),
+    })
+    cur.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+
+    def rows(found):
+        return sorted((r[0], r[1], *(x if x is None else round(x, 9) for x in r[2:4]), r[4]) for r in found.collect())
+
+    for is_ref in ("NOT (city <=> 'Quetta' OR monthly_income > 45000)", "true", "false", "CAST(NULL AS BOOLEAN)"):
+        ref = df.where(F.expr(is_ref))
+        new = df.where(~F.expr(f"coalesce({is_ref}, false)"))
+        want = dr.drift_status_rows(
+            dr.numeric_drift(new, dr.reference_numeric(ref, cfg), cfg),
+            dr.categorical_drift(new, dr.reference_categorical(ref, cfg), cfg),
+        )
+        got = dr.tagged_drift(df, is_ref, cfg)
+        assert rows(got) == rows(want) and got.columns == want.columns, is_ref
+    assert scans(dr.tagged_drift(df, f"NOT ({late})", cfg)) == 2
+    one = cfg.with_(monitor_categorical=())
+    assert {r["kind"] for r in dr.tagged_drift(df, "true", one).collect()} == {"numeric"}
+
+
 def test_drift_without_reference(spark, frame, cfg):
     ref = dr.reference_numeric(frame(4), cfg.with_(monitor_numeric=("monthly_bill",)))
     rows = {r["feature"]: r for r in dr.numeric_drift(frame(4), ref, cfg).collect()}
@@ -212,6 +246,30 @@ def test_order_check_over_blocks(queue, block):
     assert vf.rank_order(queue.withColumn(P, p), block).first()["rises"] == 1
 
 
+def test_order_check_of_odd_ranks(spark):
+    """Any ranks at all, against a plain walk over them."""
+    far = 2**53 - 1  # ranks are read as doubles
+    ranks = [None, None, -far, -5, 0, 1, 1, 7, 4_194_303, 4_194_304, 2**42 - 1, 2**42, far - 1, far]
+    rows = [(r, None if i == 6 else (i * 7 % 5) / 5) for i, r in enumerate(ranks)]
+    df = spark.createDataFrame(rows, f"review_rank long, {P} double")
+    of = {r: [p for q, p in rows if q == r and p is not None] for r in ranks if r is not None}
+    steps = [of[r] for r in sorted(of)]
+    rises = sum(1 for a, b in zip(steps, steps[1:]) if a and b and max(b) > min(a))
+    for block in (1, 2, 1 << 21):
+        row = vf.rank_facts(df, block).first()
+        assert (row["rises"], row["first_r"], row["last_r"]) == (rises, -far, far)
+        assert (row["distinct_r"], row["n"]) == (len(of), len(rows))
+    empty = vf.rank_facts(df.limit(0)).first()
+    assert (empty["rises"], empty["n"], empty["first_r"]) == (0, 0, None)
+
+
+def test_one_shuffle_by_rank(queue, cfg):
+    """Rows are grouped by rank once, for the sequence and for the order."""
+    checks = vf.verify_scored(queue, cfg, 10)
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(r#", plan)) == 1
+
+
 def test_broken_queues(queue, cfg):
     def broken(**changes):
         return failed(vf.verify_scored(queue.withColumns({k: F.expr(e) for k, e in changes.items()}), cfg, 10))
