@@ -20,6 +20,7 @@ from rankwatch.operators.ordering import DIRECT_ROWS
 from rankwatch.operators.prep import FEATURES, fit_prep
 from rankwatch.operators.scoring import PROBABILITY
 from rankwatch.operators.split import stratified_split
+from rankwatch.sources.staging import stage
 
 MODEL_NAME = "logistic_regression"
 _ML_COLUMNS = ("rawPrediction", "probability", "prediction")
@@ -76,11 +77,11 @@ def fit_classifier(features: DataFrame, label: str, positives: int, rows: int):
 def train(df: DataFrame, cfg: Config, direct_rows: int = DIRECT_ROWS) -> Bundle:
     """Split, fit on the train part, measure on the validation part, profile the train part.
 
-    Reads `df` several times, each time only the columns a step needs; stage it first when
-    it is costly to compute.
+    The rows with their part are staged: each later step reads the columns it needs from there.
+    Before, the split reads id and target of `df`; stage that when it is costly to compute.
     """
     check_features(df, cfg)
-    split = stratified_split(df, cfg, direct_rows)
+    split = stage(stratified_split(df, cfg, direct_rows), "parts")
     y = F.expr(num(df.schema, cfg.target_column))
     sizes = {
         r["split"]: (r["n"], r["pos"] or 0, r["latest"])

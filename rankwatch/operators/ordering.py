@@ -10,6 +10,7 @@ and windows run inside slices only.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -134,16 +135,72 @@ def _offsets(totals: DataFrame, key: str, sums: Mapping[str, str]) -> DataFrame:
     )
 
 
-def text_position(df: DataFrame, column: str) -> Column:
-    """A double that never falls as the text rises: six bytes after what all texts share.
+def _shared(a: bytes, b: bytes) -> bytes:
+    n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[:n]
 
-    The least and the greatest text share a beginning exactly as long as all texts do."""
-    raw = F.encode(_col(column), "UTF-8")
-    ends = df.agg(F.min(raw).alias("a"), F.max(raw).alias("b")).first()
-    a, b = bytes(ends["a"] or b""), bytes(ends["b"] or b"")
-    shared = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    digits = F.rpad(F.hex(F.substring(raw, shared + 1, 6)), 12, "0")
-    return F.conv(digits, 16, 10).cast("double")
+
+def _texts(values: Sequence[bytes]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<binary>")
+
+
+def texts_upto(raw: Column, cuts: Sequence[bytes]) -> Column:
+    """How many of the sorted `cuts` are <= a text: steps of falling powers of two."""
+    if not cuts:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    known = _texts(cuts)
+    # Beyond the last cut there is null, and no step is taken.
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step - 1) <= raw, at + step).otherwise(at)
+    )
+
+
+def text_cuts(
+    df: DataFrame, column: str, slices: int, rows: int, sample_rows: int = SAMPLE_ROWS
+) -> list[bytes]:
+    """Cut points of the order of texts, as the bytes of texts.
+
+    They are quantiles of the few bytes after what all texts share. A value of these bytes
+    that fills two cut points or more is a beginning of too many texts: those are cut in
+    the next round by the bytes after what they share in turn, with as many cut points as the
+    beginning filled. All beginnings of a round are cut together, in two passes over a sample;
+    what they share grows from round to round, so the rounds end.
+    """
+    share = min(1.0, max(sample_rows, 100 * slices) / max(rows, 1))
+    drawn = df.select(_col(column).cast("binary").alias("raw")).where("raw IS NOT NULL").sample(share, seed=17)
+    begins, above, wanted = [b""], [-1], slices
+    cuts: set[bytes] = set()
+    while begins and wanted > 1:
+        at = texts_upto(F.col("raw"), begins) - 1
+        # Beginnings are few; a text belongs to the last one that is not above it, if it has it.
+        begin = F.get(_texts(begins), F.greatest(at, F.lit(0)))
+        held = drawn.withColumn("node", at).where((at >= 0) & F.startswith(F.col("raw"), begin))
+        ends = held.groupBy("node").agg(F.min("raw").alias("a"), F.max("raw").alias("b")).collect()
+        # Equal texts, or those that differ by more zero bytes, are not cut further.
+        shared = {r["node"]: _shared(bytes(r["a"]), bytes(r["b"])) for r in ends if r["a"] != r["b"]}
+        shared = {i: t for i, t in shared.items() if len(t) > above[i]}
+        if not shared:
+            break
+        width = (52 - len(begins).bit_length()) // 8
+        whole = 256**width
+        skip = F.get(F.array(*[F.lit(len(shared.get(i, b""))) for i in range(len(begins))]), F.col("node"))
+        digits = F.rpad(F.hex(F.substring("raw", skip + 1, F.lit(width))), 2 * width, "0")
+        key = F.col("node") * F.lit(float(whole)) + F.conv(digits, 16, 10).cast("double")
+        estimate = F.percentile_approx(key, _fractions(wanted), max(ACCURACY, 8 * wanted))
+        quantiles = held.where(F.col("node").isin(list(shared))).agg(estimate).first()[0]
+        runs = Counter(quantiles)
+
+        of = {}
+        for point in runs:
+            node, rest = divmod(int(point), whole)
+            of[point] = (shared[node] + rest.to_bytes(width, "big")).rstrip(b"\0")
+        cuts.update(of.values())
+        grown = {of[v]: (n, len(shared[int(v) // whole])) for v, n in runs.items() if n > 1}
+        begins = sorted(grown)
+        above = [grown[b][1] for b in begins]
+        wanted = 1 + sum(grown[b][0] for b in begins)
+    return sorted(cuts)
 
 
 def global_rank(
@@ -157,21 +214,21 @@ def global_rank(
     """
     rows = df.count()
     slices = slices or slice_count(df.sparkSession, rows)
-    kind = df.schema[tie].dataType
+    keyed = df.withColumn("_score", F.expr(num(df.schema, score)))
     # Slices follow the order of the tie column itself, whatever its type.
-    tie_key = text_position(df, tie) if isinstance(kind, T.StringType) else _col(tie).cast("double")
-    keyed = df.withColumns(
-        {
-            "_score": F.expr(num(df.schema, score)),
-            "_tie": tie_key,
-        }
-    )
-    cuts = cut_points(keyed, {"_score": F.col("_score"), "_tie": F.col("_tie")}, slices, rows)
-    points, tie_points = cuts["_score"].points, cuts["_tie"].points
+    if isinstance(df.schema[tie].dataType, T.StringType):
+        cuts = cut_points(keyed, {"_score": F.col("_score")}, slices, rows)
+        tie_points = text_cuts(df, tie, slices, rows)
+        slot = F.when(_col(tie).isNotNull(), texts_upto(_col(tie).cast("binary"), tie_points))
+        keyed = keyed.withColumn("_tie_cut", slot.cast("double"))
+    else:
+        keyed = keyed.withColumn("_tie", _col(tie).cast("double"))
+        cuts = cut_points(keyed, {"_score": F.col("_score"), "_tie": F.col("_tie")}, slices, rows)
+        tie_points = cuts["_tie"].points
+        keyed = _cut(keyed, "_tie", tie_points, "_tie_cut")
     tie_slots = len(tie_points) + 1
-
+    points = cuts["_score"].points
     keyed = _cut(keyed, "_score", points, "_cut")
-    keyed = _cut(keyed, "_tie", tie_points, "_tie_cut")
     # Within [cut, next) descending, a hot cut value itself comes after everything above it,
     # so its rows get the later sub-slices, in order of the tie column. Nothing is known about
     # the share of missing scores: they are spread as widely as possible.

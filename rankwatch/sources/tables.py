@@ -34,7 +34,8 @@ def snapshot(
 
     Every join is a left join on a unique key, so every customer is kept. One without orders
     signed up on the day of the last order, has no urgent one and nothing else to average.
-    Line items and documents are left out when none of their columns is asked for.
+    Line items, documents, nations and regions are left out when none of their columns is asked
+    for.
     Line items collapse to one row per order before they meet the orders, which keeps a
     heavy order or customer from moving its rows through the join.
     """
@@ -63,18 +64,25 @@ def snapshot(
         sums += [F.lit(None).cast("double").alias("qty"), F.lit(None).cast("long").alias("n_lines")]
     per_customer = per_order.groupBy("o_custkey").agg(*sums)
 
-    nation, region = (table(spark, sf_dir, t) for t in ("nation", "region"))
-    out = (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
+    out = table(spark, sf_dir, "customer").join(
+        per_customer, F.col("c_custkey") == F.col("o_custkey"), "left"
     )
+    none = F.lit(None).cast("string")
+    if {"city", "education_level"} & set(wanted):
+        nation = table(spark, sf_dir, "nation")
+        out = out.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    else:
+        out = out.withColumn("n_name", none)
+    if "education_level" in wanted:
+        region = table(spark, sf_dir, "region")
+        out = out.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    else:
+        out = out.withColumn("r_name", none)
     if "customer_feedback" in wanted:
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
         out = out.join(docs, F.col("doc_id") == F.col("c_custkey"), "left")
     else:
-        out = out.withColumn("text", F.lit(None).cast("string"))
+        out = out.withColumn("text", none)
 
     balance = F.col("c_acctbal")
     silent = F.col("last_o") < last_order - F.expr(f"INTERVAL {SILENT_DAYS} DAYS")

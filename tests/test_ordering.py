@@ -123,6 +123,37 @@ def test_crowded_score_is_spread_over_tasks(spark):
     assert cuts.fan_out(50) == {50: [0.5]}
 
 
+BEGINNINGS = {
+    "dates": lambda i: f"2024-{i % 10 + 10}-15-of-the-northern-branch-{i:07d}",
+    "long and short": lambda i: ("x" * (i % 7) + "/") * (1 + i % 3) + f"{i * 7919 % 6400:05d}",
+    "nested": lambda i: f"{'ab'[i % 2]}-a-long-beginning-{'cd'[i % 3 % 2]}-another-{i % 50:02d}-end-{i:06d}",
+    "zero bytes": lambda i: "k" + "\0" * (i % 40) + ("z" if i % 5 else ""),
+    "signs of all widths": lambda i: "aé€😀"[i % 4] * (1 + i % 3) + f"{i:05d}",
+}
+
+
+@pytest.mark.parametrize("shape", BEGINNINGS)
+def test_few_beginnings_of_text_ids_fill_many_slices(spark, shape):
+    """One score, and ids that share few beginnings: slices stay even, and the order right."""
+    n, of = 6400, BEGINNINGS[shape]
+    df = spark.createDataFrame([(of(i), 0.5) for i in range(n)], "id string, p double").repartition(3)
+    sizes = global_rank_slices(df)
+    most = max(df.groupBy("id").count().agg(F.max("count")).first()[0], 2 * n // 64)
+    assert sum(sizes) == n and (shape == "zero bytes" or max(sizes) <= most), max(sizes)
+    got = global_rank(df, "p", "id", "rank", slices=64).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, n + 1))
+    assert [r["id"] for r in got] == sorted((of(i) for i in range(n)), key=lambda t: t.encode())
+
+
+def test_how_many_texts_are_below(spark):
+    cuts = sorted({f"{c}{i:02d}".encode() for c in "bdf" for i in range(0, 60, 7)} | {b"\xff", b"d"})
+    texts = ["", "a", "b", "b00", "b000", "b30", "d", "d0", "é", "z", *(c.decode("latin1") for c in cuts)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for known in (cuts, cuts[:1], cuts[:8], []):
+        got = df.select("t", ordering.texts_upto(F.col("t").cast("binary"), known).alias("n")).collect()
+        assert all(r["n"] == sum(c <= r["t"].encode() for c in known) for r in got)
+
+
 def test_running_totals(spark):
     df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) / 7 AS k", "id % 5 AS a", "1 AS b")
     got = running_totals(df, "k", {"ta": "a", "tb": "b"}, df, slices=16).orderBy(F.desc("k")).collect()
