@@ -130,8 +130,117 @@ QUALIFY rank <= 2000
 """
 
 
+_CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+
+
+def _written(text: str) -> str:
+    """Code points of a text whose control strings and backslashes are written as two."""
+    out = f"replace({text}, chr(92), chr(92) || chr(92))"
+    for s in _CONTROL:
+        out = f"replace({out}, '{s}', chr(92) || '0')"
+    return f"length({out})"
+
+
+_OWN = "</s>[INST] ok [/INST]"
+# `<s>[INST] `, ` [/INST]` and `</s>` around role and text: 22 code points.
+CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{_OWN}' UNION ALL SELECT -7, 1, 'assistant', '{_OWN}'),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           count(*) OVER (PARTITION BY conv_id) AS n, 22 + {_written("role")} + {_written("text")} AS chars
+    FROM turns),
+summed AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM numbered)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       coalesce(sum(upto) FILTER (WHERE role = 'assistant' OR i = n), 0)::BIGINT AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+
+def _item_words(text: str) -> str:
+    breaks = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    split = f"string_split_regex({_lower(f'coalesce({text}, {chr(39) * 2})')}, '{breaks}')"
+    return f"list_filter({split}, lambda x: x <> '')"
+
+
+DECONTAM = f"""
+WITH items AS (SELECT item_id, {_item_words("text")} AS w FROM benchmark),
+windows AS (
+    SELECT item_id, least(len(w), 10) AS n, w[i + 1:i + least(len(w), 10)] AS g
+    FROM items, LATERAL (SELECT unnest(range(greatest(len(w) - 9, 1))) AS i) WHERE len(w) > 0),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_item_words("text")} AS w FROM documents),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT r, n, w, unnest(range(len(w) - n + 1)) AS i FROM docs, lengths WHERE len(w) >= n),
+hits AS (
+    SELECT DISTINCT r, i, p.n, item_id
+    FROM (SELECT r, i, n, w[i + 1:i + n] AS g FROM places) p JOIN windows USING (g)),
+covered AS (
+    SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hits) GROUP BY r),
+named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
+# Exact links by the prefix join: sets with a similarity of 0.8 share a shingle among the rarest
+# n - ceil(0.8 n) + 1 of each side.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE
+docs AS (
+    SELECT doc_id, list_filter(string_split_regex({_lower("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                               lambda x: x <> '') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w]
+                   ELSE list_distinct([w[i:i + 1] for i in range(1, len(w))]) END AS s FROM docs),
+sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
+members AS (SELECT doc_id, n, unnest(s) AS g FROM sized),
+rarity AS (SELECT g, count(*) AS f FROM members GROUP BY g),
+ordered AS (
+    SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY f, g) AS i FROM members JOIN rarity USING (g)),
+prefixes AS (SELECT doc_id, n, g FROM ordered WHERE i <= n - (80 * n + 99) // 100 + 1),
+pairs AS (
+    SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM prefixes a JOIN prefixes b USING (g)
+    WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+shared AS (
+    SELECT x, y, count(*) AS n_both FROM pairs JOIN members a ON a.doc_id = x JOIN members b ON b.doc_id = y AND b.g = a.g
+    GROUP BY x, y),
+found AS (
+    SELECT x, y FROM shared JOIN sized a ON a.doc_id = x JOIN sized b ON b.doc_id = y
+    WHERE 100 * n_both >= 80 * (a.n + b.n - n_both)),
+links AS (SELECT x, y FROM found UNION ALL SELECT y, x FROM found),
+reach(x, y) AS (
+    SELECT doc_id, doc_id FROM sized UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT doc_id, n AS n_shingles, min(y) AS component_id, doc_id = min(y) AS kept
+FROM sized JOIN reach ON x = doc_id GROUP BY doc_id, n
+"""
+
+
+TOP_K = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 def statements() -> dict[str, str]:
     return {
+        "op1_chat_formatting": CHAT,
+        "op5_benchmark_decontamination": DECONTAM,
+        "op6_minhash_dedup": NEAR_DUPLICATES,
+        "op7_topk_search": TOP_K,
         "op11_phrase_collocations": COLLOCATIONS,
         "op12_merkle_manifest": MERKLE,
         "op13_embedding_near_dedup": COVERTREE,
