@@ -7,14 +7,14 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Staged tables belong to the process and to the scopes that are open (`staging`), which drop them.
 from rankwatch.sources.staging import drop_staged, shared_dir, stage, staging
 
 __all__ = [
-    "byte_batches", "connected", "drop_staged", "give_back", "lookup", "row_key", "rows_in_parts", "shared_dir",
+    "byte_batches", "connected", "drop_staged", "give_back", "lookup", "numbered", "row_key", "rows_in_parts", "shared_dir",
     "small_batches", "stage", "staging", "table", "tidy",
 ]
 
@@ -76,6 +76,38 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def numbered(
+    rows: DataFrame, part: str, cells: int, order: list[Column], out: str, most: int
+) -> DataFrame:
+    """Add to every row a number in its `part`, gapless from 0; the same on every run.
+
+    Rows go to cells by a hash of their values, are numbered inside cells, and cells follow one
+    another. Rows equal in everything are counted before they move and written out again
+    afterwards, in stretches of `most` rows that are tasks of their own where there are more: so
+    copies of one row, however many, do not meet in one task."""
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    cell = F.pmod(F.xxhash64(*kept), F.lit(cells)).alias("_cell")
+    distinct = rows.groupBy(*kept, cell).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = rows.select(F.col(f"`{part}`"), cell).groupBy(part, "_cell").agg(F.count(F.lit(1)).alias("_m"))
+    earlier = Window.partitionBy(part).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, "_cell", F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_before"))
+    inside = (
+        Window.partitionBy(part, "_cell").orderBy(*order, *kept).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    first = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    begun = distinct.join(offsets, [part, "_cell"]).withColumn("_first", first).select(*kept, "_n", "_first")
+    few = begun.where(F.col("_n") <= most).withColumn("_from", F.lit(0).cast("long"))
+    many = begun.where(F.col("_n") > most).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(most).cast("long")))
+    )
+    # A stated number: a few stretches look too small to be worth tasks of their own.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = few.unionByName(many.repartition(tasks, "_first", "_from"))
+    last = F.least(F.col("_from") + most, F.col("_n")) - 1
+    copies = both.withColumn("_copy", F.explode(F.sequence("_from", last)))
+    return copies.select(*kept, (F.col("_first") + F.col("_copy")).cast("long").alias(out))
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of staged `rows` with `table`, which has one row per key.
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rankwatch.llm import bpe
 from rankwatch.llm import words as W
-from rankwatch.llm.common import small_batches, stage, tidy
+from rankwatch.llm.common import numbered, small_batches, stage, tidy
 
 WINDOW = 2048
 STEP = 16
@@ -348,23 +348,11 @@ def place(pieces: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFram
     chosen = plan([counts.get(b, 0) for b in range(1, bins + 1)])
 
     cells = max(CELLS, -(-total // ROWS_PER_CELL))
-    keys = [c for c in kept if c in ("start", "ids_crc32", "length")]
-    ident = [f"`{c}`" for c in kept]
-    celled = sized.withColumn("_cell", F.pmod(F.xxhash64(*ident), F.lit(cells)))
-    per_cell = celled.groupBy("_bin", "_cell").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_bin").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select(
-        "_bin", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy("_bin", "_cell").orderBy(
-        F.xxhash64(F.lit(1), *ident), *[F.col(f"`{c}`") for c in keys]
-    )
-    numbered = celled.withColumn("_row", F.row_number().over(inside) - 1).join(
-        offsets, ["_bin", "_cell"]
-    )
-    number = F.col("_before") + F.col("_row")
+    # In each bin by a hash of the piece, so neighbours in a text do not follow one another.
+    mixed = F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in kept])
+    rows = numbered(sized, "_bin", cells, [mixed], "_number", ROWS_PER_CELL)
     # The table of places is bounded by the combinations, so it is sent to every task.
-    placed = numbered.withColumn("_number", number).join(
+    placed = rows.join(
         F.broadcast(_places(spark, chosen)).withColumnRenamed("_bin", "_b"),
         (F.col("_bin") == F.col("_b"))
         & (F.col("_number") >= F.col("_from"))

@@ -24,10 +24,10 @@ from __future__ import annotations
 from bisect import bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankwatch.llm.common import stage
+from rankwatch.llm.common import numbered, stage
 
 SHARDS = 40
 FIRST_BITS = 13
@@ -203,23 +203,6 @@ def assign(
     _, starts = partition(rest.select("_h", "size"), shards - len(alone))
 
     cells = max(CELLS, -(-rows // ROWS_PER_CELL))
-    placed = sized.withColumn("shard", shard_of(F.col("_h"), alone, starts)).withColumn(
-        "_cell", F.pmod(F.xxhash64("_id", "text_crc32"), F.lit(cells))
-    )
-    counts = placed.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "shard", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy("shard", "_cell").orderBy("_id", "_h")
-    return (
-        placed.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(offsets, ["shard", "_cell"])
-        .select(
-            F.col("_id").alias(id_column),
-            "size",
-            "text_crc32",
-            "shard",
-            (F.col("_before") + F.col("_row")).cast("long").alias("slot"),
-        )
-    )
+    placed = sized.withColumn("shard", shard_of(F.col("_h"), alone, starts))
+    slots = numbered(placed, "shard", cells, [F.col("_id"), F.col("_h")], "slot", ROWS_PER_CELL)
+    return slots.select(F.col("_id").alias(id_column), "size", "text_crc32", "shard", "slot")
