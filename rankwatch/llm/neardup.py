@@ -18,8 +18,10 @@ at least `percent` / 100 are linked, and the classes are the connected component
    ("dominated") may have partners that only long lists show. There, every representative that
    is not in the component of its list's first one meets all of the list with a similar size,
    part by part on sketches; rows with a pair of different components that is not ruled out
-   meet again with their full sets, and what they link are components. So long lists lose
-   nothing either, and the pairs of a group are never written.
+   meet again with their full sets, and what they link are components. Lists with the same first
+   representative, which in a group of near copies hold much the same rows, meet as one list
+   unless that makes more pairs. So long lists lose nothing either, and the pairs of a group are
+   never written.
 
 Shingles are compared as 64-bit hashes. Sets larger than k are candidates unless no two
 neighbouring values among their k are common, which at the threshold has a chance below 1e-9.
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import rows_in_parts, small_batches, stage, tidy
+from rankwatch.llm.common import lookup, rows_in_parts, small_batches, stage, tidy
 
 K = 40
 LIST = 16
@@ -294,12 +296,12 @@ def _open_rows(k: int, percent: int, low: float, kind: pa.DataType):
                 earlier.append((keys[keys < own], owner[keys < own]))
             some &= _in_common(*earlier, shape) == 0
             part = tuple(one[c][rows[0]] for c in _PART)
-            found += [(*part, 0, r) for r in one["rep"][rows[some.any(axis=1)]].tolist()]
-            found += [(*part, 1, r) for r in two["rep"][others[some.any(axis=0)]].tolist()]
-        columns = list(zip(*found, strict=True)) if found else [()] * 6
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), kind]
+            for i, side, at in ((0, one, rows[some.any(axis=1)]), (1, two, others[some.any(axis=0)])):
+                found += [(*part, i, *r) for r in zip(side["rep"][at].tolist(), side["label"][at].tolist(), strict=True)]
+        columns = list(zip(*found, strict=True)) if found else [()] * 7
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), kind, kind]
         return pa.Table.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*_PART, "side", "rep"]
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*_PART, "side", "rep", "label"]
         )
 
     return run
@@ -335,10 +337,28 @@ def _bucketed(one: DataFrame, two: DataFrame, parts: int, function, schema: str)
     return one.groupBy("bucket").cogroup(two.groupBy("bucket")).applyInArrow(function, schema)
 
 
+def _as_one(in_long: DataFrame) -> DataFrame:
+    """(rep, keys): the lists a representative meets others in; `in_long` is (key, rep, n, a, n_a)
+    with the first representative `a` of the list.
+
+    Lists with the same first representative become one, under the smallest of their keys, where
+    its rows make no more pairs than theirs. Whoever shares a list shares the one it went into."""
+    pairs = F.pow(F.col("m").cast("double"), 2)
+    apart = in_long.groupBy("a", "key").agg(F.count("*").alias("m")).groupBy("a").agg(
+        F.sum(pairs).alias("pairs"), F.min("key").alias("one")
+    )
+    merged = in_long.select("a", "rep").distinct().groupBy("a").agg(F.count("*").alias("m"))
+    lists = merged.join(apart, "a").select("a", F.when(pairs <= F.col("pairs"), F.col("one")).alias("one"))
+    # A row holds at most k - 1 keys.
+    return lookup(in_long, stage(lists, "long-lists"), ["a"]).groupBy("rep").agg(
+        F.sort_array(F.collect_set(F.coalesce("one", "key"))).alias("keys")
+    )
+
+
 def _long_links(
-    docs: DataFrame, members: DataFrame, labels: DataFrame, size: int, k: int, percent: int
+    docs: DataFrame, facts: DataFrame, labels: DataFrame, size: int, k: int, percent: int
 ) -> DataFrame:
-    """Links between components inside long lists; `members` is (key, rep, n, sketch, keys).
+    """Links between components inside long lists; `facts` is (rep, n, sketch, keys).
 
     Rows meet rows of their own and the neighbouring size classes; both sides of a class are
     cut into parts of bounded size by a hash. What a part emits follows its rows, not its
@@ -346,9 +366,13 @@ def _long_links(
     sets, the components that are linked."""
     p = percent / 100
     low = max(0.0, p - 5.5 * (p * (1 - p) / k) ** 0.5)
-    kind = members.schema["rep"].dataType
-    known = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    first = known.groupBy("key").agg(F.min(F.struct("rep", "label"))["label"].alias("first"))
+    kind = facts.schema["rep"].dataType
+    facts = stage(facts.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "long-facts")
+    # The rows of lists are written out of their representative's keys. Lists of one component are left out.
+    known = facts.withColumn("key", F.explode("keys"))
+    first = known.groupBy("key").agg(
+        F.min(F.struct("rep", "label"))["label"].alias("first"), (F.min("label") < F.max("label")).alias("open")
+    ).where("open").select("key", "first")
     # Sizes of one class and the next can differ by the asked ratio, never those two apart.
     known = stage(
         known.join(first, "key")
@@ -379,13 +403,11 @@ def _long_links(
     arrow = to_arrow_type(kind)
     spelled = kind.simpleString()
     open_ = stage(
-        _bucketed(one, two, n_parts, _open_rows(k, percent, low, arrow), f"key long, t int, x int, y int, side int, rep {spelled}"),
+        _bucketed(one, two, n_parts, _open_rows(k, percent, low, arrow), f"key long, t int, x int, y int, side int, rep {spelled}, label {spelled}"),
         "open-rows",
     )
     sets = stage(_sets(docs, open_.select("rep"), size), "open-sets")
-    whole = open_.join(sets, "rep").join(labels, "rep", "left").select(
-        *_PART, "side", "rep", F.coalesce("label", "rep").alias("label"), "members"
-    )
+    whole = open_.join(sets, "rep").select(*_PART, "side", "rep", "label", "members")
     sides = (whole.where(F.col("side") == i).drop("side") for i in (0, 1))
     n_open = open_.select(*_PART).distinct().count()
     return _bucketed(*sides, 8 * n_open, _links_in_parts(percent, arrow), f"a {spelled}, b {spelled}").distinct()
@@ -440,8 +462,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     first = in_long.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("f")).select(
         "key", F.col("f.rep").alias("a"), F.col("f.n").alias("n_a")
     )
+    in_long = stage(in_long.join(first, "key"), "long-rows")
     to_first = (
-        in_long.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b")).join(first, "key")
+        in_long.select("a", "n_a", F.col("rep").alias("b"), F.col("n").alias("n_b"))
         .where((F.col("a") < F.col("b")) & _similar_sizes(percent)).select("a", "b")
     )
     pairs = stage(pairs.unionByName(to_first).distinct(), "pairs")
@@ -451,12 +474,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     sets = stage(_sets(docs, ends, size), "sets")
     labels = components(verified(likely, sets, percent))
 
-    # A row holds at most k - 1 keys.
-    own_keys = in_long.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    # One row per representative first; the rows of lists meet it once.
-    facts = own_keys.join(classes.select("rep", "sketch"), "rep")
-    members = in_long.join(stage(facts, "long-facts"), "rep")
-    more = _long_links(docs, members, labels, size, k, percent)
+    facts = _as_one(in_long).join(classes.select("rep", "n", "sketch"), "rep")
+    more = _long_links(docs, facts, labels, size, k, percent)
     linked = labels.where("rep <> label").select(F.col("rep").alias("a"), F.col("label").alias("b"))
     return _members(rows, classes, components(linked.unionByName(more)))
 

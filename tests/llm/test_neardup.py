@@ -85,3 +85,30 @@ def test_odd_rows(spark):
     assert len(got) == 5
     none = spark.createDataFrame([], "doc_id long, text string")
     assert nd.near_duplicates(none).count() == 0
+
+
+def test_rows_of_near_copies_do_not_follow_their_lists(spark, monkeypatch):
+    """A group of near copies, many just not linked, meets in few lists and finds every link."""
+    base = say(150)
+    texts = {i: " ".join(edited(base, G.randrange(2, 12))) for i in range(120)}
+    counts, stage = {}, nd.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        counts.setdefault(label, out.count())
+        return out
+
+    monkeypatch.setattr(nd, "stage", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(docs, size=3).collect()}
+    assert got == components(texts, 3)[0]
+    assert counts["dominated"] > 20 * len(texts)
+    assert 0 < counts["open-rows"] and max(counts["long-members"], counts["open-rows"]) < 12 * len(texts)
+
+
+def test_lists_become_one_where_that_makes_no_more_pairs(spark):
+    lists = {5: [1, 2, 3, 4], 6: [1, 2, 4], 7: [1, 3, 4], 11: [9, 20, 21], 12: [9, 22, 23], 13: [3, 4]}
+    rows = [(key, rep, 50, min(reps), 50) for key, reps in lists.items() for rep in reps]
+    table = spark.createDataFrame(rows, "key long, rep long, n long, a long, n_a long")
+    keys = {r["rep"]: r["keys"] for r in nd._as_one(table).collect()}
+    assert keys == {1: [5], 2: [5], 3: [5, 13], 4: [5, 13], 9: [11, 12], 20: [11], 21: [11], 22: [12], 23: [12]}
