@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rankwatch.sources.staging import drop_staged, shared_dir, stage, staging
 
 __all__ = [
-    "byte_batches", "connected", "drop_staged", "give_back", "lookup", "numbered", "row_key", "rows_in_parts", "shared_dir",
+    "byte_batches", "connected", "drop_finished", "drop_staged", "give_back", "lookup", "numbered", "row_key", "rows_in_parts", "shared_dir",
     "small_batches", "stage", "staging", "table", "tidy",
 ]
 
@@ -76,6 +76,12 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def drop_finished(spark: SparkSession) -> None:
+    """Let Spark drop what finished phases left: shuffle files, broadcasts and plans go when the
+    driver collects its garbage, which it otherwise puts off while its heap can still grow."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(
     rows: DataFrame, part: str, cells: int, order: list[Column], out: str, most: int
 ) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwatch.llm import words as W
-from rankwatch.llm.common import lookup, rows_in_parts, small_batches, stage, tidy
+from rankwatch.llm.common import drop_finished, lookup, rows_in_parts, small_batches, stage, tidy
 
 K = 40
 LIST = 16
@@ -410,6 +410,7 @@ def _long_links(
     whole = open_.join(sets, "rep").select(*_PART, "side", "rep", "label", "members")
     sides = (whole.where(F.col("side") == i).drop("side") for i in (0, 1))
     n_open = open_.select(*_PART).distinct().count()
+    drop_finished(docs.sparkSession)
     return _bucketed(*sides, 8 * n_open, _links_in_parts(percent, arrow), f"a {spelled}, b {spelled}").distinct()
 
 
@@ -469,10 +470,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     )
     pairs = stage(pairs.unionByName(to_first).distinct(), "pairs")
     likely = stage(estimated(pairs, classes, k, percent), "likely")
+    drop_finished(docs.sparkSession)
 
     ends = likely.select(F.col("a").alias("rep")).unionByName(likely.select(F.col("b").alias("rep")))
     sets = stage(_sets(docs, ends, size), "sets")
     labels = components(verified(likely, sets, percent))
+    drop_finished(docs.sparkSession)
 
     facts = _as_one(in_long).join(classes.select("rep", "n", "sketch"), "rep")
     more = _long_links(docs, facts, labels, size, k, percent)

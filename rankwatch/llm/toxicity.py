@@ -50,6 +50,8 @@ SIDE = 32
 LONGEST, STRIDE = 16, 8
 # Several tables of so many units by 560 triples stand in memory together.
 UNITS_AT_ONCE = 512
+# Units as dense rows of 256 KB each, on the driver beside the landmarks' own.
+DENSE_AT_ONCE = 32
 THRESHOLD = 0.7
 
 # Signs by character: letters 1 to 26, other letters in five classes, 0 is a gap.
@@ -168,13 +170,14 @@ def self_kernels(rows: np.ndarray) -> np.ndarray:
 
 
 def _dense(rows: list[np.ndarray]) -> np.ndarray:
-    """Normalised triple features of a few units, one row each."""
+    """Normalised triple features of a few units, one row each. Rows are normalised where they
+    stand: the driver holds them once."""
     out = np.zeros((len(rows), SIDE**3))
     for r, unit in enumerate(rows):
         codes, weight = triple_features(unit[None, :])
         np.add.at(out[r], codes[0], weight[0])
-    norm = np.sqrt((out**2).sum(axis=1))
-    return out / np.maximum(norm, 1e-12)[:, None]
+        out[r] /= np.maximum(np.sqrt((out[r] ** 2).sum()), 1e-12)
+    return out
 
 
 @dataclass
@@ -406,20 +409,21 @@ def _fit_machine(
 def _machine(good: list[np.ndarray], counts: np.ndarray, bad: list[np.ndarray]) -> Model:
     half = LANDMARKS * 3 // 4
     # Landmarks spread over the witnesses by their counts, then negatives.
-    marks = _dense(good[:half] + bad[: LANDMARKS - min(half, len(good))])
+    chosen = good[:half] + bad[: LANDMARKS - min(half, len(good))]
+    marks = _dense(chosen)
     gram = marks @ marks.T
     value, vector = np.linalg.eigh(gram)
     keep = value > 1e-6 * value[-1]
     root = vector[:, keep] / np.sqrt(value[keep])
-    blocks = []
     everything = good + bad
-    for i in range(0, len(everything), 256):
-        blocks.append(_dense(everything[i : i + 256]) @ marks.T @ root)
-    z = np.vstack(blocks)
+    some = (everything[i : i + DENSE_AT_ONCE] for i in range(0, len(everything), DENSE_AT_ONCE))
+    z = np.vstack([_dense(units) @ marks.T @ root for units in some])
+    # Made again at the end rather than held beside the fit.
+    del marks
     y = np.concatenate([np.ones(len(good)), -np.ones(len(bad))])
     weight = np.concatenate([counts / counts.sum(), np.full(len(bad), 4.0 / len(bad))])
     w = squared_hinge(z, y, weight, ridge=1e-4)
-    return Model(marks.T @ (root @ w[:-1]), float(w[-1]), np.zeros(5))
+    return Model(_dense(chosen).T @ (root @ w[:-1]), float(w[-1]), np.zeros(5))
 
 
 def _collect_evidence(sample: DataFrame, model: Model) -> np.ndarray:

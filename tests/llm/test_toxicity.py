@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,20 @@ def test_folded_machine_is_the_landmark_expansion():
     assert got[0] > 0 > got[1]
 
 
+def test_the_fit_holds_few_dense_units_at_once():
+    rng = random.Random(2)
+    words = list({"".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(4, 12))) for _ in range(700)})
+    units = [np.frombuffer(w.encode(), np.uint8) - 96 for w in words]
+    good, bad = units[:300], units[300:]
+    tracemalloc.start()
+    model = tx._machine(good, np.ones(len(good)), bad)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Beside the landmarks stands less than once more of them.
+    assert peak < 2 * tx.LANDMARKS * tx.SIDE**3 * 8
+    assert all(model.margins(u, np.array([0]), np.array([len(u)]))[0] > 0 for u in good[:5])
+
+
 def test_held_out_rows_and_gapped_insults(spark):
     docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
     model = tx.fit(docs, labels)
